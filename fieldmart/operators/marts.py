@@ -70,38 +70,51 @@ def features_daily(fact: DataFrame, readings_per_day: DataFrame, entities: DataF
     return out
 
 
-def equal_width_bins(df: DataFrame, column: str, bins: int = 6, prefix: str | None = None) -> DataFrame:
-    """``pd.cut(x, bins)`` -- equal-width, right-closed bins over
-    [min, max] with the lowest edge lowered by 0.1 % of the range; min = max
-    widens the range by 0.1 % on both sides (everything falls in the middle
-    bin). Adds ``{prefix}_idx`` (1..bins, NULL for missing), ``{prefix}_lo``,
-    ``{prefix}_hi`` and the label ``{prefix}`` = "(lo, hi]" with 3 decimals, or
-    'nan' for a missing value. min/max come from one scalar subquery."""
-    p = prefix or f"{column}_bin"
-    x = F.col(column).cast("double")
-    stats = df.agg(F.struct(F.min(x).alias("mn"), F.max(x).alias("mx")).alias("s")).scalar()
-    mn, mx = stats.getField("mn"), stats.getField("mx")
-    pad = F.when(mn == 0, F.lit(0.001)).otherwise(F.abs(mn) * F.lit(0.001))
-    lo_all = F.when(mn == mx, mn - pad).otherwise(mn)
-    hi_all = F.when(mn == mx, mx + pad).otherwise(mx)
-    width = (hi_all - lo_all) / F.lit(float(bins))
-    idx = F.least(F.lit(bins), F.greatest(F.lit(1), F.ceil((x - lo_all) / width).cast("int")))
-    first_edge = F.when(mn == mx, lo_all).otherwise(lo_all - (hi_all - lo_all) * F.lit(0.001))
-    lo = F.when(idx == 1, first_edge).otherwise(lo_all + (idx - 1) * width)
-    hi = F.when(idx == bins, hi_all).otherwise(lo_all + idx * width)
-    out = (df.withColumn(f"{p}_idx", idx)
-             .withColumn(f"{p}_lo", lo)
-             .withColumn(f"{p}_hi", hi))
-    label = F.concat(F.lit("("), F.round(F.col(f"{p}_lo"), 3).cast("string"), F.lit(", "),
-                     F.round(F.col(f"{p}_hi"), 3).cast("string"), F.lit("]"))
-    return out.withColumn(p, F.when(F.col(f"{p}_idx").isNull(), F.lit("nan")).otherwise(label))
+def equal_width_bins(df: DataFrame, columns: Mapping[str, str], bins: int = 6) -> DataFrame:
+    """``pd.cut(x, bins)`` for each ``column -> prefix``:
+    equal-width, right-closed bins over [min, max] with the lowest edge
+    lowered by 0.1 % of the range; min = max widens the range by 0.1 % on both
+    sides (everything falls in the middle bin). Adds ``{prefix}_idx`` (1..bins,
+    NULL for a missing value), ``{prefix}_lo``, ``{prefix}_hi`` and the label
+    ``{prefix}`` = "(lo, hi]" with 3 decimals, or 'nan' for a missing value.
+
+    All minima and maxima come from one scalar subquery (one extra pass, no
+    cross join), attached once as a struct column."""
+    stats = {}
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        stats[f"mn{i}"] = F.min(x)
+        stats[f"mx{i}"] = F.max(x)
+    sub = df.agg(F.struct(*[v.alias(k) for k, v in stats.items()]).alias("s")).scalar()
+    out = df.withColumn("_bin_stats", sub)
+    for i, (c, p) in enumerate(columns.items()):
+        x = F.col(c).cast("double")
+        mn, mx = F.col(f"_bin_stats.mn{i}"), F.col(f"_bin_stats.mx{i}")
+        pad = F.when(mn == 0, F.lit(0.001)).otherwise(F.abs(mn) * F.lit(0.001))
+        out = (out.withColumn(f"_{p}_lo_all", F.when(mn == mx, mn - pad).otherwise(mn))
+                  .withColumn(f"_{p}_hi_all", F.when(mn == mx, mx + pad).otherwise(mx)))
+        lo_all, hi_all = F.col(f"_{p}_lo_all"), F.col(f"_{p}_hi_all")
+        out = out.withColumn(f"_{p}_w", (hi_all - lo_all) / F.lit(float(bins)))
+        width = F.col(f"_{p}_w")
+        # least/greatest skip NULLs, so a missing value is kept out explicitly.
+        out = out.withColumn(f"{p}_idx", F.when(x.isNotNull(), F.least(
+            F.lit(bins), F.greatest(F.lit(1), F.ceil((x - lo_all) / width).cast("int")))))
+        idx = F.col(f"{p}_idx")
+        first_edge = F.when(mn == mx, lo_all).otherwise(lo_all - (hi_all - lo_all) * F.lit(0.001))
+        out = (out.withColumn(f"{p}_lo", F.when(idx == 1, first_edge).otherwise(lo_all + (idx - 1) * width))
+                  .withColumn(f"{p}_hi", F.when(idx == bins, hi_all).otherwise(lo_all + idx * width)))
+        label = F.concat(F.lit("("), F.round(F.col(f"{p}_lo"), 3).cast("string"), F.lit(", "),
+                         F.round(F.col(f"{p}_hi"), 3).cast("string"), F.lit("]"))
+        out = (out.withColumn(p, F.when(idx.isNull(), F.lit("nan")).otherwise(label))
+                  .drop(f"_{p}_lo_all", f"_{p}_hi_all", f"_{p}_w"))
+    return out.drop("_bin_stats")
 
 
 def bin_heatmap(features: DataFrame, x_col: str, y_col: str, measure: str, key: str = "entity_id",
                 bins: int = 6, x_name: str = "pressure_bin", y_name: str = "temperature_bin") -> DataFrame:
     """A5: (x bin, y bin) -> mean of the measure and count of entity ids.
     Sorted by bin index, not by label text (T9)."""
-    b = equal_width_bins(equal_width_bins(features, x_col, bins, x_name), y_col, bins, y_name)
+    b = equal_width_bins(features.select(key, measure, x_col, y_col), {x_col: x_name, y_col: y_name}, bins)
     return (b.groupBy(f"{x_name}_idx", x_name, f"{y_name}_idx", y_name)
              .agg(mean(measure).alias("avg_flow_rate_tpd"), F.count(F.col(key)).alias("observations")))
 

@@ -95,24 +95,23 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                        F.col("_tg.qi").alias("_qi"), F.col("_tg.side").alias("_side"), GROUP_N))
     picked = s.select(RID, "_x").join(want, RID)
 
-    aggs = [F.first(GROUP_N).alias(GROUP_N)]
-    for qi in range(len(probs)):
-        for side in (0, 1):
-            aggs.append(F.max(F.when((F.col("_qi") == qi) & (F.col("_side") == side), F.col("_x")))
-                        .alias(f"_v{qi}_{side}"))
-    per_col = picked.groupBy(*gkeys).agg(*aggs)
-    vals = []
-    for qi, p in enumerate(probs.values()):
-        h = F.lit(float(p)) * (F.col(GROUP_N) - 1)
-        lo, hi = F.col(f"_v{qi}_0"), F.col(f"_v{qi}_1")
-        vals.append((lo + (hi - lo) * (h - F.floor(h))).alias(f"_q{qi}"))
-    per_col = per_col.select(*gkeys, *vals)
-
+    # One aggregation per key: pick the two neighbours of every (column,
+    # prob) and interpolate (lo + (hi - lo) * frac, as quantile_cont does).
+    aggs = []
+    for ci in range(len(columns)):
+        aggs.append(F.max(F.when(F.col("_ci") == ci, F.col(GROUP_N))).alias(f"_n{ci}"))
+        for qi in range(len(probs)):
+            for side in (0, 1):
+                hit = (F.col("_ci") == ci) & (F.col("_qi") == qi) & (F.col("_side") == side)
+                aggs.append(F.max(F.when(hit, F.col("_x"))).alias(f"_v{ci}_{qi}_{side}"))
+    per_key = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     out = []
     for ci, c in enumerate(columns):
-        for qi, name in enumerate(probs):
-            out.append(F.max(F.when(F.col("_ci") == ci, F.col(f"_q{qi}"))).alias(f"{name}_{c}"))
-    return per_col.groupBy(*keys).agg(*out) if keys else per_col.agg(*out)
+        for qi, (name, p) in enumerate(probs.items()):
+            h = F.lit(float(p)) * (F.col(f"_n{ci}") - 1)
+            lo, hi = F.col(f"_v{ci}_{qi}_0"), F.col(f"_v{ci}_{qi}_1")
+            out.append((lo + (hi - lo) * (h - F.floor(h))).alias(f"{name}_{c}"))
+    return per_key.select(*keys, *out)
 
 
 def window_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],

@@ -139,3 +139,141 @@ ORACLE["entity_kpi"] = KPI_BASE + f"""
 SELECT entity_id, {_r6(['avg_flow_rate_tpd', 'total_oil_tons', 'downtime_hours'])}, days_count,
        name, field, region, status, {r6('downtime_pct')} AS downtime_pct
 FROM kpi"""
+
+RD_CTE = """
+rd AS (SELECT entity_id, day, avg(value) AS avg_value, avg(k) AS avg_k,
+              coalesce(sum(runtime), 0.0) AS runtime_hours
+       FROM cr WHERE entity_id IS NOT NULL AND day IS NOT NULL GROUP BY entity_id, day)"""
+
+FEAT_BASE = ("WITH " + U_CTE + "," + clean_fact_sql("u", "cu") + "," + CLEAN_R_CTE + "," + RD_CTE + ","
+             + E_CUST_CTE + """,
+feat AS (
+  SELECT cu.entity_id, cu.day, cu.flow, cu.oil, cu.water, cu.downtime,
+         rd.avg_value, rd.avg_k, rd.runtime_hours, cu.downtime / 24.0 AS downtime_ratio, ec.field, ec.region
+  FROM cu LEFT JOIN rd ON cu.entity_id = rd.entity_id AND cu.day = rd.day
+  LEFT JOIN ec ON cu.entity_id = ec.entity_id)""")
+
+Z_CTE = """
+st AS (SELECT entity_id, avg(value) AS mv, stddev_samp(value) AS sv, avg(k) AS mk, stddev_samp(k) AS sk
+       FROM r WHERE entity_id IS NOT NULL GROUP BY entity_id),
+z AS (
+  SELECT r.event_id, r.entity_id, r.ts, r.value, r.k,
+         coalesce((r.value - st.mv) / nullif(st.sv, 0), 0.0) AS z_value,
+         coalesce((r.k - st.mk) / nullif(st.sk, 0), 0.0) AS z_k
+  FROM r LEFT JOIN st ON r.entity_id = st.entity_id),
+zl AS (
+  SELECT z.*, CASE WHEN abs(z_value) > 3 OR abs(z_k) > 3 THEN 1 ELSE 0 END AS is_anomaly,
+         greatest(abs(z_value), abs(z_k)) AS risk_score,
+         CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.entity_id = z.entity_id AND z.ts <= f.failure_time
+                           AND z.ts >= f.failure_time - INTERVAL 7 DAY) THEN 1 ELSE 0 END AS failure_within_7d
+  FROM z)"""
+
+ORACLE["entity_ranking"] = KPI_BASE + f""",
+rk AS (SELECT entity_id, avg_flow_rate_tpd,
+              CAST(dense_rank() OVER (ORDER BY avg_flow_rate_tpd DESC) AS BIGINT) AS rank_by_flow FROM kpi)
+SELECT entity_id, {r6('avg_flow_rate_tpd')} AS avg_flow_rate_tpd, rank_by_flow,
+       CASE WHEN rank_by_flow <= 3 THEN 'best'
+            WHEN rank_by_flow > (SELECT count(*) FROM kpi) - 3 THEN 'worst' ELSE 'middle' END AS well_group
+FROM rk"""
+
+ORACLE["readings_daily"] = "WITH " + R_CTE + "," + CLEAN_R_CTE + "," + RD_CTE + f"""
+SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM rd"""
+
+ORACLE["features_daily"] = FEAT_BASE + f"""
+SELECT entity_id, day, {_r6(['flow', 'oil', 'water', 'downtime', 'avg_value', 'avg_k', 'runtime_hours',
+                              'downtime_ratio'])}, field, region FROM feat"""
+
+
+def _bin_sql(x: str, src: str, name: str, bins: int = 6) -> dict[str, str]:
+    """SQL form of pd.cut(x, bins) with min/max as scalar subqueries."""
+    mn, mx = f"(SELECT min({x}) FROM {src})", f"(SELECT max({x}) FROM {src})"
+    pad = f"(CASE WHEN {mn} = 0 THEN 0.001 ELSE abs({mn}) * 0.001 END)"
+    lo_all = f"(CASE WHEN {mn} = {mx} THEN {mn} - {pad} ELSE {mn} END)"
+    hi_all = f"(CASE WHEN {mn} = {mx} THEN {mx} + {pad} ELSE {mx} END)"
+    width = f"(({hi_all} - {lo_all}) / {float(bins)})"
+    idx = (f"(CASE WHEN {x} IS NULL THEN NULL ELSE least({bins}, greatest(1, "
+           f"CAST(ceil(({x} - {lo_all}) / {width}) AS INTEGER))) END)")
+    first = f"(CASE WHEN {mn} = {mx} THEN {lo_all} ELSE {lo_all} - ({hi_all} - {lo_all}) * 0.001 END)"
+    lo = f"(CASE WHEN {idx} = 1 THEN {first} ELSE {lo_all} + ({idx} - 1) * {width} END)"
+    hi = f"(CASE WHEN {idx} = {bins} THEN {hi_all} ELSE {lo_all} + {idx} * {width} END)"
+    label = (f"(CASE WHEN {idx} IS NULL THEN 'nan' ELSE '(' || CAST(round({lo}, 3) AS VARCHAR) || ', ' "
+             f"|| CAST(round({hi}, 3) AS VARCHAR) || ']' END)")
+    return {f"{name}_idx": idx, name: label}
+
+
+_PB = _bin_sql("avg_value", "feat", "pressure_bin")
+_TB = _bin_sql("avg_k", "feat", "temperature_bin")
+ORACLE["bin_heatmap"] = FEAT_BASE + f""",
+b AS (SELECT flow, entity_id, {_PB['pressure_bin_idx']} AS pressure_bin_idx, {_PB['pressure_bin']} AS pressure_bin,
+             {_TB['temperature_bin_idx']} AS temperature_bin_idx, {_TB['temperature_bin']} AS temperature_bin
+      FROM feat),
+h AS (SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,
+             avg(flow) AS avg_flow_rate_tpd, count(entity_id) AS observations
+      FROM b GROUP BY ALL)
+SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,
+       {r6('avg_flow_rate_tpd')} AS avg_flow_rate_tpd, observations FROM h"""
+
+ORACLE["group_zscore_flags"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
+SELECT event_id, entity_id, ts, {_r6(['value', 'k', 'z_value', 'z_k'])}, is_anomaly FROM zl"""
+
+ORACLE["failure_within_horizon"] = "WITH " + R_CTE + "," + F_CTE + """
+SELECT event_id, entity_id, ts,
+       CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.entity_id = r.entity_id AND r.ts <= f.failure_time
+                         AND r.ts >= f.failure_time - INTERVAL 7 DAY) THEN 1 ELSE 0 END AS failure_within_7d
+FROM r"""
+
+ORACLE["delay_by_category"] = "WITH " + V_CTE + f"""
+SELECT category, {r6('avg(delay)')} AS avg_delay_hours, {r6('avg(is_delayed)')} AS delayed_share,
+       count(*) AS deliveries_count
+FROM v WHERE category IS NOT NULL GROUP BY category"""
+
+COST_CTE = """,
+cr_ AS (SELECT route, avg(distance) AS avg_distance_km, avg(cost) AS avg_cost_rub,
+               avg(cost_per_km) AS avg_cost_per_km, count(*) AS deliveries_count
+        FROM v WHERE route IS NOT NULL GROUP BY route)"""
+
+ORACLE["cost_by_route"] = "WITH " + V_CTE + COST_CTE + f"""
+SELECT route, {_r6(['avg_distance_km', 'avg_cost_rub', 'avg_cost_per_km'])}, deliveries_count FROM cr_"""
+
+ORACLE["route_recommendation"] = "WITH " + V_CTE + COST_CTE + f"""
+SELECT route, {_r6(['avg_distance_km', 'avg_cost_rub', 'avg_cost_per_km'])}, deliveries_count,
+       CAST(dense_rank() OVER (ORDER BY avg_cost_per_km) AS BIGINT) AS recommendation
+FROM cr_"""
+
+ORACLE["driver_kpi"] = "WITH " + V_CTE + f""",
+dk AS (SELECT driver_id, avg(delay) AS avg_delay_hours, avg(is_delayed) AS delayed_share,
+              avg(cost_per_km) AS avg_cost_per_km, coalesce(sum(volume), 0) AS total_volume_tons,
+              count(*) AS deliveries_count
+       FROM v WHERE driver_id IS NOT NULL GROUP BY driver_id)
+SELECT driver_id, {_r6(['avg_delay_hours', 'delayed_share', 'avg_cost_per_km', 'total_volume_tons'])},
+       deliveries_count FROM dk"""
+
+ORACLE["top_entities"] = KPI_BASE + f"""
+SELECT entity_id, name, {_r6(['avg_flow_rate_tpd', 'downtime_pct', 'total_oil_tons'])}
+FROM kpi ORDER BY avg_flow_rate_tpd DESC, entity_id LIMIT 10"""
+
+_KPI_CARDS = f"""
+SELECT {r6('coalesce(sum(oil), 0)')} AS total_oil_tons, {r6('avg(flow)')} AS avg_flow_rate_tpd,
+       {r6('avg(avg_value)')} AS avg_pressure_atm,
+       {r6('coalesce(sum(downtime), 0) / (count(*) * 24.0) * 100')} AS downtime_pct,
+       count(*) AS rows_count
+FROM feat"""
+
+ORACLE["kpi_cards"] = FEAT_BASE + _KPI_CARDS
+ORACLE["kpi_cards_filtered"] = FEAT_BASE + _KPI_CARDS + """
+WHERE day >= DATE '2024-01-05' AND day <= DATE '2024-01-25' AND region IN ('ASIA', 'EUROPE', 'AMERICA')"""
+
+ORACLE["downtime_summary"] = KPI_BASE + f""",
+ds AS (SELECT region, coalesce(sum(downtime_hours), 0) AS downtime_hours,
+              CAST(sum(days_count) AS BIGINT) AS days_count, count(*) AS wells
+       FROM kpi WHERE region IS NOT NULL GROUP BY region)
+SELECT region, {r6('downtime_hours')} AS downtime_hours, days_count, wells,
+       {r6('downtime_hours / (days_count * 24.0) * 100')} AS downtime_pct
+FROM ds"""
+
+ORACLE["max_risk_by_entity"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
+SELECT entity_id, {r6('max(risk_score)')} AS max_risk FROM zl WHERE entity_id IS NOT NULL GROUP BY entity_id"""
+
+ORACLE["pre_failure_curve"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
+SELECT entity_id, ts, {r6('risk_score')} AS risk_score, is_anomaly, failure_within_7d
+FROM zl WHERE failure_within_7d = 1 ORDER BY ts, entity_id"""

@@ -82,3 +82,150 @@ def q_entity_kpi(spark, sf):
     return round6(kpi_d(spark, sf).select(
         "entity_id", "avg_flow_rate_tpd", "total_oil_tons", "downtime_hours", "days_count",
         "name", "field", "region", "status", "downtime_pct"))
+
+
+# --------------------------------------------------------------------------
+# production marts on the readings' entities (u, r, customer entities)
+
+from fieldmart.operators import anomaly, joins, logistics, ranking  # noqa: E402
+
+READING_MEANS = {"avg_value": "value", "avg_k": "k"}
+READING_SUMS = {"runtime_hours": "runtime"}
+ZSCORE_COLUMNS = ("value", "k")
+HORIZON_DAYS = 7
+TOP_K = 10
+# Fixed dashboard filter of Q9.
+KPI_FILTER = {"date_from": "2024-01-05", "date_to": "2024-01-25", "regions": ("ASIA", "EUROPE", "AMERICA")}
+
+
+def readings_per_day(spark, sf):
+    return marts.readings_daily(cleaned_r(spark, sf), means=READING_MEANS, sums=READING_SUMS)
+
+
+def features_u(spark, sf):
+    return marts.features_daily(cleaned_u(spark, sf), readings_per_day(spark, sf),
+                                views.customer_entities(spark, sf))
+
+
+def labelled_readings(spark, sf):
+    """W3 + P11 + J5 on r: z-scores, anomaly flag, failure label, and the
+    z-score proxy risk (largest |z|) used by the dashboard queries."""
+    r = views.readings(spark, sf)
+    z = anomaly.flag_anomalies(anomaly.group_zscore(r, "entity_id", ZSCORE_COLUMNS), ZSCORE_COLUMNS)
+    lab = joins.label_within(z, views.failures(spark, sf), "entity_id", "ts", "failure_time", HORIZON_DAYS)
+    return lab.withColumn("risk_score", F.greatest(*[F.abs(F.col(f"z_{c}")) for c in ZSCORE_COLUMNS]))
+
+
+def enriched_v(spark, sf):
+    return logistics.enrich_deliveries(views.deliveries(spark, sf))
+
+
+@register("entity_ranking")
+def q_entity_ranking(spark, sf):
+    """W4 W6 on the entity KPI mart."""
+    r = ranking.rank_group(ranking.rank_desc(kpi_d(spark, sf), "avg_flow_rate_tpd"))
+    return round6(r.select("entity_id", "avg_flow_rate_tpd", "rank_by_flow", "well_group"))
+
+
+@register("readings_daily")
+def q_readings_daily(spark, sf):
+    """A3 on cleaned r."""
+    return round6(readings_per_day(spark, sf))
+
+
+@register("features_daily")
+def q_features_daily(spark, sf):
+    """Cleaned u LEFT JOIN daily readings, entity field/region."""
+    return round6(features_u(spark, sf).select(
+        "entity_id", "day", "flow", "oil", "water", "downtime", "avg_value", "avg_k",
+        "runtime_hours", "downtime_ratio", "field", "region"))
+
+
+@register("bin_heatmap")
+def q_bin_heatmap(spark, sf):
+    """6 x 6 equal-width bins of (avg_value, avg_k) -> mean flow."""
+    return round6(marts.bin_heatmap(features_u(spark, sf), "avg_value", "avg_k", "flow"))
+
+
+@register("group_zscore_flags")
+def q_group_zscore_flags(spark, sf):
+    """W3 P11 E7 E9-E11 on r."""
+    r = views.readings(spark, sf)
+    z = anomaly.flag_anomalies(anomaly.group_zscore(r, "entity_id", ZSCORE_COLUMNS), ZSCORE_COLUMNS)
+    return round6(z.select("event_id", "entity_id", "ts", "value", "k", "z_value", "z_k", "is_anomaly"))
+
+
+@register("failure_within_horizon")
+def q_failure_within_horizon(spark, sf):
+    """Readings labelled by failures in [t, t + 7 days]."""
+    lab = joins.label_within(views.readings(spark, sf), views.failures(spark, sf),
+                             "entity_id", "ts", "failure_time", HORIZON_DAYS)
+    return lab.select("event_id", "entity_id", "ts", "failure_within_7d")
+
+
+@register("delay_by_category")
+def q_delay_by_category(spark, sf):
+    """E3 P10 A6 (Q6)."""
+    return round6(logistics.delay_by_category(enriched_v(spark, sf)))
+
+
+@register("cost_by_route")
+def q_cost_by_route(spark, sf):
+    """A7 (Q10)."""
+    return round6(logistics.cost_by_route(enriched_v(spark, sf)))
+
+
+@register("route_recommendation")
+def q_route_recommendation(spark, sf):
+    """A7 + W5."""
+    return round6(logistics.route_recommendation(logistics.cost_by_route(enriched_v(spark, sf))))
+
+
+@register("driver_kpi")
+def q_driver_kpi(spark, sf):
+    """A8 (Q7)."""
+    return round6(logistics.driver_kpi(enriched_v(spark, sf)))
+
+
+@register("top_entities")
+def q_top_entities(spark, sf):
+    """O4 O5 (Q2 with limit): top 10 entities by mean flow, entity id breaks ties."""
+    t = ranking.top_k(kpi_d(spark, sf), "avg_flow_rate_tpd", TOP_K, tie_breaker=["entity_id"])
+    return round6(t.select("entity_id", "name", "avg_flow_rate_tpd", "downtime_pct", "total_oil_tons"))
+
+
+@register("kpi_cards")
+def q_kpi_cards(spark, sf):
+    """A10 over the whole feature table."""
+    return round6(marts.kpi_cards(features_u(spark, sf)))
+
+
+@register("kpi_cards_filtered")
+def q_kpi_cards_filtered(spark, sf):
+    """Q9: P12 dashboard filters (dates, regions) then A10."""
+    f = marts.dashboard_filter(features_u(spark, sf), date_from=KPI_FILTER["date_from"],
+                               date_to=KPI_FILTER["date_to"], regions=KPI_FILTER["regions"])
+    return round6(marts.kpi_cards(f))
+
+
+@register("downtime_summary")
+def q_downtime_summary(spark, sf):
+    """A20 (Q13): downtime per region from the entity KPI mart."""
+    return round6(marts.downtime_summary(kpi_d(spark, sf)))
+
+
+@register("max_risk_by_entity")
+def q_max_risk_by_entity(spark, sf):
+    """A9 (Q11) with the z-score proxy as the risk score."""
+    lab = labelled_readings(spark, sf)
+    return round6(lab.where(F.col("entity_id").isNotNull()).groupBy("entity_id")
+                  .agg(F.max("risk_score").alias("max_risk")))
+
+
+@register("pre_failure_curve")
+def q_pre_failure_curve(spark, sf):
+    """Readings inside a failure horizon with their risk, by time."""
+    lab = labelled_readings(spark, sf)
+    return round6(lab.where(F.col("failure_within_7d") == 1)
+                  .select("entity_id", "ts", "risk_score", "is_anomaly", "failure_within_7d")
+                  .orderBy("ts", "entity_id"))
