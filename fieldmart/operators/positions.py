@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.session import default_parallelism
@@ -30,13 +30,10 @@ from fieldmart.session import default_parallelism
 RID, PID, POS, GROUP_N = "_rid", "_pid", "_pos", "_n"
 
 
-def _order_cols(order: Sequence) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
-
-
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence, num_partitions: int | None) -> DataFrame:
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool,
+              num_partitions: int | None) -> DataFrame:
     n = num_partitions or default_parallelism(df.sparkSession)
-    ordering = [F.col(k) for k in keys] + _order_cols(order)
+    ordering = [F.col(k) for k in keys] + [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     return (df.repartitionByRange(n, *ordering)
               .sortWithinPartitions(*ordering)
               .withColumn(RID, F.monotonically_increasing_id())
@@ -51,18 +48,26 @@ def _segments(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
                .withColumn(GROUP_N, F.sum("_c").over(by_key)))
 
 
-def with_group_position(df: DataFrame, keys: Sequence[str], order: Sequence,
+def with_group_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False,
                         num_partitions: int | None = None) -> DataFrame:
-    """Add ``_pos`` (0-based position by ``order`` inside the key group) and
-    ``_n`` (group size). Rows with a NULL key are dropped (SURVEY T2)."""
-    base = df
+    """Return ``keys + order`` columns with ``_pos`` (0-based position by
+    ``order`` inside the key group) and ``_n`` (group size). Rows with a NULL
+    key are dropped (SURVEY T2).
+
+    Only the key and order columns travel through the range shuffle. The
+    numbered frame feeds two branches (segment table and positions); with no
+    other columns both branches need exactly the same shuffle output, so the
+    plan shares one exchange and one set of range bounds. (Carrying extra
+    columns would let column pruning split it into two exchanges whose
+    sampled bounds can differ.) Callers join payload back on a row key."""
+    base = df.select(*keys, *order)
     for k in keys:
         base = base.where(F.col(k).isNotNull())
-    s = _numbered(base, keys, order, num_partitions)
+    s = _numbered(base, keys, order, descending, num_partitions)
     seg = _segments(s, keys)
     return (s.join(seg, [PID, *keys])
               .withColumn(POS, F.col("_off") + F.col(RID) - F.col("_r0"))
-              .drop(RID, PID, "_r0", "_c", "_off"))
+              .select(*keys, *order, POS, GROUP_N))
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -81,7 +86,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     for k in keys:
         stacked = stacked.where(F.col(k).isNotNull())
     gkeys = [*keys, "_ci"]
-    s = _numbered(stacked, gkeys, ["_x"], num_partitions)
+    s = _numbered(stacked, gkeys, ["_x"], False, num_partitions)
     seg = _segments(s, gkeys)
 
     targets = []
@@ -157,8 +162,7 @@ def dense_rank_by(df: DataFrame, column: str, ascending: bool = True,
     :func:`with_group_position`, then join the ranks back. NULL values get a
     NULL rank (T10). The rank is BIGINT (T23)."""
     vals = df.select(*partition_keys, F.col(column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    order = [F.col("_v").asc() if ascending else F.col("_v").desc()]
-    ranks = (with_group_position(vals, list(partition_keys), order)
+    ranks = (with_group_position(vals, list(partition_keys), ["_v"], descending=not ascending)
              .select(*partition_keys, "_v", (F.col(POS) + 1).cast("bigint").alias(out)))
     cond = [df[column] == ranks["_v"]] + [df[k] == ranks[k] for k in partition_keys]
     joined = df.join(ranks, cond, "left")

@@ -277,3 +277,154 @@ SELECT entity_id, {r6('max(risk_score)')} AS max_risk FROM zl WHERE entity_id IS
 ORACLE["pre_failure_curve"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
 SELECT entity_id, ts, {r6('risk_score')} AS risk_score, is_anomaly, failure_within_7d
 FROM zl WHERE failure_within_7d = 1 ORDER BY ts, entity_id"""
+
+ORACLE["null_counts"] = "WITH " + R_CTE + """
+SELECT count(*) FILTER (WHERE event_id IS NULL) AS nulls_event_id,
+       count(*) FILTER (WHERE entity_id IS NULL) AS nulls_entity_id,
+       count(*) FILTER (WHERE ts IS NULL) AS nulls_ts,
+       count(*) FILTER (WHERE event_type IS NULL) AS nulls_event_type,
+       count(*) FILTER (WHERE value IS NULL) AS nulls_value,
+       count(*) FILTER (WHERE k IS NULL) AS nulls_k,
+       count(*) FILTER (WHERE runtime IS NULL) AS nulls_runtime
+FROM r"""
+
+ORACLE["duplicate_keys"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS rows_count
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["orphan_keys"] = """
+SELECT 'lineitem.l_orderkey' AS check_name, count(*) AS violations FROM lineitem
+ WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
+UNION ALL
+SELECT 'lineitem.l_partkey', count(*) FROM lineitem
+ WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
+UNION ALL
+SELECT 'lineitem.l_suppkey', count(*) FROM lineitem
+ WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)
+UNION ALL
+SELECT 'orders.o_custkey', count(*) FROM orders
+ WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+UNION ALL
+SELECT 'events.user_id', count(*) FROM events
+ WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id)"""
+
+ORACLE["missing_days"] = "WITH " + D_CTE + """,
+span AS (SELECT entity_id, min(day) AS lo, max(day) AS hi FROM d WHERE entity_id IS NOT NULL GROUP BY entity_id),
+grid AS (SELECT entity_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span)
+SELECT entity_id, day FROM grid
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.entity_id = grid.entity_id AND d.day = grid.day)"""
+
+ORACLE["insert_ignore"] = f"""
+WITH fa AS (SELECT l_suppkey AS entity_id, CAST(l_shipdate AS DATE) AS day, l_returnflag AS flag,
+                   sum(l_quantity) AS qty, count(*) AS lines
+            FROM lineitem GROUP BY 1, 2, 3),
+old AS (SELECT * FROM fa WHERE flag = 'N'),
+pick AS (SELECT * FROM fa WHERE flag IN ('A', 'R')
+         QUALIFY row_number() OVER (PARTITION BY entity_id, day ORDER BY flag) = 1),
+res AS (SELECT * FROM old
+        UNION ALL
+        SELECT * FROM pick WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.entity_id = pick.entity_id
+                                                                 AND old.day = pick.day))
+SELECT entity_id, day, flag, {r6('qty')} AS qty, lines FROM res"""
+
+ORACLE["conditional_update"] = f"""
+SELECT event_id, event_type,
+       {r6('CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 173 = 0 THEN value * 4 ELSE value END')} AS value
+FROM events"""
+
+ORACLE["derive_targets"] = "WITH " + D_CTE + f"""
+SELECT entity_id, day, {r6('coalesce(flow, oil)')} AS actual_flow_rate_tpd FROM d"""
+
+ORACLE["union_all"] = """
+SELECT user_id AS entity_id, ts AS failure_time, 'error_spike' AS failure_type FROM events
+ WHERE event_type = 'error' AND value > 100
+UNION ALL
+SELECT user_id, ts, 'purchase_spike' FROM events WHERE event_type = 'purchase' AND value > 300
+UNION ALL
+SELECT user_id, ts, 'click_spike' FROM events WHERE event_type = 'click' AND value > 400"""
+
+ID_HASH = "('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT"
+
+ORACLE["hash_split"] = f"""
+SELECT event_id, CASE WHEN {ID_HASH} % 100 < 25 THEN 1 ELSE 0 END AS is_test FROM events"""
+
+LAB_CTE = R_CTE + "," + F_CTE + """,
+lab AS (
+  SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.entity_id = r.entity_id AND r.ts <= f.failure_time
+                                AND r.ts >= f.failure_time - INTERVAL 7 DAY) THEN 1 ELSE 0 END AS failure_within_7d
+  FROM r)"""
+
+ORACLE["stratified_hash_split"] = "WITH " + LAB_CTE + f""",
+hh AS (SELECT event_id, failure_within_7d, {ID_HASH} AS h FROM lab)
+SELECT event_id, failure_within_7d,
+       CASE WHEN row_number() OVER (PARTITION BY failure_within_7d ORDER BY h, event_id) - 1
+                 < ceil(0.25 * count(*) OVER (PARTITION BY failure_within_7d)) THEN 1 ELSE 0 END AS is_test
+FROM hh"""
+
+ORACLE["class_weights"] = "WITH " + LAB_CTE + f""",
+cw AS (SELECT failure_within_7d, count(*) AS n_c,
+              (SELECT count(*) FROM lab) / ((SELECT count(DISTINCT failure_within_7d) FROM lab) * count(*)) AS w
+       FROM lab GROUP BY failure_within_7d)
+SELECT failure_within_7d, n_c, {r6('w')} AS w FROM cw"""
+
+ORACLE["regression_metrics"] = f"""
+WITH m AS (
+  SELECT 'rate_1000' AS model_name, 0 AS model_order, avg(abs(l_extendedprice - l_quantity * 1000.0)) AS mae,
+         sqrt(avg(pow(l_extendedprice - l_quantity * 1000.0, 2))) AS rmse, count(*) AS rows_count FROM lineitem
+  UNION ALL
+  SELECT 'rate_1500', 1, avg(abs(l_extendedprice - l_quantity * 1500.0)),
+         sqrt(avg(pow(l_extendedprice - l_quantity * 1500.0, 2))), count(*) FROM lineitem)
+SELECT model_name, model_order, {_r6(['mae', 'rmse'])}, rows_count,
+       CASE WHEN model_order = (SELECT model_order FROM m ORDER BY rmse, model_order LIMIT 1) THEN 1 ELSE 0 END AS is_best
+FROM m"""
+
+ORACLE["classification_metrics"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f""",
+rk AS (SELECT failure_within_7d AS y, risk_score AS s,
+              rank() OVER (ORDER BY risk_score) + (count(*) OVER (PARTITION BY risk_score) - 1) / 2.0 AS mid
+       FROM zl WHERE risk_score IS NOT NULL),
+auc AS (SELECT (sum(CASE WHEN y = 1 THEN mid ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0)
+               / (sum(y) * (count(*) - sum(y))) AS roc_auc FROM rk)
+SELECT {r6('avg(CASE WHEN failure_within_7d = CASE WHEN risk_score > 1.0 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END)')} AS accuracy,
+       (SELECT {r6('roc_auc')} FROM auc) AS roc_auc, count(*) AS rows_count
+FROM zl"""
+
+ORACLE["linear_fit_one_feature"] = f"""
+SELECT {r6('regr_slope(l_extendedprice, l_quantity)')} AS slope,
+       {r6('regr_intercept(l_extendedprice, l_quantity)')} AS intercept, count(*) AS rows_count
+FROM lineitem"""
+
+ORACLE["flow_dataset"] = "WITH " + U_CTE + f""",
+t AS (SELECT entity_id, day, coalesce(flow, oil) AS actual_flow_rate_tpd FROM u),
+a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, avg(value) AS avg_value, avg(k) AS avg_k,
+              coalesce(sum(runtime), 0.0) AS runtime_hours
+       FROM r WHERE entity_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+ds AS (SELECT t.entity_id, t.day, t.actual_flow_rate_tpd, a4.avg_value, a4.avg_k, a4.runtime_hours
+       FROM t JOIN a4 ON t.entity_id = a4.entity_id AND t.day = a4.day
+       WHERE a4.avg_value IS NOT NULL AND a4.avg_k IS NOT NULL AND a4.runtime_hours IS NOT NULL
+         AND t.actual_flow_rate_tpd IS NOT NULL)
+SELECT entity_id, day, {_r6(['actual_flow_rate_tpd', 'avg_value', 'avg_k', 'runtime_hours'])} FROM ds"""
+
+ORACLE["export_round_trip"] = f"""
+SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, {r6('sum(o_totalprice)')} AS total_price
+FROM orders GROUP BY 1"""
+
+# S11 twins: the marts' SQL, then the dashboard SELECT itself.
+ORACLE["sql_q1_daily_oil"] = CLEAN_D + f""",
+pd AS (SELECT day, coalesce(sum(oil), 0) AS total_oil_tons, avg(flow) AS avg_flow_rate_tpd FROM cd GROUP BY day)
+SELECT day AS production_date, {_r6(['total_oil_tons', 'avg_flow_rate_tpd'])} FROM pd"""
+ORACLE["sql_q2_well_kpi"] = KPI_BASE + f"""
+SELECT name AS well_name, {_r6(['avg_flow_rate_tpd', 'downtime_pct', 'total_oil_tons'])} FROM kpi"""
+ORACLE["sql_q3_heatmap"] = ORACLE["bin_heatmap"].replace(
+    "SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,\n       ",
+    "SELECT pressure_bin, temperature_bin, ")
+ORACLE["sql_q5_anomalies"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
+SELECT ts AS event_time, entity_id AS pump_id, {_r6(['value', 'k', 'risk_score'])}
+FROM zl WHERE is_anomaly = 1"""
+ORACLE["sql_q6_delay_weather"] = ORACLE["delay_by_category"].replace("SELECT category,", "SELECT category AS weather,")
+ORACLE["sql_q7_driver_kpi"] = "WITH " + V_CTE + f""",
+dk AS (SELECT driver_id, avg(is_delayed) AS delayed_share, avg(cost_per_km) AS avg_cost_per_km,
+              coalesce(sum(volume), 0) AS total_volume_tons, count(*) AS deliveries_count
+       FROM v WHERE driver_id IS NOT NULL GROUP BY driver_id)
+SELECT driver_id, {_r6(['delayed_share', 'avg_cost_per_km', 'total_volume_tons'])}, deliveries_count FROM dk"""
+ORACLE["sql_q10_cost_distance"] = "WITH " + V_CTE + COST_CTE + f"""
+SELECT route, {_r6(['avg_distance_km', 'avg_cost_rub'])} FROM cr_"""

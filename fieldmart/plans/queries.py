@@ -229,3 +229,283 @@ def q_pre_failure_curve(spark, sf):
     return round6(lab.where(F.col("failure_within_7d") == 1)
                   .select("entity_id", "ts", "risk_score", "is_anomaly", "failure_within_7d")
                   .orderBy("ts", "entity_id"))
+
+
+# --------------------------------------------------------------------------
+# integrity checks, set operations, splits and metrics
+
+from fieldmart.operators import ml, quality, setops  # noqa: E402
+from fieldmart.plans import anomaly as anomaly_job  # noqa: E402
+from fieldmart.plans import forecast  # noqa: E402
+from fieldmart.session import scratch_path  # noqa: E402
+from fieldmart.sources import sinks  # noqa: E402
+
+FORECAST_FEATURES = ("avg_value", "avg_k", "runtime_hours")
+# Foreign keys checked on the driver's tables.
+ORPHAN_CHECKS = (
+    ("lineitem.l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem.l_partkey", "lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem.l_suppkey", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders.o_custkey", "orders", "o_custkey", "customer", "c_custkey"),
+    ("events.user_id", "events", "user_id", "customer", "c_custkey"),
+)
+
+
+def labelled_r(spark, sf):
+    return joins.label_within(views.readings(spark, sf), views.failures(spark, sf),
+                              "entity_id", "ts", "failure_time", HORIZON_DAYS)
+
+
+def flow_targets(spark, sf):
+    return setops.derive_targets(views.user_daily_fact(spark, sf), ["entity_id", "day"], "flow", "oil")
+
+
+def flow_ds(spark, sf):
+    return forecast.flow_dataset(flow_targets(spark, sf), views.readings(spark, sf),
+                                 READING_MEANS, READING_SUMS)
+
+
+@register("null_counts")
+def q_null_counts(spark, sf):
+    """C1 on the readings (faults injected)."""
+    return quality.null_counts(views.readings(spark, sf))
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf):
+    """(l_orderkey, l_linenumber) is not unique in lineitem."""
+    return quality.duplicate_keys(views.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("orphan_keys")
+def q_orphan_keys(spark, sf):
+    """Rows per foreign key without a dimension row."""
+    parts = []
+    for name, t, fk, dim, dk in ORPHAN_CHECKS:
+        bad = quality.orphan_keys(views.table(spark, sf, t), fk, views.table(spark, sf, dim), dk)
+        parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(name).alias("check_name"), "violations"))
+    return setops.union_all(*parts)
+
+
+@register("missing_days")
+def q_missing_days(spark, sf):
+    """C4 + J6: (entity, day) cells missing inside each entity's own span."""
+    return joins.missing_days(views.daily_fact(spark, sf), "entity_id", "day")
+
+
+def _flag_facts(spark, sf):
+    li = views.table(spark, sf, "lineitem")
+    return li.groupBy(F.col("l_suppkey").alias("entity_id"), F.to_date("l_shipdate").alias("day"),
+                      F.col("l_returnflag").alias("flag")).agg(
+        F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("lines"))
+
+
+@register("insert_ignore")
+def q_insert_ignore(spark, sf):
+    """Returned lines ('A', 'R') inserted into the 'N' facts on
+    (entity, day); existing rows win, 'A' wins over 'R'."""
+    fa = _flag_facts(spark, sf)
+    old = fa.where(F.col("flag") == "N")
+    new = fa.where(F.col("flag").isin("A", "R"))
+    return round6(setops.insert_ignore(old, new, ["entity_id", "day"], prefer="flag"))
+
+
+@register("conditional_update")
+def q_conditional_update(spark, sf):
+    """U4: NULL-out and scale updates keyed on the serial id."""
+    ev = views.table(spark, sf, "events").select("event_id", "event_type", "value")
+    ev = setops.update_where(ev, F.col("event_id") % 97 == 0, "value", None)
+    ev = setops.update_where(ev, F.col("event_id") % 173 == 0, "value", F.col("value") * 4)
+    return round6(ev)
+
+
+@register("derive_targets")
+def q_derive_targets(spark, sf):
+    """target = COALESCE(flow, oil) per (entity, day) of d."""
+    return round6(setops.derive_targets(views.daily_fact(spark, sf), ["entity_id", "day"], "flow", "oil"))
+
+
+@register("union_all")
+def q_union_all(spark, sf):
+    """Three kinds of spikes stacked with UNION ALL."""
+    ev = views.table(spark, sf, "events")
+    parts = []
+    for kind, t, limit in (("error_spike", "error", 100.0), ("purchase_spike", "purchase", 300.0),
+                           ("click_spike", "click", 400.0)):
+        parts.append(ev.where((F.col("event_type") == t) & (F.col("value") > limit)).select(
+            F.col("user_id").alias("entity_id"), F.col("ts").alias("failure_time"),
+            F.lit(kind).alias("failure_type")))
+    return setops.union_all(*parts)
+
+
+@register("hash_split")
+def q_hash_split(spark, sf):
+    """M2: deterministic 25 % test split on the event id hash."""
+    return ml.hash_split(views.table(spark, sf, "events").select("event_id"), ["event_id"])
+
+
+@register("stratified_hash_split")
+def q_stratified_hash_split(spark, sf):
+    """M3: exact 25 % per failure label, ordered by the id hash."""
+    lab = labelled_r(spark, sf).select("event_id", "failure_within_7d")
+    return ml.stratified_split(lab, ["event_id"], "failure_within_7d")
+
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    """M7: balanced weights of the failure label."""
+    return round6(ml.class_weights(labelled_r(spark, sf), "failure_within_7d"))
+
+
+# Two constant-rate predictors of a line's price, compared by RMSE.
+PRICE_MODELS = (("rate_1000", 1000.0), ("rate_1500", 1500.0))
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf):
+    """MAE/RMSE of fixed predictors; best = smallest RMSE."""
+    li = views.table(spark, sf, "lineitem")
+    parts = []
+    for order, (name, rate) in enumerate(PRICE_MODELS):
+        p = li.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * rate).alias("p"))
+        parts.append(ml.regression_metrics(p, "y", "p").select(
+            F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), "mae", "rmse", "rows_count"))
+    m = setops.union_all(*parts)
+    best = m.select(F.min_by("model_order", F.struct("rmse", "model_order"))).scalar()
+    return round6(m.withColumn("is_best", (F.col("model_order") == best).cast("int")))
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf):
+    """Accuracy and ROC-AUC of the z-score risk for the failure label."""
+    lab = labelled_readings(spark, sf).withColumn("pred", (F.col("risk_score") > 1.0).cast("int"))
+    acc = ml.accuracy(lab, "failure_within_7d", "pred")
+    auc = ml.roc_auc(lab, "failure_within_7d", "risk_score").select("roc_auc").scalar()
+    return round6(acc.select("accuracy", auc.alias("roc_auc"),
+                             lab.select(F.count(F.lit(1))).scalar().alias("rows_count")))
+
+
+@register("linear_fit_one_feature")
+def q_linear_fit_one_feature(spark, sf):
+    """M4: least-squares line of price on quantity (normal equations)."""
+    li = views.table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    model = ml.fit_linear(li, ["l_quantity"], "l_extendedprice").stages[-1]
+    n = li.count()
+    return round6(spark.createDataFrame(
+        [(float(model.coefficients[0]), float(model.intercept), n)],
+        "slope double, intercept double, rows_count bigint"))
+
+
+@register("flow_dataset")
+def q_flow_dataset(spark, sf):
+    """Targets joined to raw daily reading features."""
+    return round6(flow_ds(spark, sf).select("entity_id", "day", "actual_flow_rate_tpd", *FORECAST_FEATURES))
+
+
+@register("linear_fit_residuals")
+def q_linear_fit_residuals(spark, sf):
+    """M4 on the flow dataset: per-row residuals (rows-only check)."""
+    ds = flow_ds(spark, sf)
+    model = ml.fit_linear(ds, FORECAST_FEATURES, forecast.TARGET)
+    s = ml.score(model, ds, out="predicted")
+    return s.select("entity_id", "day", (F.col(forecast.TARGET) - F.col("predicted")).alias("residual"))
+
+
+@register("flow_predictions")
+def q_flow_predictions(spark, sf):
+    """L4: best model's predictions for every row (rows-only check)."""
+    preds, _ = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+    return preds.select("entity_id", "day", forecast.TARGET, "predicted_flow_rate_tpd",
+                        "absolute_error", "model_name", "is_test")
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    """L4 metrics table (Q8), sorted by RMSE (rows-only check)."""
+    _, metrics = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+    return metrics.drop("created_at")
+
+
+def _risk(spark, sf):
+    lab = anomaly_job.add_zscores_and_labels(views.readings(spark, sf), views.failures(spark, sf),
+                                             ZSCORE_COLUMNS)
+    return anomaly_job.train_failure_model(lab, ZSCORE_COLUMNS, ["event_id"])
+
+
+@register("failure_risk")
+def q_failure_risk(spark, sf):
+    """Risk score of every reading (rows-only check)."""
+    risk, _ = _risk(spark, sf)
+    return anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_risk"]
+
+
+@register("pump_anomalies")
+def q_pump_anomalies(spark, sf):
+    """Anomalous readings with their risk (rows-only check)."""
+    risk, _ = _risk(spark, sf)
+    return anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_anomalies"]
+
+
+@register("export_round_trip")
+def q_export_round_trip(spark, sf):
+    """Orders exported by order date into the shared folder, read
+    back (partition column typed date, T14), counted per date."""
+    import uuid
+
+    root = scratch_path(spark, "exports", uuid.uuid4().hex)
+    orders = views.table(spark, sf, "orders")
+    sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate")
+    back = spark.read.parquet(f"{root}/raw/orders")
+    return round6(back.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("rows_count"),
+                                                   F.sum("o_totalprice").alias("total_price")))
+
+
+# --------------------------------------------------------------------------
+# Dashboard and notebook SELECTs as SQL text over the marts
+
+DASHBOARD_SQL = {
+    "sql_q1_daily_oil": "SELECT day AS production_date, total_oil_tons, avg_flow_rate_tpd "
+                        "FROM mart_production_daily ORDER BY production_date",
+    "sql_q2_well_kpi": "SELECT name AS well_name, avg_flow_rate_tpd, downtime_pct, total_oil_tons "
+                       "FROM mart_well_kpi ORDER BY avg_flow_rate_tpd DESC",
+    "sql_q3_heatmap": "SELECT pressure_bin, temperature_bin, avg_flow_rate_tpd, observations "
+                      "FROM mart_pressure_flow_heatmap",
+    "sql_q5_anomalies": "SELECT ts AS event_time, entity_id AS pump_id, value, k, risk_score "
+                        "FROM mart_pump_anomalies ORDER BY event_time",
+    "sql_q6_delay_weather": "SELECT category AS weather, avg_delay_hours, delayed_share, deliveries_count "
+                            "FROM mart_delivery_delay_weather ORDER BY avg_delay_hours DESC",
+    "sql_q7_driver_kpi": "SELECT driver_id, delayed_share, avg_cost_per_km, total_volume_tons, deliveries_count "
+                         "FROM mart_driver_kpi ORDER BY delayed_share, avg_cost_per_km",
+    "sql_q10_cost_distance": "SELECT route, avg_distance_km, avg_cost_rub "
+                             "FROM mart_delivery_cost_distance",
+}
+
+
+def _dashboard_views(spark, sf, name):
+    from fieldmart.sources.tables import register_views
+
+    if name == "sql_q1_daily_oil":
+        register_views(spark, {"mart_production_daily": marts.production_daily(cleaned_d(spark, sf))})
+    elif name == "sql_q2_well_kpi":
+        register_views(spark, {"mart_well_kpi": kpi_d(spark, sf)})
+    elif name == "sql_q3_heatmap":
+        register_views(spark, {"mart_pressure_flow_heatmap":
+                               marts.bin_heatmap(features_u(spark, sf), "avg_value", "avg_k", "flow")})
+    elif name == "sql_q5_anomalies":
+        register_views(spark, {"mart_pump_anomalies": labelled_readings(spark, sf).where("is_anomaly = 1")})
+    else:
+        lm = logistics.logistics_marts(views.deliveries(spark, sf))
+        register_views(spark, {k: v for k, v in lm.items()})
+
+
+def _sql_query(name):
+    def run(spark, sf):
+        _dashboard_views(spark, sf, name)
+        return round6(spark.sql(DASHBOARD_SQL[name]))
+    run.__doc__ = f"S11: {DASHBOARD_SQL[name]}"
+    return run
+
+
+for _name in DASHBOARD_SQL:
+    QUERIES[_name] = _sql_query(_name)
