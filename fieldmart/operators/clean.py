@@ -1,7 +1,9 @@
 """Per-entity cleaning.
 
 Group statistics come from :mod:`fieldmart.operators.positions` and are joined
-back on the entity key; no step holds a whole entity in one task. AQE turns
+back on the entity key. ``method="auto"`` checks the largest entity once and
+uses the exact hash ``percentile`` aggregate when it is bounded, else the
+range-shuffle path that never holds a whole entity in one task. AQE turns
 the join into a broadcast when the per-entity table is small once measured,
 and splits a hot entity's partition of the fact side otherwise.
 """
@@ -14,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import clip, fill_from, in_range
-from fieldmart.operators.positions import quantiles
+from fieldmart.operators.positions import quantiles, resolve_method
 
 
-def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: str = "sort") -> DataFrame:
+def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: str = "auto") -> DataFrame:
     """A missing value takes the median of its entity; an entity whose
     values are all missing stays missing. One range shuffle for all columns."""
     med = quantiles(df, [key], columns, {"_med": 0.5}, method=method)
@@ -27,7 +29,7 @@ def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: s
     return out.select(*df.columns)
 
 
-def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5, method: str = "sort") -> DataFrame:
+def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
     """Keep rows inside [q1 - k*iqr, q3 + k*iqr] of their entity.
     iqr = 0 keeps the whole entity; a missing value (or an entity with no
     values) fails the test, as the pandas comparison does."""
@@ -50,12 +52,13 @@ def range_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Da
 def clean_daily_fact(df: DataFrame, key: str = "entity_id", day: str = "day",
                      flow: str = "flow", oil: str = "oil", water: str = "water",
                      downtime: str = "downtime", oil_factor: float = 0.9,
-                     clip_range: tuple[float, float] = (0.0, 24.0), method: str = "sort") -> DataFrame:
+                     clip_range: tuple[float, float] = (0.0, 24.0), method: str = "auto") -> DataFrame:
     """L1 (clean_production): day to date -> median fill of water and flow ->
     IQR fences on flow -> clip downtime -> oil falls back to flow * 0.9.
     The order is fixed (T20): medians change the quantiles, fences run before
     the fallback."""
     out = df.withColumn(day, F.to_date(F.col(day)))
+    method = resolve_method(out, [key], method)   # W1 and W2 share the groups
     out = fill_group_median(out, key, [water, flow], method=method)
     out = drop_iqr_outliers(out, key, flow, method=method)
     out = out.withColumn(downtime, clip(F.col(downtime).cast("double"), *clip_range))
@@ -67,9 +70,10 @@ def clean_readings(df: DataFrame, key: str = "entity_id", ts: str = "ts",
                    measures: Sequence[str] = ("value", "k", "runtime"),
                    ranges: Mapping[str, tuple[float, float]] | None = None,
                    clip_column: str | None = "runtime", clip_range: tuple[float, float] = (0.0, 24.0),
-                   day: str = "day", method: str = "sort") -> DataFrame:
+                   day: str = "day", method: str = "auto") -> DataFrame:
     """L2 (clean_telemetry): median fill of every measure -> inclusive range
     filter -> clip one column -> add the reading's date."""
+    method = resolve_method(df, [key], method)
     out = fill_group_median(df, key, list(measures), method=method)
     if ranges:
         out = range_filter(out, ranges)

@@ -119,11 +119,12 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     return per_key.select(*keys, *out)
 
 
-def window_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                     probs: Mapping[str, float]) -> DataFrame:
-    """Small-group form of :func:`group_quantiles`: one hash aggregate with
-    Spark's exact ``percentile``. Holds each key's distinct values in one task,
-    so use it only when groups are known to be small."""
+def hash_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                   probs: Mapping[str, float]) -> DataFrame:
+    """Bounded-group form of :func:`group_quantiles`: one hash aggregate with
+    Spark's exact ``percentile`` (partial value counts on the map side, merged
+    per key). The final merge holds a key's distinct values in one task, so it
+    is chosen only when the largest key is known to be small (``auto``)."""
     base = df
     for k in keys:
         base = base.where(F.col(k).isNotNull())
@@ -143,11 +144,33 @@ def approx_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     return base.groupBy(*keys).agg(*aggs)
 
 
-QUANTILE_METHODS = {"sort": group_quantiles, "window": window_quantiles, "approx": approx_quantiles}
+QUANTILE_METHODS = {"sort": group_quantiles, "hash": hash_quantiles, "approx": approx_quantiles}
+
+# Largest key (rows) for which the exact hash aggregate is used by "auto".
+AUTO_MAX_GROUP_ROWS = 1_000_000
+
+
+def resolve_method(df: DataFrame, keys: Sequence[str], method: str = "auto",
+                   max_group_rows: int | None = None) -> str:
+    """``auto`` -> ``hash`` when the largest key holds at most
+    ``fieldmart.quantiles.maxGroupRows`` rows (one partially aggregated count
+    per key), else ``sort`` (range shuffle, any skew)."""
+    if method != "auto":
+        return method
+    if max_group_rows is None:
+        conf = df.sparkSession.conf.get("fieldmart.quantiles.maxGroupRows", None)
+        max_group_rows = int(conf) if conf else AUTO_MAX_GROUP_ROWS
+    base = df
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else base.agg(F.count(F.lit(1)).alias("_c"))
+    biggest = counts.agg(F.max("_c")).first()[0] or 0
+    return "hash" if biggest <= max_group_rows else "sort"
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-              probs: Mapping[str, float], method: str = "sort") -> DataFrame:
+              probs: Mapping[str, float], method: str = "auto") -> DataFrame:
+    method = resolve_method(df, keys, method)
     try:
         fn = QUANTILE_METHODS[method]
     except KeyError:

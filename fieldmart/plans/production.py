@@ -13,7 +13,7 @@ def build_production_marts(production: DataFrame, telemetry: DataFrame, wells: D
                            measures=("value", "k", "runtime"), ranges=None,
                            reading_means=None, reading_sums=None,
                            pressure: str = "avg_value", temperature: str = "avg_k",
-                           method: str = "sort") -> dict[str, DataFrame]:
+                           method: str = "auto") -> dict[str, DataFrame]:
     """L3: cleaned tables, daily mart, entity KPI, ranking, features, heatmap.
     The cleaned tables feed every mart; callers persist or write them once
     (see :func:`fieldmart.plans.runner.run_all`)."""

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from fieldmart.operators import clean, marts
 from fieldmart.plans import views
+from fieldmart.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,11 +43,13 @@ def round6(df: DataFrame) -> DataFrame:
 
 
 def cleaned_d(spark, sf):
-    return clean.clean_daily_fact(views.daily_fact(spark, sf))
+    # The aggregated source view is written once: the cleaning steps read it
+    # several times (statistics, then the join back).
+    return clean.clean_daily_fact(materialize(views.daily_fact(spark, sf), "daily_fact"))
 
 
 def cleaned_u(spark, sf):
-    return clean.clean_daily_fact(views.user_daily_fact(spark, sf))
+    return clean.clean_daily_fact(materialize(views.user_daily_fact(spark, sf), "user_daily_fact"))
 
 
 def cleaned_r(spark, sf):
@@ -57,6 +60,12 @@ def kpi_d(spark, sf):
     return marts.entity_kpi(cleaned_d(spark, sf), views.supplier_entities(spark, sf))
 
 
+def kpi_mart(spark, sf):
+    """The KPI mart as a written table (one row per entity), for queries that
+    read it more than once (ranking, scalar row count)."""
+    return materialize(kpi_d(spark, sf), "mart_well_kpi")
+
+
 @register("clean_daily_fact")
 def q_clean_daily_fact(spark, sf):
     """L1: W1 W2 E4 E5 P9 on d."""
@@ -107,6 +116,12 @@ def features_u(spark, sf):
                                 views.customer_entities(spark, sf))
 
 
+def features_mart(spark, sf):
+    """The feature table written once (binning reads it twice: min/max, then
+    the assignment)."""
+    return materialize(features_u(spark, sf), "features_well_daily")
+
+
 def labelled_readings(spark, sf):
     """W3 + P11 + J5 on r: z-scores, anomaly flag, failure label, and the
     z-score proxy risk (largest |z|) used by the dashboard queries."""
@@ -123,7 +138,7 @@ def enriched_v(spark, sf):
 @register("entity_ranking")
 def q_entity_ranking(spark, sf):
     """W4 W6 on the entity KPI mart."""
-    r = ranking.rank_group(ranking.rank_desc(kpi_d(spark, sf), "avg_flow_rate_tpd"))
+    r = ranking.rank_group(ranking.rank_desc(kpi_mart(spark, sf), "avg_flow_rate_tpd"))
     return round6(r.select("entity_id", "avg_flow_rate_tpd", "rank_by_flow", "well_group"))
 
 
@@ -144,7 +159,7 @@ def q_features_daily(spark, sf):
 @register("bin_heatmap")
 def q_bin_heatmap(spark, sf):
     """6 x 6 equal-width bins of (avg_value, avg_k) -> mean flow."""
-    return round6(marts.bin_heatmap(features_u(spark, sf), "avg_value", "avg_k", "flow"))
+    return round6(marts.bin_heatmap(features_mart(spark, sf), "avg_value", "avg_k", "flow"))
 
 
 @register("group_zscore_flags")
@@ -291,7 +306,7 @@ def q_orphan_keys(spark, sf):
 @register("missing_days")
 def q_missing_days(spark, sf):
     """C4 + J6: (entity, day) cells missing inside each entity's own span."""
-    return joins.missing_days(views.daily_fact(spark, sf), "entity_id", "day")
+    return joins.missing_days(materialize(views.daily_fact(spark, sf), "daily_fact"), "entity_id", "day")
 
 
 def _flag_facts(spark, sf):
@@ -491,7 +506,7 @@ def _dashboard_views(spark, sf, name):
         register_views(spark, {"mart_well_kpi": kpi_d(spark, sf)})
     elif name == "sql_q3_heatmap":
         register_views(spark, {"mart_pressure_flow_heatmap":
-                               marts.bin_heatmap(features_u(spark, sf), "avg_value", "avg_k", "flow")})
+                               marts.bin_heatmap(features_mart(spark, sf), "avg_value", "avg_k", "flow")})
     elif name == "sql_q5_anomalies":
         register_views(spark, {"mart_pump_anomalies": labelled_readings(spark, sf).where("is_anomaly = 1")})
     else:

@@ -76,3 +76,16 @@ def default_parallelism(spark: SparkSession) -> int:
 
 def env_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint
+    folder and read it back. Cuts the lineage (a lost executor re-reads the
+    table instead of recomputing upstream joins) and lets several branches of
+    a later plan scan it with column pruning instead of recomputing it."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

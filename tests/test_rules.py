@@ -84,13 +84,19 @@ def test_t10_null_rank_is_null(spark):
     assert r[0].rank_by_flow == 1 and r[1].rank_by_flow is None
 
 
-@pytest.mark.parametrize("method", ["sort", "window"])
+@pytest.mark.parametrize("method", ["sort", "hash", "auto"])
 def test_t12_quantiles(spark, method):
     df = spark.createDataFrame([("a", v) for v in [1.0, 2.0, 3.0, 10.0]], "k string, x double")
     r = positions.quantiles(df, ["k"], ["x"], {"q1": 0.25, "med": 0.5, "q3": 0.75}, method=method).first()
     assert (r.q1_x, r.med_x, r.q3_x) == (1.75, 2.5, 4.75)
 
 
+def test_auto_method_switches_on_group_size(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in range(10)], "k string, x double")
+    assert positions.resolve_method(df, ["k"], "auto", max_group_rows=100) == "hash"
+    assert positions.resolve_method(df, ["k"], "auto", max_group_rows=5) == "sort"
+
+
 def test_t13_zero_iqr_keeps_group(spark):
     df = spark.createDataFrame([("a", float(v)) for v in [1, 1, 1, 1, 99]], "k string, x double")
     assert clean.drop_iqr_outliers(df, "k", "x").count() == 5
