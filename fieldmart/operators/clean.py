@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import clip, fill_from, in_range
@@ -21,7 +21,19 @@ from fieldmart.operators.positions import quantiles, resolve_method
 
 def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: str = "auto") -> DataFrame:
     """A missing value takes the median of its entity; an entity whose
-    values are all missing stays missing. One range shuffle for all columns."""
+    values are all missing stays missing; a row without an entity is left as
+    it is (pandas drops missing group keys).
+
+    ``hash``: exact window ``percentile`` over the entity (one exchange, shared
+    with W2 and with later per-entity aggregates). ``sort``: range-shuffle
+    medians joined back (no entity in one task)."""
+    method = resolve_method(df, [key], method)
+    if method == "hash":
+        w = Window.partitionBy(key)
+        filled = {c: F.when(F.col(key).isNotNull(), F.coalesce(
+            F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), 0.5).over(w)))
+            .otherwise(F.col(c).cast("double")) for c in columns}
+        return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
     med = quantiles(df, [key], columns, {"_med": 0.5}, method=method)
     out = df.join(med, key, "left")
     for c in columns:
@@ -31,14 +43,21 @@ def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: s
 
 def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
     """Keep rows inside [q1 - k*iqr, q3 + k*iqr] of their entity.
-    iqr = 0 keeps the whole entity; a missing value (or an entity with no
-    values) fails the test, as the pandas comparison does."""
-    q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75}, method=method)
-    q1, q3 = F.col(f"_q1_{column}"), F.col(f"_q3_{column}")
+    iqr = 0 keeps the whole entity; a missing value, an entity with no values
+    or a missing entity fails the test, as in the pandas group filter."""
+    method = resolve_method(df, [key], method)
+    x = F.col(column).cast("double")
+    if method == "hash":
+        w = Window.partitionBy(key)
+        out = df.select("*", F.percentile(x, 0.25).over(w).alias("_q1"), F.percentile(x, 0.75).over(w).alias("_q3"))
+        q1, q3 = F.col("_q1"), F.col("_q3")
+    else:
+        q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75}, method=method)
+        out = df.join(q, key, "left")
+        q1, q3 = F.col(f"_q1_{column}"), F.col(f"_q3_{column}")
     iqr = q3 - q1
-    x = F.col(column)
-    keep = (iqr == 0) | ((x >= q1 - F.lit(k) * iqr) & (x <= q3 + F.lit(k) * iqr))
-    return df.join(q, key, "left").where(F.coalesce(keep, F.lit(False))).select(*df.columns)
+    keep = F.col(key).isNotNull() & ((iqr == 0) | ((x >= q1 - F.lit(k) * iqr) & (x <= q3 + F.lit(k) * iqr)))
+    return out.where(F.coalesce(keep, F.lit(False))).select(*df.columns)
 
 
 def range_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:

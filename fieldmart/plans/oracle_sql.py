@@ -114,6 +114,8 @@ ORACLE: dict[str, str] = {}
 ORACLE["clean_daily_fact"] = CLEAN_D + f"""
 SELECT entity_id, day, {_r6(['flow', 'oil', 'water', 'downtime'])} FROM cd"""
 
+ORACLE["clean_daily_fact_range"] = ORACLE["clean_daily_fact"]
+
 ORACLE["clean_readings"] = "WITH " + R_CTE + "," + CLEAN_R_CTE + f"""
 SELECT event_id, entity_id, ts, event_type, {_r6(['value', 'k', 'runtime'])}, day FROM cr"""
 

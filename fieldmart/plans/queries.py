@@ -72,6 +72,16 @@ def q_clean_daily_fact(spark, sf):
     return round6(cleaned_d(spark, sf).select("entity_id", "day", "flow", "oil", "water", "downtime"))
 
 
+@register("clean_daily_fact_range")
+def q_clean_daily_fact_range(spark, sf):
+    """L1 forced onto the range-shuffle quantile path (the one ``auto`` picks
+    when an entity is too large for one task); same result as
+    ``clean_daily_fact``."""
+    d = materialize(views.daily_fact(spark, sf), "daily_fact")
+    out = clean.clean_daily_fact(d, method="sort")
+    return round6(out.select("entity_id", "day", "flow", "oil", "water", "downtime"))
+
+
 @register("clean_readings")
 def q_clean_readings(spark, sf):
     """L2: W1 P5 E4 E13 on r."""
