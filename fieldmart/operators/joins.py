@@ -8,7 +8,8 @@
   aggregation's partitioning.
 * J5 ``label_within``: a reading is labelled 1 when a failure of the same
   entity happens in [t, t + horizon]. Failure intervals [f - horizon, f] are
-  first merged per entity (gaps and islands), so they are disjoint; each
+  first reduced per (entity, day) and merged per entity (gaps and islands),
+  so they are disjoint; each
   merged interval is copied to every day it covers, and readings join on
   (entity, day) with the interval test. A reading lies in at most one merged
   interval, so the left join never duplicates a reading, and each
@@ -50,17 +51,27 @@ def daily_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 def merge_failure_intervals(failures: DataFrame, key: str, time_col: str, horizon_days: int) -> DataFrame:
     """Union of the closed intervals [f - horizon, f] per entity as disjoint
-    (key, start, end) rows. Two intervals touch or overlap iff the later
-    failure is at most ``horizon`` after the earlier one."""
+    (key, start, end) rows.
+
+    Failures are first reduced to one row per (entity, day): with a horizon
+    of at least one day, all intervals ending on the same day overlap, so
+    their union is [min f - horizon, max f]. The gaps-and-islands window then
+    sees at most one row per entity and calendar day, however many failures
+    an entity has. Two consecutive day-rows belong to one island iff the later
+    start is not after the earlier end."""
+    if horizon_days < 1:
+        raise ValueError("horizon_days must be at least 1")
     horizon = F.make_dt_interval(F.lit(horizon_days))
-    f = failures.select(F.col(key).alias("_k"), F.col(time_col).alias("_f")).where(
-        F.col("_k").isNotNull() & F.col("_f").isNotNull()).distinct()
-    w = Window.partitionBy("_k").orderBy("_f")
-    prev = F.lag("_f").over(w)
-    starts = f.withColumn("_new", F.when(prev.isNull() | (F.col("_f") - horizon > prev), 1).otherwise(0))
+    per_day = (failures.select(F.col(key).alias("_k"), F.col(time_col).alias("_f"))
+                       .where(F.col("_k").isNotNull() & F.col("_f").isNotNull())
+                       .groupBy("_k", F.to_date("_f").alias("_d"))
+                       .agg(F.min("_f").alias("_lo"), F.max("_f").alias("_hi")))
+    w = Window.partitionBy("_k").orderBy("_d")
+    prev_end = F.lag("_hi").over(w)
+    starts = per_day.withColumn("_new", F.when(prev_end.isNull() | (F.col("_lo") - horizon > prev_end), 1).otherwise(0))
     islands = starts.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return (islands.groupBy("_k", "_island")
-                   .agg((F.min("_f") - horizon).alias("_start"), F.max("_f").alias("_end"))
+                   .agg((F.min("_lo") - horizon).alias("_start"), F.max("_hi").alias("_end"))
                    .select(F.col("_k").alias(key), "_start", "_end"))
 
 

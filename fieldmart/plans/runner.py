@@ -125,6 +125,8 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str) -> Da
     for _, job in JOBS:
         for name, df in job(src).items():
             tables.append(name)
+            if name.startswith("ml_"):
+                sinks.write_report(df, f"{out_root}/artifacts/{name}")       # S10
             manifests.append(sinks.export_partitioned(df, out_root, f"processed/{name}",
                                                       sinks.route_partition_key(df, ("production_date", "event_date",
                                                                                      "target_date", "delivery_date"))))

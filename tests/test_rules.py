@@ -161,3 +161,30 @@ def test_l1_order_median_before_fences_then_fallback(spark):
     out = clean.clean_daily_fact(df).orderBy("day").collect()
     assert [r.flow for r in out] == [10.0, 11.0, 11.5, 12.0]      # NULL -> median 11.5, 400 dropped
     assert out[0].oil == pytest.approx(9.0)                         # fallback uses the cleaned flow
+
+
+def test_j5_matches_brute_force_with_dense_failures(spark):
+    """Many failures on one hot entity (several per day, touching intervals)
+    against a direct EXISTS check in pandas."""
+    import numpy as np
+    import pandas as pd
+    from fieldmart.operators.joins import label_within
+
+    rng = np.random.default_rng(11)
+    base = np.datetime64("2026-01-01T00:00:00")
+    n = 3000
+    ent = np.where(rng.random(n) < 0.4, 0, rng.integers(1, 6, n))
+    ts = base + (rng.integers(0, 60 * 24 * 60, n)).astype("timedelta64[m]")
+    reads = pd.DataFrame({"id": np.arange(n), "k": ent, "ts": ts})
+    fts = base + (rng.integers(0, 60 * 24 * 60, 200)).astype("timedelta64[m]")
+    fails = pd.DataFrame({"k": np.where(rng.random(200) < 0.7, 0, rng.integers(1, 6, 200)), "ft": fts})
+    # exact touch: a failure exactly 7 days after another one of entity 0
+    fails.loc[len(fails)] = [0, fails.ft.iloc[0] + np.timedelta64(7, "D")]
+    h = np.timedelta64(7, "D")
+    expect = [int(((fails.k == r.k) & (fails.ft >= r.ts) & (fails.ft - h <= r.ts)).any())
+              for r in reads.itertuples()]
+    r = spark.createDataFrame(reads).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    f = spark.createDataFrame(fails).withColumn("ft", F.col("ft").cast("timestamp_ntz"))
+    got = label_within(r, f, "k", "ts", "ft", 7, out="y").toPandas().sort_values("id")
+    assert len(got) == n
+    assert list(got.y) == expect
