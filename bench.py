@@ -22,7 +22,7 @@ from fieldmart.plans.queries import QUERIES  # noqa: E402
 from fieldmart.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "clean_daily_fact", "clean_readings", "production_daily", "entity_kpi", "entity_ranking",
+    "clean_daily_fact", "clean_daily_fact_range", "clean_readings", "production_daily", "entity_kpi", "entity_ranking",
     "readings_daily", "features_daily", "bin_heatmap", "group_zscore_flags", "failure_within_horizon",
     "delay_by_category", "cost_by_route", "route_recommendation", "driver_kpi", "top_entities",
     "kpi_cards", "downtime_summary", "max_risk_by_entity", "missing_days", "duplicate_keys",

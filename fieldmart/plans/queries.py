@@ -534,3 +534,26 @@ def _sql_query(name):
 
 for _name in DASHBOARD_SQL:
     QUERIES[_name] = _sql_query(_name)
+
+
+@register("sql_q4_predictions")
+def q_sql_q4_predictions(spark, sf):
+    """Actual vs predicted flow and error over time (reads the ML
+    predictions mart; rows-only check)."""
+    from fieldmart.sources.tables import register_views
+
+    preds, _ = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+    register_views(spark, {"mart_flow_predictions": preds})
+    return spark.sql("SELECT day AS target_date, entity_id AS well_id, actual_flow_rate_tpd, "
+                     "predicted_flow_rate_tpd, absolute_error FROM mart_flow_predictions "
+                     "ORDER BY target_date, well_id")
+
+
+@register("sql_q8_model_metrics")
+def q_sql_q8_model_metrics(spark, sf):
+    """Model metrics ordered by RMSE (rows-only check)."""
+    from fieldmart.sources.tables import register_views
+
+    _, metrics = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+    register_views(spark, {"ml_flow_metrics": metrics.drop("created_at")})
+    return spark.sql("SELECT model_name, mae, rmse, rows_train, rows_test FROM ml_flow_metrics ORDER BY rmse")

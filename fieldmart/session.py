@@ -22,6 +22,19 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (read by ``get_session`` when the
+# master is not local and the cluster has not set them): partitions sized by
+# bytes through AQE rather than a fixed count, large scan splits, and a
+# broadcast bound that AQE checks against the measured size of a side.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "fieldmart", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -33,6 +46,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master and master.startswith("local"):
         # Local runs: the driver JVM is the only executor.
         conf.setdefault("spark.driver.memory", os.environ.get("FIELDMART_DRIVER_MEMORY", "16g"))
+    else:
+        existing = SparkSession.getActiveSession()
+        current = existing.sparkContext.getConf() if existing else None
+        for k, v in CLUSTER_CONF.items():
+            if current is None or not current.contains(k):
+                conf.setdefault(k, v)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

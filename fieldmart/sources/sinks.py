@@ -41,6 +41,13 @@ def _writer(df: DataFrame, fmt: str):
     return w.option("header", "true") if fmt == "csv" else w
 
 
+def _reader(spark: SparkSession, fmt: str, path: str) -> DataFrame:
+    r = spark.read.format(fmt)
+    if fmt == "csv":
+        r = r.option("header", "true")
+    return r.load(path)
+
+
 def route_partition_key(df: DataFrame, candidates: Sequence[str] = DATE_KEYS) -> str | None:
     """The first date key present (production_date, then event_date)."""
     for c in candidates:
@@ -79,11 +86,14 @@ def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column:
                 .option("maxRecordsPerFile", str(max_records_per_file)).save(path))
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        # The manifest lists the dates written by this call (other dates of
+        # the dataset are kept by the dynamic overwrite but not listed); it
+        # reads only the partition column of the exported frame.
         return (work.groupBy(partition_column).agg(F.count(F.lit(1)).alias("rows_count"))
                     .select(F.lit(dataset).alias("dataset"),
                             F.col(partition_column).cast("string").alias("partition_value"), "rows_count"))
     _writer(df, fmt).mode("overwrite").save(path)
-    return df.agg(F.count(F.lit(1)).alias("rows_count")).select(
+    return _reader(spark, fmt, path).agg(F.count(F.lit(1)).alias("rows_count")).select(
         F.lit(dataset).alias("dataset"), F.lit(None).cast("string").alias("partition_value"), "rows_count")
 
 

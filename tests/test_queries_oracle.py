@@ -11,7 +11,8 @@ import __spark_entry__ as entry_mod
 
 QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
-SLOW_ML = {"flow_predictions", "model_metrics", "failure_risk", "pump_anomalies", "linear_fit_residuals"}
+SLOW_ML = {"flow_predictions", "model_metrics", "failure_risk", "pump_anomalies", "linear_fit_residuals",
+           "sql_q4_predictions", "sql_q8_model_metrics"}
 
 
 @pytest.fixture(scope="module")
