@@ -62,13 +62,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    return root
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (a
+    temporary folder is made only when nothing is set, i.e. in local tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or ensure_checkpoint_dir(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
