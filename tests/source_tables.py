@@ -26,38 +26,40 @@ def build_sources(spark, wells: int = 4, days: int = 40):
         (F.lit(1800) + F.col("id") * 95).alias("depth_m"))
     wn = F.substring("well_id", 6, 3).cast("int")
 
-    days_df = spark.range(0, days).select(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
-    p = (w.select("well_id").join(days_df, how="cross")  # test fixture grid, a few hundred rows
-          .withColumn("production_id", F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("well_id", "d")))
-          .withColumn("i", F.col("production_id")))
-    flow = F.lit(70.0) + wn * 4 + F.sin(F.dayofyear("d") / 8.0) * 10 + (F.col("i") % 7) * 0.5
+    # Grids are built per well with explode(sequence); serial ids are
+    # arithmetic on (well number, step), contiguous from 1 like BIGSERIAL.
+    step = F.posexplode(F.sequence(F.lit(0), F.lit(days - 1)))
+    p = w.select("well_id", wn.alias("wn"), step.alias("j", "_s"))
+    p = p.withColumn("production_id", (F.col("wn") - 1) * days + F.col("j") + 1).withColumn(
+        "d", F.date_add(F.lit("2026-01-01").cast("date"), F.col("j").cast("int")))
+    i = F.col("production_id")
+    flow = F.lit(70.0) + F.col("wn") * 4 + F.sin(F.dayofyear("d") / 8.0) * 10 + (i % 7) * 0.5
     p = p.select("production_id", "well_id", F.col("d").alias("production_date"),
-                 F.when(F.col("i") % 23 == 0, flow * 4).otherwise(flow).alias("flow_rate_tpd"),
+                 F.when(i % 23 == 0, flow * 4).otherwise(flow).alias("flow_rate_tpd"),
                  (flow * 0.9).alias("oil_tons"),
-                 F.when(F.col("i") % 17 == 0, None).otherwise(F.lit(18.0) + wn * 1.4).alias("water_cut_pct"),
-                 F.when(F.col("i") % 11 == 0, F.lit(30.0)).otherwise((F.col("i") % 5) * 0.3).alias("downtime_hours"))
+                 F.when(i % 17 == 0, None).otherwise(F.lit(18.0) + F.col("wn") * 1.4).alias("water_cut_pct"),
+                 F.when(i % 11 == 0, F.lit(30.0)).otherwise((i % 5) * 0.3).alias("downtime_hours"))
 
-    from pyspark.sql import Window
-    ts = spark.range(0, days * 4).select(
-        (F.lit("2026-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("id") * 6).cast("int"))).alias("t"))
-    t = w.select("well_id").join(ts, how="cross").withColumn(
-        "telemetry_id", F.row_number().over(Window.orderBy("well_id", "t")))
+    t0 = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    t = w.select("well_id", wn.alias("wn"), F.posexplode(F.sequence(F.lit(0), F.lit(days * 4 - 1))).alias("j", "_s"))
+    t = t.withColumn("telemetry_id", (F.col("wn") - 1) * days * 4 + F.col("j") + 1).withColumn(
+        "t", t0 + F.make_dt_interval(F.lit(0), (F.col("j") * 6).cast("int")))
     i = F.col("telemetry_id")
     t = t.select("telemetry_id", "well_id", F.col("t").alias("event_time"),
-                 F.when(i % 19 == 0, None).otherwise(F.lit(95.0) + wn * 2.2 + (i % 5)).alias("pressure_atm"),
-                 F.when(i % 29 == 0, (F.lit(54.0) + wn) * 2).otherwise(F.lit(54.0) + wn + (i % 3)).alias("temperature_c"),
-                 (F.lit(34.0) + wn * 1.8 + (i % 4)).alias("power_kw"),
+                 F.when(i % 19 == 0, None).otherwise(F.lit(95.0) + F.col("wn") * 2.2 + (i % 5)).alias("pressure_atm"),
+                 F.when(i % 29 == 0, (F.lit(54.0) + F.col("wn")) * 2).otherwise(F.lit(54.0) + F.col("wn") + (i % 3))
+                  .alias("temperature_c"),
+                 (F.lit(34.0) + F.col("wn") * 1.8 + (i % 4)).alias("power_kw"),
                  (F.lit(5.5) + (i % 5) * 0.1).alias("pump_runtime_hours"),
-                 ((F.lit(34.0) + wn * 1.8) * 5.6).alias("energy_kwh"))
+                 ((F.lit(34.0) + F.col("wn") * 1.8) * 5.6).alias("energy_kwh"))
 
     targets = p.select(F.col("production_id").alias("target_id"), "well_id",
                        F.col("production_date").alias("target_date"),
                        F.coalesce("flow_rate_tpd", "oil_tons").alias("actual_flow_rate_tpd"))
 
-    ts12 = spark.range(0, days * 2).select(
-        (F.lit("2026-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("id") * 12).cast("int"))).alias("t"))
-    s = w.select("well_id").join(ts12, how="cross").withColumn(
-        "sensor_id", F.row_number().over(Window.orderBy("well_id", "t")))
+    s = w.select("well_id", wn.alias("wn"), F.posexplode(F.sequence(F.lit(0), F.lit(days * 2 - 1))).alias("j", "_s"))
+    s = s.withColumn("sensor_id", (F.col("wn") - 1) * days * 2 + F.col("j") + 1).withColumn(
+        "t", t0 + F.make_dt_interval(F.lit(0), (F.col("j") * 12).cast("int")))
     spike = F.dayofmonth("t").isin(12, 13)
     j = F.col("sensor_id")
     s = s.select("sensor_id", F.concat(F.lit("pump_"), F.substring("well_id", 6, 3)).alias("pump_id"), "well_id",
@@ -73,8 +75,11 @@ def build_sources(spark, wells: int = 4, days: int = 40):
         "failure_id long, pump_id string, well_id string, failure_time string, failure_type string, repair_hours double"
     ).withColumn("failure_time", F.col("failure_time").cast("timestamp_ntz"))
 
-    gs = spark.range(1, 10).withColumnRenamed("id", "gs")
-    dv = days_df.join(gs, how="cross").withColumn("delivery_id", F.row_number().over(Window.orderBy("d", "gs")))
+    per_day = 9
+    dv = spark.range(0, days * per_day).select(
+        (F.col("id") + 1).alias("delivery_id"),
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") / per_day).cast("int")).alias("d"),
+        (F.col("id") % per_day + 1).alias("gs"))
     g = F.col("gs")
     dv = dv.select("delivery_id", F.col("d").alias("delivery_date"),
                    F.when(g % 4 == 0, "Северный склад — НПЗ").when(g % 4 == 1, "Южный куст — терминал")
