@@ -42,10 +42,11 @@ def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequ
 
 
 def risk_outputs(risk: DataFrame, key: str = "entity_id", ts: str = "ts",
-                 sensor_cols: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """M15 (anomalies, 10 columns in the reference) and M16 (all rows)."""
+                 sensor_cols: Sequence[str] = (), extra: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """M15 (anomalous rows: key, extra ids, time, sensors, flags, risk) and
+    M16 (every row: key, extra ids, time, risk, label, flag)."""
     anomalies = risk.where(F.col("is_anomaly") == 1).select(
-        key, ts, *sensor_cols, "is_anomaly", LABEL, "risk_score")
-    risk_rows = risk.select(key, ts, "risk_score", LABEL, "is_anomaly")
+        key, *extra, ts, *sensor_cols, "is_anomaly", LABEL, "risk_score")
+    risk_rows = risk.select(key, *extra, ts, "risk_score", LABEL, "is_anomaly")
     return {"mart_pump_anomalies": anomalies.withColumn("event_date", F.to_date(ts)),
             "mart_pump_risk": risk_rows.withColumn("event_date", F.to_date(ts))}

@@ -39,6 +39,26 @@ def load_sources(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[s
     return {n: read_table(spark, root, n, fmt, schema=s) for n, s in schemas.SOURCES.items()}
 
 
+# The serial key of each source table (JDBC reads split on it).
+SERIAL_KEYS = {"production": "production_id", "telemetry": "telemetry_id", "well_targets": "target_id",
+               "pump_sensors": "sensor_id", "pump_failures": "failure_id", "deliveries": "delivery_id"}
+
+
+def load_sources_jdbc(spark: SparkSession, url: str, properties: dict | None = None,
+                      num_partitions: int = 8) -> dict[str, DataFrame]:
+    """S1 over JDBC: each table read in ``num_partitions`` key ranges, cast to
+    the declared schema (the database may widen or rename types)."""
+    from fieldmart.sources.tables import read_jdbc
+
+    out = {}
+    for name, schema in schemas.SOURCES.items():
+        df = read_jdbc(spark, url, name, SERIAL_KEYS.get(name), num_partitions=num_partitions,
+                       properties=properties)
+        cols = {c.lower(): c for c in df.columns}
+        out[name] = df.select(*[F.col(cols[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return out
+
+
 def production_job(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """L1 + L2 + L3 with the reference's column names."""
     prod = schemas.to_compute(src["production"])
@@ -91,7 +111,7 @@ def anomaly_job_run(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     lab = materialize(lab, "pump_labelled")
     risk, metrics = anomaly_job.train_failure_model(lab, SENSOR_FEATURES, ["sensor_id"])
     out = anomaly_job.risk_outputs(risk.withColumnRenamed("event_time", "ts"), key="pump_id", ts="ts",
-                                   sensor_cols=SENSOR_FEATURES)
+                                   sensor_cols=SENSOR_FEATURES, extra=["well_id"])
     return {k: v.withColumnRenamed("ts", "event_time") for k, v in out.items()} | {"ml_failure_metrics": metrics}
 
 

@@ -25,16 +25,28 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
               lower: int | None = None, upper: int | None = None, num_partitions: int = 8,
-              properties: dict | None = None) -> DataFrame:
-    """S1 over JDBC: parallel range reads on the serial key when given."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
+              properties: dict | None = None, quote: str = '"') -> DataFrame:
+    """S1 over JDBC: parallel range reads on the serial key when given. Without
+    explicit bounds, one small ``MIN/MAX`` query finds them (the key is quoted
+    with ``quote``, standard SQL double quotes by default)."""
+    def reader():
+        r = spark.read.format("jdbc").option("url", url)
+        for k, v in (properties or {}).items():
+            r = r.option(k, v)
+        return r
+
+    if partition_column is not None and (lower is None or upper is None):
+        q = f"{quote}{partition_column}{quote}"
+        b = reader().option("query", f"SELECT MIN({q}) AS lo, MAX({q}) AS hi FROM {table}").load().first()
+        lower, upper = b[0], b[1]
+        if lower is None:                      # empty table: a single plain read
+            partition_column = None
+    r = reader().option("dbtable", table)
     if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column)
-                        .option("lowerBound", str(lower)).option("upperBound", str(upper))
-                        .option("numPartitions", str(num_partitions)))
-    return reader.load()
+        r = (r.option("partitionColumn", partition_column)
+              .option("lowerBound", str(int(lower))).option("upperBound", str(int(upper)))
+              .option("numPartitions", str(num_partitions)))
+    return r.load()
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:
