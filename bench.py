@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fieldmart.plans.queries import QUERIES  # noqa: E402
-from fieldmart.session import get_session  # noqa: E402
+from fieldmart.session import get_session, release_materialized  # noqa: E402
 
 HEADLINE = [
     "clean_daily_fact", "clean_daily_fact_range", "clean_readings", "production_daily", "entity_kpi", "entity_ranking",
@@ -50,6 +50,7 @@ def main() -> None:
         "queries": times, "sf": float(sf.group(1)) if sf else None,
         "cpus": cpus, "spark": spark.version, "runs": 1,
     }))
+    release_materialized(spark)
     spark.stop()
 
 

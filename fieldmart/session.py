@@ -102,6 +102,17 @@ def materialize(df, name: str):
     import uuid
 
     spark = df.sparkSession
-    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, "tables", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with :func:`materialize`
+    (one folder per application id) through the cluster's file system."""
+    path = scratch_path(spark, "tables", spark.sparkContext.applicationId)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)

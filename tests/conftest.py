@@ -17,6 +17,9 @@ def spark():
     s = get_session("local[4]", shuffle_partitions=8, app_name="fieldmart-tests",
                     extra={"spark.driver.memory": "8g"})
     yield s
+    from fieldmart.session import release_materialized
+
+    release_materialized(s)
     s.stop()
 
 

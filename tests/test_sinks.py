@@ -75,3 +75,18 @@ def test_jdbc_round_trip_in_process(spark):
     back = read_jdbc(spark, url, "marts_t", "id", 1, 20, 2,
                      properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     assert back.rdd.getNumPartitions() == 2 and back.count() == 20
+
+
+def test_materialize_and_release(spark):
+    import os
+
+    from fieldmart.session import materialize, release_materialized, scratch_path
+
+    m = materialize(spark.range(5), "t")
+    assert m.count() == 5
+    folder = scratch_path(spark, "tables", spark.sparkContext.applicationId)
+    if folder.startswith("file:"):
+        folder = folder[5:]
+    assert os.path.isdir(folder)
+    release_materialized(spark)
+    assert not os.path.exists(folder)
