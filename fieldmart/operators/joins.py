@@ -1,8 +1,9 @@
 """Joins.
 
 * J1/J3 ``enrich``: fact LEFT JOIN dimension. The dimension is broadcast only
-  after its row count is checked against a bound; above it the planner (and
-  AQE at run time) picks a shuffle join.
+  when Spark's size check (file statistics, or AQE's measured shuffle size)
+  puts it under the broadcast threshold, or after an explicit row-count check
+  when asked; otherwise a shuffle join.
 * J2/J4: equi-joins on (entity, day); both sides are per-day aggregates, so
   they are already hash-partitioned on the entity when AQE keeps the
   aggregation's partitioning.
@@ -38,10 +39,19 @@ def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str],
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join selected dimension columns on ``key`` (N:1)."""
+           max_broadcast_rows: int | None = None) -> DataFrame:
+    """Left join selected dimension columns on ``key`` (N:1).
+
+    By default no hint is given: Spark broadcasts the dimension only when its
+    size is below ``autoBroadcastJoinThreshold`` -- from file statistics at
+    planning time, or from the measured shuffle output under AQE -- and
+    otherwise plans a shuffle join (with skew splitting of the fact side).
+    ``max_broadcast_rows`` forces a broadcast after an explicit row-count
+    check instead."""
     side = dim.select(key, *columns)
-    return fact.join(checked_broadcast(side, max_broadcast_rows), key, "left")
+    if max_broadcast_rows is not None:
+        side = checked_broadcast(side, max_broadcast_rows)
+    return fact.join(side, key, "left")
 
 
 def daily_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
