@@ -69,10 +69,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; create one only when none is set
-    (local tests). Never called to override a cluster setting."""
+    """Use the configured checkpoint folder. Only a local master (tests,
+    bench) gets a temporary folder when none is set; on a cluster a missing
+    setting is an error, because a driver-local folder is not shared with
+    the executors."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="fieldmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
