@@ -31,12 +31,12 @@ def hash_split(df: DataFrame, key: Sequence[str], test_pct: int = 25, out: str =
 
 
 def stratified_split(df: DataFrame, key: Sequence[str], label: str, test_frac: float = 0.25,
-                     out: str = "is_test") -> DataFrame:
+                     out: str = "is_test", method: str = "auto") -> DataFrame:
     """M3 (exact form): inside each label, rows ordered by key hash; the first
     ceil(frac * n_label) are test rows, so every class keeps its ratio.
     Positions come from a range shuffle (a class may hold most rows)."""
     h = df.select(*key, label, key_hash(*key).alias("_h"))
-    pos = with_group_position(h, [label], ["_h", *key])
+    pos = with_group_position(h, [label], ["_h", *key], method=method)
     flags = pos.select(*key, label, (F.col(POS) < F.ceil(F.lit(test_frac) * F.col(GROUP_N))).cast("int").alias(out))
     return df.join(flags.drop(label), list(key), "left")
 
@@ -60,13 +60,13 @@ def accuracy(df: DataFrame, y: str, pred: str) -> DataFrame:
     return df.agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
-def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, score: str, method: str = "auto") -> DataFrame:
     """M13 (Mann-Whitney form): AUC = (sum of positive mid-ranks - P(P+1)/2)
     / (P * N). Mid-ranks come from exact positions of the scores; NULL when a
     class is missing."""
     base = df.where(F.col(y).isNotNull() & F.col(score).isNotNull()).select(
         F.col(y).cast("int").alias("_y"), F.col(score).cast("double").alias("_s"))
-    pos = with_group_position(base, [], ["_s", "_y"])
+    pos = with_group_position(base, [], ["_s", "_y"], method=method)
     per_score = pos.groupBy("_s").agg((F.avg(POS) + 1).alias("_mid"), F.sum("_y").alias("_p"),
                                       F.count(F.lit(1)).alias("_c"))
     tot = per_score.agg(F.sum(F.col("_mid") * F.col("_p")).alias("_r"), F.sum("_p").alias("_P"),

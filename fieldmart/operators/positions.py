@@ -49,20 +49,31 @@ def _segments(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_group_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False,
-                        num_partitions: int | None = None) -> DataFrame:
+                        num_partitions: int | None = None, method: str = "auto") -> DataFrame:
     """Return ``keys + order`` columns with ``_pos`` (0-based position by
     ``order`` inside the key group) and ``_n`` (group size). Rows with a NULL
     key are dropped (SURVEY T2).
 
-    Only the key and order columns travel through the range shuffle. The
-    numbered frame feeds two branches (segment table and positions); with no
-    other columns both branches need exactly the same shuffle output, so the
-    plan shares one exchange and one set of range bounds. (Carrying extra
-    columns would let column pruning split it into two exchanges whose
-    sampled bounds can differ.) Callers join payload back on a row key."""
+    ``method``: ``sort`` -- range shuffle, any skew (below); ``window`` --
+    ``row_number`` over the key (each group in one task); ``auto`` -- the
+    window when a size check proves the largest group is at most
+    ``fieldmart.quantiles.maxGroupRows`` rows, else ``sort``.
+
+    On the sort path only the key and order columns travel through the range
+    shuffle. The numbered frame feeds two branches (segment table and
+    positions); with no other columns both branches need exactly the same
+    shuffle output, so the plan shares one exchange and one set of range
+    bounds. (Carrying extra columns would let column pruning split it into
+    two exchanges whose sampled bounds can differ.) Callers join payload back
+    on a row key."""
     base = df.select(*keys, *order)
     for k in keys:
         base = base.where(F.col(k).isNotNull())
+    if resolve_method(base, keys, method, hash_name="window") == "window":
+        by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
+        ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
+        return base.select(*keys, *order, (F.row_number().over(by_key.orderBy(*ordering)) - 1).alias(POS),
+                           F.count(F.lit(1)).over(by_key).alias(GROUP_N))
     s = _numbered(base, keys, order, descending, num_partitions)
     seg = _segments(s, keys)
     return (s.join(seg, [PID, *keys])
@@ -151,10 +162,10 @@ AUTO_MAX_GROUP_ROWS = 1_000_000
 
 
 def resolve_method(df: DataFrame, keys: Sequence[str], method: str = "auto",
-                   max_group_rows: int | None = None) -> str:
-    """``auto`` -> ``hash`` when the largest key holds at most
-    ``fieldmart.quantiles.maxGroupRows`` rows (one partially aggregated count
-    per key), else ``sort`` (range shuffle, any skew)."""
+                   max_group_rows: int | None = None, hash_name: str = "hash") -> str:
+    """``auto`` -> ``hash_name`` (the in-task form) when the largest key holds
+    at most ``fieldmart.quantiles.maxGroupRows`` rows (one partially
+    aggregated count per key), else ``sort`` (range shuffle, any skew)."""
     if method != "auto":
         return method
     if max_group_rows is None:
@@ -165,7 +176,7 @@ def resolve_method(df: DataFrame, keys: Sequence[str], method: str = "auto",
         base = base.where(F.col(k).isNotNull())
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else base.agg(F.count(F.lit(1)).alias("_c"))
     biggest = counts.agg(F.max("_c")).first()[0] or 0
-    return "hash" if biggest <= max_group_rows else "sort"
+    return hash_name if biggest <= max_group_rows else "sort"
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -179,13 +190,13 @@ def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
 
 def dense_rank_by(df: DataFrame, column: str, ascending: bool = True,
-                  out: str = "rank", partition_keys: Sequence[str] = ()) -> DataFrame:
+                  out: str = "rank", partition_keys: Sequence[str] = (), method: str = "auto") -> DataFrame:
     """Dense rank of ``column`` (optionally inside ``partition_keys``)
     without a single-partition window: rank the distinct values with
     :func:`with_group_position`, then join the ranks back. NULL values get a
     NULL rank (T10). The rank is BIGINT (T23)."""
     vals = df.select(*partition_keys, F.col(column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    ranks = (with_group_position(vals, list(partition_keys), ["_v"], descending=not ascending)
+    ranks = (with_group_position(vals, list(partition_keys), ["_v"], descending=not ascending, method=method)
              .select(*partition_keys, "_v", (F.col(POS) + 1).cast("bigint").alias(out)))
     cond = [df[column] == ranks["_v"]] + [df[k] == ranks[k] for k in partition_keys]
     joined = df.join(ranks, cond, "left")

@@ -178,6 +178,8 @@ SELECT entity_id, {r6('avg_flow_rate_tpd')} AS avg_flow_rate_tpd, rank_by_flow,
             WHEN rank_by_flow > (SELECT count(*) FROM kpi) - 3 THEN 'worst' ELSE 'middle' END AS well_group
 FROM rk"""
 
+ORACLE["entity_ranking_range"] = ORACLE["entity_ranking"]
+
 ORACLE["readings_daily"] = "WITH " + R_CTE + "," + CLEAN_R_CTE + "," + RD_CTE + f"""
 SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM rd"""
 

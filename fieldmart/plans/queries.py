@@ -152,6 +152,17 @@ def q_entity_ranking(spark, sf):
     return round6(r.select("entity_id", "avg_flow_rate_tpd", "rank_by_flow", "well_group"))
 
 
+@register("entity_ranking_range")
+def q_entity_ranking_range(spark, sf):
+    """W4 W6 with the dense rank forced onto the range-shuffle path (the one
+    ``auto`` picks for very many entities); same result as ``entity_ranking``."""
+    from fieldmart.operators.positions import dense_rank_by
+
+    r = ranking.rank_group(dense_rank_by(kpi_mart(spark, sf), "avg_flow_rate_tpd", ascending=False,
+                                         out="rank_by_flow", method="sort"))
+    return round6(r.select("entity_id", "avg_flow_rate_tpd", "rank_by_flow", "well_group"))
+
+
 @register("readings_daily")
 def q_readings_daily(spark, sf):
     """A3 on cleaned r."""

@@ -35,7 +35,8 @@ def test_forest_beats_std_and_is_reproducible(planted):
     assert p1.orderBy("id").select("p").collect() == p2.orderBy("id").select("p").collect()
 
 
-def test_auc_matches_evaluator(spark):
+@pytest.mark.parametrize("method", ["sort", "window"])
+def test_auc_matches_evaluator(spark, method):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     rng = np.random.default_rng(5)
@@ -43,7 +44,7 @@ def test_auc_matches_evaluator(spark):
     y = (rng.random(n) < 0.3).astype(int)
     s = np.round(y * 0.3 + rng.random(n), 2)       # ties
     df = spark.createDataFrame(pd.DataFrame({"y": y.astype(float), "s": s}))
-    ours = ml.roc_auc(df, "y", "s").first().roc_auc
+    ours = ml.roc_auc(df, "y", "s", method=method).first().roc_auc
     ev = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="y", numBins=0).evaluate(df)
     assert ours == pytest.approx(ev, abs=1e-9)
 
@@ -53,9 +54,10 @@ def test_auc_null_for_one_class(spark):
     assert ml.roc_auc(df, "y", "s").first().roc_auc is None
 
 
-def test_stratified_split_keeps_ratio(spark):
+@pytest.mark.parametrize("method", ["sort", "window"])
+def test_stratified_split_keeps_ratio(spark, method):
     df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1000)], "id long, label int")
-    out = ml.stratified_split(df, ["id"], "label").groupBy("label").agg(F.sum("is_test").alias("t"),
+    out = ml.stratified_split(df, ["id"], "label", method=method).groupBy("label").agg(F.sum("is_test").alias("t"),
                                                                          F.count("*").alias("n"))
     got = {r.label: (r.t, r.n) for r in out.collect()}
     assert got[1] == (25, 100) and got[0] == (225, 900)

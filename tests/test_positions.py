@@ -22,7 +22,8 @@ def skewed(spark):
 
 def test_positions_are_permutations_per_key(skewed):
     pdf, df = skewed
-    pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16).toPandas()
+    pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16,
+                              method="sort").toPandas()
     assert len(pos) == len(pdf)
     for k, g in pos.groupby("k"):
         assert sorted(g._pos) == list(range(len(g)))
@@ -40,13 +41,21 @@ def test_quantiles_match_numpy_under_skew(skewed):
         assert r.q3_x == pytest.approx(np.quantile(v, 0.75))
 
 
-def test_dense_rank_matches_pandas(skewed):
+@pytest.mark.parametrize("method", ["sort", "window"])
+def test_dense_rank_matches_pandas(skewed, method):
     pdf, df = skewed
-    r = dense_rank_by(df, "x", ascending=False, out="rk").toPandas().sort_values("id")
+    r = dense_rank_by(df, "x", ascending=False, out="rk", method=method).toPandas().sort_values("id")
     expect = pdf.x.rank(method="dense", ascending=False).astype(int).values
     assert (r.rk.values == expect).all()
 
 
+def test_window_positions_equal_sort_positions(skewed):
+    _, df = skewed
+    a = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], method="window")
+    b = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], method="sort")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_hot_key_spread_over_partitions(skewed, spark):
     """The range shuffle cuts the hot key into several partitions."""
     _, df = skewed

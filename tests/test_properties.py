@@ -36,11 +36,12 @@ def test_quantiles_equal_numpy(spark, data, method):
 
 
 @settings(**SETTINGS)
-@given(st.lists(st.one_of(st.none(), st.integers(0, 9).map(float)), min_size=1, max_size=40), st.booleans())
-def test_dense_rank_equals_pandas(spark, values, ascending):
+@given(st.lists(st.one_of(st.none(), st.integers(0, 9).map(float)), min_size=1, max_size=40), st.booleans(),
+       st.sampled_from(["sort", "window"]))
+def test_dense_rank_equals_pandas(spark, values, ascending, method):
     pdf = pd.DataFrame({"id": range(len(values)), "v": values})
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
-    got = dense_rank_by(df, "v", ascending=ascending, out="r").toPandas().sort_values("id")
+    got = dense_rank_by(df, "v", ascending=ascending, out="r", method=method).toPandas().sort_values("id")
     want = pdf.v.rank(method="dense", ascending=ascending)
     for g, w in zip(got.r, want):
         assert (g is None or (isinstance(g, float) and math.isnan(g))) if pd.isna(w) else g == int(w)
