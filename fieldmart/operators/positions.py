@@ -16,6 +16,12 @@ shuffle instead:
 
 Positions are exact; rows that tie on (key, order) may take either of their
 positions, which never changes a quantile, rank or stratified count.
+
+``method="auto"`` (the default everywhere) first counts the rows of the
+largest key (a partially aggregated count). When that is at most
+``fieldmart.quantiles.maxGroupRows`` (1,000,000 by default) the in-task forms
+are used -- exact ``percentile`` aggregates or windows, ``row_number`` --
+which need fewer stages; otherwise the range-shuffle path above.
 """
 
 from __future__ import annotations
