@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmart import schemas
-from fieldmart.operators import clean, logistics, marts, ranking
+from fieldmart.operators import logistics
 from fieldmart.plans import anomaly as anomaly_job
 from fieldmart.plans import forecast
+from fieldmart.plans.production import build_production_marts
 from fieldmart.session import materialize
 from fieldmart.sources import sinks
 
@@ -61,34 +62,14 @@ def load_sources_jdbc(spark: SparkSession, url: str, properties: dict | None = N
 
 def production_job(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """L1 + L2 + L3 with the reference's column names."""
-    prod = schemas.to_compute(src["production"])
-    tele = schemas.to_compute(src["telemetry"])
-    wells = src["wells"].select("well_id", F.col("well_name").alias("name"),
-                                F.col("field_name").alias("field"), "region", "status")
-    cp = materialize(clean.clean_daily_fact(prod, key="well_id", day="production_date", flow="flow_rate_tpd",
-                                            oil="oil_tons", water="water_cut_pct", downtime="downtime_hours"),
-                     "clean_production")
-    ct = materialize(clean.clean_readings(tele, key="well_id", ts="event_time", measures=TELEMETRY_MEASURES,
-                                          ranges=TELEMETRY_RANGES, clip_column="pump_runtime_hours",
-                                          day="event_date"), "clean_telemetry")
-    daily = marts.production_daily(cp, day="production_date", key="well_id", flow="flow_rate_tpd",
-                                   oil="oil_tons", downtime="downtime_hours")
-    kpi = marts.entity_kpi(cp, wells, key="well_id", day="production_date", flow="flow_rate_tpd",
-                           oil="oil_tons", downtime="downtime_hours",
-                           entity_columns=("name", "field", "region", "status"))
-    kpi = kpi.withColumnRenamed("name", "well_name").withColumnRenamed("field", "field_name")
-    kpi = materialize(kpi, "mart_well_kpi")
-    rank = ranking.rank_group(ranking.rank_desc(kpi, "avg_flow_rate_tpd"))
-    per_day = marts.readings_daily(ct, key="well_id", ts="event_time", day="production_date",
-                                   means=DAILY_MEANS, sums=DAILY_SUMS)
-    features = marts.features_daily(cp, per_day, wells.withColumnRenamed("field", "field_name"),
-                                    key="well_id", day="production_date", downtime="downtime_hours",
-                                    entity_columns=("field_name", "region"))
-    features = materialize(features, "features_well_daily")
-    heat = marts.bin_heatmap(features, "avg_pressure_atm", "avg_temperature_c", "flow_rate_tpd", key="well_id")
-    return {"clean_production": cp, "clean_telemetry": ct, "mart_production_daily": daily,
-            "mart_well_kpi": kpi, "mart_well_ranking": rank, "features_well_daily": features,
-            "mart_pressure_flow_heatmap": heat}
+    return build_production_marts(
+        schemas.to_compute(src["production"]), schemas.to_compute(src["telemetry"]), src["wells"],
+        key="well_id", day="production_date", ts="event_time", flow="flow_rate_tpd", oil="oil_tons",
+        water="water_cut_pct", downtime="downtime_hours", measures=TELEMETRY_MEASURES, ranges=TELEMETRY_RANGES,
+        runtime="pump_runtime_hours", reading_means=DAILY_MEANS, reading_sums=DAILY_SUMS,
+        pressure="avg_pressure_atm", temperature="avg_temperature_c",
+        well_columns={"well_name": "well_name", "field_name": "field_name", "region": "region", "status": "status"},
+        keep=materialize)
 
 
 def forecast_job(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
