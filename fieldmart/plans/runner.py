@@ -137,3 +137,33 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str) -> Da
     manifest = materialize(manifest, "manifest")
     sinks.write_manifest(manifest, f"{out_root}/artifacts/manifest", tables)
     return manifest
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m fieldmart.plans.runner --out DIR (--parquet DIR | --jdbc URL)``:
+    run the four jobs over the seven source tables and write every mart."""
+    import argparse
+
+    from fieldmart.session import get_session
+
+    ap = argparse.ArgumentParser(description=__doc__)
+    ap.add_argument("--out", required=True, help="output root on a shared file system")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--parquet", help="folder holding <table>.parquet for the seven sources")
+    src.add_argument("--jdbc", help="JDBC URL of the source database")
+    ap.add_argument("--jdbc-driver", default=None)
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = get_session(args.master, app_name="fieldmart-pipeline")
+    if args.parquet:
+        sources = load_sources(spark, args.parquet)
+    else:
+        props = {"driver": args.jdbc_driver} if args.jdbc_driver else None
+        sources = load_sources_jdbc(spark, args.jdbc, props)
+    manifest = run_all(spark, sources, args.out)
+    print(manifest.groupBy("dataset").agg(F.sum("rows_count").alias("rows")).orderBy("dataset").toPandas()
+          .to_string(index=False))
+
+
+if __name__ == "__main__":
+    main()

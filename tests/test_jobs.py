@@ -97,3 +97,11 @@ def test_sources_over_jdbc_in_process(spark, src):
     assert back["deliveries"].rdd.getNumPartitions() == 3
     m = runner.logistics_job(back)
     assert m["mart_driver_kpi"].count() == runner.logistics_job(src)["mart_driver_kpi"].count()
+
+
+def test_runner_command_line(spark, src, tmp_root):
+    """The command-line entry over a folder of parquet source tables."""
+    for name, df in src.items():
+        df.write.parquet(f"{tmp_root}/in/{name}.parquet")
+    runner.main(["--parquet", f"{tmp_root}/in", "--out", f"{tmp_root}/out"])
+    assert spark.read.parquet(f"{tmp_root}/out/processed/mart_driver_kpi").count() == 8

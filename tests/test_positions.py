@@ -64,3 +64,13 @@ def test_hot_key_spread_over_partitions(skewed, spark):
     s = _numbered(df.select("k", "x"), ["k"], ["x"], False, 16)
     parts = s.where(F.col("k") == "hot").select("_pid").distinct().count()
     assert parts >= 4
+
+
+def test_approx_quantiles_close_to_exact(skewed):
+    pdf, df = skewed
+    from fieldmart.operators.positions import quantiles
+
+    q = quantiles(df, ["k"], ["x"], {"med": 0.5}, method="approx").toPandas().set_index("k")
+    for k, g in pdf.groupby("k"):
+        exact = np.quantile(g.x.values, 0.5)
+        assert abs(q.loc[k, "med_x"] - exact) <= 0.02 * (g.x.max() - g.x.min()) + 1e-9
