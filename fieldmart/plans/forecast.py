@@ -48,4 +48,4 @@ def train_and_predict(dataset: DataFrame, features: Sequence[str], key: Sequence
     predictions = (ml.score(models[best_name], split, out="predicted_flow_rate_tpd")
                      .withColumn("absolute_error", abs_error(target, "predicted_flow_rate_tpd"))
                      .withColumn("model_name", F.lit(best_name)))
-    return predictions, metrics.orderBy("rmse", "model_order")
+    return predictions, metrics.orderBy("rmse", "model_order").drop("model_order")

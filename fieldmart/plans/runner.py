@@ -125,6 +125,10 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str) -> Da
     tables = []
     for _, job in JOBS:
         for name, df in job(src).items():
+            if name in schemas.MART_COLUMNS:                              # C5 before the write
+                problems = schemas.check_columns(df, name)
+                if problems:
+                    raise ValueError(f"{name}: " + "; ".join(problems))
             tables.append(name)
             if name.startswith("ml_"):
                 sinks.write_report(df, f"{out_root}/artifacts/{name}")       # S10
