@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.operators import anomaly, joins, ml
+from fieldmart.session import materialize
 
 LABEL = "failure_within_7d"
 
@@ -25,7 +26,7 @@ def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequ
     risk for every row (T18), test accuracy and ROC-AUC."""
     feats = [*sensor_cols, *[f"z_{c}" for c in sensor_cols], "is_anomaly"]
     model_df = df.dropna(subset=[*feats, LABEL])
-    split = ml.stratified_split(model_df, row_key, LABEL).persist()
+    split = materialize(ml.stratified_split(model_df, row_key, LABEL), "risk_split")   # read by fit, scoring, counts
     train = split.where(F.col("is_test") == 0)
     weights = ml.class_weights(train, LABEL)
     train_w = train.join(F.broadcast(weights.select(LABEL, "w")), LABEL, "left")  # one row per class

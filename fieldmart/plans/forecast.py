@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import abs_error
 from fieldmart.operators import joins, marts, ml
+from fieldmart.session import materialize
 
 TARGET = "actual_flow_rate_tpd"
 
@@ -28,7 +29,8 @@ def train_and_predict(dataset: DataFrame, features: Sequence[str], key: Sequence
                       target: str = TARGET) -> tuple[DataFrame, DataFrame]:
     """Fit both models on the hash-split train part,
     pick the smallest test RMSE (the first wins a tie), score every row."""
-    split = ml.hash_split(dataset, key).persist()
+    # Written once: both fits, both scorings and the row counts read it.
+    split = materialize(ml.hash_split(dataset, key), "flow_split")
     train = split.where(F.col("is_test") == 0)
     test = split.where(F.col("is_test") == 1)
     candidates = [("linear_regression", ml.fit_linear), ("random_forest", ml.fit_forest_regressor)]
