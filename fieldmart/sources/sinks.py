@@ -79,13 +79,9 @@ def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column:
         work = df.withColumn(partition_column, F.to_date(F.col(partition_column)))
         n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         spread = work.repartitionByRange(n, F.col(partition_column), F.xxhash64(*[F.col(c) for c in df.columns]))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (_writer(spread, fmt).mode("overwrite").partitionBy(partition_column)
-                .option("maxRecordsPerFile", str(max_records_per_file)).save(path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (_writer(spread, fmt).mode("overwrite").partitionBy(partition_column)
+            .option("partitionOverwriteMode", "dynamic")          # per write, not session-wide
+            .option("maxRecordsPerFile", str(max_records_per_file)).save(path))
         # The manifest lists the dates written by this call (other dates of
         # the dataset are kept by the dynamic overwrite but not listed); it
         # reads only the partition column of the exported frame.
