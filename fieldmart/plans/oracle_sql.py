@@ -183,6 +183,12 @@ ORACLE["entity_ranking_range"] = ORACLE["entity_ranking"]
 ORACLE["readings_daily"] = "WITH " + R_CTE + "," + CLEAN_R_CTE + "," + RD_CTE + f"""
 SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM rd"""
 
+ORACLE["readings_daily_raw"] = "WITH " + R_CTE + f""",
+a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, avg(value) AS avg_value, avg(k) AS avg_k,
+              coalesce(sum(runtime), 0.0) AS runtime_hours
+       FROM r WHERE entity_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2)
+SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM a4"""
+
 ORACLE["features_daily"] = FEAT_BASE + f"""
 SELECT entity_id, day, {_r6(['flow', 'oil', 'water', 'downtime', 'avg_value', 'avg_k', 'runtime_hours',
                               'downtime_ratio'])}, field, region FROM feat"""

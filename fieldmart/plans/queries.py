@@ -169,6 +169,13 @@ def q_readings_daily(spark, sf):
     return round6(readings_per_day(spark, sf))
 
 
+@register("readings_daily_raw")
+def q_readings_daily_raw(spark, sf):
+    """A4: per (entity, day) means and sum of the raw readings (no cleaning),
+    the forecast's feature table (T19)."""
+    return round6(marts.readings_daily(views.readings(spark, sf), means=READING_MEANS, sums=READING_SUMS))
+
+
 @register("features_daily")
 def q_features_daily(spark, sf):
     """Cleaned u LEFT JOIN daily readings, entity field/region."""
