@@ -105,3 +105,24 @@ def test_runner_command_line(spark, src, tmp_root):
         df.write.parquet(f"{tmp_root}/in/{name}.parquet")
     runner.main(["--parquet", f"{tmp_root}/in", "--out", f"{tmp_root}/out"])
     assert spark.read.parquet(f"{tmp_root}/out/processed/mart_driver_kpi").count() == 8
+
+
+def test_dashboard_queries_over_the_marts(spark, src):
+    """Q1-Q13 by their mart names over the four jobs' outputs."""
+    from fieldmart.plans import reports
+
+    frames = {}
+    for _, job in runner.JOBS:
+        frames.update(job(src))
+    out = reports.run_dashboard(spark, frames, limit=10)
+    assert set(out) == set(reports.DASHBOARD) | {"q9_kpi_cards"}
+    assert out["q2_top_wells"].count() == 4 and out["q7_driver_kpi"].count() == 8
+    assert out["q12_risk_before_failure"].count() == 28
+    cards = out["q9_kpi_cards"].first()
+    assert cards.total_oil_tons > 0 and 0 <= cards.downtime_pct <= 100
+    f = reports.kpi_cards(frames["features_well_daily"], date_from="2026-01-05", date_to="2026-01-10",
+                          regions=["ХМАО"])
+    feat = frames["features_well_daily"].toPandas()
+    feat["production_date"] = feat.production_date.astype(str)
+    want = feat[(feat.region == "ХМАО") & feat.production_date.between("2026-01-05", "2026-01-10")]
+    assert f.first().rows_count == len(want) > 0
