@@ -40,10 +40,18 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descendi
               num_partitions: int | None) -> DataFrame:
     n = num_partitions or default_parallelism(df.sparkSession)
     ordering = [F.col(k) for k in keys] + [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    return (df.repartitionByRange(n, *ordering)
-              .sortWithinPartitions(*ordering)
-              .withColumn(RID, F.monotonically_increasing_id())
-              .withColumn(PID, F.shiftright(F.col(RID), 33)))
+    numbered = (df.repartitionByRange(n, *ordering)
+                  .sortWithinPartitions(*ordering)
+                  .withColumn(RID, F.monotonically_increasing_id())
+                  .withColumn(PID, F.shiftright(F.col(RID), 33)))
+    # Both consumers must see one set of range bounds. Spark shares the
+    # exchange between them; where exchange reuse is switched off, the
+    # numbered frame is written once instead.
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from fieldmart.session import materialize
+
+        numbered = materialize(numbered, "numbered")
+    return numbered
 
 
 def _segments(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -74,3 +74,17 @@ def test_approx_quantiles_close_to_exact(skewed):
     for k, g in pdf.groupby("k"):
         exact = np.quantile(g.x.values, 0.5)
         assert abs(q.loc[k, "med_x"] - exact) <= 0.02 * (g.x.max() - g.x.min()) + 1e-9
+
+
+def test_positions_exact_without_exchange_reuse(skewed, spark):
+    pdf, df = skewed
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16,
+                                  method="sort").toPandas()
+        q = group_quantiles(df, ["k"], ["x"], {"med": 0.5}, num_partitions=16).toPandas().set_index("k")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    for k, g in pos.groupby("k"):
+        assert sorted(g._pos) == list(range(len(g)))
+        assert q.loc[k, "med_x"] == pytest.approx(np.quantile(pdf[pdf.k == k].x.values, 0.5))
