@@ -111,9 +111,11 @@ JOBS = [("production", production_job), ("forecast", forecast_job),
         ("anomaly", anomaly_job_run), ("logistics", logistics_job)]
 
 
-def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str) -> DataFrame:
+def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str,
+            jdbc_out: tuple[str, dict] | None = None) -> DataFrame:
     """Run the jobs in order; write raw snapshots, marts and the manifest.
-    Returns the manifest DataFrame."""
+    With ``jdbc_out=(url, properties)`` every mart is also replaced in that
+    database (S2, batches of 1,000 rows). Returns the manifest DataFrame."""
     raw = {
         "raw/wells": (src["wells"], None),
         "raw/production": (src["production"], "production_date"),
@@ -130,6 +132,8 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str) -> Da
                 if problems:
                     raise ValueError(f"{name}: " + "; ".join(problems))
             tables.append(name)
+            if jdbc_out is not None:
+                sinks.write_jdbc(df, jdbc_out[0], name, properties=jdbc_out[1])
             if name.startswith("ml_"):
                 sinks.write_report(df, f"{out_root}/artifacts/{name}")       # S10
             manifests.append(sinks.export_partitioned(df, out_root, f"processed/{name}",
@@ -156,6 +160,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--parquet", help="folder holding <table>.parquet for the seven sources")
     src.add_argument("--jdbc", help="JDBC URL of the source database")
     ap.add_argument("--jdbc-driver", default=None)
+    ap.add_argument("--jdbc-out", default=None, help="JDBC URL that also receives every mart")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = get_session(args.master, app_name="fieldmart-pipeline")
@@ -164,7 +169,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         props = {"driver": args.jdbc_driver} if args.jdbc_driver else None
         sources = load_sources_jdbc(spark, args.jdbc, props)
-    manifest = run_all(spark, sources, args.out)
+    out_db = (args.jdbc_out, {"driver": args.jdbc_driver} if args.jdbc_driver else {}) if args.jdbc_out else None
+    manifest = run_all(spark, sources, args.out, jdbc_out=out_db)
     print(manifest.groupBy("dataset").agg(F.sum("rows_count").alias("rows")).orderBy("dataset").toPandas()
           .to_string(index=False))
 

@@ -67,7 +67,11 @@ def test_logistics_job(src):
 
 
 def test_run_all_writes_marts_and_manifest(spark, src, tmp_root):
-    manifest = runner.run_all(spark, src, tmp_root).toPandas()
+    url = "jdbc:derby:memory:fieldmart_marts;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    manifest = runner.run_all(spark, src, tmp_root, jdbc_out=(url, props)).toPandas()
+    from fieldmart.sources.tables import read_jdbc
+    assert read_jdbc(spark, url, "mart_driver_kpi", properties=props).count() == 8
     assert "processed/mart_well_kpi" in set(manifest.dataset)
     assert manifest[manifest.dataset == "raw/production"].rows_count.sum() == src["production"].count()
     assert os.path.isdir(f"{tmp_root}/processed/mart_pump_risk")
