@@ -3,13 +3,17 @@ numbers, and vectorised word spans over Arrow string columns."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fieldmart
 from fieldmart.session import materialize
 
 #: Words are runs of anything but these six ASCII characters.
@@ -21,7 +25,26 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 SLICE_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package as a zip file, once per application (the
+    functions run inside tasks import it)."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(fieldmart.__file__).parent
+    to = Path(tempfile.mkdtemp(prefix="fieldmart-")) / "fieldmart_package.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"fieldmart/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(to))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
