@@ -15,7 +15,7 @@ vector in Euclidean distance is the one with the largest inner product.
   without comparing all.
 * A query reads the lists whose centroid distance is at most ``1 + PROBE`` times
   its nearest one's (distance-ratio pruning): few where lists lie clearly apart,
-  many where they don't.
+  many where they don't, and always as many as hold k answers.
 
 Lists are stored in chunks of at most about ``CHUNK`` vectors, dealt by hash, so
 a list that outgrew its share is read by several tasks. Equal vectors are one
@@ -128,13 +128,21 @@ class CentroidGraph:
         return met
 
 
-def lists_near(graph: CentroidGraph, x: np.ndarray, ratio: float, most: int | None) -> tuple[np.ndarray, np.ndarray]:
+def lists_near(graph: CentroidGraph, x: np.ndarray, ratio: float, most: int | None = None, sizes: np.ndarray | None = None, need: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(row, list): the lists, ``most`` at most, within 1 + ``ratio`` times the
-    nearest one's distance."""
+    nearest one's distance, and as many nearest ones as hold ``need`` entries."""
     met = graph.search(x, ratio)
     if most and most < met.shape[1]:
         met[met > np.partition(met, most - 1, axis=1)[:, most - 1:most]] = np.inf
-    return np.nonzero(met <= (1 + ratio) ** 2 * met.min(axis=1)[:, None] + 1e-12)
+    near = met <= (1 + ratio) ** 2 * met.min(axis=1)[:, None] + 1e-12
+    short = np.flatnonzero(near @ sizes < need) if need else []
+    if len(short):
+        d = (x[short] ** 2).sum(axis=1)[:, None] + graph.norms[None, :] - 2 * x[short] @ graph.c.T
+        order = np.argsort(d, axis=1)
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        np.put_along_axis(d, order, before < need, axis=1)
+        near[short] |= d > 0
+    return np.nonzero(near)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
@@ -176,18 +184,22 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
                 chunk = np.abs(own.column("h").to_numpy()) % chunks_of
                 yield pa.RecordBatch.from_arrays([pa.array(in_list, pa.int32()), pa.array(chunk, pa.int32()), own.column("h"), own.column("ids"), own.column("v")], names=["list", "chunk", "h", "ids", "v"])
 
+    stored = written(distinct.mapInArrow(assign, "list int, chunk int, h long, ids array<bigint>, v array<double>"), "posting-lists")
+    sizes = np.zeros(len(graph.c))
+    for r in stored.groupBy("list").count().collect():  # at most MOST_LISTS rows
+        sizes[r["list"]] = r["count"]
+    need = COPIES * (k + 1)  # an entry stands in at most COPIES lists, so these hold k + 1 different ones
     def probe_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 x = rows_of(part.column("v"), width)
-                row, in_list = lists_near(graph, np.hstack([x, np.zeros((len(x), 1))]), probe, None)
+                row, in_list = lists_near(graph, np.hstack([x, np.zeros((len(x), 1))]), probe, sizes=sizes, need=need)
                 row, in_list = np.repeat(row, chunks_of), np.repeat(in_list, chunks_of)
                 own = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(in_list, pa.int32()), pa.array(np.tile(np.arange(chunks_of), len(row) // chunks_of), pa.int32()), own.column("qid"), own.column("v")],
                                                  names=["list", "chunk", "qid", "v"])
 
-    stored = distinct.mapInArrow(assign, "list int, chunk int, h long, ids array<bigint>, v array<double>")
     asked = written(rows.where(queries).withColumn("h", key).groupBy("id").agg(F.min(F.struct("h", "v")).alias("x")).select("id", "x.h", "x.v"), "vector-queries")
     # equal queries are searched once, under their smallest id
     once = asked.groupBy("h", "v").agg(F.min("id").alias("qid"))

@@ -161,19 +161,19 @@ def listed(spans_of: str) -> Column:
 def redact(docs: DataFrame, scope: int = SCOPE, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mask``; n_chars, where
     there is one, follows the text. Overlapping spans are masked as one."""
-    found = scan(docs, scope).where(F.size("all") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("all").alias("_spans")).dropDuplicates(["_id", "_hash"])
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = scan(docs, scope).where(F.size("all") > 0).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("all").alias("spans")).dropDuplicates(["id", "hash"])
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # the columns' own names can't clash
+    text = F.col("row.text").cast("string")
 
     def piece(s: Column) -> Column:
         # a span that begins inside an earlier one adds no mask of its own
         low, before = s["start"].cast("int"), s["before"].cast("int")
-        return F.when(low < before, F.lit("")).otherwise(F.concat(F.substring(F.col("text"), before + 1, low - before), F.lit(mask)))
-
-    furthest = F.greatest(F.element_at("_spans", -1)["end"], F.element_at("_spans", -1)["before"]).cast("int")
-    tail = F.substring(F.col("text"), furthest + 1, F.length("text"))
-    masked = F.concat(F.array_join(F.transform("_spans", piece), ""), tail)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    out = docs.join(found, same, "left").withColumn("text", F.when(F.col("_spans").isNotNull(), masked).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        return F.when(low < before, F.lit("")).otherwise(F.concat(F.substring(text, before + 1, low - before), F.lit(mask)))
+
+    furthest = F.greatest(F.element_at("spans", -1)["end"], F.element_at("spans", -1)["before"]).cast("int")
+    tail = F.substring(text, furthest + 1, F.length(text))
+    masked = F.concat(F.array_join(F.transform("spans", piece), ""), tail)
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("hash"))
+    out = rows.join(found, same, "left").withColumn("masked", F.when(F.col("spans").isNotNull(), masked))
+    new = {"text": F.coalesce("masked", "row.text"), "n_chars": F.coalesce(F.length("masked").cast("long"), "row.n_chars") if "n_chars" in docs.columns else None}
+    return out.select(*[(new[c] if new.get(c) is not None else F.col("row")[c]).alias(c) for c in docs.columns])
