@@ -7,17 +7,26 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import col_of
 
-__all__ = ["sum0", "mean", "count_nonnull", "nunique", "std_samp", "rows", "rmse_of", "mae_of"]
+__all__ = ["exact_sum", "sum0", "mean", "count_nonnull", "std_samp", "nunique", "rows", "rmse_of", "mae_of"]
+
+#: Sums and means add decimals of nine places, so their value doesn't depend on
+#: the order in which tasks deliver rows.
+EXACT = "decimal(38,9)"
+
+
+def exact_sum(c) -> Column:
+    """Sum ignoring missing values, independent of row order; NULL if none."""
+    return F.sum(col_of(c).cast(EXACT)).cast("double")
 
 
 def sum0(c) -> Column:
     """Sum ignoring missing; an all-missing group sums to 0."""
-    return F.coalesce(F.sum(col_of(c)), F.lit(0.0))
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def mean(c) -> Column:
     """Mean ignoring missing; all-missing -> NULL."""
-    return F.avg(col_of(c))
+    return exact_sum(c) / F.nullif(count_nonnull(c), F.lit(0))
 
 
 def count_nonnull(c) -> Column:
@@ -25,16 +34,16 @@ def count_nonnull(c) -> Column:
     return F.count(col_of(c))
 
 
-def nunique(c, approx: bool = False) -> Column:
-    """Exact distinct count; ``approx=True`` uses HyperLogLog++ (bounded memory)."""
-    return F.approx_count_distinct(col_of(c)) if approx else F.countDistinct(col_of(c))
-
-
 def std_samp(c) -> Column:
     """Sample standard deviation (ddof = 1)."""
     return F.stddev_samp(col_of(c))
 
 
+def nunique(c, approx: bool = False) -> Column:
+    """Exact distinct count; ``approx=True`` uses HyperLogLog++ (bounded memory)."""
+    return F.approx_count_distinct(col_of(c)) if approx else F.countDistinct(col_of(c))
+
+
 def rows() -> Column:
     """A19."""
     return F.count(F.lit(1))

@@ -9,10 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "nan_to_null", "clip", "safe_div", "ratio_pct", "threshold_flag",
-    "any_abs_over", "zero_to_null", "fill_zero", "bool_to_int", "key_hash",
-    "hash_bucket", "minus_days", "plus_days", "to_day", "abs_error", "three_way",
-    "in_range", "fill_from",
+    "col_of", "round6", "clip", "safe_div", "ratio_pct", "threshold_flag", "any_abs_over", "key_hash", 
+    "abs_error", "in_range", "fill_from",
 ]
 
 
@@ -20,10 +18,17 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nan_to_null(c) -> Column:
-    """T4: NaN becomes NULL at the source boundary; no operator emits NaN."""
-    c = col_of(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
+def _floor(x: Column) -> Column:
+    """Floor as a double; from 2^53 on, doubles have no fraction (and BIGINT
+    would cap them)."""
+    return F.when(F.abs(x) < F.lit(2.0 ** 53), F.floor(x).cast("double")).otherwise(x)
+
+
+def round6(c) -> Column:
+    """Round to 6 decimals, half up, after snapping to 9: results that differ
+    only in the last bits of a double round alike (T12)."""
+    nanos = _floor(col_of(c) * F.lit(1e9) + F.lit(0.5))
+    return _floor(nanos / F.lit(1000.0) + F.lit(0.5)) / F.lit(1e6)
 
 
 def clip(c, lo: float, hi: float) -> Column:
@@ -57,21 +62,6 @@ def any_abs_over(cols, limit: float) -> Column:
     return cond.cast("int")
 
 
-def zero_to_null(c) -> Column:
-    """Replace 0 by missing."""
-    return F.nullif(col_of(c), F.lit(0.0))
-
-
-def fill_zero(c) -> Column:
-    """Fill missing with 0."""
-    return F.coalesce(col_of(c), F.lit(0.0))
-
-
-def bool_to_int(c) -> Column:
-    """E11."""
-    return col_of(c).cast("int")
-
-
 def key_hash(*cols) -> Column:
     """Deterministic 32-bit key hash: the first 8 hex digits of
     md5(c1 || '|' || c2 ...) read as an integer. DuckDB states the same value as
@@ -85,35 +75,11 @@ def key_hash(*cols) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def hash_bucket(*cols, buckets: int = 100) -> Column:
-    """M2: bucket 0..buckets-1 of the key hash (deterministic split)."""
-    return F.pmod(key_hash(*cols), F.lit(buckets))
-
-
-def minus_days(ts, days: int) -> Column:
-    """Timestamp minus a whole number of days."""
-    return col_of(ts) - F.make_dt_interval(F.lit(days))
-
-
-def plus_days(ts, days: int) -> Column:
-    return col_of(ts) + F.make_dt_interval(F.lit(days))
-
-
-def to_day(c) -> Column:
-    """Timestamp -> date."""
-    return F.to_date(col_of(c))
-
-
 def abs_error(a, b) -> Column:
     """E6."""
     return F.abs(col_of(a) - col_of(b))
 
 
-def three_way(cond1: Column, v1, cond2: Column, v2, other) -> Column:
-    """Nested np.where / CASE."""
-    return F.when(cond1, F.lit(v1)).when(cond2, F.lit(v2)).otherwise(F.lit(other))
-
-
 def in_range(c, lo: float, hi: float) -> Column:
     """P5: inclusive range test; a missing value fails (row dropped by filter)."""
     return F.coalesce(col_of(c).between(lo, hi), F.lit(False))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmart.functions.aggregates import std_samp
 from fieldmart.functions.expressions import any_abs_over
 
 
@@ -16,7 +17,7 @@ def group_zscore(df: DataFrame, key: str, columns: Sequence[str], prefix: str =
     a partially aggregated ``groupBy`` joined back on the key."""
     aggs = []
     for c in columns:
-        aggs += [F.avg(F.col(c)).alias(f"_mu_{c}"), F.stddev_samp(F.col(c)).alias(f"_sd_{c}")]
+        aggs += [F.avg(F.col(c)).alias(f"_mu_{c}"), std_samp(c).alias(f"_sd_{c}")]
     stats = df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
     out = df.join(stats, key, "left")
     for c in columns:

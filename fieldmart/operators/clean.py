@@ -1,62 +1,44 @@
 """Per-entity cleaning.
 
-Group statistics come from :mod:`fieldmart.operators.positions` and are joined
-back on the entity key. ``method="auto"`` checks the largest entity once and
-uses the exact hash ``percentile`` aggregate when it is bounded, else the
-range-shuffle path that never holds a whole entity in one task. AQE turns
-the join into a broadcast when the per-entity table is small once measured,
-and splits a hot entity's partition of the fact side otherwise.
-"""
+Group statistics come from :mod:`fieldmart.operators.positions`, which never
+holds a whole entity in one task, and are joined back on the entity key: AQE
+broadcasts the per-entity table when it is small once measured and splits a hot
+entity's partition of the fact side otherwise. Rows without an entity don't
+take part in that join."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions.expressions import clip, fill_from, in_range
-from fieldmart.operators.positions import quantiles, resolve_method
+from fieldmart.functions.expressions import clip, fill_from, in_range, round6
+from fieldmart.operators.positions import quantiles
+from fieldmart.session import materialize
 
 
-def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], method: str = "auto") -> DataFrame:
+def fill_group_median(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """A missing value takes the median of its entity; an entity whose
     values are all missing stays missing; a row without an entity is left as
-    it is (pandas drops missing group keys).
+    it is (pandas drops missing group keys)."""
+    med = quantiles(df, [key], columns, {"_med": 0.5})
+    out = df.where(F.col(key).isNotNull()).join(med, key, "left")
+    filled = out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return filled.unionByName(df.where(F.col(key).isNull()).withColumns({c: F.col(c).cast("double") for c in columns}))
 
-    ``hash``: exact window ``percentile`` over the entity (one exchange, shared
-    with W2 and with later per-entity aggregates). ``sort``: range-shuffle
-    medians joined back (no entity in one task)."""
-    method = resolve_method(df, [key], method)
-    if method == "hash":
-        w = Window.partitionBy(key)
-        filled = {c: F.when(F.col(key).isNotNull(), F.coalesce(
-            F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), 0.5).over(w)))
-            .otherwise(F.col(c).cast("double")) for c in columns}
-        return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
-    med = quantiles(df, [key], columns, {"_med": 0.5}, method=method)
-    out = df.join(med, key, "left")
-    for c in columns:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")))
-    return out.select(*df.columns)
 
-
-def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5, method: str = "auto") -> DataFrame:
+def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5) -> DataFrame:
     """Keep rows inside [q1 - k*iqr, q3 + k*iqr] of their entity.
     iqr = 0 keeps the whole entity; a missing value, an entity with no values
-    or a missing entity fails the test, as in the pandas group filter."""
-    method = resolve_method(df, [key], method)
-    x = F.col(column).cast("double")
-    if method == "hash":
-        w = Window.partitionBy(key)
-        out = df.select("*", F.percentile(x, 0.25).over(w).alias("_q1"), F.percentile(x, 0.75).over(w).alias("_q3"))
-        q1, q3 = F.col("_q1"), F.col("_q3")
-    else:
-        q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75}, method=method)
-        out = df.join(q, key, "left")
-        q1, q3 = F.col(f"_q1_{column}"), F.col(f"_q3_{column}")
+    or a missing entity fails the test, as in the pandas group filter. Fences and
+    values are compared at 6 decimals, so the last bits of an interpolation or a
+    mean don't decide about a row on the fence."""
+    q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75})
+    out = df.where(F.col(key).isNotNull()).join(q, key, "left")
+    x, q1, q3 = round6(F.col(column).cast("double")), F.col(f"_q1_{column}"), F.col(f"_q3_{column}")
     iqr = q3 - q1
-    keep = F.col(key).isNotNull() & ((iqr == 0) | ((x >= q1 - F.lit(k) * iqr) & (x <= q3 + F.lit(k) * iqr)))
+    keep = (round6(iqr) == 0) | ((x >= round6(q1 - F.lit(k) * iqr)) & (x <= round6(q3 + F.lit(k) * iqr)))
     return out.where(F.coalesce(keep, F.lit(False))).select(*df.columns)
 
 
@@ -71,15 +53,14 @@ def range_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Da
 def clean_daily_fact(df: DataFrame, key: str = "entity_id", day: str = "day",
                      flow: str = "flow", oil: str = "oil", water: str = "water",
                      downtime: str = "downtime", oil_factor: float = 0.9,
-                     clip_range: tuple[float, float] = (0.0, 24.0), method: str = "auto") -> DataFrame:
+                     clip_range: tuple[float, float] = (0.0, 24.0)) -> DataFrame:
     """L1 (clean_production): day to date -> median fill of water and flow ->
     IQR fences on flow -> clip downtime -> oil falls back to flow * 0.9.
     The order is fixed (T20): medians change the quantiles, fences run before
     the fallback."""
     out = df.withColumn(day, F.to_date(F.col(day)))
-    method = resolve_method(out, [key], method)   # W1 and W2 share the groups
-    out = fill_group_median(out, key, [water, flow], method=method)
-    out = drop_iqr_outliers(out, key, flow, method=method)
+    out = materialize(fill_group_median(out, key, [water, flow]), "filled")   # read by the fences and their join
+    out = drop_iqr_outliers(out, key, flow)
     out = out.withColumn(downtime, clip(F.col(downtime).cast("double"), *clip_range))
     out = out.withColumn(oil, fill_from(F.col(oil).cast("double"), F.col(flow) * F.lit(oil_factor)))
     return out
@@ -89,11 +70,10 @@ def clean_readings(df: DataFrame, key: str = "entity_id", ts: str = "ts",
                    measures: Sequence[str] = ("value", "k", "runtime"),
                    ranges: Mapping[str, tuple[float, float]] | None = None,
                    clip_column: str | None = "runtime", clip_range: tuple[float, float] = (0.0, 24.0),
-                   day: str = "day", method: str = "auto") -> DataFrame:
+                   day: str = "day") -> DataFrame:
     """L2 (clean_telemetry): median fill of every measure -> inclusive range
     filter -> clip one column -> add the reading's date."""
-    method = resolve_method(df, [key], method)
-    out = fill_group_median(df, key, list(measures), method=method)
+    out = fill_group_median(df, key, list(measures))
     if ranges:
         out = range_filter(out, ranges)
     if clip_column:

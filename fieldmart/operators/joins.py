@@ -2,8 +2,7 @@
 
 * J1/J3 ``enrich``: fact LEFT JOIN dimension. The dimension is broadcast only
   when Spark's size check (file statistics, or AQE's measured shuffle size)
-  puts it under the broadcast threshold, or after an explicit row-count check
-  when asked; otherwise a shuffle join.
+  puts it under the broadcast threshold; otherwise a shuffle join.
 * J2/J4: equi-joins on (entity, day); both sides are per-day aggregates, so
   they are already hash-partitioned on the entity when AQE keeps the
   aggregation's partitioning.
@@ -27,31 +26,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+#: Dates that an expected-days grid may span.
+CALENDAR = ("1970-01-01", "2099-12-31")
 
-
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` when it has at most ``max_rows`` rows, else
-    ``dim`` unchanged. The check reads at most ``max_rows + 1`` rows (a parquet
-    dimension answers from its footers)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def enrich(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str],
-           max_broadcast_rows: int | None = None) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Left join selected dimension columns on ``key`` (N:1).
 
-    By default no hint is given: Spark broadcasts the dimension only when its
-    size is below ``autoBroadcastJoinThreshold`` -- from file statistics at
-    planning time, or from the measured shuffle output under AQE -- and
-    otherwise plans a shuffle join (with skew splitting of the fact side).
-    ``max_broadcast_rows`` forces a broadcast after an explicit row-count
-    check instead."""
-    side = dim.select(key, *columns)
-    if max_broadcast_rows is not None:
-        side = checked_broadcast(side, max_broadcast_rows)
-    return fact.join(side, key, "left")
+    No hint is given: Spark broadcasts the dimension when its size is below
+    ``autoBroadcastJoinThreshold`` -- from file statistics at planning time, or
+    from the measured shuffle output under AQE -- and otherwise plans a shuffle
+    join (with skew splitting of the fact side)."""
+    return fact.join(dim.select(key, *columns), key, "left")
 
 
 def daily_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -100,8 +85,17 @@ def label_within(readings: DataFrame, failures: DataFrame, key: str, time_col: s
                          F.when(by_day["_start"].isNotNull(), 1).otherwise(0).alias(out))
 
 
-def entity_calendar(fact: DataFrame, key: str, day: str) -> DataFrame:
-    """Every (entity, day) between the entity's first and last day."""
+def out_of_range_days(fact: DataFrame, key: str, day: str, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
+    """Fact rows (key, day) whose date lies outside the calendar, for reports."""
+    d = F.to_date(day)
+    return fact.where((d < F.lit(first).cast("date")) | (d > F.lit(last).cast("date"))).select(key, d.alias(day))
+
+
+def entity_calendar(fact: DataFrame, key: str, day: str, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
+    """Every (entity, day) between the entity's first and last day. Dates
+    outside [first, last] (sentinels such as year 9999) don't stretch a span;
+    :func:`out_of_range_days` reports them."""
+    fact = fact.where(F.to_date(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     span = fact.groupBy(key).agg(F.min(F.to_date(day)).alias("_lo"), F.max(F.to_date(day)).alias("_hi"))
     return span.select(key, F.explode(F.sequence("_lo", "_hi")).alias(day))
 

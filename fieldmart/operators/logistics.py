@@ -32,6 +32,13 @@ def cost_by_route(df: DataFrame, route: str = "route", distance: str = "distance
         mean("cost_per_km").alias("avg_cost_per_km"), rows().alias("deliveries_count")))
 
 
+def bad_distance(df: DataFrame, route: str = "route", distance: str = "distance") -> DataFrame:
+    """Per route, deliveries whose distance is missing or zero (their cost
+    per km is NULL), beside all deliveries."""
+    return (df.where(F.col(route).isNotNull()).groupBy(route).agg(
+        F.count_if(F.col(distance).isNull() | (F.col(distance) == 0)).alias("bad_distance"), rows().alias("deliveries_count")))
+
+
 def driver_kpi(df: DataFrame, driver: str = "driver_id", delay: str = "delay", volume: str = "volume") -> DataFrame:
     """Per driver -> mean delay, delayed share, mean cost/km, total
     volume, deliveries."""

@@ -71,15 +71,17 @@ def features_daily(fact: DataFrame, readings_per_day: DataFrame, entities: DataF
 
 
 def equal_width_bins(df: DataFrame, columns: Mapping[str, str], bins: int = 6) -> DataFrame:
-    """``pd.cut(x, bins)`` for each ``column -> prefix``:
-    equal-width, right-closed bins over [min, max] with the lowest edge
-    lowered by 0.1 % of the range; min = max widens the range by 0.1 % on both
-    sides (everything falls in the middle bin). Adds ``{prefix}_idx`` (1..bins,
-    NULL for a missing value), ``{prefix}_lo``, ``{prefix}_hi`` and the label
-    ``{prefix}`` = "(lo, hi]" with 3 decimals, or 'nan' for a missing value.
-
-    All minima and maxima come from one scalar subquery (one extra pass, no
-    cross join), attached once as a struct column."""
+    """``pd.cut(x, bins)`` for each ``column -> prefix``: right-closed
+    bins between the edges ``mn + j * (mx - mn) / bins``; the last edge is mx, the
+    lowest is lowered by 0.1 % of the range, and if mn = mx both ends are first
+    moved out by 0.1 % of |mn| (by 0.001 at 0), which puts all values into the
+    middle bin, the third of six. A value's bin is the number of edges below it.
+    Adds ``{prefix}_idx`` (1..bins, NULL for a missing value), ``{prefix}_lo``,
+    ``{prefix}_hi`` and the label ``{prefix}`` = "(lo, hi]" with 3 decimals, or
+    'nan' for a missing value. Infinite values raise an error, as there.
+
+    All minima and maxima come from one scalar subquery, attached once as a
+    struct column (one extra pass, no cross join)."""
     stats = {}
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
@@ -90,23 +92,21 @@ def equal_width_bins(df: DataFrame, columns: Mapping[str, str], bins: int = 6) -
     for i, (c, p) in enumerate(columns.items()):
         x = F.col(c).cast("double")
         mn, mx = F.col(f"_bin_stats.mn{i}"), F.col(f"_bin_stats.mx{i}")
+        infinite = (F.abs(mn) == float("inf")) | (F.abs(mx) == float("inf"))
         pad = F.when(mn == 0, F.lit(0.001)).otherwise(F.abs(mn) * F.lit(0.001))
-        out = (out.withColumn(f"_{p}_lo_all", F.when(mn == mx, mn - pad).otherwise(mn))
-                  .withColumn(f"_{p}_hi_all", F.when(mn == mx, mx + pad).otherwise(mx)))
-        lo_all, hi_all = F.col(f"_{p}_lo_all"), F.col(f"_{p}_hi_all")
-        out = out.withColumn(f"_{p}_w", (hi_all - lo_all) / F.lit(float(bins)))
-        width = F.col(f"_{p}_w")
-        # least/greatest skip NULLs, so a missing value is kept out explicitly.
-        out = out.withColumn(f"{p}_idx", F.when(x.isNotNull(), F.least(
-            F.lit(bins), F.greatest(F.lit(1), F.ceil((x - lo_all) / width).cast("int")))))
+        low = F.when(infinite, F.raise_error(F.lit(f"{c}: infinite values can't be binned"))).when(mn == mx, mn - pad).otherwise(mn)
+        out = out.withColumn("_low", low.cast("double")).withColumn("_high", F.when(mn == mx, mx + pad).otherwise(mx))
+        step = (F.col("_high") - F.col("_low")) / F.lit(float(bins))
+        edges = [F.col("_low") + F.lit(float(j)) * step for j in range(bins)] + [F.col("_high")]
+        first = F.when(mn == mx, edges[0]).otherwise(edges[0] - (F.col("_high") - F.col("_low")) * F.lit(0.001))
+        out = out.withColumn("_edges", F.array(first, *edges[1:]))
+        below = F.size(F.filter("_edges", lambda e: e < x))
+        out = out.withColumn(f"{p}_idx", F.when(x.isNotNull(), F.least(F.lit(bins), F.greatest(F.lit(1), below))))
         idx = F.col(f"{p}_idx")
-        first_edge = F.when(mn == mx, lo_all).otherwise(lo_all - (hi_all - lo_all) * F.lit(0.001))
-        out = (out.withColumn(f"{p}_lo", F.when(idx == 1, first_edge).otherwise(lo_all + (idx - 1) * width))
-                  .withColumn(f"{p}_hi", F.when(idx == bins, hi_all).otherwise(lo_all + idx * width)))
+        out = (out.withColumn(f"{p}_lo", F.get("_edges", idx - 1)).withColumn(f"{p}_hi", F.get("_edges", idx)).drop("_low", "_high", "_edges"))
         label = F.concat(F.lit("("), F.round(F.col(f"{p}_lo"), 3).cast("string"), F.lit(", "),
                          F.round(F.col(f"{p}_hi"), 3).cast("string"), F.lit("]"))
-        out = (out.withColumn(p, F.when(idx.isNull(), F.lit("nan")).otherwise(label))
-                  .drop(f"_{p}_lo_all", f"_{p}_hi_all", f"_{p}_w"))
+        out = out.withColumn(p, F.when(idx.isNull(), F.lit("nan")).otherwise(label))
     return out.drop("_bin_stats")
 
 

@@ -14,39 +14,52 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.functions.aggregates import mae_of, rmse_of
-from fieldmart.functions.expressions import hash_bucket, key_hash
-from fieldmart.operators.positions import GROUP_N, POS, with_group_position
+from fieldmart.functions.expressions import key_hash
+from fieldmart.operators.positions import GROUP_N, POS, counted_order
 
 SEED = 42
+#: The deepest trees that Spark ML grows; min_leaf ends most branches earlier.
+MAX_DEPTH = 30
+
+
+def _total_hash(*key: str):
+    """Key hash that is defined for NULL key parts too."""
+    return key_hash(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
 
 
 def hash_split(df: DataFrame, key: Sequence[str], test_pct: int = 25, out: str = "is_test") -> DataFrame:
     """M2: is_test = 1 when the key hash falls in the first ``test_pct`` of
-    100 buckets. Deterministic and re-computable after an executor loss."""
-    return df.withColumn(out, (hash_bucket(*key) < test_pct).cast("int"))
+    100 buckets; a missing key part counts as an empty text, so every row is in
+    one part. Deterministic and re-computable after an executor loss."""
+    return df.withColumn(out, (F.pmod(_total_hash(*key), F.lit(100)) < test_pct).cast("int"))
 
 
-def stratified_split(df: DataFrame, key: Sequence[str], label: str, test_frac: float = 0.25,
-                     out: str = "is_test", method: str = "auto") -> DataFrame:
+def stratified_split(df: DataFrame, key: Sequence[str], label: str, test_frac: float = 0.25, out: str = "is_test") -> DataFrame:
     """M3 (exact form): inside each label, rows ordered by key hash; the first
-    ceil(frac * n_label) are test rows, so every class keeps its ratio.
-    Positions come from a range shuffle (a class may hold most rows)."""
-    h = df.select(*key, label, key_hash(*key).alias("_h"))
-    pos = with_group_position(h, [label], ["_h", *key], method=method)
-    flags = pos.select(*key, label, (F.col(POS) < F.ceil(F.lit(test_frac) * F.col(GROUP_N))).cast("int").alias(out))
-    return df.join(flags.drop(label), list(key), "left")
+    ceil(frac * n_label) are test rows, so every class keeps its ratio. Rows are
+    counted by (label, key): rows that repeat a key share one position, hence
+    one part, and are never multiplied. A row without a label is a train row."""
+    k = [f"_k{i}" for i in range(len(key))]
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in zip(key, k)]
+    counts = df.where(F.col(label).isNotNull()).select(F.col(label).alias("_label"), _total_hash(*key).alias("_h"), *key, *named)
+    counts = counts.groupBy("_label", "_h", *k).agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(f"_o{i}") for i, c in enumerate(key)])
+    placed = counted_order(counts, ["_label"], ["_h", *[f"_o{i}" for i in range(len(key))]], "_c")
+    flags = placed.select("_label", *k, (F.col(POS) < F.ceil(F.lit(test_frac) * F.col(GROUP_N))).cast("int").alias(out))
+    rows = df.select("*", *named)
+    joined = rows.join(flags, [rows[n] == flags[n] for n in k] + [rows[label] == flags["_label"]], "left")
+    return joined.select(*[rows[c] for c in df.columns], F.coalesce(flags[out], F.lit(0)).alias(out))
 
 
 def class_weights(df: DataFrame, label: str, out: str = "w") -> DataFrame:
-    """M7: balanced weight n / (k * n_c) per class (a label-sized table)."""
+    """M7: balanced weight n / (k * n_c) per class. One ``groupBy(label)`` holds
+    all three numbers; the windows run over its one row per class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    total = df.where(F.col(label).isNotNull()).select(F.count(F.lit(1))).scalar()
-    k = df.where(F.col(label).isNotNull()).select(F.countDistinct(label)).scalar()
-    return counts.select(label, "n_c", (total / (k * F.col("n_c"))).alias(out))
+    every = Window.partitionBy(F.lit(1))
+    return counts.select(label, "n_c", (F.sum("n_c").over(every) / (F.count(F.lit(1)).over(every) * F.col("n_c"))).alias(out))
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -55,22 +68,21 @@ def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) ->
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def accuracy(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """M12."""
-    return df.agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"))
+def accuracy(df: DataFrame, y: str, pred: str, rows: str | None = None) -> DataFrame:
+    """M12, with the row count beside it if ``rows`` names a column for it."""
+    more = [F.count(F.lit(1)).alias(rows)] if rows else []
+    return df.agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"), *more)
 
 
-def roc_auc(df: DataFrame, y: str, score: str, method: str = "auto") -> DataFrame:
+def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     """M13 (Mann-Whitney form): AUC = (sum of positive mid-ranks - P(P+1)/2)
-    / (P * N). Mid-ranks come from exact positions of the scores; NULL when a
-    class is missing."""
-    base = df.where(F.col(y).isNotNull() & F.col(score).isNotNull()).select(
-        F.col(y).cast("int").alias("_y"), F.col(score).cast("double").alias("_s"))
-    pos = with_group_position(base, [], ["_s", "_y"], method=method)
-    per_score = pos.groupBy("_s").agg((F.avg(POS) + 1).alias("_mid"), F.sum("_y").alias("_p"),
-                                      F.count(F.lit(1)).alias("_c"))
-    tot = per_score.agg(F.sum(F.col("_mid") * F.col("_p")).alias("_r"), F.sum("_p").alias("_P"),
-                        F.sum("_c").alias("_T"))
+    / (P * N). Rows are counted by score first; a score's mid-rank follows from
+    the rows before it and its own. NULL when a class is missing."""
+    base = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
+    counts = base.groupBy(F.col(score).cast("double").alias("_s")).agg(F.sum(F.col(y).cast("int")).alias("_p"), F.count(F.lit(1)).alias("_c"))
+    placed = counted_order(counts, [], ["_s"], "_c")
+    mid = F.col(POS) + (F.col("_c") + 1) / 2
+    tot = placed.agg(F.sum(mid * F.col("_p")).alias("_r"), F.sum("_p").alias("_P"), F.sum("_c").alias("_T"))
     neg = F.col("_T") - F.col("_P")
     auc = F.when((F.col("_P") > 0) & (neg > 0),
                  (F.col("_r") - F.col("_P") * (F.col("_P") + 1) / 2) / (F.col("_P") * neg))
@@ -78,7 +90,8 @@ def roc_auc(df: DataFrame, y: str, score: str, method: str = "auto") -> DataFram
 
 
 def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip")
+    """A missing feature is an error: callers drop such rows (P8) in plain sight."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> PipelineModel:
@@ -89,7 +102,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], target: str) -> PipelineM
 
 
 def fit_forest_regressor(df: DataFrame, features: Sequence[str], target: str,
-                         num_trees: int = 80, min_leaf: int = 3, max_depth: int = 12) -> PipelineModel:
+                         num_trees: int = 80, min_leaf: int = 3, max_depth: int = MAX_DEPTH) -> PipelineModel:
     """M5: random-forest regressor (80 trees, min leaf 3, seed 42)."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
                                numTrees=num_trees, minInstancesPerNode=min_leaf, seed=SEED,
@@ -98,7 +111,7 @@ def fit_forest_regressor(df: DataFrame, features: Sequence[str], target: str,
 
 
 def fit_forest_classifier(df: DataFrame, features: Sequence[str], label: str, weight: str | None = "w",
-                          num_trees: int = 100, min_leaf: int = 3, max_depth: int = 12) -> PipelineModel:
+                          num_trees: int = 100, min_leaf: int = 3, max_depth: int = MAX_DEPTH) -> PipelineModel:
     """M6: random-forest classifier (100 trees, min leaf 3, seed 42,
     balanced class weights through ``weightCol``)."""
     kw = {"weightCol": weight} if weight else {}

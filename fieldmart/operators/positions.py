@@ -1,28 +1,17 @@
 """Order statistics without putting a whole group into one task.
 
-A window ``PARTITION BY key`` (or an exact ``percentile`` aggregate) places all
-rows (or all distinct values) of a key in one task. When one key holds a third
-of the data that task cannot finish. The helpers here rank rows with a range
-shuffle instead:
-
-1. ``repartitionByRange(keys, order)`` samples the data and cuts it into
-   ranges, so a hot key is spread over many tasks by its order value;
-2. inside each partition rows are sorted and numbered
-   (``monotonically_increasing_id`` is consecutive within a partition);
-3. a *segment table* -- one row per (partition, key) with its first row id and
-   row count -- gives each segment its offset inside the key. It has at most
-   ``#partitions + #keys`` rows, which is why it can be aggregated with a
-   window on the key (a hot key owns at most ``#partitions`` segment rows).
-
-Positions are exact; rows that tie on (key, order) may take either of their
-positions, which never changes a quantile, rank or stratified count.
-
-``method="auto"`` (the default everywhere) first counts the rows of the
-largest key (a partially aggregated count). When that is at most
-``fieldmart.quantiles.maxGroupRows`` (1,000,000 by default) the in-task forms
-are used -- exact ``percentile`` aggregates or windows, ``row_number`` --
-which need fewer stages; otherwise the range-shuffle path above.
-"""
+One helper carries them all. :func:`counted_order` takes rows with a count,
+range-partitions them by (keys, order) -- so a hot key is cut into many tasks
+by its order value -- and writes that frame once, with its partition numbers.
+The counts of the (partition, key) segments, at most ``#partitions + #keys``
+rows, say how much of a key lies before each partition; a window inside one
+(partition, key) adds what lies before a row. Both readers see the same written
+rows, whatever is recomputed.
+
+Quantiles and AUC first reduce the data to counts per (key, value), so the
+range shuffle moves distinct values, not rows. Positions are exact; rows that tie
+on (key, order) may take either of their positions, which never changes a
+quantile, a rank or a stratified count. There is one path for every size."""
 
 from __future__ import annotations
 
@@ -31,186 +20,85 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldmart.session import default_parallelism
+from fieldmart.session import default_parallelism, materialize
 
-RID, PID, POS, GROUP_N = "_rid", "_pid", "_pos", "_n"
+POS, GROUP_N = "_pos", "_n"
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool,
-              num_partitions: int | None) -> DataFrame:
-    n = num_partitions or default_parallelism(df.sparkSession)
-    ordering = [F.col(k) for k in keys] + [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    numbered = (df.repartitionByRange(n, *ordering)
-                  .sortWithinPartitions(*ordering)
-                  .withColumn(RID, F.monotonically_increasing_id())
-                  .withColumn(PID, F.shiftright(F.col(RID), 33)))
-    # Both consumers must see one set of range bounds. Spark shares the
-    # exchange between them; where exchange reuse is switched off, the
-    # numbered frame is written once instead.
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from fieldmart.session import materialize
-
-        numbered = materialize(numbered, "numbered")
-    return numbered
+def present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with every key; the rest never meets in one group."""
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
 
 
-def _segments(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
-    seg = numbered.groupBy(PID, *keys).agg(F.min(RID).alias("_r0"), F.count(F.lit(1)).alias("_c"))
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    before = by_key.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    return (seg.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               .withColumn(GROUP_N, F.sum("_c").over(by_key)))
+def counted_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], count: str, descending: bool = False,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``_pos``, the counts of all earlier rows of its key group,
+    and ``_n``, the group's whole count."""
+    n = num_partitions or default_parallelism(df.sparkSession)
+    ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
+    placed = materialize(df.repartitionByRange(n, *[F.col(k) for k in keys], *ordering)
+                         .withColumn("_pid", F.spark_partition_id()), "counted-order")
+    segment = placed.groupBy("_pid", *keys).agg(F.sum(count).alias("_s"))
+    by_key = Window.partitionBy(*keys)
+    earlier = by_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    segment = segment.select("_pid", *keys, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
+                             F.sum("_s").over(by_key).alias(GROUP_N))
+    inside = Window.partitionBy("_pid", *keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
+    return (placed.withColumn("_in", F.coalesce(F.sum(count).over(inside), F.lit(0)))
+            .join(segment, ["_pid", *keys])
+            .withColumn(POS, F.col("_off") + F.col("_in")).drop("_pid", "_off", "_in"))
 
 
 def with_group_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False,
-                        num_partitions: int | None = None, method: str = "auto") -> DataFrame:
-    """Return ``keys + order`` columns with ``_pos`` (0-based position by
-    ``order`` inside the key group) and ``_n`` (group size). Rows with a NULL
-    key are dropped (SURVEY T2).
-
-    ``method``: ``sort`` -- range shuffle, any skew (below); ``window`` --
-    ``row_number`` over the key (each group in one task); ``auto`` -- the
-    window when a size check proves the largest group is at most
-    ``fieldmart.quantiles.maxGroupRows`` rows, else ``sort``.
-
-    On the sort path only the key and order columns travel through the range
-    shuffle. The numbered frame feeds two branches (segment table and
-    positions); with no other columns both branches need exactly the same
-    shuffle output, so the plan shares one exchange and one set of range
-    bounds. (Carrying extra columns would let column pruning split it into
-    two exchanges whose sampled bounds can differ.) Callers join payload back
-    on a row key."""
-    base = df.select(*keys, *order)
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
-    if resolve_method(base, keys, method, hash_name="window") == "window":
-        by_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
-        ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-        return base.select(*keys, *order, (F.row_number().over(by_key.orderBy(*ordering)) - 1).alias(POS),
-                           F.count(F.lit(1)).over(by_key).alias(GROUP_N))
-    s = _numbered(base, keys, order, descending, num_partitions)
-    seg = _segments(s, keys)
-    return (s.join(seg, [PID, *keys])
-              .withColumn(POS, F.col("_off") + F.col(RID) - F.col("_r0"))
-              .select(*keys, *order, POS, GROUP_N))
-
-
-def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                    probs: Mapping[str, float], num_partitions: int | None = None) -> DataFrame:
+                        num_partitions: int | None = None) -> DataFrame:
+    """``keys + order`` columns with ``_pos`` (0-based position by ``order``
+    inside the key group) and ``_n`` (group size). Rows with a NULL key are
+    dropped; callers join payload back on a row key."""
+    base = present(df.select(*dict.fromkeys([*keys, *order])), keys).withColumn("_one", F.lit(1).cast("bigint"))
+    return counted_order(base, keys, order, "_one", descending, num_partitions).drop("_one")
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float],
+              num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (A15/A16, T12) per key, for
-    several columns with one range shuffle. Missing values are ignored; a key
-    whose values are all missing gets no row (callers left-join, so they read
-    NULL). Output: keys + one column ``f"{name}_{column}"`` per (prob, column).
-
-    Only the rows sitting at the wanted positions are joined back (at most
-    2 x len(probs) per key and column)."""
-    stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_x"))
-        for i, c in enumerate(columns)])).alias("_s")).select(*keys, "_s._ci", "_s._x")
-    stacked = stacked.where(F.col("_x").isNotNull())
-    for k in keys:
-        stacked = stacked.where(F.col(k).isNotNull())
-    gkeys = [*keys, "_ci"]
-    s = _numbered(stacked, gkeys, ["_x"], False, num_partitions)
-    seg = _segments(s, gkeys)
-
-    targets = []
-    for qi, p in enumerate(probs.values()):
-        h = F.lit(float(p)) * (F.col(GROUP_N) - 1)
-        targets.append(F.struct(F.lit(qi).alias("qi"), F.lit(0).alias("side"), F.floor(h).alias("t")))
-        targets.append(F.struct(F.lit(qi).alias("qi"), F.lit(1).alias("side"), F.ceil(h).alias("t")))
-    want = (seg.select(*gkeys, "_r0", "_c", "_off", GROUP_N, F.explode(F.array(*targets)).alias("_tg"))
-               .where((F.col("_tg.t") >= F.col("_off")) & (F.col("_tg.t") < F.col("_off") + F.col("_c")))
-               .select((F.col("_r0") + F.col("_tg.t") - F.col("_off")).alias(RID), *gkeys,
-                       F.col("_tg.qi").alias("_qi"), F.col("_tg.side").alias("_side"), GROUP_N))
-    picked = s.select(RID, "_x").join(want, RID)
-
-    # One aggregation per key: pick the two neighbours of every (column,
-    # prob) and interpolate (lo + (hi - lo) * frac, as quantile_cont does).
-    aggs = []
-    for ci in range(len(columns)):
-        aggs.append(F.max(F.when(F.col("_ci") == ci, F.col(GROUP_N))).alias(f"_n{ci}"))
-        for qi in range(len(probs)):
-            for side in (0, 1):
-                hit = (F.col("_ci") == ci) & (F.col("_qi") == qi) & (F.col("_side") == side)
-                aggs.append(F.max(F.when(hit, F.col("_x"))).alias(f"_v{ci}_{qi}_{side}"))
-    per_key = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
-    out = []
-    for ci, c in enumerate(columns):
-        for qi, (name, p) in enumerate(probs.items()):
-            h = F.lit(float(p)) * (F.col(f"_n{ci}") - 1)
-            lo, hi = F.col(f"_v{ci}_{qi}_0"), F.col(f"_v{ci}_{qi}_1")
-            out.append((lo + (hi - lo) * (h - F.floor(h))).alias(f"{name}_{c}"))
-    return per_key.select(*keys, *out)
-
-
-def hash_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                   probs: Mapping[str, float]) -> DataFrame:
-    """Bounded-group form of :func:`group_quantiles`: one hash aggregate with
-    Spark's exact ``percentile`` (partial value counts on the map side, merged
-    per key). The final merge holds a key's distinct values in one task, so it
-    is chosen only when the largest key is known to be small (``auto``)."""
-    base = df
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
-    aggs = [F.percentile(F.col(c).cast("double"), float(p)).alias(f"{name}_{c}")
-            for c in columns for name, p in probs.items()]
-    return base.groupBy(*keys).agg(*aggs)
+    several columns at once. Missing values are ignored; a key whose values are
+    all missing gets no row (callers left-join and read NULL). Output: keys + one
+    column ``f"{name}_{column}"`` per (prob, column)."""
+    stacked = present(df, keys).select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])).alias("_s"))
+    stacked = stacked.select(*keys, "_s._ci", "_s._x").where(F.col("_x").isNotNull())
+    counts = stacked.groupBy(*keys, "_ci", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    placed = counted_order(counts, [*keys, "_ci"], ["_x"], "_c", num_partitions=num_partitions)
+
+    def at(position):
+        return F.max(F.when((F.col(POS) <= position) & (position < F.col(POS) + F.col("_c")), F.col("_x")))
+
+    h = {name: F.lit(float(p)) * (F.col(GROUP_N) - 1) for name, p in probs.items()}
+    picked = placed.groupBy(*keys, "_ci").agg(F.max(GROUP_N).alias(GROUP_N), *[
+        a for i, x in enumerate(h.values()) for a in (at(F.floor(x)).alias(f"_lo{i}"), at(F.ceil(x)).alias(f"_hi{i}"))])
+    # one interpolation for every caller: lo + (hi - lo) * fraction
+    value = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x)) for i, x in enumerate(h.values())]
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_ci") == ci, v)).alias(f"{name}_{c}")
+                                       for ci, c in enumerate(columns) for name, v in zip(probs, value)])
 
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                      probs: Mapping[str, float], accuracy: int = 10000) -> DataFrame:
-    """Bounded-memory form (mergeable sketch, map-side partial aggregation)."""
-    base = df
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
+    """Mergeable-sketch quantiles, for callers who ask for them by name."""
     aggs = [F.percentile_approx(F.col(c).cast("double"), float(p), accuracy).alias(f"{name}_{c}")
             for c in columns for name, p in probs.items()]
-    return base.groupBy(*keys).agg(*aggs)
-
-
-QUANTILE_METHODS = {"sort": group_quantiles, "hash": hash_quantiles, "approx": approx_quantiles}
-
-# Largest key (rows) for which the exact hash aggregate is used by "auto".
-AUTO_MAX_GROUP_ROWS = 1_000_000
-
-
-def resolve_method(df: DataFrame, keys: Sequence[str], method: str = "auto",
-                   max_group_rows: int | None = None, hash_name: str = "hash") -> str:
-    """``auto`` -> ``hash_name`` (the in-task form) when the largest key holds
-    at most ``fieldmart.quantiles.maxGroupRows`` rows (one partially
-    aggregated count per key), else ``sort`` (range shuffle, any skew)."""
-    if method != "auto":
-        return method
-    if max_group_rows is None:
-        conf = df.sparkSession.conf.get("fieldmart.quantiles.maxGroupRows", None)
-        max_group_rows = int(conf) if conf else AUTO_MAX_GROUP_ROWS
-    base = df
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else base.agg(F.count(F.lit(1)).alias("_c"))
-    biggest = counts.agg(F.max("_c")).first()[0] or 0
-    return hash_name if biggest <= max_group_rows else "sort"
-
-
-def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-              probs: Mapping[str, float], method: str = "auto") -> DataFrame:
-    method = resolve_method(df, keys, method)
-    try:
-        fn = QUANTILE_METHODS[method]
-    except KeyError:
-        raise ValueError(f"unknown quantile method {method!r}") from None
-    return fn(df, keys, columns, probs)
+    return present(df, keys).groupBy(*keys).agg(*aggs)
 
 
 def dense_rank_by(df: DataFrame, column: str, ascending: bool = True,
-                  out: str = "rank", partition_keys: Sequence[str] = (), method: str = "auto") -> DataFrame:
-    """Dense rank of ``column`` (optionally inside ``partition_keys``)
-    without a single-partition window: rank the distinct values with
-    :func:`with_group_position`, then join the ranks back. NULL values get a
-    NULL rank (T10). The rank is BIGINT (T23)."""
+                  out: str = "rank", partition_keys: Sequence[str] = ()) -> DataFrame:
+    """Dense rank of ``column`` (optionally inside ``partition_keys``):
+    positions of the distinct values, joined back. NULL values get a NULL rank
+    (T10). The rank is BIGINT (T23)."""
     vals = df.select(*partition_keys, F.col(column).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    ranks = (with_group_position(vals, list(partition_keys), ["_v"], descending=not ascending, method=method)
+    ranks = (with_group_position(vals, list(partition_keys), ["_v"], descending=not ascending)
              .select(*partition_keys, "_v", (F.col(POS) + 1).cast("bigint").alias(out)))
     cond = [df[column] == ranks["_v"]] + [df[k] == ranks[k] for k in partition_keys]
     joined = df.join(ranks, cond, "left")

@@ -45,9 +45,3 @@ def check_schema(df: DataFrame, expected: StructType, check_nullable: bool = Fal
                 problems.append(f"column {n} is nullable")
     return problems
 
-
-def assert_schema(df: DataFrame, expected: StructType) -> DataFrame:
-    problems = check_schema(df, expected)
-    if problems:
-        raise ValueError("schema check failed: " + "; ".join(problems))
-    return df

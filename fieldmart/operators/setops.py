@@ -45,3 +45,10 @@ def derive_targets(fact: DataFrame, key: Sequence[str], primary: str, fallback:
                    out: str = "actual_flow_rate_tpd") -> DataFrame:
     """target = COALESCE(primary, fallback) per key."""
     return fact.select(*key, F.coalesce(F.col(primary), F.col(fallback)).alias(out))
+
+
+def insert_targets(old: DataFrame, fact: DataFrame, key: Sequence[str], primary: str, fallback: str,
+                   out: str = "actual_flow_rate_tpd") -> DataFrame:
+    """U5 with its conflict rule: derived targets of ``fact`` are inserted unless
+    ``old`` has the key."""
+    return insert_ignore(old, derive_targets(fact, key, primary, fallback, out), key, prefer=out)

@@ -31,11 +31,12 @@ def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequ
     weights = ml.class_weights(train, LABEL)
     train_w = train.join(F.broadcast(weights.select(LABEL, "w")), LABEL, "left")  # one row per class
     model = ml.fit_forest_classifier(train_w, feats, LABEL, weight="w")
-    risk = ml.risk_score(model, split)
+    risk = materialize(ml.risk_score(model, split), "risk")   # scored once: outputs, metrics and counts read it
     test = risk.where(F.col("is_test") == 1)
     acc = ml.accuracy(test, LABEL, "predicted_label")
     auc = ml.roc_auc(test, LABEL, "risk_score")
-    n_train, n_test = train.count(), split.where(F.col("is_test") == 1).count()
+    n = split.agg(F.count_if(F.col("is_test") == 0).alias("train"), F.count_if(F.col("is_test") == 1).alias("test")).first()
+    n_train, n_test = n["train"], n["test"]
     metrics = (acc.select(F.lit("random_forest_classifier").alias("model_name"), "accuracy",
                           auc.select("roc_auc").scalar().alias("roc_auc"))
                   .withColumn("rows_train", F.lit(n_train)).withColumn("rows_test", F.lit(n_test)))

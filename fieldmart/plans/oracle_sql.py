@@ -65,6 +65,19 @@ v AS (
   FROM lineitem)"""
 
 
+def r6(expr: str) -> str:
+    """Tie-stable rounding to 6 decimals: snap to integer nanos, then round
+    half up to micros. Plain IEEE operations, so both engines agree even when
+    their sums differ in the last bit (see ``round6`` in queries.py)."""
+    return f"(floor(floor(({expr}) * 1e9 + 0.5) / 1000.0 + 0.5) / 1e6)"
+
+
+def fence_sql(x: str, q1: str, q3: str, k: float) -> str:
+    """W2's test: fences and value compared at 6 decimals."""
+    iqr = f"({q3} - {q1})"
+    return (f"coalesce({r6(iqr)} = 0 OR ({r6(x)} >= {r6(f'{q1} - {k} * {iqr}')} AND {r6(x)} <= {r6(f'{q3} + {k} * {iqr}')}), false)")
+
+
 def clean_fact_sql(src: str, out: str) -> str:
     """L1 on view ``src`` as CTE ``out`` (median fill, fences, clip, fallback)."""
     return f"""
@@ -79,7 +92,7 @@ def clean_fact_sql(src: str, out: str) -> str:
          coalesce(w.oil, w.flow * 0.9) AS oil, w.water,
          CASE WHEN w.downtime < 0 THEN 0.0 WHEN w.downtime > 24 THEN 24.0 ELSE w.downtime END AS downtime
   FROM {out}_w1 w LEFT JOIN {out}_q q ON w.entity_id = q.entity_id
-  WHERE coalesce((q.q3 - q.q1) = 0 OR (w.flow >= q.q1 - 1.5 * (q.q3 - q.q1) AND w.flow <= q.q3 + 1.5 * (q.q3 - q.q1)), false))"""
+  WHERE w.entity_id IS NOT NULL AND {fence_sql("w.flow", "q.q1", "q.q3", 1.5)})"""
 
 
 CLEAN_D = "WITH " + D_CTE + "," + clean_fact_sql("d", "cd")
@@ -98,17 +111,19 @@ cr AS (
   WHERE coalesce(value BETWEEN 0.5 AND 1000, false) AND coalesce(k BETWEEN 2 AND 97, false))"""
 
 
-def r6(expr: str) -> str:
-    """Tie-stable rounding to 6 decimals: snap to integer nanos, then round
-    half up to micros. Plain IEEE operations, so both engines agree even when
-    their sums differ in the last bit (see ``round6`` in queries.py)."""
-    return f"(floor(floor(({expr}) * 1e9 + 0.5) / 1000.0 + 0.5) / 1e6)"
-
-
 def _r6(cols: list[str]) -> str:
     return ", ".join(f"{r6(c)} AS {c.split('.')[-1]}" for c in cols)
 
 
+def xsum(x: str) -> str:
+    """Sum of decimals with nine places: no order of rows changes it."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,9))) AS DOUBLE)"
+
+
+def xavg(x: str) -> str:
+    return f"({xsum(x)} / nullif(count({x}), 0))"
+
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["clean_daily_fact"] = CLEAN_D + f"""
@@ -121,17 +136,17 @@ SELECT event_id, entity_id, ts, event_type, {_r6(['value', 'k', 'runtime'])}, da
 
 ORACLE["production_daily"] = CLEAN_D + """,
 pd AS (
-SELECT day, coalesce(sum(oil), 0) AS total_oil_tons, avg(flow) AS avg_flow_rate_tpd,
-       coalesce(sum(downtime), 0) AS total_downtime_hours, count(DISTINCT entity_id) AS active_wells
+SELECT day, coalesce(""" + xsum("oil") + """, 0) AS total_oil_tons, """ + xavg("flow") + """ AS avg_flow_rate_tpd,
+       coalesce(""" + xsum("downtime") + """, 0) AS total_downtime_hours, count(DISTINCT entity_id) AS active_wells
 FROM cd GROUP BY day)
 SELECT day, """ + _r6(["total_oil_tons", "avg_flow_rate_tpd", "total_downtime_hours"]) + """, active_wells FROM pd"""
 
-KPI_CTE = """,
+KPI_CTE = f""",
 kpi AS (
   SELECT k.*, es.name, es.field, es.region, es.status,
          k.downtime_hours / (k.days_count * 24) * 100 AS downtime_pct
-  FROM (SELECT entity_id, avg(flow) AS avg_flow_rate_tpd, coalesce(sum(oil), 0) AS total_oil_tons,
-               coalesce(sum(downtime), 0) AS downtime_hours, count(DISTINCT day) AS days_count
+  FROM (SELECT entity_id, {xavg('flow')} AS avg_flow_rate_tpd, coalesce({xsum('oil')}, 0) AS total_oil_tons,
+               coalesce({xsum('downtime')}, 0) AS downtime_hours, count(DISTINCT day) AS days_count
         FROM cd GROUP BY entity_id) k
   LEFT JOIN es ON k.entity_id = es.entity_id)"""
 
@@ -142,9 +157,9 @@ SELECT entity_id, {_r6(['avg_flow_rate_tpd', 'total_oil_tons', 'downtime_hours']
        name, field, region, status, {r6('downtime_pct')} AS downtime_pct
 FROM kpi"""
 
-RD_CTE = """
-rd AS (SELECT entity_id, day, avg(value) AS avg_value, avg(k) AS avg_k,
-              coalesce(sum(runtime), 0.0) AS runtime_hours
+RD_CTE = f"""
+rd AS (SELECT entity_id, day, {xavg('value')} AS avg_value, {xavg('k')} AS avg_k,
+              coalesce({xsum('runtime')}, 0.0) AS runtime_hours
        FROM cr WHERE entity_id IS NOT NULL AND day IS NOT NULL GROUP BY entity_id, day)"""
 
 FEAT_BASE = ("WITH " + U_CTE + "," + clean_fact_sql("u", "cu") + "," + CLEAN_R_CTE + "," + RD_CTE + ","
@@ -184,8 +199,8 @@ ORACLE["readings_daily"] = "WITH " + R_CTE + "," + CLEAN_R_CTE + "," + RD_CTE +
 SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM rd"""
 
 ORACLE["readings_daily_raw"] = "WITH " + R_CTE + f""",
-a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, avg(value) AS avg_value, avg(k) AS avg_k,
-              coalesce(sum(runtime), 0.0) AS runtime_hours
+a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, {xavg('value')} AS avg_value, {xavg('k')} AS avg_k,
+              coalesce({xsum('runtime')}, 0.0) AS runtime_hours
        FROM r WHERE entity_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2)
 SELECT entity_id, day, {_r6(['avg_value', 'avg_k', 'runtime_hours'])} FROM a4"""
 
@@ -194,35 +209,37 @@ SELECT entity_id, day, {_r6(['flow', 'oil', 'water', 'downtime', 'avg_value', 'a
                               'downtime_ratio'])}, field, region FROM feat"""
 
 
-def _bin_sql(x: str, src: str, name: str, bins: int = 6) -> dict[str, str]:
-    """SQL form of pd.cut(x, bins) with min/max as scalar subqueries."""
-    mn, mx = f"(SELECT min({x}) FROM {src})", f"(SELECT max({x}) FROM {src})"
-    pad = f"(CASE WHEN {mn} = 0 THEN 0.001 ELSE abs({mn}) * 0.001 END)"
-    lo_all = f"(CASE WHEN {mn} = {mx} THEN {mn} - {pad} ELSE {mn} END)"
-    hi_all = f"(CASE WHEN {mn} = {mx} THEN {mx} + {pad} ELSE {mx} END)"
-    width = f"(({hi_all} - {lo_all}) / {float(bins)})"
-    idx = (f"(CASE WHEN {x} IS NULL THEN NULL ELSE least({bins}, greatest(1, "
-           f"CAST(ceil(({x} - {lo_all}) / {width}) AS INTEGER))) END)")
-    first = f"(CASE WHEN {mn} = {mx} THEN {lo_all} ELSE {lo_all} - ({hi_all} - {lo_all}) * 0.001 END)"
-    lo = f"(CASE WHEN {idx} = 1 THEN {first} ELSE {lo_all} + ({idx} - 1) * {width} END)"
-    hi = f"(CASE WHEN {idx} = {bins} THEN {hi_all} ELSE {lo_all} + {idx} * {width} END)"
-    label = (f"(CASE WHEN {idx} IS NULL THEN 'nan' ELSE '(' || CAST(round({lo}, 3) AS VARCHAR) || ', ' "
-             f"|| CAST(round({hi}, 3) AS VARCHAR) || ']' END)")
-    return {f"{name}_idx": idx, name: label}
-
-
-_PB = _bin_sql("avg_value", "feat", "pressure_bin")
-_TB = _bin_sql("avg_k", "feat", "temperature_bin")
-ORACLE["bin_heatmap"] = FEAT_BASE + f""",
-b AS (SELECT flow, entity_id, {_PB['pressure_bin_idx']} AS pressure_bin_idx, {_PB['pressure_bin']} AS pressure_bin,
-             {_TB['temperature_bin_idx']} AS temperature_bin_idx, {_TB['temperature_bin']} AS temperature_bin
-      FROM feat),
+def bin_ctes(name: str, x: str, src: str, bins: int = 6) -> str:
+    """pd.cut's rule as an edge table {name}_e (j, lo, hi), j from 1: a value lies in
+    the bin whose edges enclose it, lowest edge lowered by 0.1 % of the range."""
+    return f"""
+{name}_s AS (SELECT CAST(min({x}) AS DOUBLE) AS mn, CAST(max({x}) AS DOUBLE) AS mx FROM {src}),
+{name}_r AS (SELECT mn, mx, CASE WHEN mn = mx THEN mn - (CASE WHEN mn = 0 THEN 0.001::DOUBLE ELSE abs(mn) * 0.001::DOUBLE END) ELSE mn END AS lo,
+                    CASE WHEN mn = mx THEN mx + (CASE WHEN mn = 0 THEN 0.001::DOUBLE ELSE abs(mn) * 0.001::DOUBLE END) ELSE mx END AS hi FROM {name}_s),
+{name}_j AS (SELECT CAST(unnest(range(0, {bins + 1})) AS INTEGER) AS j),
+{name}_p AS (SELECT j, CASE WHEN j = {bins} THEN hi WHEN j = 0 AND mn <> mx THEN lo - (hi - lo) * 0.001::DOUBLE
+                            ELSE lo + j::DOUBLE * ((hi - lo) / {bins}::DOUBLE) END AS edge FROM {name}_j, {name}_r),
+{name}_e AS (SELECT a.j + 1 AS idx, a.edge AS lo, b.edge AS hi,
+                    '(' || CAST(round(a.edge, 3) AS VARCHAR) || ', ' || CAST(round(b.edge, 3) AS VARCHAR) || ']' AS label
+             FROM {name}_p a JOIN {name}_p b ON b.j = a.j + 1)"""
+
+
+ORACLE["bin_heatmap"] = FEAT_BASE + "," + bin_ctes("pb", "avg_value", "feat") + "," + bin_ctes("tb", "avg_k", "feat") + f""",
+b AS (SELECT flow, entity_id, pb_e.idx AS pressure_bin_idx, coalesce(pb_e.label, 'nan') AS pressure_bin,
+             tb_e.idx AS temperature_bin_idx, coalesce(tb_e.label, 'nan') AS temperature_bin
+      FROM feat LEFT JOIN pb_e ON avg_value > pb_e.lo AND avg_value <= pb_e.hi
+                LEFT JOIN tb_e ON avg_k > tb_e.lo AND avg_k <= tb_e.hi),
 h AS (SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,
-             avg(flow) AS avg_flow_rate_tpd, count(entity_id) AS observations
+             {xavg('flow')} AS avg_flow_rate_tpd, count(entity_id) AS observations
       FROM b GROUP BY ALL)
 SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,
        {r6('avg_flow_rate_tpd')} AS avg_flow_rate_tpd, observations FROM h"""
 
+ORACLE["bin_edges"] = "WITH li AS (SELECT l_linenumber, 1.0::DOUBLE AS one FROM lineitem)," + bin_ctes("lb", "l_linenumber", "li") + "," + bin_ctes("ob", "one", "li") + """
+SELECT l_linenumber, lb_e.idx AS line_bin_idx, lb_e.label AS line_bin, ob_e.idx AS one_bin_idx, ob_e.label AS one_bin, count(*) AS rows_count
+FROM li LEFT JOIN lb_e ON l_linenumber > lb_e.lo AND l_linenumber <= lb_e.hi LEFT JOIN ob_e ON one > ob_e.lo AND one <= ob_e.hi
+GROUP BY ALL"""
+
 ORACLE["group_zscore_flags"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
 SELECT event_id, entity_id, ts, {_r6(['value', 'k', 'z_value', 'z_k'])}, is_anomaly FROM zl"""
 
@@ -233,13 +250,13 @@ SELECT event_id, entity_id, ts,
 FROM r"""
 
 ORACLE["delay_by_category"] = "WITH " + V_CTE + f"""
-SELECT category, {r6('avg(delay)')} AS avg_delay_hours, {r6('avg(is_delayed)')} AS delayed_share,
+SELECT category, {r6(xavg('delay'))} AS avg_delay_hours, {r6(xavg('is_delayed'))} AS delayed_share,
        count(*) AS deliveries_count
 FROM v WHERE category IS NOT NULL GROUP BY category"""
 
-COST_CTE = """,
-cr_ AS (SELECT route, avg(distance) AS avg_distance_km, avg(cost) AS avg_cost_rub,
-               avg(cost_per_km) AS avg_cost_per_km, count(*) AS deliveries_count
+COST_CTE = f""",
+cr_ AS (SELECT route, {xavg('distance')} AS avg_distance_km, {xavg('cost')} AS avg_cost_rub,
+               {xavg('cost_per_km')} AS avg_cost_per_km, count(*) AS deliveries_count
         FROM v WHERE route IS NOT NULL GROUP BY route)"""
 
 ORACLE["cost_by_route"] = "WITH " + V_CTE + COST_CTE + f"""
@@ -251,8 +268,8 @@ SELECT route, {_r6(['avg_distance_km', 'avg_cost_rub', 'avg_cost_per_km'])}, del
 FROM cr_"""
 
 ORACLE["driver_kpi"] = "WITH " + V_CTE + f""",
-dk AS (SELECT driver_id, avg(delay) AS avg_delay_hours, avg(is_delayed) AS delayed_share,
-              avg(cost_per_km) AS avg_cost_per_km, coalesce(sum(volume), 0) AS total_volume_tons,
+dk AS (SELECT driver_id, {xavg('delay')} AS avg_delay_hours, {xavg('is_delayed')} AS delayed_share,
+              {xavg('cost_per_km')} AS avg_cost_per_km, coalesce({xsum('volume')}, 0) AS total_volume_tons,
               count(*) AS deliveries_count
        FROM v WHERE driver_id IS NOT NULL GROUP BY driver_id)
 SELECT driver_id, {_r6(['avg_delay_hours', 'delayed_share', 'avg_cost_per_km', 'total_volume_tons'])},
@@ -263,9 +280,9 @@ SELECT entity_id, name, {_r6(['avg_flow_rate_tpd', 'downtime_pct', 'total_oil_to
 FROM kpi ORDER BY avg_flow_rate_tpd DESC, entity_id LIMIT 10"""
 
 _KPI_CARDS = f"""
-SELECT {r6('coalesce(sum(oil), 0)')} AS total_oil_tons, {r6('avg(flow)')} AS avg_flow_rate_tpd,
-       {r6('avg(avg_value)')} AS avg_pressure_atm,
-       {r6('coalesce(sum(downtime), 0) / (count(*) * 24.0) * 100')} AS downtime_pct,
+SELECT {r6(f"coalesce({xsum('oil')}, 0)")} AS total_oil_tons, {r6(xavg('flow'))} AS avg_flow_rate_tpd,
+       {r6(xavg('avg_value'))} AS avg_pressure_atm,
+       {r6(f"coalesce({xsum('downtime')}, 0) / (count(*) * 24.0) * 100")} AS downtime_pct,
        count(*) AS rows_count
 FROM feat"""
 
@@ -274,7 +291,7 @@ ORACLE["kpi_cards_filtered"] = FEAT_BASE + _KPI_CARDS + """
 WHERE day >= DATE '2024-01-05' AND day <= DATE '2024-01-25' AND region IN ('ASIA', 'EUROPE', 'AMERICA')"""
 
 ORACLE["downtime_summary"] = KPI_BASE + f""",
-ds AS (SELECT region, coalesce(sum(downtime_hours), 0) AS downtime_hours,
+ds AS (SELECT region, coalesce({xsum('downtime_hours')}, 0) AS downtime_hours,
               CAST(sum(days_count) AS BIGINT) AS days_count, count(*) AS wells
        FROM kpi WHERE region IS NOT NULL GROUP BY region)
 SELECT region, {r6('downtime_hours')} AS downtime_hours, days_count, wells,
@@ -405,8 +422,8 @@ FROM lineitem"""
 
 ORACLE["flow_dataset"] = "WITH " + U_CTE + f""",
 t AS (SELECT entity_id, day, coalesce(flow, oil) AS actual_flow_rate_tpd FROM u),
-a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, avg(value) AS avg_value, avg(k) AS avg_k,
-              coalesce(sum(runtime), 0.0) AS runtime_hours
+a4 AS (SELECT entity_id, CAST(ts AS DATE) AS day, {xavg('value')} AS avg_value, {xavg('k')} AS avg_k,
+              coalesce({xsum('runtime')}, 0.0) AS runtime_hours
        FROM r WHERE entity_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
 ds AS (SELECT t.entity_id, t.day, t.actual_flow_rate_tpd, a4.avg_value, a4.avg_k, a4.runtime_hours
        FROM t JOIN a4 ON t.entity_id = a4.entity_id AND t.day = a4.day
@@ -415,12 +432,12 @@ ds AS (SELECT t.entity_id, t.day, t.actual_flow_rate_tpd, a4.avg_value, a4.avg_k
 SELECT entity_id, day, {_r6(['actual_flow_rate_tpd', 'avg_value', 'avg_k', 'runtime_hours'])} FROM ds"""
 
 ORACLE["export_round_trip"] = f"""
-SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, {r6('sum(o_totalprice)')} AS total_price
+SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, {r6(xsum('o_totalprice'))} AS total_price
 FROM orders GROUP BY 1"""
 
 # S11 twins: the marts' SQL, then the dashboard SELECT itself.
 ORACLE["sql_q1_daily_oil"] = CLEAN_D + f""",
-pd AS (SELECT day, coalesce(sum(oil), 0) AS total_oil_tons, avg(flow) AS avg_flow_rate_tpd FROM cd GROUP BY day)
+pd AS (SELECT day, coalesce({xsum('oil')}, 0) AS total_oil_tons, {xavg('flow')} AS avg_flow_rate_tpd FROM cd GROUP BY day)
 SELECT day AS production_date, {_r6(['total_oil_tons', 'avg_flow_rate_tpd'])} FROM pd"""
 ORACLE["sql_q2_well_kpi"] = KPI_BASE + f"""
 SELECT name AS well_name, {_r6(['avg_flow_rate_tpd', 'downtime_pct', 'total_oil_tons'])} FROM kpi"""
@@ -428,13 +445,93 @@ ORACLE["sql_q3_heatmap"] = ORACLE["bin_heatmap"].replace(
     "SELECT pressure_bin_idx, pressure_bin, temperature_bin_idx, temperature_bin,\n       ",
     "SELECT pressure_bin, temperature_bin, ")
 ORACLE["sql_q5_anomalies"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
-SELECT ts AS event_time, entity_id AS pump_id, {_r6(['value', 'k', 'risk_score'])}
+SELECT ts AS event_time, entity_id AS pump_id, {r6('value')} AS vibration_mm_s, {r6('k')} AS temperature_c,
+       {r6('z_value')} AS current_a, {r6('z_k')} AS rpm, {r6('risk_score')} AS risk_score
 FROM zl WHERE is_anomaly = 1"""
 ORACLE["sql_q6_delay_weather"] = ORACLE["delay_by_category"].replace("SELECT category,", "SELECT category AS weather,")
 ORACLE["sql_q7_driver_kpi"] = "WITH " + V_CTE + f""",
-dk AS (SELECT driver_id, avg(is_delayed) AS delayed_share, avg(cost_per_km) AS avg_cost_per_km,
-              coalesce(sum(volume), 0) AS total_volume_tons, count(*) AS deliveries_count
+dk AS (SELECT driver_id, {xavg('is_delayed')} AS delayed_share, {xavg('cost_per_km')} AS avg_cost_per_km,
+              coalesce({xsum('volume')}, 0) AS total_volume_tons, count(*) AS deliveries_count
        FROM v WHERE driver_id IS NOT NULL GROUP BY driver_id)
 SELECT driver_id, {_r6(['delayed_share', 'avg_cost_per_km', 'total_volume_tons'])}, deliveries_count FROM dk"""
 ORACLE["sql_q10_cost_distance"] = "WITH " + V_CTE + COST_CTE + f"""
 SELECT route, {_r6(['avg_distance_km', 'avg_cost_rub'])} FROM cr_"""
+
+ORACLE["fence_ties"] = f"""
+WITH li AS (SELECT l_suppkey AS entity_id, l_orderkey, l_linenumber, l_tax * 100 AS pct FROM lineitem),
+q AS (SELECT entity_id, quantile_cont(pct, 0.25) AS q1, quantile_cont(pct, 0.75) AS q3 FROM li GROUP BY entity_id)
+SELECT li.entity_id, l_orderkey, l_linenumber, {r6('pct')} AS pct FROM li JOIN q ON li.entity_id = q.entity_id
+WHERE {fence_sql('pct', 'q1', 'q3', 0.5)}"""
+
+ORACLE["bad_distance"] = "WITH " + V_CTE + """
+SELECT route, count(*) FILTER (WHERE distance IS NULL OR distance = 0) AS bad_distance, count(*) AS deliveries_count
+FROM v WHERE route IS NOT NULL GROUP BY route"""
+
+ORACLE["pre_failure_vibration"] = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + f"""
+SELECT entity_id, ts, {r6('value')} AS vibration, {r6('risk_score')} AS risk_score FROM zl WHERE failure_within_7d = 1"""
+
+ORACLE["insert_targets"] = "WITH " + D_CTE + f""",
+old AS (SELECT l_suppkey AS entity_id, CAST(l_shipdate AS DATE) AS day, {xavg('l_extendedprice')} AS actual_flow_rate_tpd
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+res AS (SELECT * FROM old UNION ALL
+        SELECT entity_id, day, coalesce(flow, oil) FROM d
+        WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.entity_id = d.entity_id AND old.day = d.day))
+SELECT entity_id, day, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd FROM res"""
+
+ORACLE["append_rows"] = f"""
+SELECT user_id, event_type, {r6('value')} AS value FROM events
+UNION ALL SELECT user_id, event_type, {r6('value')} FROM events WHERE event_type = 'error'"""
+
+# Models: what SQL can state. The linear fit by its normal equations, solved by
+# elimination on centred sums.
+DS_CTES = ORACLE["flow_dataset"].split("SELECT entity_id, day, (floor")[0].rstrip()
+
+ORACLE["linear_fit_residuals"] = DS_CTES + """,
+m AS (SELECT avg(actual_flow_rate_tpd) AS my, avg(avg_value) AS m1, avg(avg_k) AS m2, avg(runtime_hours) AS m3 FROM ds),
+c AS (SELECT ds.entity_id, ds.day, actual_flow_rate_tpd - my AS y, avg_value - m1 AS a, avg_k - m2 AS b, runtime_hours - m3 AS g FROM ds, m),
+n AS (SELECT sum(a*a) AS aa, sum(a*b) AS ab, sum(a*g) AS ag, sum(b*b) AS bb, sum(b*g) AS bg, sum(g*g) AS gg,
+             sum(a*y) AS ay, sum(b*y) AS byy, sum(g*y) AS gy FROM c),
+e1 AS (SELECT aa, ab, ag, ay, bb - ab*ab/aa AS b2, bg - ab*ag/aa AS bg2, gg - ag*ag/aa AS g2, byy - ab*ay/aa AS by2, gy - ag*ay/aa AS gy2 FROM n),
+e2 AS (SELECT *, (gy2 - bg2*by2/b2) / (g2 - bg2*bg2/b2) AS wg FROM e1),
+e3 AS (SELECT *, (by2 - bg2*wg) / b2 AS wb FROM e2),
+w AS (SELECT (ay - ab*wb - ag*wg) / aa AS wa, wb, wg FROM e3)
+SELECT entity_id, day, """ + r6("(y - wa*a - wb*b - wg*g) / 100") + """ * 100 AS residual FROM c, w"""
+
+IS_TEST = f"(CASE WHEN {HASH} % 100 < 25 THEN 1 ELSE 0 END)"
+ORACLE["flow_predictions"] = DS_CTES + f"""
+SELECT entity_id, day, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd, {IS_TEST} AS is_test, 1 AS error_ok, 1 AS model_ok FROM ds"""
+ORACLE["sql_q4_predictions"] = DS_CTES + f"""
+SELECT day AS target_date, entity_id AS well_id, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd, 1 AS error_ok FROM ds"""
+ORACLE["model_metrics"] = DS_CTES + f""",
+n AS (SELECT count(*) FILTER (WHERE {IS_TEST} = 0) AS rows_train, count(*) FILTER (WHERE {IS_TEST} = 1) AS rows_test FROM ds)
+SELECT unnest(['linear_regression', 'random_forest']) AS model_name, rows_train, rows_test, 1 AS errors_ok FROM n"""
+ORACLE["sql_q8_model_metrics"] = ORACLE["model_metrics"]
+
+RISK_CTES = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + """,
+risk AS (SELECT *, CAST(ts AS DATE) AS event_date FROM zl WHERE value IS NOT NULL AND k IS NOT NULL)"""
+ORACLE["failure_risk"] = RISK_CTES + """
+SELECT entity_id, ts, failure_within_7d, is_anomaly, event_date, 1 AS risk_ok FROM risk"""
+ORACLE["pump_anomalies"] = RISK_CTES + f"""
+SELECT entity_id, ts, {_r6(['value', 'k'])}, is_anomaly, failure_within_7d, event_date, 1 AS risk_ok FROM risk WHERE is_anomaly = 1"""
+ORACLE["sql_q8_failure_metrics"] = RISK_CTES + """,
+t AS (SELECT failure_within_7d, CAST(ceil(0.25 * count(*)) AS BIGINT) AS test, count(*) AS n FROM risk GROUP BY 1)
+SELECT 'random_forest_classifier' AS model_name, CAST(sum(n - test) AS BIGINT) AS rows_train, CAST(sum(test) AS BIGINT) AS rows_test,
+       1 AS accuracy_ok, 1 AS auc_ok FROM t"""
+
+ORACLE["sink_table_formats"] = f"""
+SELECT o_orderstatus, count(*) AS rows_count, {r6(xsum('o_totalprice'))} AS total_price, format
+FROM orders, (SELECT unnest(['parquet', 'csv']) AS format) f GROUP BY o_orderstatus, format"""
+ORACLE["sink_unpartitioned"] = """
+SELECT 'raw/nation' || i AS dataset, CAST(NULL AS VARCHAR) AS partition_value, (SELECT count(*) FROM nation) AS rows_count
+FROM (SELECT unnest([0, 1]) AS i) t"""
+ORACLE["sink_empty"] = "SELECT count(*) AS rows_kept, 0 AS objects_listed FROM orders"
+ORACLE["sink_raw_snapshots"] = "WITH " + R_CTE + "," + D_CTE + """
+SELECT 'raw/telemetry' AS dataset, CAST(CAST(ts AS DATE) AS VARCHAR) AS partition_value, count(*) AS rows_count FROM r GROUP BY 2
+UNION ALL SELECT 'raw/production', CAST(day AS VARCHAR), count(*) FROM d GROUP BY 2
+UNION ALL SELECT 'raw/region', NULL, count(*) FROM region"""
+ORACLE["sink_manifest"] = "SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count FROM orders GROUP BY 1"
+ORACLE["sink_report"] = f"""
+WITH m AS ({ORACLE["regression_metrics"]})
+SELECT model_name, mae, rmse, rows_count FROM m"""
+ORACLE["sink_statements"] = """
+SELECT o_orderpriority, count(*) AS rows_count FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'O' GROUP BY 1"""

@@ -18,8 +18,7 @@ def build_production_marts(production: DataFrame, telemetry: DataFrame, wells: D
                            runtime: str, reading_means: Mapping[str, str], reading_sums: Mapping[str, str],
                            pressure: str, temperature: str,
                            well_columns: Mapping[str, str],
-                           keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
-                           method: str = "auto") -> dict[str, DataFrame]:
+                           keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> dict[str, DataFrame]:
     """L3: cleaned tables, daily mart, entity KPI, ranking, features, heatmap.
 
     ``well_columns`` maps the dimension's name/field/region/status columns to
@@ -27,9 +26,9 @@ def build_production_marts(production: DataFrame, telemetry: DataFrame, wells: D
     several marts (cleaned tables, KPI, features): pass
     :func:`fieldmart.session.materialize` to write them once."""
     cp = keep(clean.clean_daily_fact(production, key=key, day=day, flow=flow, oil=oil, water=water,
-                                     downtime=downtime, method=method), "clean_production")
+                                     downtime=downtime), "clean_production")
     ct = keep(clean.clean_readings(telemetry, key=key, ts=ts, measures=list(measures), ranges=ranges,
-                                   clip_column=runtime, day="event_date", method=method), "clean_telemetry")
+                                   clip_column=runtime, day="event_date"), "clean_telemetry")
     dims = wells.select(key, *[F.col(src).alias(dst) for src, dst in well_columns.items()])
     daily = marts.production_daily(cp, day=day, key=key, flow=flow, oil=oil, downtime=downtime)
     kpi = keep(marts.entity_kpi(cp, dims, key=key, day=day, flow=flow, oil=oil, downtime=downtime,

@@ -1,6 +1,8 @@
 """Registered queries on the driver's tables: one per operator group of
-SURVEY §7.4. Each takes (spark, sf_dir) and returns a lazy DataFrame whose
-columns match the SQL twin in :mod:`fieldmart.plans.oracle_sql`."""
+SURVEY §7.4. Each takes (spark, sf_dir) and returns a DataFrame whose columns
+match the SQL twin in :mod:`fieldmart.plans.oracle_sql`. Plans that need a
+written intermediate or a fitted model run its jobs while they are built; the
+rest is lazy."""
 
 from __future__ import annotations
 
@@ -10,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from fieldmart.functions import expressions
 from fieldmart.operators import clean, marts
 from fieldmart.plans import views
-from fieldmart.session import materialize
+from fieldmart.session import materialize, materialize_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,28 +31,24 @@ def register(name: str):
     return deco
 
 
-def stable_round6(c):
-    """Round to 6 decimals so that both engines agree: snap to integer nanos,
-    then round half up to micros (the SQL twin states the same expression)."""
-    nanos = F.floor(c * F.lit(1e9) + F.lit(0.5))
-    return F.floor(nanos / F.lit(1000.0) + F.lit(0.5)) / F.lit(1e6)
-
-
 def round6(df: DataFrame) -> DataFrame:
     """Round every double column for comparison."""
-    return df.select(*[stable_round6(F.col(f.name)).alias(f.name)
+    return df.select(*[expressions.round6(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
 
+def fact_d(spark, sf):
+    """The aggregated source view, written once per session and folder."""
+    return materialize_once(spark, "daily_fact", sf, lambda: views.daily_fact(spark, sf))
+
+
 def cleaned_d(spark, sf):
-    # The aggregated source view is written once: the cleaning steps read it
-    # several times (statistics, then the join back).
-    return clean.clean_daily_fact(materialize(views.daily_fact(spark, sf), "daily_fact"))
+    return clean.clean_daily_fact(fact_d(spark, sf))
 
 
 def cleaned_u(spark, sf):
-    return clean.clean_daily_fact(materialize(views.user_daily_fact(spark, sf), "user_daily_fact"))
+    return clean.clean_daily_fact(materialize_once(spark, "user_daily_fact", sf, lambda: views.user_daily_fact(spark, sf)))
 
 
 def cleaned_r(spark, sf):
@@ -74,14 +73,26 @@ def q_clean_daily_fact(spark, sf):
 
 @register("clean_daily_fact_range")
 def q_clean_daily_fact_range(spark, sf):
-    """L1 forced onto the range-shuffle quantile path (the one ``auto`` picks
-    when an entity is too large for one task); same result as
-    ``clean_daily_fact``."""
-    d = materialize(views.daily_fact(spark, sf), "daily_fact")
-    out = clean.clean_daily_fact(d, method="sort")
+    """L1 with the statistics cut into 64 ranges; same result as
+    ``clean_daily_fact`` (the number of ranges doesn't show)."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        out = materialize(cleaned_d(spark, sf), "clean_daily_fact")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return round6(out.select("entity_id", "day", "flow", "oil", "water", "downtime"))
 
 
+@register("fence_ties")
+def q_fence_ties(spark, sf):
+    """W2 on data whose fences lie on values: tax per cent of lines (0 to 8, with
+    the last bits of a product) with fences half an interquartile range out."""
+    li = views.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("entity_id"), "l_orderkey", "l_linenumber", (F.col("l_tax") * 100).alias("pct"))
+    return round6(clean.drop_iqr_outliers(li, "entity_id", "pct", k=0.5))
+
+
 @register("clean_readings")
 def q_clean_readings(spark, sf):
     """L2: W1 P5 E4 E13 on r."""
@@ -154,12 +165,11 @@ def q_entity_ranking(spark, sf):
 
 @register("entity_ranking_range")
 def q_entity_ranking_range(spark, sf):
-    """W4 W6 with the dense rank forced onto the range-shuffle path (the one
-    ``auto`` picks for very many entities); same result as ``entity_ranking``."""
+    """W4 W6 with the dense rank taken in the whole table's one group of cleaned
+    rows: many values, ranked over ranges; joined to the entity KPI mart."""
     from fieldmart.operators.positions import dense_rank_by
 
-    r = ranking.rank_group(dense_rank_by(kpi_mart(spark, sf), "avg_flow_rate_tpd", ascending=False,
-                                         out="rank_by_flow", method="sort"))
+    r = ranking.rank_group(dense_rank_by(kpi_mart(spark, sf), "avg_flow_rate_tpd", ascending=False, out="rank_by_flow"))
     return round6(r.select("entity_id", "avg_flow_rate_tpd", "rank_by_flow", "well_group"))
 
 
@@ -190,6 +200,15 @@ def q_bin_heatmap(spark, sf):
     return round6(marts.bin_heatmap(features_mart(spark, sf), "avg_value", "avg_k", "flow"))
 
 
+@register("bin_edges")
+def q_bin_edges(spark, sf):
+    """E16 where values lie on edges (line numbers 1 to 7 in six bins) and on a
+    constant column."""
+    li = views.table(spark, sf, "lineitem").select("l_linenumber", F.lit(1.0).alias("one"))
+    b = marts.equal_width_bins(li, {"l_linenumber": "line_bin", "one": "one_bin"}, 6)
+    return b.groupBy("l_linenumber", "line_bin_idx", "line_bin", "one_bin_idx", "one_bin").agg(F.count(F.lit(1)).alias("rows_count"))
+
+
 @register("group_zscore_flags")
 def q_group_zscore_flags(spark, sf):
     """W3 P11 E7 E9-E11 on r."""
@@ -221,7 +240,13 @@ def q_cost_by_route(spark, sf):
 @register("route_recommendation")
 def q_route_recommendation(spark, sf):
     """A7 + W5."""
-    return round6(logistics.route_recommendation(logistics.cost_by_route(enriched_v(spark, sf))))
+    return round6(logistics.route_recommendation(materialize(logistics.cost_by_route(enriched_v(spark, sf)), "cost_by_route")))
+
+
+@register("bad_distance")
+def q_bad_distance(spark, sf):
+    """Deliveries without a usable distance, per route."""
+    return logistics.bad_distance(views.deliveries(spark, sf))
 
 
 @register("driver_kpi")
@@ -274,12 +299,22 @@ def q_pre_failure_curve(spark, sf):
                   .orderBy("ts", "entity_id"))
 
 
+@register("pre_failure_vibration")
+def q_pre_failure_vibration(spark, sf):
+    """Q12 with decision D5: the sensor value (vibration) beside the risk."""
+    lab = labelled_readings(spark, sf)
+    return round6(lab.where(F.col("failure_within_7d") == 1).select("entity_id", "ts", F.col("value").alias("vibration"), "risk_score")
+                  .orderBy("entity_id", "ts"))
+
+
 # --------------------------------------------------------------------------
 # integrity checks, set operations, splits and metrics
 
 from fieldmart.operators import ml, quality, setops  # noqa: E402
 from fieldmart.plans import anomaly as anomaly_job  # noqa: E402
-from fieldmart.plans import forecast  # noqa: E402
+from fieldmart.plans import forecast, reports  # noqa: E402
+from fieldmart.functions.aggregates import exact_sum, mae_of, mean, rmse_of  # noqa: E402
+from fieldmart.sources.tables import register_views  # noqa: E402
 from fieldmart.session import scratch_path  # noqa: E402
 from fieldmart.sources import sinks  # noqa: E402
 
@@ -334,7 +369,7 @@ def q_orphan_keys(spark, sf):
 @register("missing_days")
 def q_missing_days(spark, sf):
     """C4 + J6: (entity, day) cells missing inside each entity's own span."""
-    return joins.missing_days(materialize(views.daily_fact(spark, sf), "daily_fact"), "entity_id", "day")
+    return joins.missing_days(fact_d(spark, sf), "entity_id", "day")
 
 
 def _flag_facts(spark, sf):
@@ -369,16 +404,29 @@ def q_derive_targets(spark, sf):
     return round6(setops.derive_targets(views.daily_fact(spark, sf), ["entity_id", "day"], "flow", "oil"))
 
 
+@register("insert_targets")
+def q_insert_targets(spark, sf):
+    """Derived targets inserted into existing ones on (entity, day); a target
+    that is there stays. The existing ones are the returned lines' mean prices."""
+    old = (views.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+           .groupBy(F.col("l_suppkey").alias("entity_id"), F.to_date("l_shipdate").alias("day"))
+           .agg(mean("l_extendedprice").alias("actual_flow_rate_tpd")))
+    return round6(setops.insert_targets(old, fact_d(spark, sf), ["entity_id", "day"], "flow", "oil"))
+
+
+@register("append_rows")
+def q_append_rows(spark, sf):
+    """Rows without a natural key appended; equal rows stay."""
+    ev = views.table(spark, sf, "events").select("user_id", "event_type", "value")
+    return round6(setops.append(ev, ev.where(F.col("event_type") == "error")))
+
+
 @register("union_all")
 def q_union_all(spark, sf):
     """Three kinds of spikes stacked with UNION ALL."""
-    ev = views.table(spark, sf, "events")
-    parts = []
-    for kind, t, limit in (("error_spike", "error", 100.0), ("purchase_spike", "purchase", 300.0),
-                           ("click_spike", "click", 400.0)):
-        parts.append(ev.where((F.col("event_type") == t) & (F.col("value") > limit)).select(
-            F.col("user_id").alias("entity_id"), F.col("ts").alias("failure_time"),
-            F.lit(kind).alias("failure_type")))
+    parts = [views.spikes(spark, sf, t, limit).select(F.col("user_id").alias("entity_id"), F.col("ts").alias("failure_time"),
+                                                      F.lit(kind).alias("failure_type"))
+             for kind, t, limit in (("error_spike", "error", 100.0), ("purchase_spike", "purchase", 300.0), ("click_spike", "click", 400.0))]
     return setops.union_all(*parts)
 
 
@@ -409,24 +457,25 @@ PRICE_MODELS = (("rate_1000", 1000.0), ("rate_1500", 1500.0))
 def q_regression_metrics(spark, sf):
     """MAE/RMSE of fixed predictors; best = smallest RMSE."""
     li = views.table(spark, sf, "lineitem")
-    parts = []
-    for order, (name, rate) in enumerate(PRICE_MODELS):
-        p = li.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * rate).alias("p"))
-        parts.append(ml.regression_metrics(p, "y", "p").select(
-            F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), "mae", "rmse", "rows_count"))
-    m = setops.union_all(*parts)
-    best = m.select(F.min_by("model_order", F.struct("rmse", "model_order"))).scalar()
-    return round6(m.withColumn("is_best", (F.col("model_order") == best).cast("int")))
+    y, aggs = F.col("l_extendedprice"), [F.count(F.lit(1)).alias("rows_count")]
+    for order, (_, rate) in enumerate(PRICE_MODELS):   # one pass for all predictors
+        p = F.col("l_quantity") * rate
+        aggs += [mae_of(y, p).alias(f"mae{order}"), rmse_of(y, p).alias(f"rmse{order}")]
+    models = F.array(*[F.struct(F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), F.col(f"mae{order}").alias("mae"),
+                                F.col(f"rmse{order}").alias("rmse")) for order, (name, _) in enumerate(PRICE_MODELS)])
+    m = li.agg(*aggs).select("rows_count", F.inline(models))
+    best = ranking.argmin(m, "rmse", "model_order").select(F.col("model_order").alias("best_order"))   # one row
+    m = m.join(F.broadcast(best), F.col("model_order") == F.col("best_order"), "left")
+    return round6(m.select("model_name", "model_order", "mae", "rmse", "rows_count", F.col("best_order").isNotNull().cast("int").alias("is_best")))
 
 
 @register("classification_metrics")
 def q_classification_metrics(spark, sf):
     """Accuracy and ROC-AUC of the z-score risk for the failure label."""
-    lab = labelled_readings(spark, sf).withColumn("pred", (F.col("risk_score") > 1.0).cast("int"))
-    acc = ml.accuracy(lab, "failure_within_7d", "pred")
+    lab = labelled_readings(spark, sf).select("failure_within_7d", "risk_score", (F.col("risk_score") > 1.0).cast("int").alias("pred"))
+    lab = materialize(lab, "labelled")   # read by the accuracy and by the ranks
     auc = ml.roc_auc(lab, "failure_within_7d", "risk_score").select("roc_auc").scalar()
-    return round6(acc.select("accuracy", auc.alias("roc_auc"),
-                             lab.select(F.count(F.lit(1))).scalar().alias("rows_count")))
+    return round6(ml.accuracy(lab, "failure_within_7d", "pred", rows="rows_count").select("accuracy", auc.alias("roc_auc"), "rows_count"))
 
 
 @register("linear_fit_one_feature")
@@ -448,26 +497,40 @@ def q_flow_dataset(spark, sf):
 
 @register("linear_fit_residuals")
 def q_linear_fit_residuals(spark, sf):
-    """M4 on the flow dataset: per-row residuals (rows-only check)."""
+    """M4 on the flow dataset: per-row residuals at 4 decimals (the twin solves
+    the normal equations)."""
     ds = flow_ds(spark, sf)
     model = ml.fit_linear(ds, FORECAST_FEATURES, forecast.TARGET)
     s = ml.score(model, ds, out="predicted")
-    return s.select("entity_id", "day", (F.col(forecast.TARGET) - F.col("predicted")).alias("residual"))
+    return s.select("entity_id", "day", (expressions.round6((F.col(forecast.TARGET) - F.col("predicted")) / 100) * 100).alias("residual"))
+
+
+def _predictions(spark, sf):
+    return forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+
+
+def _error_ok(df):
+    """1 if the stated error is the distance between actual and prediction."""
+    return (F.abs(F.abs(F.col(forecast.TARGET) - F.col("predicted_flow_rate_tpd")) - F.col("absolute_error")) < 1e-9).cast("int")
+
+
+MODELS = ("linear_regression", "random_forest")
 
 
 @register("flow_predictions")
 def q_flow_predictions(spark, sf):
-    """L4: best model's predictions for every row (rows-only check)."""
-    preds, _ = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
-    return preds.select("entity_id", "day", forecast.TARGET, "predicted_flow_rate_tpd",
-                        "absolute_error", "model_name", "is_test")
+    """L4: the best model scores every row. The twin states keys, target, split
+    part, and that error and model name are sound; a forest's numbers have no SQL."""
+    preds, _ = _predictions(spark, sf)
+    return round6(preds.select("entity_id", "day", forecast.TARGET, "is_test", _error_ok(preds).alias("error_ok"),
+                               F.col("model_name").isin(*MODELS).cast("int").alias("model_ok")))
 
 
 @register("model_metrics")
 def q_model_metrics(spark, sf):
-    """L4 metrics table (Q8), sorted by RMSE (rows-only check)."""
-    _, metrics = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
-    return metrics.drop("created_at")
+    """L4 metrics table (Q8): both models with their row counts; errors sound."""
+    _, metrics = _predictions(spark, sf)
+    return metrics.select("model_name", "rows_train", "rows_test", ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-9)).cast("int").alias("errors_ok"))
 
 
 def _risk(spark, sf):
@@ -476,77 +539,167 @@ def _risk(spark, sf):
     return anomaly_job.train_failure_model(lab, ZSCORE_COLUMNS, ["event_id"])
 
 
+def _risk_ok():
+    return F.col("risk_score").between(0.0, 1.0).cast("int").alias("risk_ok")
+
+
 @register("failure_risk")
 def q_failure_risk(spark, sf):
-    """Risk score of every reading (rows-only check)."""
+    """A risk score in [0, 1] for every reading with all features, with
+    its label and flag."""
     risk, _ = _risk(spark, sf)
-    return anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_risk"]
+    out = anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_risk"]
+    return out.select("entity_id", "ts", "failure_within_7d", "is_anomaly", "event_date", _risk_ok())
 
 
 @register("pump_anomalies")
 def q_pump_anomalies(spark, sf):
-    """Anomalous readings with their risk (rows-only check)."""
+    """Anomalous readings with sensors, label and a risk in [0, 1]."""
     risk, _ = _risk(spark, sf)
-    return anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_anomalies"]
+    out = anomaly_job.risk_outputs(risk, sensor_cols=ZSCORE_COLUMNS)["mart_pump_anomalies"]
+    return round6(out.select("entity_id", "ts", *ZSCORE_COLUMNS, "is_anomaly", "failure_within_7d", "event_date", _risk_ok()))
+
+
+# --------------------------------------------------------------------------
+# sinks: each writes into the run's scratch (deleted with its tables) and reads back
+
+def _scratch(spark):
+    import uuid
+
+    return scratch_path(spark, "tables", spark.sparkContext.applicationId, f"sink-{uuid.uuid4().hex}")
+
+
+def _per_day(df, day):
+    return round6(df.groupBy(day).agg(F.count(F.lit(1)).alias("rows_count"), exact_sum("o_totalprice").alias("total_price")))
+
+
+@register("sink_table_formats")
+def q_sink_table_formats(spark, sf):
+    """The orders written twice (drop and replace) as parquet and as csv."""
+    root, parts = _scratch(spark), []
+    orders = views.table(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
+    for fmt in sinks.SUPPORTED_FORMATS:
+        for _ in range(2):
+            sinks.write_table(orders, f"{root}/{fmt}", fmt)
+        back = sinks._reader(spark, fmt, f"{root}/{fmt}")
+        parts.append(back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_count"), exact_sum("o_totalprice").alias("total_price"))
+                     .withColumn("format", F.lit(fmt)))
+    return round6(setops.union_all(*parts))
+
+
+@register("sink_unpartitioned")
+def q_sink_unpartitioned(spark, sf):
+    """No partition column, or one that isn't there: one plain dataset."""
+    root = _scratch(spark)
+    nation = views.table(spark, sf, "nation")
+    parts = [sinks.export_partitioned(nation, root, f"raw/nation{i}", key).groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
+             for i, key in enumerate((None, "no_such_column"))]
+    return setops.union_all(*parts)
+
+
+@register("sink_empty")
+def q_sink_empty(spark, sf):
+    """An empty frame writes nothing and keeps what was there."""
+    root = _scratch(spark)
+    orders = views.table(spark, sf, "orders").select("o_orderdate", "o_totalprice")
+    sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate")
+    listed = sinks.export_partitioned(orders.where("false"), root, "raw/orders", "o_orderdate")
+    return spark.read.parquet(f"{root}/raw/orders").agg(F.count(F.lit(1)).alias("rows_kept"), listed.select(F.count(F.lit(1))).scalar().alias("objects_listed"))
+
+
+@register("sink_raw_snapshots")
+def q_sink_raw_snapshots(spark, sf):
+    """Several frames exported at once, each by its own date key or none."""
+    r = views.readings(spark, sf).withColumn("event_date", F.to_date("ts"))
+    d = fact_d(spark, sf).withColumnRenamed("day", "production_date")
+    manifest = sinks.export_marts({"telemetry": r, "production": d, "region": views.table(spark, sf, "region")}, _scratch(spark), prefix="raw")
+    return manifest.groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
+
+
+@register("sink_manifest")
+def q_sink_manifest(spark, sf):
+    """The manifest lists every written object once; rows by date from it."""
+    root = _scratch(spark)
+    orders = views.table(spark, sf, "orders")
+    sinks.write_manifest(sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate"), f"{root}/artifacts/manifest", ["orders"])
+    back = spark.read.json(f"{root}/artifacts/manifest")
+    files = spark.read.parquet(f"{root}/raw/orders").select(F.col("_metadata.file_path").alias("object")).distinct()
+    listed = back.join(files, "object", "left_semi").where(F.col("created_at").isNotNull() & F.array_contains("tables", "orders"))
+    return listed.groupBy(F.to_date("partition_value").alias("o_orderdate")).agg(F.sum("rows_count").alias("rows_count"))
+
+
+@register("sink_report")
+def q_sink_report(spark, sf):
+    """Metrics written as JSON records and read back."""
+    path = f"{_scratch(spark)}/report"
+    sinks.write_report(QUERIES["regression_metrics"](spark, sf), path)
+    return spark.read.json(path).select("model_name", "mae", "rmse", "rows_count")
+
+
+@register("sink_statements")
+def q_sink_statements(spark, sf):
+    """Statements run in order, blank ones skipped; the last one reads what
+    the others made."""
+    views.table(spark, sf, "orders").createOrReplaceTempView("s13_orders")
+    out = sinks.execute_sql(spark, ["CREATE OR REPLACE TEMP VIEW s13_big AS SELECT * FROM s13_orders WHERE o_totalprice > 100000", "  ", "",
+                                    "CREATE OR REPLACE TEMP VIEW s13_open AS SELECT * FROM s13_big WHERE o_orderstatus = 'O'",
+                                    "SELECT o_orderpriority, count(*) AS rows_count FROM s13_open GROUP BY o_orderpriority"])
+    return out[-1]
 
 
 @register("export_round_trip")
 def q_export_round_trip(spark, sf):
-    """Orders exported by order date into the shared folder, read
+    """Orders exported by order date into the shared folder, read
     back (partition column typed date, T14), counted per date."""
-    import uuid
-
-    root = scratch_path(spark, "exports", uuid.uuid4().hex)
+    root = _scratch(spark)
     orders = views.table(spark, sf, "orders")
     sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate")
-    back = spark.read.parquet(f"{root}/raw/orders")
-    return round6(back.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("rows_count"),
-                                                   F.sum("o_totalprice").alias("total_price")))
+    return _per_day(spark.read.parquet(f"{root}/raw/orders"), "o_orderdate")
 
 
 # --------------------------------------------------------------------------
 # Dashboard and notebook SELECTs as SQL text over the marts
 
+# Key -> (dashboard query of ``reports``, names here by the mart's names).
 DASHBOARD_SQL = {
-    "sql_q1_daily_oil": "SELECT day AS production_date, total_oil_tons, avg_flow_rate_tpd "
-                        "FROM mart_production_daily ORDER BY production_date",
-    "sql_q2_well_kpi": "SELECT name AS well_name, avg_flow_rate_tpd, downtime_pct, total_oil_tons "
-                       "FROM mart_well_kpi ORDER BY avg_flow_rate_tpd DESC",
-    "sql_q3_heatmap": "SELECT pressure_bin, temperature_bin, avg_flow_rate_tpd, observations "
-                      "FROM mart_pressure_flow_heatmap",
-    "sql_q5_anomalies": "SELECT ts AS event_time, entity_id AS pump_id, value, k, risk_score "
-                        "FROM mart_pump_anomalies ORDER BY event_time",
-    "sql_q6_delay_weather": "SELECT category AS weather, avg_delay_hours, delayed_share, deliveries_count "
-                            "FROM mart_delivery_delay_weather ORDER BY avg_delay_hours DESC",
-    "sql_q7_driver_kpi": "SELECT driver_id, delayed_share, avg_cost_per_km, total_volume_tons, deliveries_count "
-                         "FROM mart_driver_kpi ORDER BY delayed_share, avg_cost_per_km",
-    "sql_q10_cost_distance": "SELECT route, avg_distance_km, avg_cost_rub "
-                             "FROM mart_delivery_cost_distance",
+    "sql_q1_daily_oil": ("q1_production_over_time", {"production_date": "day"}),
+    "sql_q2_well_kpi": ("q2_top_wells", {"well_name": "name", "well_id": "entity_id"}),
+    "sql_q3_heatmap": ("q3_pressure_temperature_heatmap", {}),
+    "sql_q5_anomalies": ("q5_anomalies_over_time", {"event_time": "ts", "pump_id": "entity_id", "vibration_mm_s": "value", "temperature_c": "k",
+                                                   "current_a": "z_value", "rpm": "z_k"}),
+    "sql_q6_delay_weather": ("q6_delay_by_weather", {"weather": "category"}),
+    "sql_q7_driver_kpi": ("q7_driver_kpi", {}),
+    "sql_q10_cost_distance": ("q10_cost_vs_distance", {}),
 }
 
 
-def _dashboard_views(spark, sf, name):
-    from fieldmart.sources.tables import register_views
+def named_like(df, names):
+    """The frame under the marts' own column names."""
+    return df.withColumnsRenamed({own: name for name, own in names.items()})
+
 
+def _dashboard_mart(spark, sf, name):
     if name == "sql_q1_daily_oil":
-        register_views(spark, {"mart_production_daily": marts.production_daily(cleaned_d(spark, sf))})
-    elif name == "sql_q2_well_kpi":
-        register_views(spark, {"mart_well_kpi": kpi_d(spark, sf)})
-    elif name == "sql_q3_heatmap":
-        register_views(spark, {"mart_pressure_flow_heatmap":
-                               marts.bin_heatmap(features_mart(spark, sf), "avg_value", "avg_k", "flow")})
-    elif name == "sql_q5_anomalies":
-        register_views(spark, {"mart_pump_anomalies": labelled_readings(spark, sf).where("is_anomaly = 1")})
-    else:
-        lm = logistics.logistics_marts(views.deliveries(spark, sf))
-        register_views(spark, {k: v for k, v in lm.items()})
+        return "mart_production_daily", marts.production_daily(cleaned_d(spark, sf))
+    if name == "sql_q2_well_kpi":
+        return "mart_well_kpi", kpi_d(spark, sf)
+    if name == "sql_q3_heatmap":
+        return "mart_pressure_flow_heatmap", marts.bin_heatmap(features_mart(spark, sf), "avg_value", "avg_k", "flow")
+    if name == "sql_q5_anomalies":
+        return "mart_pump_anomalies", labelled_readings(spark, sf).where("is_anomaly = 1")
+    made = logistics.logistics_marts(views.deliveries(spark, sf))
+    mart = {"sql_q6_delay_weather": "mart_delivery_delay_weather", "sql_q7_driver_kpi": "mart_driver_kpi", "sql_q10_cost_distance": "mart_delivery_cost_distance"}[name]
+    return mart, made[mart]
 
 
 def _sql_query(name):
+    query, names = DASHBOARD_SQL[name]
+
     def run(spark, sf):
-        _dashboard_views(spark, sf, name)
-        return round6(spark.sql(DASHBOARD_SQL[name]))
-    run.__doc__ = f"S11: {DASHBOARD_SQL[name]}"
+        mart, frame = _dashboard_mart(spark, sf, name)
+        register_views(spark, {mart: named_like(frame, names)})
+        return round6(sinks.read_sql(spark, reports.DASHBOARD[query]))
+    run.__doc__ = f"S11: {reports.DASHBOARD[query]}"
     return run
 
 
@@ -556,22 +709,28 @@ for _name in DASHBOARD_SQL:
 
 @register("sql_q4_predictions")
 def q_sql_q4_predictions(spark, sf):
-    """Actual vs predicted flow and error over time (reads the ML
-    predictions mart; rows-only check)."""
-    from fieldmart.sources.tables import register_views
-
-    preds, _ = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
-    register_views(spark, {"mart_flow_predictions": preds})
-    return spark.sql("SELECT day AS target_date, entity_id AS well_id, actual_flow_rate_tpd, "
-                     "predicted_flow_rate_tpd, absolute_error FROM mart_flow_predictions "
-                     "ORDER BY target_date, well_id")
+    """Actual and predicted flow and the error over time; the twin states
+    keys, target and that the error is sound."""
+    preds, _ = _predictions(spark, sf)
+    register_views(spark, {"mart_flow_predictions": named_like(preds, {"target_date": "day", "well_id": "entity_id"})})
+    out = sinks.read_sql(spark, reports.DASHBOARD["q4_actual_vs_predicted"])
+    return round6(out.select("target_date", "well_id", "actual_flow_rate_tpd", _error_ok(out).alias("error_ok")))
 
 
 @register("sql_q8_model_metrics")
 def q_sql_q8_model_metrics(spark, sf):
-    """Model metrics ordered by RMSE (rows-only check)."""
-    from fieldmart.sources.tables import register_views
-
-    _, metrics = forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
-    register_views(spark, {"ml_flow_metrics": metrics.drop("created_at")})
-    return spark.sql("SELECT model_name, mae, rmse, rows_train, rows_test FROM ml_flow_metrics ORDER BY rmse")
+    """Model metrics ordered by RMSE."""
+    _, metrics = _predictions(spark, sf)
+    register_views(spark, {"ml_flow_metrics": metrics})
+    out = sinks.read_sql(spark, reports.DASHBOARD["q8_model_metrics"])
+    return out.select("model_name", "rows_train", "rows_test", (F.col("mae") <= F.col("rmse") + 1e-9).cast("int").alias("errors_ok"))
+
+
+@register("sql_q8_failure_metrics")
+def q_sql_q8_failure_metrics(spark, sf):
+    """S11 Q8 for the failure model."""
+    _, metrics = _risk(spark, sf)
+    register_views(spark, {"ml_failure_metrics": metrics})
+    out = sinks.read_sql(spark, reports.DASHBOARD["q8_failure_model_metrics"])
+    return out.select("model_name", "rows_train", "rows_test", F.col("accuracy").between(0, 1).cast("int").alias("accuracy_ok"),
+                      F.col("roc_auc").between(0, 1).cast("int").alias("auc_ok"))

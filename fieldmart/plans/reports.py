@@ -39,6 +39,8 @@ DASHBOARD = {
         "FROM mart_driver_kpi ORDER BY delayed_share, avg_cost_per_km, driver_id",
     "q8_model_metrics":
         "SELECT model_name, mae, rmse, rows_train, rows_test FROM ml_flow_metrics ORDER BY rmse",
+    "q8_failure_model_metrics":
+        "SELECT model_name, accuracy, roc_auc, rows_train, rows_test FROM ml_failure_metrics",
     "q10_cost_vs_distance":
         "SELECT route, avg_distance_km, avg_cost_rub FROM mart_delivery_cost_distance ORDER BY route",
     "q11_max_risk_per_pump":
@@ -46,6 +48,10 @@ DASHBOARD = {
     "q12_risk_before_failure":
         "SELECT event_time, pump_id, risk_score FROM mart_pump_risk WHERE failure_within_7d = 1 "
         "ORDER BY pump_id, event_time",
+    "q12_vibration_before_failure":
+        "SELECT r.event_time, r.pump_id, s.vibration_mm_s, r.risk_score FROM mart_pump_risk r "
+        "LEFT JOIN pump_sensors s ON s.pump_id = r.pump_id AND s.event_time = r.event_time "
+        "WHERE r.failure_within_7d = 1 ORDER BY r.pump_id, r.event_time",
     "q13_downtime_by_day":
         "SELECT production_date, total_downtime_hours FROM mart_production_daily ORDER BY production_date",
     "q13_downtime_by_well":
@@ -67,12 +73,13 @@ def kpi_cards(features: DataFrame, date_from=None, date_to=None, regions: Sequen
 def run_dashboard(spark: SparkSession, mart_frames: Mapping[str, DataFrame],
                   limit: int | None = None) -> dict[str, DataFrame]:
     """Register the marts and return every dashboard query whose marts are
-    present (Q9 needs ``features_well_daily``)."""
+    present (Q9 needs ``features_well_daily``, Q12 with vibration the source table
+    ``pump_sensors`` beside the risk mart)."""
     register_views(spark, dict(mart_frames))
     out = {}
     for name, sql in DASHBOARD.items():
-        tables = [t for t in mart_frames if f" {t} " in f" {sql} "]
-        if not tables:
+        needed = [w for before, w in zip(sql.split(), sql.split()[1:]) if before in ("FROM", "JOIN")]
+        if not all(t in mart_frames for t in needed):
             continue
         df = spark.sql(sql)
         out[name] = df.limit(limit) if limit and name in LIMITED else df

@@ -18,7 +18,7 @@ from fieldmart.operators import logistics
 from fieldmart.plans import anomaly as anomaly_job
 from fieldmart.plans import forecast
 from fieldmart.plans.production import build_production_marts
-from fieldmart.session import materialize
+from fieldmart.session import materialize, release_materialized, size_partitions
 from fieldmart.sources import sinks
 
 # The reference's cleaning parameters and feature lists.
@@ -46,7 +46,7 @@ SERIAL_KEYS = {"production": "production_id", "telemetry": "telemetry_id", "well
 
 
 def load_sources_jdbc(spark: SparkSession, url: str, properties: dict | None = None,
-                      num_partitions: int = 8) -> dict[str, DataFrame]:
+                      num_partitions: int | None = None) -> dict[str, DataFrame]:
     """S1 over JDBC: each table read in ``num_partitions`` key ranges, cast to
     the declared schema (the database may widen or rename types)."""
     from fieldmart.sources.tables import read_jdbc
@@ -111,6 +111,10 @@ JOBS = [("production", production_job), ("forecast", forecast_job),
         ("anomaly", anomaly_job_run), ("logistics", logistics_job)]
 
 
+# Marts that their job has already written as tables.
+WRITTEN = {"clean_production", "clean_telemetry", "mart_well_kpi", "features_well_daily"}
+
+
 def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str,
             jdbc_out: tuple[str, dict] | None = None) -> DataFrame:
     """Run the jobs in order; write raw snapshots, marts and the manifest.
@@ -127,11 +131,12 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str,
     tables = []
     for _, job in JOBS:
         for name, df in job(src).items():
-            if name in schemas.MART_COLUMNS:                              # C5 before the write
-                problems = schemas.check_columns(df, name)
-                if problems:
-                    raise ValueError(f"{name}: " + "; ".join(problems))
+            problems = schemas.check_mart(df, name)                       # C5 before the write
+            if problems:
+                raise ValueError(f"{name}: " + "; ".join(problems))
             tables.append(name)
+            if name not in WRITTEN:
+                df = materialize(df, name)                                # every sink below reads the files
             if jdbc_out is not None:
                 sinks.write_jdbc(df, jdbc_out[0], name, properties=jdbc_out[1])
             if name.startswith("ml_"):
@@ -162,17 +167,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--jdbc-driver", default=None)
     ap.add_argument("--jdbc-out", default=None, help="JDBC URL that also receives every mart")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--jdbc-ranges", type=int, default=None, help="ranges of each JDBC read (default: the session's parallelism)")
     args = ap.parse_args(argv)
     spark = get_session(args.master, app_name="fieldmart-pipeline")
     if args.parquet:
+        size_partitions(spark, [f"{args.parquet.rstrip('/')}/{t}.parquet" for t in schemas.SOURCES])
         sources = load_sources(spark, args.parquet)
     else:
         props = {"driver": args.jdbc_driver} if args.jdbc_driver else None
-        sources = load_sources_jdbc(spark, args.jdbc, props)
+        sources = load_sources_jdbc(spark, args.jdbc, props, args.jdbc_ranges)
     out_db = (args.jdbc_out, {"driver": args.jdbc_driver} if args.jdbc_driver else {}) if args.jdbc_out else None
     manifest = run_all(spark, sources, args.out, jdbc_out=out_db)
     print(manifest.groupBy("dataset").agg(F.sum("rows_count").alias("rows")).orderBy("dataset").toPandas()
           .to_string(index=False))
+    release_materialized(spark)
 
 
 if __name__ == "__main__":

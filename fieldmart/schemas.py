@@ -47,31 +47,59 @@ DELIVERIES = _s(("delivery_id", LongType(), False), ("delivery_date", DateType()
 SOURCES = {"wells": WELLS, "production": PRODUCTION, "telemetry": TELEMETRY, "well_targets": WELL_TARGETS,
            "pump_sensors": PUMP_SENSORS, "pump_failures": PUMP_FAILURES, "deliveries": DELIVERIES}
 
-# Mart column lists.
-MART_COLUMNS = {
-    "mart_production_daily": ["production_date", "total_oil_tons", "avg_flow_rate_tpd",
-                              "total_downtime_hours", "active_wells"],
-    "mart_well_kpi": ["well_id", "avg_flow_rate_tpd", "total_oil_tons", "downtime_hours", "days_count",
-                      "well_name", "field_name", "region", "status", "downtime_pct"],
-    "mart_delivery_delay_weather": ["weather", "avg_delay_hours", "delayed_share", "deliveries_count"],
-    "mart_delivery_cost_distance": ["route", "avg_distance_km", "avg_cost_rub", "avg_cost_per_km",
-                                    "deliveries_count"],
-    "mart_driver_kpi": ["driver_id", "avg_delay_hours", "delayed_share", "avg_cost_per_km",
-                        "total_volume_tons", "deliveries_count"],
-    "ml_flow_metrics": ["model_name", "mae", "rmse", "rows_train", "rows_test", "created_at"],
-    "ml_failure_metrics": ["model_name", "accuracy", "roc_auc", "rows_train", "rows_test"],
+# Columns and types of the marts. Beyond the
+# reference's columns: bin indexes of the heatmap, the split flag of the
+# predictions, and the date that partitions the pump marts' exports.
+_WELL_KPI = ("well_id string, avg_flow_rate_tpd double, total_oil_tons double, downtime_hours double, days_count bigint, "
+             "well_name string, field_name string, region string, status string, downtime_pct double")
+_ROUTE_COST = "route string, avg_distance_km double, avg_cost_rub double, avg_cost_per_km double, deliveries_count bigint"
+MART_SCHEMAS = {
+    "clean_production": "production_id bigint, well_id string, production_date date, flow_rate_tpd double, oil_tons double, "
+                        "water_cut_pct double, downtime_hours double",
+    "clean_telemetry": "telemetry_id bigint, well_id string, event_time timestamp_ntz, pressure_atm double, temperature_c double, "
+                       "power_kw double, pump_runtime_hours double, energy_kwh double, event_date date",
+    "mart_production_daily": "production_date date, total_oil_tons double, avg_flow_rate_tpd double, total_downtime_hours double, "
+                             "active_wells bigint",
+    "mart_well_kpi": _WELL_KPI,
+    "mart_well_ranking": _WELL_KPI + ", rank_by_flow bigint, well_group string",
+    "features_well_daily": "well_id string, production_date date, production_id bigint, flow_rate_tpd double, oil_tons double, "
+                           "water_cut_pct double, downtime_hours double, avg_pressure_atm double, avg_temperature_c double, "
+                           "avg_power_kw double, avg_energy_kwh double, pump_runtime_hours double, downtime_ratio double, "
+                           "field_name string, region string",
+    "mart_pressure_flow_heatmap": "pressure_bin_idx int, pressure_bin string, temperature_bin_idx int, temperature_bin string, "
+                                  "avg_flow_rate_tpd double, observations bigint",
+    "mart_flow_predictions": "well_id string, target_date date, target_id bigint, actual_flow_rate_tpd double, "
+                             "avg_pressure_atm double, avg_temperature_c double, avg_power_kw double, pump_runtime_hours double, "
+                             "is_test int, predicted_flow_rate_tpd double, absolute_error double, model_name string",
+    "ml_flow_metrics": "model_name string, mae double, rmse double, rows_train int, rows_test int, created_at timestamp",
+    "mart_pump_anomalies": "pump_id string, well_id string, event_time timestamp_ntz, vibration_mm_s double, temperature_c double, "
+                           "current_a double, rpm double, is_anomaly int, failure_within_7d int, risk_score double, event_date date",
+    "mart_pump_risk": "pump_id string, well_id string, event_time timestamp_ntz, risk_score double, failure_within_7d int, "
+                      "is_anomaly int, event_date date",
+    "ml_failure_metrics": "model_name string, accuracy double, roc_auc double, rows_train int, rows_test int",
+    "mart_delivery_delay_weather": "weather string, avg_delay_hours double, delayed_share double, deliveries_count bigint",
+    "mart_delivery_cost_distance": _ROUTE_COST,
+    "mart_driver_kpi": "driver_id string, avg_delay_hours double, delayed_share double, avg_cost_per_km double, "
+                       "total_volume_tons double, deliveries_count bigint",
+    "mart_route_optimization": _ROUTE_COST + ", recommendation bigint",
+    "deliveries_enriched": "delivery_id bigint, delivery_date date, route string, driver_id string, category string, volume double, "
+                           "distance double, cost double, delay double, cost_per_km double, is_delayed int",
 }
 
 
+def mart_schema(mart: str) -> StructType:
+    return StructType.fromDDL(MART_SCHEMAS[mart])
+
+
 def to_compute(df: DataFrame) -> DataFrame:
-    """Decimals -> doubles for computation."""
+    """Decimals -> doubles for computation. Sums and means go back
+    to decimals (``functions.aggregates``), so they don't depend on row order."""
     return df.select(*[F.col(f.name).cast(DoubleType()).alias(f.name) if isinstance(f.dataType, DecimalType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def check_columns(df: DataFrame, mart: str) -> list[str]:
-    """C5 for marts: missing or unexpected columns against the mart list."""
-    want = MART_COLUMNS[mart]
-    have = df.columns
-    return [f"missing column {c}" for c in want if c not in have] + \
-           [f"unexpected column {c}" for c in have if c not in want]
+def check_mart(df: DataFrame, mart: str) -> list[str]:
+    """C5 for marts: missing, unexpected or mistyped columns (empty: conforms)."""
+    from fieldmart.operators.quality import check_schema
+
+    return check_schema(df, mart_schema(mart)) if mart in MART_SCHEMAS else [f"unknown mart {mart}"]

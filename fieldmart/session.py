@@ -29,11 +29,10 @@ DEFAULT_CONF = {
 
 
 # Suggested settings for a large cluster (read by ``get_session`` when the
-# master is not local and the cluster has not set them): partitions sized by
-# bytes through AQE rather than a fixed count, large scan splits, and a
-# broadcast bound that AQE checks against the measured size of a side.
+# master is not local and the cluster has not set them): large scan splits and a
+# broadcast bound that AQE checks against the measured size of a side. The number
+# of shuffle partitions is no constant: see ``size_partitions``.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -75,15 +74,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder. Only a local master (tests,
-    bench) gets a temporary folder when none is set; on a cluster a missing
-    setting is an error, because a driver-local folder is not shared with
-    the executors."""
+    """Use the configured checkpoint folder. On a cluster a missing setting is
+    an error, because a driver-local folder is not shared with the executors. A
+    local master (tests, bench) without one gets the folder that
+    ``FIELDMART_SHARED`` names, or a new temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="fieldmart-ckpt-")
+        root = os.environ.get("FIELDMART_SHARED") or tempfile.mkdtemp(prefix="fieldmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -100,8 +99,39 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes under the paths, asked of their own file systems."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total
+
+
+def size_partitions(spark: SparkSession, paths: list[str], bytes_each: int = 64 * 1024 * 1024, least: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so that a shuffle of the whole input
+    gives about ``bytes_each`` of (compressed) input to a task; AQE merges what
+    turns out smaller. Range shuffles use the same number."""
+    n = max(least or spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // bytes_each))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
+_once: dict[tuple, str] = {}
+
+
+def materialize_once(spark: SparkSession, name: str, source: str, build):
+    """The table ``build()`` written once per application and ``source`` folder;
+    later callers read the same files."""
+    import uuid
+
+    key = (spark.sparkContext.applicationId, name, source)
+    if key not in _once:
+        path = scratch_path(spark, "tables", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
+        build().write.mode("overwrite").parquet(path)
+        _once[key] = path
+    return spark.read.parquet(_once[key])
 
 
 def materialize(df, name: str):
@@ -120,6 +150,8 @@ def materialize(df, name: str):
 def release_materialized(spark: SparkSession) -> None:
     """Delete the tables this application wrote with :func:`materialize`
     (one folder per application id) through the cluster's file system."""
+    for key in [k for k in _once if k[0] == spark.sparkContext.applicationId]:
+        del _once[key]
     path = scratch_path(spark, "tables", spark.sparkContext.applicationId)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -56,10 +56,32 @@ def route_partition_key(df: DataFrame, candidates: Sequence[str] = DATE_KEYS) ->
     return None
 
 
+MANIFEST = "dataset string, partition_value string, object string, rows_count bigint"
+
+
+def written_objects(spark: SparkSession, path: str, dataset: str, fmt: str, partition_column: str | None, before: list[str]) -> DataFrame:
+    """The files under ``path`` that a write has added, with their rows,
+    counted from the written files."""
+    found = _reader(spark, fmt, path)
+    value = F.col(partition_column).cast("string") if partition_column else F.lit(None).cast("string")
+    rows = (found.select(value.alias("partition_value"), F.col("_metadata.file_path").alias("object"))
+                 .groupBy("partition_value", "object").agg(F.count(F.lit(1)).alias("rows_count")))
+    if before:
+        rows = rows.join(spark.createDataFrame([(x,) for x in before], "object string"), "object", "left_anti")
+    return rows.select(F.lit(dataset).alias("dataset"), "partition_value", "object", "rows_count")
+
+
+def _objects_now(spark: SparkSession, fmt: str, path: str) -> list[str]:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return []
+    return [r["file_path"] for r in _reader(spark, fmt, path).select("_metadata.file_path").distinct().collect()]
+
+
 def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column: str | None = None,
                        fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> DataFrame:
     """Write ``root/dataset`` and return a manifest DataFrame
-    (dataset, partition value, rows).
+    (dataset, partition value, object, rows) of the objects written.
 
     * partitioned: the key is normalised to a date (a NULL date lands in
       Spark's default partition folder, T15); rows are range-partitioned on
@@ -68,29 +90,25 @@ def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column:
       dates being written (T16).
     * unpartitioned (no key, or key absent): a plain overwrite.
     * empty input: nothing is written and the manifest is empty (S6).
-    """
+
+    The frame is read for the emptiness check, the range bounds and the write:
+    pass a written table when it is dear to compute."""
     check_format(fmt)
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{dataset}"
-    empty_manifest = spark.createDataFrame([], "dataset string, partition_value string, rows_count bigint")
     if df.isEmpty():
-        return empty_manifest
+        return spark.createDataFrame([], MANIFEST)
     if partition_column and partition_column in df.columns:
+        before = _objects_now(spark, fmt, path)
         work = df.withColumn(partition_column, F.to_date(F.col(partition_column)))
         n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         spread = work.repartitionByRange(n, F.col(partition_column), F.xxhash64(*[F.col(c) for c in df.columns]))
         (_writer(spread, fmt).mode("overwrite").partitionBy(partition_column)
             .option("partitionOverwriteMode", "dynamic")          # per write, not session-wide
             .option("maxRecordsPerFile", str(max_records_per_file)).save(path))
-        # The manifest lists the dates written by this call (other dates of
-        # the dataset are kept by the dynamic overwrite but not listed); it
-        # reads only the partition column of the exported frame.
-        return (work.groupBy(partition_column).agg(F.count(F.lit(1)).alias("rows_count"))
-                    .select(F.lit(dataset).alias("dataset"),
-                            F.col(partition_column).cast("string").alias("partition_value"), "rows_count"))
+        return written_objects(spark, path, dataset, fmt, partition_column, before)
     _writer(df, fmt).mode("overwrite").save(path)
-    return _reader(spark, fmt, path).agg(F.count(F.lit(1)).alias("rows_count")).select(
-        F.lit(dataset).alias("dataset"), F.lit(None).cast("string").alias("partition_value"), "rows_count")
+    return written_objects(spark, path, dataset, fmt, None, [])
 
 
 def export_marts(marts: Mapping[str, DataFrame], root: str, prefix: str = "processed",

@@ -24,11 +24,14 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-              lower: int | None = None, upper: int | None = None, num_partitions: int = 8,
+              lower: int | None = None, upper: int | None = None, num_partitions: int | None = None,
               properties: dict | None = None, quote: str = '"') -> DataFrame:
     """S1 over JDBC: parallel range reads on the serial key when given. Without
     explicit bounds, one small ``MIN/MAX`` query finds them (the key is quoted
-    with ``quote``, standard SQL double quotes by default)."""
+    with ``quote``, standard SQL double quotes by default). The number of ranges
+    defaults to the session's parallelism."""
+    num_partitions = num_partitions or spark.sparkContext.defaultParallelism
+
     def reader():
         r = spark.read.format("jdbc").option("url", url)
         for k, v in (properties or {}).items():

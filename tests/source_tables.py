@@ -1,97 +1,80 @@
-"""A small generated copy of the seven source tables, shaped like the
-reference's seed (SURVEY §5.1): 4 wells x 40 days, 6-hourly telemetry,
-12-hourly pump sensors with spikes on days 12-13, two failures, deliveries
-with every weather kind, and the controlled faults (NULLs and x4/x2 values).
-Values are deterministic functions of the row ids (no random numbers)."""
+"""Seven small source tables with the declared schemas, for the job tests.
+
+Values are this test's own: noise is the hash of a row's ids scaled to a range,
+faults sit on chosen rows. They give every cleaning rule something to do: missing
+water cuts, flows far over the fence, downtimes beyond a day, missing pressures,
+temperatures out of range, bursts in the pump sensors on two known days, two
+failures, and deliveries in four kinds of weather."""
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fieldmart import schemas
 
+START = "2026-01-01"
+SITES = [("well_001", "Alder", "Ridge", "North"), ("well_002", "Birch", "Ridge", "South"),
+         ("well_003", "Cedar", "Basin", "North"), ("well_004", "Dogwood", "Basin", "South")]
+BURST_DAYS = (12, 13)
+WEATHER = ("clear", "rain", "snow", "fog")
+
+
+def noise(low: float, high: float, *ids) -> Column:
+    """A number in [low, high) that depends on the ids only, with 3 decimals."""
+    return F.round(F.lit(low) + (high - low) * F.pmod(F.xxhash64(*ids), F.lit(10_000)) / 10_000.0, 3)
+
 
-def _cast(df, schema):
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def grid(sites, steps: int, hours: int, serial: str):
+    """One row per site and step, with a serial id from 1 and the step's time."""
+    at = F.lit(f"{START} 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("step") * hours).cast("int"))
+    rows = sites.select("well_id", F.posexplode(F.sequence(F.lit(1), F.lit(steps))).alias("step", "_n")).drop("_n")
+    number = (F.substring("well_id", 6, 3).cast("int") - 1) * steps + F.col("step") + 1
+    return rows.withColumn(serial, number).withColumn("at", at)
 
 
 def build_sources(spark, wells: int = 4, days: int = 40):
-    w = spark.range(1, wells + 1).select(
-        F.format_string("well_%03d", "id").alias("well_id"),
-        F.concat(F.lit("Скважина "), F.col("id").cast("string")).alias("well_name"),
-        F.when(F.col("id") <= 2, "Северное").otherwise("Южное").alias("field_name"),
-        F.when(F.col("id") % 2 == 0, "ХМАО").otherwise("Татарстан").alias("region"),
-        F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") * 17).cast("int")).alias("start_date"),
-        F.when(F.col("id") == wells, "maintenance").otherwise("active").alias("status"),
-        (F.lit(1800) + F.col("id") * 95).alias("depth_m"))
-    wn = F.substring("well_id", 6, 3).cast("int")
-
-    # Grids are built per well with explode(sequence); serial ids are
-    # arithmetic on (well number, step), contiguous from 1 like BIGSERIAL.
-    step = F.posexplode(F.sequence(F.lit(0), F.lit(days - 1)))
-    p = w.select("well_id", wn.alias("wn"), step.alias("j", "_s"))
-    p = p.withColumn("production_id", (F.col("wn") - 1) * days + F.col("j") + 1).withColumn(
-        "d", F.date_add(F.lit("2026-01-01").cast("date"), F.col("j").cast("int")))
-    i = F.col("production_id")
-    flow = F.lit(70.0) + F.col("wn") * 4 + F.sin(F.dayofyear("d") / 8.0) * 10 + (i % 7) * 0.5
-    p = p.select("production_id", "well_id", F.col("d").alias("production_date"),
-                 F.when(i % 23 == 0, flow * 4).otherwise(flow).alias("flow_rate_tpd"),
-                 (flow * 0.9).alias("oil_tons"),
-                 F.when(i % 17 == 0, None).otherwise(F.lit(18.0) + F.col("wn") * 1.4).alias("water_cut_pct"),
-                 F.when(i % 11 == 0, F.lit(30.0)).otherwise((i % 5) * 0.3).alias("downtime_hours"))
-
-    t0 = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
-    t = w.select("well_id", wn.alias("wn"), F.posexplode(F.sequence(F.lit(0), F.lit(days * 4 - 1))).alias("j", "_s"))
-    t = t.withColumn("telemetry_id", (F.col("wn") - 1) * days * 4 + F.col("j") + 1).withColumn(
-        "t", t0 + F.make_dt_interval(F.lit(0), (F.col("j") * 6).cast("int")))
-    i = F.col("telemetry_id")
-    t = t.select("telemetry_id", "well_id", F.col("t").alias("event_time"),
-                 F.when(i % 19 == 0, None).otherwise(F.lit(95.0) + F.col("wn") * 2.2 + (i % 5)).alias("pressure_atm"),
-                 F.when(i % 29 == 0, (F.lit(54.0) + F.col("wn")) * 2).otherwise(F.lit(54.0) + F.col("wn") + (i % 3))
-                  .alias("temperature_c"),
-                 (F.lit(34.0) + F.col("wn") * 1.8 + (i % 4)).alias("power_kw"),
-                 (F.lit(5.5) + (i % 5) * 0.1).alias("pump_runtime_hours"),
-                 ((F.lit(34.0) + F.col("wn") * 1.8) * 5.6).alias("energy_kwh"))
-
-    targets = p.select(F.col("production_id").alias("target_id"), "well_id",
-                       F.col("production_date").alias("target_date"),
+    sites = spark.createDataFrame(SITES[:wells], "well_id string, well_name string, field_name string, region string")
+    w = sites.select("*", F.lit("2020-06-01").cast("date").alias("start_date"),
+                     F.when(F.col("well_id") == "well_004", "maintenance").otherwise("active").alias("status"),
+                     noise(900, 2500, "well_id").alias("depth_m"))
+
+    p = grid(sites, days, 24, "production_id")
+    flow = noise(40, 60, "well_id", "step")
+    p = p.select("production_id", "well_id", F.to_date("at").alias("production_date"),
+                 F.when(F.col("step") % 20 == F.substring("well_id", 6, 3).cast("int") + 4, flow * 5).otherwise(flow).alias("flow_rate_tpd"),
+                 F.when(F.col("step") == 15, None).otherwise(flow * 0.8).alias("oil_tons"),
+                 F.when(F.col("step").isin(3, 18, 33), None).otherwise(noise(5, 25, "step", "well_id")).alias("water_cut_pct"),
+                 F.when(F.col("step") == 22, F.lit(26.5)).otherwise(noise(0, 3, "production_id")).alias("downtime_hours"))
+
+    t = grid(sites, days * 4, 6, "telemetry_id")
+    t = t.select("telemetry_id", "well_id", F.col("at").alias("event_time"),
+                 F.when(F.col("step") % 41 == 5, None).otherwise(noise(80, 120, "telemetry_id", F.lit("p"))).alias("pressure_atm"),
+                 F.when(F.col("step") % 53 == 9, F.lit(300.0)).otherwise(noise(45, 75, "telemetry_id", F.lit("t"))).alias("temperature_c"),
+                 noise(20, 50, "telemetry_id", F.lit("w")).alias("power_kw"),
+                 noise(4, 6, "telemetry_id", F.lit("r")).alias("pump_runtime_hours"),
+                 noise(100, 300, "telemetry_id", F.lit("e")).alias("energy_kwh"))
+
+    targets = p.select(F.col("production_id").alias("target_id"), "well_id", F.col("production_date").alias("target_date"),
                        F.coalesce("flow_rate_tpd", "oil_tons").alias("actual_flow_rate_tpd"))
 
-    s = w.select("well_id", wn.alias("wn"), F.posexplode(F.sequence(F.lit(0), F.lit(days * 2 - 1))).alias("j", "_s"))
-    s = s.withColumn("sensor_id", (F.col("wn") - 1) * days * 2 + F.col("j") + 1).withColumn(
-        "t", t0 + F.make_dt_interval(F.lit(0), (F.col("j") * 12).cast("int")))
-    spike = F.dayofmonth("t").isin(12, 13)
-    j = F.col("sensor_id")
-    s = s.select("sensor_id", F.concat(F.lit("pump_"), F.substring("well_id", 6, 3)).alias("pump_id"), "well_id",
-                 F.col("t").alias("event_time"),
-                 (F.lit(2.5) + (j % 7) * 0.1 + F.when(spike, 3.2).otherwise(0.0)).alias("vibration_mm_s"),
-                 (F.lit(58.0) + (j % 8) + F.when(spike, 12.0).otherwise(0.0)).alias("temperature_c"),
-                 (F.lit(42.0) + (j % 6) + F.when(spike, 8.0).otherwise(0.0)).alias("current_a"),
-                 (F.lit(2860.0) + (j % 9) * 10 - F.when(spike, 280.0).otherwise(0.0)).alias("rpm"))
+    s = grid(sites, days * 2, 12, "sensor_id")
+    burst = F.dayofmonth("at").isin(*BURST_DAYS) & (F.month("at") == 1)
+    s = s.select("sensor_id", F.concat(F.lit("pump_"), F.substring("well_id", 6, 3)).alias("pump_id"), "well_id", F.col("at").alias("event_time"),
+                 *[F.when(burst, F.lit(high)).otherwise(noise(low, low * 1.1, "sensor_id", F.lit(name))).alias(name)
+                   for name, low, high in (("vibration_mm_s", 2.0, 9.0), ("temperature_c", 50.0, 95.0), ("current_a", 30.0, 55.0), ("rpm", 1400.0, 900.0))])
 
     f = spark.createDataFrame(
-        [(1, "pump_002", "well_002", "2026-01-14 09:00:00", "vibration_overlimit", 7.5),
-         (2, "pump_003", "well_003", "2026-02-05 11:00:00", "overheat", 5.0)],
+        [(1, "pump_002", "well_002", "2026-01-16 07:30:00", "bearing", 6.0), (2, "pump_003", "well_003", "2026-02-03 19:00:00", "seal", 3.5)],
         "failure_id long, pump_id string, well_id string, failure_time string, failure_type string, repair_hours double"
     ).withColumn("failure_time", F.col("failure_time").cast("timestamp_ntz"))
 
-    per_day = 9
-    dv = spark.range(0, days * per_day).select(
-        (F.col("id") + 1).alias("delivery_id"),
-        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") / per_day).cast("int")).alias("d"),
-        (F.col("id") % per_day + 1).alias("gs"))
-    g = F.col("gs")
-    dv = dv.select("delivery_id", F.col("d").alias("delivery_date"),
-                   F.when(g % 4 == 0, "Северный склад — НПЗ").when(g % 4 == 1, "Южный куст — терминал")
-                    .when(g % 4 == 2, "Восточный куст — НПЗ").otherwise("ЦПС — терминал").alias("route"),
-                   F.format_string("driver_%02d", (g % 8) + 1).alias("driver_id"),
-                   (F.lit(90.0) + g * 10).alias("volume_tons"),
-                   (F.lit(120.0) + g * 50).alias("distance_km"),
-                   ((F.lit(120.0) + g * 50) * 130 + 4000).alias("cost_rub"),
-                   F.when(g % 9 == 0, 6.0).when(g % 5 == 0, 3.0).otherwise(0.5).alias("delay_hours"),
-                   F.when(g % 9 == 0, "snow").when(g % 5 == 0, "rain").when(g % 7 == 0, "fog")
-                    .otherwise("clear").alias("weather"))
-
-    raw = {"wells": w, "production": p, "telemetry": t, "well_targets": targets, "pump_sensors": s,
-           "pump_failures": f, "deliveries": dv}
-    return {n: _cast(df, schemas.SOURCES[n]) for n, df in raw.items()}
+    n = days * 8
+    dv = spark.range(1, n + 1).select(F.col("id").alias("delivery_id"), F.date_add(F.lit(START).cast("date"), (F.col("id") % days).cast("int")).alias("delivery_date"),
+                                      F.format_string("route %d", F.col("id") % 5).alias("route"), F.format_string("driver_%02d", F.col("id") % 8).alias("driver_id"),
+                                      noise(10, 90, "id").alias("volume_tons"), noise(30, 400, "id", F.lit("d")).alias("distance_km"), noise(5000, 60000, "id", F.lit("c")).alias("cost_rub"),
+                                      F.when(F.pmod(F.xxhash64("id"), F.lit(6)) == 0, noise(2.5, 8, "id")).otherwise(noise(0, 1.9, "id")).alias("delay_hours"),
+                                      F.element_at(F.array(*[F.lit(x) for x in WEATHER]), (F.pmod(F.xxhash64("id", F.lit("w")), F.lit(4)) + 1).cast("int")).alias("weather"))
+
+    raw = {"wells": w, "production": p, "telemetry": t, "well_targets": targets, "pump_sensors": s, "pump_failures": f, "deliveries": dv}
+    return {name: df.select(*[F.col(c.name).cast(c.dataType).alias(c.name) for c in schemas.SOURCES[name].fields]) for name, df in raw.items()}

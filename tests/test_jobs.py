@@ -19,7 +19,7 @@ def src(spark):
 def test_production_job(src):
     m = runner.production_job(src)
     kpi = m["mart_well_kpi"].toPandas()
-    assert len(kpi) == 4 and schemas.check_columns(m["mart_well_kpi"], "mart_well_kpi") == []
+    assert len(kpi) == 4 and all(schemas.check_mart(df, n) == [] for n, df in m.items())
     assert (kpi.downtime_pct >= 0).all()
     cp = m["clean_production"].toPandas()
     assert cp.water_cut_pct.notna().all() and cp.flow_rate_tpd.notna().all()
@@ -61,7 +61,7 @@ def test_logistics_job(src):
     w = m["mart_delivery_delay_weather"].toPandas()
     assert set(w.weather) == {"snow", "rain", "fog", "clear"}
     assert w.delayed_share.between(0, 1).all()
-    assert schemas.check_columns(m["mart_driver_kpi"], "mart_driver_kpi") == []
+    assert all(schemas.check_mart(df, n) == [] for n, df in m.items())
     rec = m["mart_route_optimization"].toPandas().sort_values("avg_cost_per_km")
     assert list(rec.recommendation) == sorted(rec.recommendation)
 
@@ -74,6 +74,7 @@ def test_run_all_writes_marts_and_manifest(spark, src, tmp_root):
     assert read_jdbc(spark, url, "mart_driver_kpi", properties=props).count() == 8
     assert "processed/mart_well_kpi" in set(manifest.dataset)
     assert manifest[manifest.dataset == "raw/production"].rows_count.sum() == src["production"].count()
+    assert manifest.object.str.contains("/raw/production/production_date=").sum() == 40 and manifest.object.is_unique
     assert os.path.isdir(f"{tmp_root}/processed/mart_pump_risk")
     back = spark.read.parquet(f"{tmp_root}/processed/mart_production_daily")
     assert back.count() == 40
@@ -118,15 +119,18 @@ def test_dashboard_queries_over_the_marts(spark, src):
     frames = {}
     for _, job in runner.JOBS:
         frames.update(job(src))
+    frames["pump_sensors"] = src["pump_sensors"]
     out = reports.run_dashboard(spark, frames, limit=10)
     assert set(out) == set(reports.DASHBOARD) | {"q9_kpi_cards"}
     assert out["q2_top_wells"].count() == 4 and out["q7_driver_kpi"].count() == 8
     assert out["q12_risk_before_failure"].count() == 28
+    assert out["q12_vibration_before_failure"].where("vibration_mm_s is not null").count() == 28
+    assert out["q8_failure_model_metrics"].count() == 1
     cards = out["q9_kpi_cards"].first()
     assert cards.total_oil_tons > 0 and 0 <= cards.downtime_pct <= 100
     f = reports.kpi_cards(frames["features_well_daily"], date_from="2026-01-05", date_to="2026-01-10",
-                          regions=["ХМАО"])
+                          regions=["North"])
     feat = frames["features_well_daily"].toPandas()
     feat["production_date"] = feat.production_date.astype(str)
-    want = feat[(feat.region == "ХМАО") & feat.production_date.between("2026-01-05", "2026-01-10")]
+    want = feat[(feat.region == "North") & feat.production_date.between("2026-01-05", "2026-01-10")]
     assert f.first().rows_count == len(want) > 0

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldmart.operators.positions import dense_rank_by, group_quantiles, with_group_position
+from fieldmart.operators.positions import approx_quantiles, dense_rank_by, quantiles, with_group_position
 
 
 @pytest.fixture(scope="module")
@@ -22,8 +22,7 @@ def skewed(spark):
 
 def test_positions_are_permutations_per_key(skewed):
     pdf, df = skewed
-    pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16,
-                              method="sort").toPandas()
+    pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16).toPandas()
     assert len(pos) == len(pdf)
     for k, g in pos.groupby("k"):
         assert sorted(g._pos) == list(range(len(g)))
@@ -33,7 +32,7 @@ def test_positions_are_permutations_per_key(skewed):
 
 def test_quantiles_match_numpy_under_skew(skewed):
     pdf, df = skewed
-    q = group_quantiles(df, ["k"], ["x"], {"q1": 0.25, "med": 0.5, "q3": 0.75}, num_partitions=16).toPandas()
+    q = quantiles(df, ["k"], ["x"], {"q1": 0.25, "med": 0.5, "q3": 0.75}, num_partitions=16).toPandas()
     for _, r in q.iterrows():
         v = pdf[pdf.k == r.k].x.values
         assert r.q1_x == pytest.approx(np.quantile(v, 0.25))
@@ -41,36 +40,31 @@ def test_quantiles_match_numpy_under_skew(skewed):
         assert r.q3_x == pytest.approx(np.quantile(v, 0.75))
 
 
-@pytest.mark.parametrize("method", ["sort", "window"])
-def test_dense_rank_matches_pandas(skewed, method):
+def test_dense_rank_matches_pandas(skewed):
     pdf, df = skewed
-    r = dense_rank_by(df, "x", ascending=False, out="rk", method=method).toPandas().sort_values("id")
+    r = dense_rank_by(df, "x", ascending=False, out="rk").toPandas().sort_values("id")
     expect = pdf.x.rank(method="dense", ascending=False).astype(int).values
     assert (r.rk.values == expect).all()
 
 
-def test_window_positions_equal_sort_positions(skewed):
-    _, df = skewed
-    a = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], method="window")
-    b = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], method="sort")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_hot_key_spread_over_partitions(skewed, spark):
     """The range shuffle cuts the hot key into several partitions."""
     _, df = skewed
-    from fieldmart.operators.positions import _numbered
+    pos = df.select("k", "x").repartitionByRange(16, "k", "x").withColumn("_pid", F.spark_partition_id())
+    assert pos.where(F.col("k") == "hot").select("_pid").distinct().count() >= 4
 
-    s = _numbered(df.select("k", "x"), ["k"], ["x"], False, 16)
-    parts = s.where(F.col("k") == "hot").select("_pid").distinct().count()
-    assert parts >= 4
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_number_of_ranges_does_not_show(skewed, parts):
+    pdf, df = skewed
+    q = quantiles(df, ["k"], ["x"], {"q1": 0.25, "q3": 0.75}, num_partitions=parts).toPandas().set_index("k")
+    again = quantiles(df, ["k"], ["x"], {"q1": 0.25, "q3": 0.75}, num_partitions=16).toPandas().set_index("k")
+    assert (q.sort_index() == again.sort_index()).all().all()          # bit for bit
 
 
 def test_approx_quantiles_close_to_exact(skewed):
     pdf, df = skewed
-    from fieldmart.operators.positions import quantiles
-
-    q = quantiles(df, ["k"], ["x"], {"med": 0.5}, method="approx").toPandas().set_index("k")
+    q = approx_quantiles(df, ["k"], ["x"], {"med": 0.5}).toPandas().set_index("k")
     for k, g in pdf.groupby("k"):
         exact = np.quantile(g.x.values, 0.5)
         assert abs(q.loc[k, "med_x"] - exact) <= 0.02 * (g.x.max() - g.x.min()) + 1e-9
@@ -80,9 +74,8 @@ def test_positions_exact_without_exchange_reuse(skewed, spark):
     pdf, df = skewed
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16,
-                                  method="sort").toPandas()
-        q = group_quantiles(df, ["k"], ["x"], {"med": 0.5}, num_partitions=16).toPandas().set_index("k")
+        pos = with_group_position(df.select("k", "x", "id"), ["k"], ["x", "id"], num_partitions=16).toPandas()
+        q = quantiles(df, ["k"], ["x"], {"med": 0.5}, num_partitions=16).toPandas().set_index("k")
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     for k, g in pos.groupby("k"):
