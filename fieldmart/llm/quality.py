@@ -62,6 +62,9 @@ def measures(docs: DataFrame) -> DataFrame:
     gaps = F.zip_with("at", F.slice("at", 2, F.size("at")), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
     repeated = F.when(F.size("at") > 0, F.aggregate(gaps, F.lit(0), lambda s, x: s + x)).otherwise(0)
     counted = counted.withColumn("n_repeat_words", repeated.cast("long")).drop("at")
+    # A one-element inline ends the counting here: a filter on a result (kept, say)
+    # stays above it and isn't rewritten into the nested expressions below.
+    counted = counted.select(F.inline(F.array(F.struct(*counted.columns))))
 
     def share(a: str, b: str) -> Column:
         return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)

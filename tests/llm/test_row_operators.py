@@ -106,6 +106,14 @@ def test_quality_matches_python(docs_of, odd_rows):
     assert quality.quality(docs_of(rows).where("false")).collect() == []
 
 
+def test_filters_stay_above_the_counting(docs_of, capsys):
+    kept = quality.quality(docs_of([(1, "the of and to in a is that for it " * 3), (2, "x")])).where("kept")
+    kept.explain("simple")
+    plan = capsys.readouterr().out
+    below = plan[plan.index("Generate"):]
+    assert "Filter" not in below and kept.count() == 0
+
+
 def test_a_threshold_table_of_ones_own(docs_of):
     got = quality.quality(docs_of([(1, "w " * 12 + "v")]), rules=(("long", "n_words", None, 5), ("short", "n_words", 50, None))).first()
     assert got.failed_rules == ["long", "short"] and not got.kept
