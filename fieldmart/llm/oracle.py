@@ -71,10 +71,10 @@ FROM docs LEFT JOIN row_of ON row_of.rid = docs.rid"""
 
 
 def _share(a: str, b: str) -> str:
-    return f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / {b} ELSE 0.0 END"
+    return f"CASE WHEN {b} > 0 THEN CAST(({a}) AS DOUBLE) / {b} ELSE 0.0 END"
 
 
-_MEASURES = {"mean_word_length": _share("word_chars", "n_words"), "symbol_ratio": _share("n_symbols", "word_chars"), "stop_word_ratio": _share("n_stop", "n_words"),
+_MEASURES = {"mean_word_length": _share("word_chars", "n_words"), "symbol_ratio": _share("n_symbols", "word_chars"), "stop_word_ratio": _share("n_stop + 1", "n_words"),
              "dup_line_ratio": _share("n_dup_lines", "n_lines"), "marked_line_ratio": _share("n_marked", "n_lines")}
 _PASSES = " AND ".join(f"({_MEASURES[m]}) {op} {bound}" for _, m, least, most in quality.RULES for op, bound in ((">=", least), ("<=", most)) if bound is not None)
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)

@@ -27,12 +27,13 @@ STOP_WORDS = ("the of and to in a is that for it with as was on are be by this "
               "le la les de des et un une est en que pour dans pas sur du "
               "el los las y una por con para se del al no").split()
 
-#: (rule, measure, least, most); None: no bound on that side.
+#: (rule, measure, least, most); None: no bound on that side. One stop word is
+#: taken as given, so a short text may do without any.
 RULES = (
     ("word_length", "mean_word_length", 2.0, 12.0),
-    ("symbols", "symbol_ratio", None, 0.10),
+    ("symbols", "symbol_ratio", None, 0.05),
     ("stop_words", "stop_word_ratio", 0.02, None),
-    ("repeated_lines", "dup_line_ratio", None, 0.30),
+    ("repeated_lines", "dup_line_ratio", None, 0.34),
     ("bare_marks", "marked_line_ratio", None, 0.50),
 )
 
@@ -70,7 +71,7 @@ def measures(docs: DataFrame) -> DataFrame:
         return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
 
     return counted.select("*", share("word_chars", "n_words").alias("mean_word_length"), share("n_symbols", "word_chars").alias("symbol_ratio"),
-                          share("n_stop_words", "n_words").alias("stop_word_ratio"), share("n_dup_lines", "n_lines").alias("dup_line_ratio"),
+                          F.when(F.col("n_words") > 0, (F.col("n_stop_words") + 1) / F.col("n_words")).otherwise(0.0).alias("stop_word_ratio"), share("n_dup_lines", "n_lines").alias("dup_line_ratio"),
                           share("n_marked_lines", "n_lines").alias("marked_line_ratio"))
 
 

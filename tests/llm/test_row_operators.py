@@ -95,7 +95,7 @@ def slow_quality(t):
     base_failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
     stop = sum(x in set(quality.STOP_WORDS) for x in w)
     marked = sum(bool(re.match(r"[\x20\x09-\x0D]*[|*•>-]", x)) for x in lines)
-    ok = w and 2 <= chars / len(w) <= 12 and symbols <= 0.1 * chars and stop >= 0.02 * len(w) and dup <= 0.3 * len(lines) and marked <= 0.5 * len(lines)
+    ok = w and 2 <= chars / len(w) <= 12 and symbols <= 0.05 * chars and stop + 1 >= 0.02 * len(w) and dup <= 0.34 * len(lines) and marked <= 0.5 * len(lines)
     return len(w), chars, symbols, dup, len(covered), base_failed, bool(ok) and not base_failed
 
 
