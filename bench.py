@@ -29,7 +29,7 @@ HEADLINE = [
     "delay_by_category", "cost_by_route", "route_recommendation", "driver_kpi", "top_entities",
     "kpi_cards", "downtime_summary", "max_risk_by_entity", "missing_days", "duplicate_keys",
     "insert_ignore", "stratified_hash_split", "classification_metrics", "flow_dataset", "regression_metrics",
-    "linear_fit_residuals", "flow_predictions", "failure_risk", "fence_ties", "export_round_trip",
+    "linear_fit_residuals", "flow_predictions", "failure_risk", "fence_ties",
 ]
 RUNS = 3
 

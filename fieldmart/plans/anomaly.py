@@ -21,7 +21,8 @@ def add_zscores_and_labels(sensors: DataFrame, failures: DataFrame, sensor_cols:
     return joins.label_within(z, failures, key, ts, failure_time, horizon_days, out=LABEL)
 
 
-def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequence[str],
+                        max_depth: int = ml.MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
     """Stratified split, balanced weights, forest,
     risk for every row (T18), test accuracy and ROC-AUC."""
     feats = [*sensor_cols, *[f"z_{c}" for c in sensor_cols], "is_anomaly"]
@@ -30,7 +31,7 @@ def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequ
     train = split.where(F.col("is_test") == 0)
     weights = ml.class_weights(train, LABEL)
     train_w = train.join(F.broadcast(weights.select(LABEL, "w")), LABEL, "left")  # one row per class
-    model = ml.fit_forest_classifier(train_w, feats, LABEL, weight="w")
+    model = ml.fit_forest_classifier(train_w, feats, LABEL, weight="w", max_depth=max_depth)
     risk = materialize(ml.risk_score(model, split), "risk")   # scored once: outputs, metrics and counts read it
     test = risk.where(F.col("is_test") == 1)
     acc = ml.accuracy(test, LABEL, "predicted_label")

@@ -4,6 +4,7 @@ M8 scoring -> metrics table."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +27,14 @@ def flow_dataset(targets: DataFrame, readings: DataFrame, features_means: dict,
 
 
 def train_and_predict(dataset: DataFrame, features: Sequence[str], key: Sequence[str],
-                      target: str = TARGET) -> tuple[DataFrame, DataFrame]:
+                      target: str = TARGET, max_depth: int = ml.MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
     """Fit both models on the hash-split train part,
     pick the smallest test RMSE (the first wins a tie), score every row."""
     # Written once: both fits, both scorings and the row counts read it.
     split = materialize(ml.hash_split(dataset, key), "flow_split")
     train = split.where(F.col("is_test") == 0)
     test = split.where(F.col("is_test") == 1)
-    candidates = [("linear_regression", ml.fit_linear), ("random_forest", ml.fit_forest_regressor)]
+    candidates = [("linear_regression", ml.fit_linear), ("random_forest", partial(ml.fit_forest_regressor, max_depth=max_depth))]
     rows_train = train.count()
     rows_test = test.count()
     metric_frames, models = [], {}

@@ -527,9 +527,9 @@ FROM (SELECT unnest([0, 1]) AS i) t"""
 ORACLE["sink_empty"] = "SELECT count(*) AS rows_kept, 0 AS objects_listed FROM orders"
 ORACLE["sink_raw_snapshots"] = "WITH " + R_CTE + "," + D_CTE + """
 SELECT 'raw/telemetry' AS dataset, CAST(CAST(ts AS DATE) AS VARCHAR) AS partition_value, count(*) AS rows_count FROM r GROUP BY 2
-UNION ALL SELECT 'raw/production', CAST(day AS VARCHAR), count(*) FROM d GROUP BY 2
+UNION ALL SELECT 'raw/production', CAST(CAST(date_trunc('month', day) AS DATE) AS VARCHAR), count(*) FROM d GROUP BY 2
 UNION ALL SELECT 'raw/region', NULL, count(*) FROM region"""
-ORACLE["sink_manifest"] = "SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count FROM orders GROUP BY 1"
+ORACLE["sink_manifest"] = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS rows_count FROM orders GROUP BY 1"
 ORACLE["sink_report"] = f"""
 WITH m AS ({ORACLE["regression_metrics"]})
 SELECT model_name, mae, rmse, rows_count FROM m"""

@@ -505,8 +505,13 @@ def q_linear_fit_residuals(spark, sf):
     return s.select("entity_id", "day", (expressions.round6((F.col(forecast.TARGET) - F.col("predicted")) / 100) * 100).alias("residual"))
 
 
+#: Tree depth in the registered queries: what they return doesn't depend on it, and
+#: levels beyond it cost most of the time (README).
+QUERY_DEPTH = 12
+
+
 def _predictions(spark, sf):
-    return forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"])
+    return forecast.train_and_predict(flow_ds(spark, sf), FORECAST_FEATURES, ["entity_id", "day"], max_depth=QUERY_DEPTH)
 
 
 def _error_ok(df):
@@ -536,7 +541,7 @@ def q_model_metrics(spark, sf):
 def _risk(spark, sf):
     lab = anomaly_job.add_zscores_and_labels(views.readings(spark, sf), views.failures(spark, sf),
                                              ZSCORE_COLUMNS)
-    return anomaly_job.train_failure_model(lab, ZSCORE_COLUMNS, ["event_id"])
+    return anomaly_job.train_failure_model(lab, ZSCORE_COLUMNS, ["event_id"], max_depth=QUERY_DEPTH)
 
 
 def _risk_ok():
@@ -601,9 +606,9 @@ def q_sink_unpartitioned(spark, sf):
 def q_sink_empty(spark, sf):
     """An empty frame writes nothing and keeps what was there."""
     root = _scratch(spark)
-    orders = views.table(spark, sf, "orders").select("o_orderdate", "o_totalprice")
-    sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate")
-    listed = sinks.export_partitioned(orders.where("false"), root, "raw/orders", "o_orderdate")
+    orders = views.table(spark, sf, "orders").select(F.trunc("o_orderdate", "month").alias("month"), "o_totalprice")
+    sinks.export_partitioned(orders, root, "raw/orders", "month")
+    listed = sinks.export_partitioned(orders.where("false"), root, "raw/orders", "month")
     return spark.read.parquet(f"{root}/raw/orders").agg(F.count(F.lit(1)).alias("rows_kept"), listed.select(F.count(F.lit(1))).scalar().alias("objects_listed"))
 
 
@@ -611,21 +616,21 @@ def q_sink_empty(spark, sf):
 def q_sink_raw_snapshots(spark, sf):
     """Several frames exported at once, each by its own date key or none."""
     r = views.readings(spark, sf).withColumn("event_date", F.to_date("ts"))
-    d = fact_d(spark, sf).withColumnRenamed("day", "production_date")
+    d = fact_d(spark, sf).withColumn("production_date", F.trunc("day", "month"))
     manifest = sinks.export_marts({"telemetry": r, "production": d, "region": views.table(spark, sf, "region")}, _scratch(spark), prefix="raw")
     return manifest.groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
 
 
 @register("sink_manifest")
 def q_sink_manifest(spark, sf):
-    """The manifest lists every written object once; rows by date from it."""
+    """The manifest lists every written object once; rows by month from it."""
     root = _scratch(spark)
-    orders = views.table(spark, sf, "orders")
-    sinks.write_manifest(sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate"), f"{root}/artifacts/manifest", ["orders"])
+    orders = views.table(spark, sf, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
+    sinks.write_manifest(sinks.export_partitioned(orders, root, "raw/orders", "month"), f"{root}/artifacts/manifest", ["orders"])
     back = spark.read.json(f"{root}/artifacts/manifest")
     files = spark.read.parquet(f"{root}/raw/orders").select(F.col("_metadata.file_path").alias("object")).distinct()
     listed = back.join(files, "object", "left_semi").where(F.col("created_at").isNotNull() & F.array_contains("tables", "orders"))
-    return listed.groupBy(F.to_date("partition_value").alias("o_orderdate")).agg(F.sum("rows_count").alias("rows_count"))
+    return listed.groupBy(F.to_date("partition_value").alias("month")).agg(F.sum("rows_count").alias("rows_count"))
 
 
 @register("sink_report")

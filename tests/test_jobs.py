@@ -16,6 +16,20 @@ def src(spark):
     return build_sources(spark)
 
 
+@pytest.fixture(autouse=True, scope="module")
+def shallow_trees():
+    """Depth costs time only; the full depth is tested in test_ml."""
+    from fieldmart.operators import ml
+    from fieldmart.plans import anomaly, forecast
+
+    before = anomaly.train_failure_model.__defaults__, forecast.train_and_predict.__defaults__
+    anomaly.train_failure_model.__defaults__ = (5,)
+    forecast.train_and_predict.__defaults__ = (*before[1][:-1], 5)
+    yield
+    anomaly.train_failure_model.__defaults__, forecast.train_and_predict.__defaults__ = before
+    assert ml.MAX_DEPTH == 30
+
+
 def test_production_job(src):
     m = runner.production_job(src)
     kpi = m["mart_well_kpi"].toPandas()
