@@ -68,7 +68,8 @@ def number_rows(df: DataFrame, order: list, name: str, into: str = "row_number",
                      .withColumn("_mid", F.monotonically_increasing_id()), name)
     placed = (placed.withColumn("_part", F.shiftrightunsigned("_mid", 33).cast("int"))
               .withColumn("_at", F.col("_mid").bitwiseAND((1 << 33) - 1)))
-    return (placed.join(before_each(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "_part", "_n"), "_part")
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    return (placed.join(F.broadcast(before_each(counts, "_part", "_n")), "_part")  # one row per partition
             .withColumn(into, F.col("_before") + F.col("_at")).drop("_mid", "_part", "_at", "_before"))
 
 

@@ -192,7 +192,8 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(sizes), pa.array(crc, pa.int64())],
                                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.join(before, "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # one row per partition goes to every task, the shards stay where they are
+    return shards.join(F.broadcast(before), "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
