@@ -57,7 +57,7 @@ def check(df, rows, k=4):
 @pytest.mark.parametrize("limit", [4096, 1])
 def test_groups_match_all_pairs(docs_of, limit):
     rows = [(i * 7 % 101, t) for i, t in enumerate(some_texts())]
-    check(simhash.near_duplicates(docs_of(rows, fp="x", component="y"), limit=limit), rows)
+    check(simhash.near_duplicates(docs_of(rows, extra=["fp", "component", "component_id", "first_id", "node", "least"]), limit=limit), rows)
 
 
 def test_null_ids_and_repeated_rows(docs_of):
