@@ -11,7 +11,10 @@ reaches the minimum, and then the differing bits are counted.
 Equal fingerprints are one node, so a group of copies costs one entry. Postings
 travel as packed arrays (8 bytes an entry). A posting longer than
 ``PAIRS_LIMIT`` is not compared pairwise: its members are marked, and all marked
-fingerprints are linked exactly through midpoints. Two fingerprints differ in at
+fingerprints are linked exactly through midpoints. Postings that a sample of at
+most about ``SAMPLE`` fingerprints shows to be long (:func:`hot_postings`) are
+never gathered at all: their members are marked where they are read, so a large
+group of near copies spreads over all tasks. Two fingerprints differ in at
 most ``k`` bits if and only if some value lies within ``k - k//2`` bits of one
 and ``k//2`` of the other; each marked one lists all values that near, equal
 values are joined by their smallest lister, and no pair is ever written.
@@ -39,6 +42,9 @@ from fieldmart.llm.common import components, partitions, text_slices, written
 
 #: Longest posting that is compared pairwise; a longer one goes through midpoints.
 PAIRS_LIMIT = 4096
+#: Fingerprints, drawn by hash, that show which postings are long, and the least
+#: number of them that a posting must hold to count as long.
+SAMPLE, LEAST_SEEN = 50_000, 32
 #: Packed bytes that one index task should get.
 BUCKET_BYTES = 16 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -113,16 +119,53 @@ def split_by(values: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.n
             yield int(bucket[at]), part
 
 
-def post(fps: DataFrame, k: int, buckets: int) -> DataFrame:
-    """Postings as rows (bucket, choice, packed fingerprints)."""
+def hot_postings(fps: DataFrame, n: int, k: int, limit: int) -> list[np.ndarray]:
+    """For each choice the keys of postings that hold more than ``limit`` of the
+    ``n`` fingerprints, as estimated from a sample. At most
+    ``SAMPLE / LEAST_SEEN`` keys a choice. Which postings are named decides where
+    the work is done and never what is linked."""
+    share = min(1.0, SAMPLE / max(n, 1))
+    least = max(LEAST_SEEN, limit * share)
+    masks = choices(k)[0]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(masks)), pa.int32()), pa.array([(own & np.uint64(m)).tobytes() for m in masks], pa.binary())], names=["choice", "packed"])
+
+    def often(group: pd.DataFrame) -> pd.DataFrame:
+        key, seen = np.unique(np.frombuffer(b"".join(group["packed"]), np.uint64), return_counts=True)
+        return pd.DataFrame({"choice": group["choice"].iloc[0], "key": key[seen > least].view(np.int64)})
+
+    sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    hot = sample.mapInArrow(keys, "choice int, packed binary").groupBy("choice").applyInPandas(often, "choice int, key long").toPandas()
+    return [np.sort(hot["key"][hot["choice"] == c].to_numpy(np.int64).view(np.uint64)) for c in range(len(masks))]
+
+
+def member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which values stand in the sorted array ``of``."""
+    if not len(of):
+        return np.zeros(len(values), bool)
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
+
+
+def post(fps: DataFrame, k: int, buckets: int, hot: list[np.ndarray]) -> DataFrame:
+    """Postings as rows (bucket, choice, packed fingerprints); members of a hot
+    posting come under choice -1, dealt by themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             rows: tuple[list, list, list] = ([], [], [])
+            marked = np.zeros(len(own), bool)
             for c, mask in enumerate(choices(k)[0]):
-                for bucket, part in split_by(own, mixed((own & np.uint64(mask)) + np.uint64(c)) % np.uint64(buckets)):
+                key = own & np.uint64(mask)
+                gone = member(key, hot[c])
+                marked |= gone
+                for bucket, part in split_by(own[~gone], mixed(key[~gone] + np.uint64(c)) % np.uint64(buckets)):
                     rows[0].append(bucket), rows[1].append(c), rows[2].append(part.tobytes())
+            for bucket, part in split_by(own[marked], mixed(own[marked]) % np.uint64(buckets)):
+                rows[0].append(bucket), rows[1].append(-1), rows[2].append(part.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.binary())], names=["bucket", "choice", "packed"])
 
     return fps.mapInArrow(run, "bucket int, choice int, packed binary")
@@ -166,19 +209,22 @@ def links(fps: DataFrame, k: int = 4, limit: int | None = None) -> DataFrame:
     if k > 6:
         raise ValueError("fingerprints that share fewer than two bytes have no useful posting")
     spark = fps.sparkSession
-    buckets = max(partitions(spark), -(-fps.count() * len(choices(k)[0]) * 8 // BUCKET_BYTES))
+    n = fps.count()
+    buckets = max(partitions(spark), -(-n * len(choices(k)[0]) * 8 // BUCKET_BYTES))
+    hot = hot_postings(fps, n, k, limit)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = []
         for choice, rows in group.groupby("choice"):
             packed = np.frombuffer(b"".join(rows["packed"]), np.uint64)
-            a, b, long = compare(packed, int(choice), k, limit)
+            none = packed[:0]
+            a, b, long = compare(packed, int(choice), k, limit) if choice >= 0 else (none, none, packed)
             found += [(a, b, False), (long, long, True)]
         a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         marked = np.concatenate([np.full(len(f[0]), f[2]) for f in found])
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64), "marked": marked}).drop_duplicates()
 
-    found = written(post(fps, k, buckets).groupBy("bucket").applyInPandas(run, "a long, b long, marked boolean"), "simhash-links")
+    found = written(post(fps, k, buckets, hot).groupBy("bucket").applyInPandas(run, "a long, b long, marked boolean"), "simhash-links")
     marked = found.where("marked").select(F.col("a").alias("fp")).distinct()
     return found.where("not marked").select("a", "b").unionByName(midpoint_links(marked, k))
 

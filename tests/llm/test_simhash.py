@@ -79,7 +79,9 @@ def test_very_long_text():
 
 
 @pytest.mark.parametrize("k,limit", [(3, 1), (4, 1), (4, 64), (5, 1), (2, 4096)])
-def test_links_of_clustered_fingerprints(spark, k, limit):
+@pytest.mark.parametrize("least_seen", [32, 2])
+def test_links_of_clustered_fingerprints(spark, k, limit, least_seen, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAST_SEEN", least_seen)  # 2: postings are found hot before they are gathered
     rnd = random.Random(k)
     fps = set()
     for _ in range(6):
@@ -91,7 +93,9 @@ def test_links_of_clustered_fingerprints(spark, k, limit):
             fps.add(fp)
     fps = sorted(fps)
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
-    found = simhash.connect(simhash.links(spark.createDataFrame(signed, "fp long"), k, limit))
+    frame = spark.createDataFrame(signed, "fp long")
+    assert any(map(len, simhash.hot_postings(frame, len(fps), k, limit))) == (least_seen == 2 and limit == 1)
+    found = simhash.connect(simhash.links(frame, k, limit))
     got = {r.node & (1 << 64) - 1: r.component & (1 << 64) - 1 for r in found.collect()}
     label = slow_groups(fps, k)
     groups = {}
