@@ -1,7 +1,8 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
 The corpus, ordered by doc_id, is cut into reference blocks of about
-``BLOCK_BYTES`` of text. Every block is indexed: its distinct word windows of
+``BLOCK_BYTES`` of text (more where that would make over ``MOST_BLOCKS``; a longer
+document is a block's last). Every block is indexed: its distinct word windows of
 ``window`` words, as sorted fingerprints (64 bits for the place and 24 more as a
 check), go in packed arrays to the index bucket of their leading bits. A bucket
 finds for each fingerprint the first block that holds it, and answers every
@@ -34,12 +35,14 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import gather, strings_at, text_slices, word_spans
+from fieldmart.llm.common import before_each, partitions, strings_at, text_slices, word_spans, written
 
 BLOCK_BYTES = 8 << 20
+#: The driver holds one number a block, this many at most.
+MOST_BLOCKS = 1 << 20
 #: Blocks' worth of entries that one bucket of the index gets.
 BLOCKS_PER_BUCKET = 2
 CHECK_BYTES = 3
@@ -205,14 +208,20 @@ def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def block_bounds(docs: DataFrame, block_bytes: int) -> np.ndarray:
-    """The doc_ids at which the second and later blocks begin (about one number
-    for each ``block_bytes`` of text)."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    if n == 1:
-        return np.zeros(0, np.int64)
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0]
-    return np.unique(np.array(cuts, np.int64)) + 1
+    """The doc_ids at which the second and later blocks begin: the first ones at
+    which the bytes of all texts before, in doc_id order, pass a multiple of the
+    block's size. Only ids and sizes are sorted; each range of them sums its own,
+    and one sum a range is added up globally."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    sizes = written(docs.select("doc_id", size.alias("size")), "substring-sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    step = max(block_bytes, -(-total // MOST_BLOCKS))
+    ranges = written(sizes.repartitionByRange(partitions(docs.sparkSession), "doc_id").withColumn("part", F.spark_partition_id()), "substring-ranges")
+    before = before_each(ranges.groupBy("part").agg(F.sum("size").alias("bytes")), "part", "bytes")
+    inside = Window.partitionBy("part").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.join(F.broadcast(before), "part").withColumn("at", F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))  # one row a range
+    firsts = placed.groupBy(F.expr(f"at div {step}").alias("nth")).agg(F.min("doc_id").alias("first")).where("nth > 0")
+    return np.unique(firsts.select("first").toArrow().column("first").to_numpy())
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, block_bytes: int | None = None) -> DataFrame:
