@@ -3,7 +3,7 @@ numbers, and vectorised word spans over Arrow string columns."""
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import fieldmart
-from fieldmart.session import materialize
+from fieldmart.session import materialize, scratch_path
 
 #: Words are runs of anything but these six ASCII characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,17 +29,21 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package as a zip file, once per application (the
-    functions run inside tasks import it)."""
+    """Give the executors this package as a zip file in the shared folder, once
+    per application (the functions run inside tasks import it)."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    root = Path(fieldmart.__file__).parent
-    to = Path(tempfile.mkdtemp(prefix="fieldmart-")) / "fieldmart_package.zip"
-    with zipfile.ZipFile(to, "w") as z:
+    root, packed = Path(fieldmart.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, f"fieldmart/{p.relative_to(root)}")
-    spark.sparkContext.addPyFile(str(to))
+    name = scratch_path(spark, "packages", app, "fieldmart_package.zip")
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(name)
     _shipped.add(app)
 
 
