@@ -16,7 +16,8 @@ round) are the grammar; ``symbols`` the compressed documents, little-endian.
 A document is decoded alone from its own symbols (:func:`read_documents`).
 
 Null or empty text: a document of the end id alone. Null doc_id sorts first;
-rows that repeat a doc_id stay next to each other. Empty table: no shards.
+rows that repeat a doc_id, or have none, stand next to each other in the order of
+their texts' hash. Empty table: no shards.
 Extra columns are ignored."""
 
 from __future__ import annotations
@@ -166,7 +167,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard
     """Write the ids of ``docs`` (doc_id, text) in ascending doc_id order."""
     n = parts or partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    # rows without an id or of one id may be many: the text's hash cuts them into ranges and fixes their order
+    rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     rows.mapInArrow(_shards(tokenizer, end_id, shard_tokens), FILE).write.mode("overwrite").option("compression", "none").parquet(path)
 
 
