@@ -27,6 +27,9 @@ import pyarrow as pa
 
 from fieldmart.llm.common import IS_SPACE, gather
 
+#: Bytes with A-Z in lower case and every space as 0x20.
+PLAIN = np.frombuffer(bytes(range(256)).lower(), np.uint8).copy()
+PLAIN[IS_SPACE] = 32
 #: Distinct pieces that one Python worker remembers; then it starts anew.
 REMEMBERED = 500_000
 
@@ -121,8 +124,7 @@ class Encoder:
             return self._ended(np.zeros(0, np.uint32), np.zeros(n_texts, np.int64))
         space = IS_SPACE[data]
         if self.kind == "word":
-            data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-            data[space] = 32
+            data = PLAIN[data]
         cut = space.copy()
         cut[1:] &= ~space[:-1]
         cut[1:] |= ALNUM[data[:-1]] & MARK[data[1:]]
