@@ -35,8 +35,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from fieldmart.llm.common import components, partitions, text_slices, written
 
@@ -71,16 +72,23 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp long: the fingerprint's 64 bits as a signed number)."""
+def text_hash() -> Column:
+    """Names a text among those of one doc_id; a null text is not the empty one."""
+    return F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit("")).alias("text_hash")
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp long: the fingerprint's 64 bits as a signed number), with text_hash if ``hashed``."""
+    more = ["text_hash"] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
             raw, cut = data.tobytes(), offsets.tolist()
             fps = np.fromiter((fingerprint(raw[a:b], shingle, seed) for a, b in zip(cut, cut[1:])), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), *[batch.column(c) for c in more]], names=["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[text_hash() for _ in more])
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} string" for c in more))
 
 
 @lru_cache
@@ -303,35 +311,45 @@ def connect(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, limit: int | None = None) -> DataFrame:
     """(doc_id, fp, component, component_id) for every row of ``docs`` (doc_id,
     text); component is the group's smallest fingerprint."""
-    rows = written(fingerprints(docs, shingle, seed), "fingerprints")
+    return grouped(fingerprints(docs, shingle, seed), max_bits, limit)
+
+
+def grouped(rows: DataFrame, max_bits: int = 4, limit: int | None = None) -> DataFrame:
+    """``rows`` (doc_id, fp and others) with component and component_id."""
+    rows = written(rows, "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-nodes")
     linked = connect(links(nodes.select("fp"), max_bits, limit))
     group = nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     ids = group.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return rows.join(group.select("fp", "component").join(ids, "component"), "fp").select("doc_id", "fp", "component", "component_id")
+    return rows.join(group.select("fp", "component").join(ids, "component"), "fp").select(*rows.columns, "component", "component_id")
+
+
+#: What tells one document from another; no part is ever null.
+KEY = ["named", "id", "text_hash"]
+
+
+def doc_key(hashed: Column | None = None) -> list[Column]:
+    doc_id = F.col("doc_id").cast("long")
+    return [doc_id.isNotNull().alias("named"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.col("text_hash") if hashed is None else hashed]
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, limit: int | None = None) -> DataFrame:
-    """``docs`` with one document of each group: the one whose doc_id is the
-    component id (of rows that repeat that doc_id, the one with the smallest
-    text). A group whose rows all have a null doc_id keeps its smallest text."""
-    found = written(near_duplicates(docs, shingle, max_bits, seed, limit), "near-duplicates")
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = (docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
-             .withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-             .where("_nth = 1").drop("_nth"))
-    nameless = found.where("component_id is null").select("fp", "component").distinct()
-    lone = docs.where("doc_id is null")
-    texts = lone.select("text").distinct()
-    marked = texts.withColumn("fp", fingerprint_of(shingle, seed)(F.coalesce("text", F.lit("")))).join(nameless, "fp")
-    least = marked.groupBy("component").agg(F.min(F.struct(F.col("text").isNotNull().alias("has"), "text")).alias("least")).select("least.text").distinct()
-    kept = lone.join(least, lone["text"].eqNullSafe(least["text"]), "left_semi").dropDuplicates(["text"])
-    return named.unionByName(kept).select(*docs.columns)
-
-
-def fingerprint_of(shingle: int, seed: int):
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t.encode(), shingle, seed) for t in texts], dtype="uint64").astype("int64")
-
-    return run
+    """``docs`` with one document of each group: one whose doc_id is the
+    component id (null in a group without ids), of these the one with the
+    smallest text; of rows that repeat both, the one smallest by its other plain
+    columns. The choice is made in each group on its own, so a doc_id that
+    stands in several groups may stay in each of them."""
+    found = grouped(fingerprints(docs, shingle, seed, hashed=True), max_bits, limit)
+    able = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("component", *doc_key()).distinct(), "near-duplicates")
+    groups = able.groupBy("component").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in KEY])
+    kept, several = groups.where("n = 1").select(*KEY), groups.where("n > 1").select(F.col("component").alias("_group"))
+    plain = [F.col(f.name) for f in docs.schema.fields if isinstance(f.dataType, AtomicType) and f.name != "text"]
+    rows = docs.select(*doc_key(text_hash()), F.col("text").cast("string").alias("own_text"), F.struct(*plain).alias("rest"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    if not several.isEmpty():  # one doc_id with different texts in one group
+        open_keys = able.join(several, F.col("component") == F.col("_group")).select("component", *KEY)
+        texts = rows.groupBy(*KEY).agg(F.first("own_text").alias("own_text")).join(open_keys, KEY)
+        least = texts.groupBy("component").agg(F.min(F.struct(F.col("own_text").isNotNull().alias("has"), "own_text", *KEY)).alias("least"))
+        kept = kept.unionByName(least.select(*[F.col("least")[c].alias(c) for c in KEY]))
+    # repeated rows are reduced where they are read, before they meet in one task
+    single = rows.groupBy(*KEY).agg(F.min_by("row", "rest").alias("row")).join(kept, KEY, "left_semi")
+    return single.select(*[F.col("row")[c].alias(c) for c in docs.columns])

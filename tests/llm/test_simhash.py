@@ -67,6 +67,24 @@ def test_null_ids_and_repeated_rows(docs_of):
     assert kept == [(-1, "alone in here"), (2, "A b C d e"), (5, "")]
 
 
+def some_kept(docs_of, rows):
+    return sorted(((-1 if r.doc_id is None else r.doc_id, r.text) for r in simhash.keep_first(docs_of(rows)).collect()), key=str)
+
+
+def test_one_id_on_different_texts_keeps_a_row_of_every_group(docs_of):
+    a, b = "alpha beta gamma delta epsilon", "one two three four five six"
+    assert some_kept(docs_of, [(5, a), (5, b), (9, b.upper())]) == [(5, a), (5, b)]
+    assert some_kept(docs_of, [(0, a.upper()), (1, a), (1, b)]) == [(0, a.upper()), (1, b)]
+    assert some_kept(docs_of, [(5, a), (5, a.upper()), (5, a), (7, a)]) == [(5, a.upper())]  # the smallest text
+    assert some_kept(docs_of, [(None, a), (None, a.upper()), (None, ""), (None, None), (None, b), (3, b)]) == [(-1, a.upper()), (-1, None), (3, b)]
+    texts = some_texts()
+    rows = [((None, 0, 4, 4, 4, i % 7)[i % 6], t) for i, t in enumerate(texts)]
+    label, groups = slow_groups([slow_fp(t) for _, t in rows], 4), {}
+    for (i, t), g in zip(rows, label):
+        groups.setdefault(g, []).append((i is None, -1 if i is None else i, t is not None, t or ""))
+    assert some_kept(docs_of, rows) == sorted(((g[1], g[3] if g[2] else None) for g in map(min, groups.values())), key=str)
+
+
 def test_empty_table(docs_of):
     empty = docs_of([(1, "a")]).where("false")
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_first(empty).collect() == []
