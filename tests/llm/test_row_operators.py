@@ -205,6 +205,19 @@ def test_training_order(docs_of, odd_rows):
     assert mixing.training_order(docs_of(odd_rows).where("false")).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_repeated_rows_have_their_own_draws(docs_of, doc_id):
+    rows = [(doc_id, "w w", "a")] * 60 + [(100 + i, "w w", "b") for i in range(30)] + [(doc_id, "v w", "a")] * 40
+    got = mixing.training_order(docs_of(rows)).collect()
+    goal = slow_targets(Counter({"a": 200, "b": 60}))
+    assert goal["a"] not in (200, 400)
+    for source in "ab":
+        own = [r.training_position for r in got if r.source == source]
+        assert goal[source] - 1 <= 2 * len(own) <= goal[source] + 2 and len(set(own)) == len(own)
+    again = mixing.training_order(docs_of(rows[::-1])).collect()
+    assert Counter((r.doc_id, r.text, r.source, r.training_position) for r in again) == Counter((r.doc_id, r.text, r.source, r.training_position) for r in got)
+
+
 # neighbours ------------------------------------------------------------------
 
 def vectors_of(spark, rows):
