@@ -91,16 +91,20 @@ def out_of_range_days(fact: DataFrame, key: str, day: str, first: str = CALENDAR
     return fact.where((d < F.lit(first).cast("date")) | (d > F.lit(last).cast("date"))).select(key, d.alias(day))
 
 
-def entity_calendar(fact: DataFrame, key: str, day: str, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
+def entity_calendar(fact: DataFrame, key: str, day: str, first: str | None = CALENDAR[0], last: str | None = CALENDAR[1]) -> DataFrame:
     """Every (entity, day) between the entity's first and last day. Dates
     outside [first, last] (sentinels such as year 9999) don't stretch a span;
-    :func:`out_of_range_days` reports them."""
-    fact = fact.where(F.to_date(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    :func:`out_of_range_days` lists them. A bound of None is no bound."""
+    if first is not None:
+        fact = fact.where(F.to_date(day) >= F.lit(first).cast("date"))
+    if last is not None:
+        fact = fact.where(F.to_date(day) <= F.lit(last).cast("date"))
     span = fact.groupBy(key).agg(F.min(F.to_date(day)).alias("_lo"), F.max(F.to_date(day)).alias("_hi"))
     return span.select(key, F.explode(F.sequence("_lo", "_hi")).alias(day))
 
 
-def missing_days(fact: DataFrame, key: str, day: str) -> DataFrame:
-    """C4: (entity, day) cells of the expected grid with no fact row."""
+def missing_days(fact: DataFrame, key: str, day: str, first: str | None = CALENDAR[0], last: str | None = CALENDAR[1]) -> DataFrame:
+    """C4: (entity, day) cells of the expected grid with no fact row; the bounds
+    are those of :func:`entity_calendar`."""
     have = fact.select(key, F.to_date(day).alias(day)).where(F.col(key).isNotNull())
-    return entity_calendar(have, key, day).join(have, [key, day], "left_anti")
+    return entity_calendar(have, key, day, first, last).join(have, [key, day], "left_anti")

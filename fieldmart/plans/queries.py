@@ -368,8 +368,9 @@ def q_orphan_keys(spark, sf):
 
 @register("missing_days")
 def q_missing_days(spark, sf):
-    """C4 + J6: (entity, day) cells missing inside each entity's own span."""
-    return joins.missing_days(fact_d(spark, sf), "entity_id", "day")
+    """C4 + J6: (entity, day) cells missing inside each entity's own span, which
+    no calendar bounds."""
+    return joins.missing_days(fact_d(spark, sf), "entity_id", "day", first=None, last=None)
 
 
 def _flag_facts(spark, sf):

@@ -226,6 +226,15 @@ def test_sentinel_dates_are_reported_not_expanded(spark):
     assert [r.day for r in joins.out_of_range_days(df, "k", "day").collect()] == [dt.date(9999, 12, 31)]
 
 
+def test_missing_days_before_1970_and_after_2099(spark, monkeypatch):
+    from fieldmart.plans import queries
+
+    days = [("a", dt.date(1969, 12, 30)), ("a", dt.date(1970, 1, 2)), ("b", dt.date(2099, 12, 31)), ("b", dt.date(2100, 1, 2)), ("c", dt.date(1950, 5, 5))]
+    monkeypatch.setattr(queries, "fact_d", lambda spark, sf: spark.createDataFrame(days, "entity_id string, day date"))
+    got = sorted((r.entity_id, r.day) for r in queries.QUERIES["missing_days"](spark, "").collect())
+    assert got == [("a", dt.date(1969, 12, 31)), ("a", dt.date(1970, 1, 1)), ("b", dt.date(2100, 1, 1))]
+
+
 def test_filters_reach_the_scan(spark, capsys):
     from conftest import SF_SMALL
     from fieldmart.plans import views
