@@ -6,7 +6,7 @@ end at the same byte, a group of tokens closes. All A-B pairs of token occurrenc
 in a group are links, and an id pair counts in each document that links it.
 
 Groups come from the two arrays of token ends by running along the diagonal: at the
-current index shift, windows of 1, 2, 4, ... ends are compared as bytes and jumped
+current index shift, windows of 1, 1, 2, 4, ... ends are compared as bytes and jumped
 over while they are equal (one-to-one tokens); within the first unequal window the
 stretch's end is found by halving. The irregular group that follows is resolved by
 stepping whichever side ends earlier until both agree, which gives the next shift.
@@ -26,6 +26,7 @@ ignored. Ties: every pair that reaches its A id's highest count is best."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from fieldmart.llm.common import gather, text_slices
 from fieldmart.llm.tokens import REMEMBERED, byte_letters, encoder
 
+#: Text bytes of one chunk (a longer text is a chunk of its own).
+CHUNK_BYTES = 1 << 20
 #: Links that one vectorised step lists (a group with more is a step of its own).
 LINKS_AT_ONCE = 4_000_000
 #: Id pairs are coded as A * 2^32 + B.
@@ -74,11 +77,20 @@ class Pieces:
         self.space = self.model.piece_to_id("▁")
         self.bytes = TokenBytes([bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace("▁", " ").encode()
                                  for i, name in enumerate(names)])
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
 
-    def _ids(self, pieces: list[str]) -> list[np.ndarray]:
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, pieces: list[str]) -> None:
         found = self.model.encode([p[1:] for p in pieces], num_threads=1)
-        return [np.array(x if len(p) > 1 else [self.space], np.int64) for p, x in zip(pieces, found)]
+        if " " in pieces:
+            found[pieces.index(" ")] = [self.space]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.known.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(found))))
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())))
+        self.sizes = np.append(self.sizes, sizes)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts, and where each text's ids end."""
@@ -92,14 +104,12 @@ class Pieces:
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED or not self.by_word:
-            self.known = {}
-        new = [p for p in distinct if p not in self.known]
-        self.known.update(zip(new, self._ids(new)))
-        here = [self.known[p] for p in distinct]
-        sizes = np.fromiter(map(len, here), np.int64, len(here))
-        at = coded.indices.to_numpy()
-        ids = gather(np.concatenate(here), (np.cumsum(sizes) - sizes)[at], sizes[at])
-        before = np.concatenate([[0], np.cumsum(sizes[at])])
+            self._forget()
+        self._learn([p for p in distinct if p not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        ids = gather(self.flat, (np.cumsum(self.sizes) - self.sizes)[at], sizes)
+        before = np.concatenate([[0], np.cumsum(sizes)])
         return ids, before[np.searchsorted(starts, offsets[1:])]
 
 
@@ -132,14 +142,15 @@ def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray,
         if list_a[i] == list_b[j]:
             width = 1
             i, j = i + 1, j + 1
-            while i < n and a[8 * i:8 * (i + 2 * width)] == b[8 * j:8 * (j + 2 * width)]:
-                width = min(2 * width, n - i)
-                i, j = i + width, j + width
-            while width and i < n:
-                if a[8 * i:8 * (i + width)] == b[8 * j:8 * (j + width)]:
-                    width = min(width, n - i)
-                    i, j = i + width, j + width
+            while i < n and a[8 * i:8 * i + 8 * width] == b[8 * j:8 * j + 8 * width]:
+                i, j = i + width, j + width   # equal windows that were cut short close both arrays
+                width *= 2
+            while width > 1 and i < n:
                 width >>= 1
+                if a[8 * i:8 * i + 8 * width] == b[8 * j:8 * j + 8 * width]:
+                    i, j = i + width, j + width
+            if i > n:
+                i = n
         runs.append(i - at_i[-1])
         if i < n:
             x, y = list_a[i], list_b[j]
@@ -307,7 +318,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         from pyspark import TaskContext
 
         chunk = TaskContext.get().partitionId() << 32
-        for batch, data, offsets in text_slices(batches):
+        for batch, data, offsets in text_slices(batches, CHUNK_BYTES):
             yield align_slice(batch, data, offsets, path_a, path_b, chunk)
             chunk += 1
 

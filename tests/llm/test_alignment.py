@@ -87,9 +87,9 @@ def found(docs):
 KEY = lambda r: tuple((x is None, x) for x in r)
 
 
-@pytest.mark.parametrize("slice_bytes", [4 << 20, 700])
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 700])
 def test_matches_plain_python(docs_of, odd_rows, monkeypatch, slice_bytes):
-    monkeypatch.setattr("fieldmart.llm.common.SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", slice_bytes)
     odd = ["▁ a", "x▁y", " lead", "trail ", "  two  spaces  ", "ﬁ é é Ａ b", "a\x00b\x7f", "<s> <unk> <0x41> </s> <|endoftext|>", "-" * 300 + "=" * 77, "🙂👩‍👩‍👧 ok", "\r\n\r\n\t x"]
     rows = [*odd_rows, *[(1000 + i, t, None) for i, t in enumerate(odd)]]
     docs = docs_of(rows, extra=["n_a", "chunk", "pair", "groups", "n", "at"])
