@@ -4,8 +4,7 @@ checked for a stable schema."""
 
 import pytest
 
-from conftest import SF_SMALL
-from oracle_compare import compare, duck
+from oracle_compare import SF_SMALL, compare, duck
 
 import __spark_entry__ as entry_mod
 

@@ -236,7 +236,7 @@ def test_missing_days_before_1970_and_after_2099(spark, monkeypatch):
 
 
 def test_filters_reach_the_scan(spark, capsys):
-    from conftest import SF_SMALL
+    from oracle_compare import SF_SMALL
     from fieldmart.plans import views
 
     views.failures(spark, SF_SMALL).explain("formatted")
