@@ -1,32 +1,17 @@
-"""Aggregate helpers with the reference's missing-value rules."""
+"""Aggregate helpers with the reference's missing-value rules.
+Sums and means (A11, A12) are in :mod:`fieldmart.functions.exact`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import col_of
 
-__all__ = ["exact_sum", "sum0", "mean", "count_nonnull", "std_samp", "nunique", "rows", "rmse_of", "mae_of"]
-
-#: Sums and means add decimals of nine places, so their value doesn't depend on
-#: the order in which tasks deliver rows.
-EXACT = "decimal(38,9)"
-
-
-def exact_sum(c) -> Column:
-    """Sum ignoring missing values, independent of row order; NULL if none."""
-    return F.sum(col_of(c).cast(EXACT)).cast("double")
-
-
-def sum0(c) -> Column:
-    """Sum ignoring missing; an all-missing group sums to 0."""
-    return F.coalesce(exact_sum(c), F.lit(0.0))
-
-
-def mean(c) -> Column:
-    """Mean ignoring missing; all-missing -> NULL."""
-    return exact_sum(c) / F.nullif(count_nonnull(c), F.lit(0))
+__all__ = ["count_nonnull", "nunique", "rows", "distinct_states", "merge_distinct", "distinct_counts"]
 
 
 def count_nonnull(c) -> Column:
@@ -34,11 +19,6 @@ def count_nonnull(c) -> Column:
     return F.count(col_of(c))
 
 
-def std_samp(c) -> Column:
-    """Sample standard deviation (ddof = 1)."""
-    return F.stddev_samp(col_of(c))
-
-
 def nunique(c, approx: bool = False) -> Column:
     """Exact distinct count; ``approx=True`` uses HyperLogLog++ (bounded memory)."""
     return F.approx_count_distinct(col_of(c)) if approx else F.countDistinct(col_of(c))
@@ -49,11 +29,24 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
-def mae_of(y, p) -> Column:
-    """M10."""
-    return F.avg(F.abs(col_of(y) - col_of(p)))
+def distinct_states(df: DataFrame, keys: Sequence[str], column: str, out: str = "bits") -> DataFrame:
+    """A14 as a mergeable table: per key and bucket of 32,768 neighbouring ids a bitmap
+    of the ids that occur. ``column`` is an integer or a date (its day number); missing
+    values don't count. Dense ids need one bucket for 32,768 of them, 4 KB."""
+    kind = dict(df.dtypes)[column]
+    if kind not in ("date", "bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"{column} is {kind}: number its values first")
+    number = F.unix_date(column) if kind == "date" else F.col(column)
+    base = df.select(*keys, number.cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
+    return (base.groupBy(*keys, F.bitmap_bucket_number("_id").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias(out)))
+
+
+def merge_distinct(parts: Sequence[DataFrame], keys: Sequence[str], out: str = "bits") -> DataFrame:
+    """One bitmap per key and bucket of several such tables, which may overlap."""
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys, "bucket").agg(F.bitmap_or_agg(out).alias(out))
 
 
-def rmse_of(y, p) -> Column:
-    """M11/E21."""
-    return F.sqrt(F.avg(F.pow(col_of(y) - col_of(p), 2)))
+def distinct_counts(state: DataFrame, keys: Sequence[str], count: str, out: str = "bits") -> DataFrame:
+    """The distinct counts of a merged state, one row per key."""
+    return state.groupBy(*keys).agg(F.sum(F.bitmap_count(out)).alias(count))

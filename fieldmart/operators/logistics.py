@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions.aggregates import mean, rows, sum0
+from fieldmart.functions import exact
+from fieldmart.functions.aggregates import rows
 from fieldmart.functions.expressions import safe_div, threshold_flag
 from fieldmart.operators.ranking import rank_asc
 
@@ -19,17 +20,15 @@ def enrich_deliveries(df: DataFrame, cost: str = "cost", distance: str = "distan
 
 def delay_by_category(df: DataFrame, category: str = "category", delay: str = "delay") -> DataFrame:
     """Per weather/category -> mean delay, delayed share, deliveries."""
-    return (df.where(F.col(category).isNotNull()).groupBy(category).agg(
-        mean(delay).alias("avg_delay_hours"), mean("is_delayed").alias("delayed_share"),
-        rows().alias("deliveries_count")))
+    return exact.aggregate(df.where(F.col(category).isNotNull()), [category],
+                           means={"avg_delay_hours": delay, "delayed_share": "is_delayed"}, rows="deliveries_count")
 
 
 def cost_by_route(df: DataFrame, route: str = "route", distance: str = "distance", cost: str = "cost") -> DataFrame:
     """Per route -> mean distance, mean cost, mean of per-row cost/km
     (not a ratio of sums), deliveries."""
-    return (df.where(F.col(route).isNotNull()).groupBy(route).agg(
-        mean(distance).alias("avg_distance_km"), mean(cost).alias("avg_cost_rub"),
-        mean("cost_per_km").alias("avg_cost_per_km"), rows().alias("deliveries_count")))
+    return exact.aggregate(df.where(F.col(route).isNotNull()), [route],
+                           means={"avg_distance_km": distance, "avg_cost_rub": cost, "avg_cost_per_km": "cost_per_km"}, rows="deliveries_count")
 
 
 def bad_distance(df: DataFrame, route: str = "route", distance: str = "distance") -> DataFrame:
@@ -42,10 +41,9 @@ def bad_distance(df: DataFrame, route: str = "route", distance: str = "distance"
 def driver_kpi(df: DataFrame, driver: str = "driver_id", delay: str = "delay", volume: str = "volume") -> DataFrame:
     """Per driver -> mean delay, delayed share, mean cost/km, total
     volume, deliveries."""
-    return (df.where(F.col(driver).isNotNull()).groupBy(driver).agg(
-        mean(delay).alias("avg_delay_hours"), mean("is_delayed").alias("delayed_share"),
-        mean("cost_per_km").alias("avg_cost_per_km"), sum0(volume).alias("total_volume_tons"),
-        rows().alias("deliveries_count")))
+    found = exact.aggregate(df.where(F.col(driver).isNotNull()), [driver], sums={"total_volume_tons": volume},
+                            means={"avg_delay_hours": delay, "delayed_share": "is_delayed", "avg_cost_per_km": "cost_per_km"}, rows="deliveries_count")
+    return found.select(driver, "avg_delay_hours", "delayed_share", "avg_cost_per_km", "total_volume_tons", "deliveries_count")
 
 
 def route_recommendation(cost_routes: DataFrame) -> DataFrame:

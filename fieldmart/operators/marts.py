@@ -1,8 +1,9 @@
 """Aggregations and marts.
 
-Every aggregate is a ``groupBy().agg()``: Spark aggregates partially on the
-map side before the shuffle, so a hot key sends one partial row per task.
-Global values (row counts, min/max for bins) are scalar subqueries, never
+Sums and means are the exact ones of :mod:`fieldmart.functions.exact`, two
+``groupBy().agg()`` that Spark aggregates partially on the map side, so a hot key
+sends few partial rows per task. Distinct counts are an aggregate of their own, joined
+on the key: pass a written table where the frame is dear to compute. Global values (row counts, min/max for bins) are scalar subqueries, never
 cross joins.
 """
 
@@ -13,19 +14,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.functions.aggregates import mean, nunique, rows, sum0
+from fieldmart.functions import exact
+from fieldmart.functions.aggregates import nunique
 from fieldmart.functions.expressions import ratio_pct, safe_div
 
 
+def daily_columns(day: str) -> list[str]:
+    return [day, "total_oil_tons", "avg_flow_rate_tpd", "total_downtime_hours", "active_wells"]
+
+
 def production_daily(df: DataFrame, day: str = "day", key: str = "entity_id", flow: str = "flow",
                      oil: str = "oil", downtime: str = "downtime", approx_distinct: bool = False) -> DataFrame:
     """A1: per day -> total oil, mean flow, total downtime, active entities
     (entities with a row that day, whatever their status -- T21)."""
-    return (df.where(F.col(day).isNotNull()).groupBy(day).agg(
-        sum0(oil).alias("total_oil_tons"),
-        mean(flow).alias("avg_flow_rate_tpd"),
-        sum0(downtime).alias("total_downtime_hours"),
-        nunique(key, approx_distinct).alias("active_wells")))
+    base = df.where(F.col(day).isNotNull())
+    sums = exact.aggregate(base, [day], sums={"total_oil_tons": oil, "total_downtime_hours": downtime}, means={"avg_flow_rate_tpd": flow})
+    active = base.groupBy(day).agg(nunique(key, approx_distinct).alias("active_wells"))
+    return sums.join(active, day).select(*daily_columns(day))
 
 
 def entity_kpi(df: DataFrame, entities: DataFrame | None = None, key: str = "entity_id", day: str = "day",
@@ -34,13 +39,17 @@ def entity_kpi(df: DataFrame, entities: DataFrame | None = None, key: str = "ent
                approx_distinct: bool = False) -> DataFrame:
     """A2 + J1 + E1: per entity mean flow, total oil, total downtime, distinct
     days; dimension columns; downtime % = hours / (days * 24) * 100."""
+    base = df.where(F.col(key).isNotNull())
+    sums = exact.aggregate(base, [key], sums={"total_oil_tons": oil, "downtime_hours": downtime}, means={"avg_flow_rate_tpd": flow})
+    days = base.groupBy(key).agg(nunique(day, approx_distinct).alias("days_count"))
+    return kpi_columns(sums.join(days, key), key, entities, entity_columns)
+
+
+def kpi_columns(kpi: DataFrame, key: str, entities: DataFrame | None, entity_columns: Sequence[str]) -> DataFrame:
+    """The KPI mart's columns from its sums, mean and day count."""
     from fieldmart.operators.joins import enrich
 
-    kpi = (df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        mean(flow).alias("avg_flow_rate_tpd"),
-        sum0(oil).alias("total_oil_tons"),
-        sum0(downtime).alias("downtime_hours"),
-        nunique(day, approx_distinct).alias("days_count")))
+    kpi = kpi.select(key, "avg_flow_rate_tpd", "total_oil_tons", "downtime_hours", "days_count")
     if entities is not None:
         kpi = enrich(kpi, entities, key, list(entity_columns))
     return kpi.withColumn("downtime_pct", ratio_pct("downtime_hours", "days_count"))
@@ -51,9 +60,7 @@ def readings_daily(df: DataFrame, key: str = "entity_id", ts: str = "ts", day: s
     """A3/A4: per (entity, day) means and sums (sums of nothing are 0, T1).
     ``means``/``sums`` map output name -> input column."""
     base = df.withColumn(day, F.to_date(F.col(ts))).where(F.col(key).isNotNull() & F.col(day).isNotNull())
-    aggs = [mean(c).alias(o) for o, c in (means or {}).items()]
-    aggs += [sum0(c).alias(o) for o, c in (sums or {}).items()]
-    return base.groupBy(key, day).agg(*aggs)
+    return exact.aggregate(base, [key, day], sums=sums, means=means).select(key, day, *(means or {}), *(sums or {}))
 
 
 def features_daily(fact: DataFrame, readings_per_day: DataFrame, entities: DataFrame | None,
@@ -115,8 +122,7 @@ def bin_heatmap(features: DataFrame, x_col: str, y_col: str, measure: str, key:
     """A5: (x bin, y bin) -> mean of the measure and count of entity ids.
     Sorted by bin index, not by label text (T9)."""
     b = equal_width_bins(features.select(key, measure, x_col, y_col), {x_col: x_name, y_col: y_name}, bins)
-    return (b.groupBy(f"{x_name}_idx", x_name, f"{y_name}_idx", y_name)
-             .agg(mean(measure).alias("avg_flow_rate_tpd"), F.count(F.col(key)).alias("observations")))
+    return exact.aggregate(b, [f"{x_name}_idx", x_name, f"{y_name}_idx", y_name], means={"avg_flow_rate_tpd": measure}, counts={"observations": key})
 
 
 def dashboard_filter(df: DataFrame, day: str = "day", date_from=None, date_to=None,
@@ -139,18 +145,13 @@ def kpi_cards(features: DataFrame, oil: str = "oil", flow: str = "flow", pressur
               downtime: str = "downtime") -> DataFrame:
     """A10: one row -- total production, mean flow, mean pressure, downtime %
     (downtime hours over 24 h per (entity, day) row)."""
-    return features.agg(
-        sum0(oil).alias("total_oil_tons"),
-        mean(flow).alias("avg_flow_rate_tpd"),
-        mean(pressure).alias("avg_pressure_atm"),
-        (safe_div(sum0(downtime), rows() * F.lit(24.0)) * F.lit(100.0)).alias("downtime_pct"),
-        rows().alias("rows_count"))
+    cards = exact.aggregate(features, sums={"total_oil_tons": oil, "downtime": downtime}, means={"avg_flow_rate_tpd": flow, "avg_pressure_atm": pressure}, rows="rows_count")
+    pct = safe_div("downtime", F.col("rows_count") * F.lit(24.0)) * F.lit(100.0)
+    return cards.select("total_oil_tons", "avg_flow_rate_tpd", "avg_pressure_atm", pct.alias("downtime_pct"), "rows_count")
 
 
 def downtime_summary(kpi: DataFrame, by: str = "region") -> DataFrame:
     """Downtime analysis from the entity KPI mart, per region."""
-    return (kpi.where(F.col(by).isNotNull()).groupBy(by).agg(
-        sum0("downtime_hours").alias("downtime_hours"),
-        F.sum("days_count").alias("days_count"),
-        F.count(F.lit(1)).alias("wells"))
-        .withColumn("downtime_pct", ratio_pct("downtime_hours", "days_count")))
+    found = exact.aggregate(kpi.where(F.col(by).isNotNull()), [by], sums={"downtime_hours": "downtime_hours", "days_count": "days_count"}, rows="wells")
+    return found.select(by, "downtime_hours", F.col("days_count").cast("bigint").alias("days_count"), "wells",
+                        ratio_pct("downtime_hours", "days_count").alias("downtime_pct"))

@@ -17,8 +17,8 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldmart.functions.aggregates import mae_of, rmse_of
-from fieldmart.functions.expressions import key_hash
+from fieldmart.functions import exact
+from fieldmart.functions.expressions import abs_error, key_hash
 from fieldmart.operators.positions import GROUP_N, POS, counted_order
 
 SEED = 42
@@ -63,9 +63,10 @@ def class_weights(df: DataFrame, label: str, out: str = "w") -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
-    """MAE and RMSE (optionally per model)."""
-    aggs = [mae_of(y, p).alias("mae"), rmse_of(y, p).alias("rmse"), F.count(F.lit(1)).alias("rows_count")]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    """MAE and RMSE (optionally per model) from exact sums."""
+    e = abs_error(y, p)
+    m = exact.aggregate(df, list(by), means={"mae": e, "mse": F.pow(e, 2)}, rows="rows_count")
+    return m.select(*by, "mae", F.sqrt("mse").alias("rmse"), "rows_count")
 
 
 def accuracy(df: DataFrame, y: str, pred: str, rows: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +21,18 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str], prefer: str) -> DataFrame:
     """U2 (``ON CONFLICT (key) DO NOTHING``): the existing row wins; among new
-    rows sharing a key the one with the smallest ``prefer`` value is kept.
-    The choice is a partially aggregated ``min_by`` (no per-key window)."""
+    rows sharing a key the one with the smallest ``prefer`` value is kept, a missing
+    one after all others; rows that tie are told apart by their other columns, so the
+    choice doesn't depend on their order. It is a partially aggregated minimum (no
+    per-key window). A row without a part of the key conflicts with none, as under a
+    unique constraint, and is always inserted."""
     key = list(key)
-    rest = [c for c in new.columns if c not in key]
-    picked = (new.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(prefer)).alias("_row"))
+    rest = [prefer, *[c for c in new.columns if c not in key and c != prefer]]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    picked = (new.where(whole).groupBy(*key).agg(F.min(F.struct(F.col(prefer).isNull().alias("_missing"), *rest)).alias("_row"))
                  .select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]))
     fresh = picked.join(old.select(*key), key, "left_anti")
-    return old.unionByName(fresh.select(*old.columns))
+    return union_all(old, fresh.select(*old.columns), new.where(~whole).select(*old.columns))
 
 
 def append(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -116,8 +116,8 @@ def _r6(cols: list[str]) -> str:
 
 
 def xsum(x: str) -> str:
-    """Sum of decimals with nine places: no order of rows changes it."""
-    return f"CAST(sum(CAST({x} AS DECIMAL(38,9))) AS DOUBLE)"
+    """A sum of doubles (with compensation, so that row order hardly shows)."""
+    return f"fsum({x})"
 
 
 def xavg(x: str) -> str:
@@ -432,7 +432,7 @@ ds AS (SELECT t.entity_id, t.day, t.actual_flow_rate_tpd, a4.avg_value, a4.avg_k
 SELECT entity_id, day, {_r6(['actual_flow_rate_tpd', 'avg_value', 'avg_k', 'runtime_hours'])} FROM ds"""
 
 ORACLE["export_round_trip"] = f"""
-SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, {r6(xsum('o_totalprice'))} AS total_price
+SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE), 2) AS total_price
 FROM orders GROUP BY 1"""
 
 # S11 twins: the marts' SQL, then the dashboard SELECT itself.
@@ -519,17 +519,17 @@ SELECT 'random_forest_classifier' AS model_name, CAST(sum(n - test) AS BIGINT) A
        1 AS accuracy_ok, 1 AS auc_ok FROM t"""
 
 ORACLE["sink_table_formats"] = f"""
-SELECT o_orderstatus, count(*) AS rows_count, {r6(xsum('o_totalprice'))} AS total_price, format
+SELECT o_orderstatus, count(*) AS rows_count, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE), 2) AS total_price, format
 FROM orders, (SELECT unnest(['parquet', 'csv']) AS format) f GROUP BY o_orderstatus, format"""
 ORACLE["sink_unpartitioned"] = """
-SELECT 'raw/nation' || i AS dataset, CAST(NULL AS VARCHAR) AS partition_value, (SELECT count(*) FROM nation) AS rows_count
+SELECT 'raw/orders' || i AS dataset, CAST(NULL AS VARCHAR) AS partition_value, (SELECT count(*) FROM orders) AS rows_count
 FROM (SELECT unnest([0, 1]) AS i) t"""
 ORACLE["sink_empty"] = "SELECT count(*) AS rows_kept, 0 AS objects_listed FROM orders"
 ORACLE["sink_raw_snapshots"] = "WITH " + R_CTE + "," + D_CTE + """
 SELECT 'raw/telemetry' AS dataset, CAST(CAST(ts AS DATE) AS VARCHAR) AS partition_value, count(*) AS rows_count FROM r GROUP BY 2
-UNION ALL SELECT 'raw/production', CAST(CAST(date_trunc('month', day) AS DATE) AS VARCHAR), count(*) FROM d GROUP BY 2
+UNION ALL SELECT 'raw/production', CAST(day AS VARCHAR), count(*) FROM d GROUP BY 2
 UNION ALL SELECT 'raw/region', NULL, count(*) FROM region"""
-ORACLE["sink_manifest"] = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS rows_count FROM orders GROUP BY 1"
+ORACLE["sink_manifest"] = "SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count FROM orders GROUP BY 1"
 ORACLE["sink_report"] = f"""
 WITH m AS ({ORACLE["regression_metrics"]})
 SELECT model_name, mae, rmse, rows_count FROM m"""

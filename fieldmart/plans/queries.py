@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -44,15 +45,18 @@ def fact_d(spark, sf):
 
 
 def cleaned_d(spark, sf):
-    return clean.clean_daily_fact(fact_d(spark, sf))
+    """The cleaned tables are written once per session and folder, too: the marts
+    read them, as the jobs' marts read theirs."""
+    return materialize_once(spark, "clean_d", sf, lambda: clean.clean_daily_fact(fact_d(spark, sf)))
 
 
 def cleaned_u(spark, sf):
-    return clean.clean_daily_fact(materialize_once(spark, "user_daily_fact", sf, lambda: views.user_daily_fact(spark, sf)))
+    facts = materialize_once(spark, "user_daily_fact", sf, lambda: views.user_daily_fact(spark, sf))
+    return materialize_once(spark, "clean_u", sf, lambda: clean.clean_daily_fact(facts))
 
 
 def cleaned_r(spark, sf):
-    return clean.clean_readings(views.readings(spark, sf), measures=READING_MEASURES, ranges=READING_RANGES)
+    return materialize_once(spark, "clean_r", sf, lambda: clean.clean_readings(views.readings(spark, sf), measures=READING_MEASURES, ranges=READING_RANGES))
 
 
 def kpi_d(spark, sf):
@@ -78,7 +82,7 @@ def q_clean_daily_fact_range(spark, sf):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        out = materialize(cleaned_d(spark, sf), "clean_daily_fact")
+        out = materialize(clean.clean_daily_fact(fact_d(spark, sf)), "clean_daily_fact")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     return round6(out.select("entity_id", "day", "flow", "oil", "water", "downtime"))
@@ -313,7 +317,7 @@ def q_pre_failure_vibration(spark, sf):
 from fieldmart.operators import ml, quality, setops  # noqa: E402
 from fieldmart.plans import anomaly as anomaly_job  # noqa: E402
 from fieldmart.plans import forecast, reports  # noqa: E402
-from fieldmart.functions.aggregates import exact_sum, mae_of, mean, rmse_of  # noqa: E402
+from fieldmart.functions import exact  # noqa: E402
 from fieldmart.sources.tables import register_views  # noqa: E402
 from fieldmart.session import scratch_path  # noqa: E402
 from fieldmart.sources import sinks  # noqa: E402
@@ -410,8 +414,8 @@ def q_insert_targets(spark, sf):
     """Derived targets inserted into existing ones on (entity, day); a target
     that is there stays. The existing ones are the returned lines' mean prices."""
     old = (views.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
-           .groupBy(F.col("l_suppkey").alias("entity_id"), F.to_date("l_shipdate").alias("day"))
-           .agg(mean("l_extendedprice").alias("actual_flow_rate_tpd")))
+           .select(F.col("l_suppkey").alias("entity_id"), F.to_date("l_shipdate").alias("day"), "l_extendedprice"))
+    old = exact.aggregate(old, ["entity_id", "day"], means={"actual_flow_rate_tpd": "l_extendedprice"})
     return round6(setops.insert_targets(old, fact_d(spark, sf), ["entity_id", "day"], "flow", "oil"))
 
 
@@ -458,13 +462,10 @@ PRICE_MODELS = (("rate_1000", 1000.0), ("rate_1500", 1500.0))
 def q_regression_metrics(spark, sf):
     """MAE/RMSE of fixed predictors; best = smallest RMSE."""
     li = views.table(spark, sf, "lineitem")
-    y, aggs = F.col("l_extendedprice"), [F.count(F.lit(1)).alias("rows_count")]
-    for order, (_, rate) in enumerate(PRICE_MODELS):   # one pass for all predictors
-        p = F.col("l_quantity") * rate
-        aggs += [mae_of(y, p).alias(f"mae{order}"), rmse_of(y, p).alias(f"rmse{order}")]
-    models = F.array(*[F.struct(F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), F.col(f"mae{order}").alias("mae"),
-                                F.col(f"rmse{order}").alias("rmse")) for order, (name, _) in enumerate(PRICE_MODELS)])
-    m = li.agg(*aggs).select("rows_count", F.inline(models))
+    models = F.array(*[F.struct(F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), (F.col("l_quantity") * rate).alias("p"))
+                       for order, (name, rate) in enumerate(PRICE_MODELS)])
+    scored = li.select("l_extendedprice", F.inline(models))
+    m = ml.regression_metrics(scored, "l_extendedprice", "p", by=["model_name", "model_order"])
     best = ranking.argmin(m, "rmse", "model_order").select(F.col("model_order").alias("best_order"))   # one row
     m = m.join(F.broadcast(best), F.col("model_order") == F.col("best_order"), "left")
     return round6(m.select("model_name", "model_order", "mae", "rmse", "rows_count", F.col("best_order").isNotNull().cast("int").alias("is_best")))
@@ -576,29 +577,41 @@ def _scratch(spark):
 
 
 def _per_day(df, day):
-    return round6(df.groupBy(day).agg(F.count(F.lit(1)).alias("rows_count"), exact_sum("o_totalprice").alias("total_price")))
+    return _cents(exact.aggregate(df, [day], sums={"total_price": "o_totalprice"}, rows="rows_count"))
+
+
+def _cents(df):
+    """Large sums of prices compared at two decimals."""
+    return df.withColumn("total_price", F.round("total_price", 2))
 
 
 @register("sink_table_formats")
 def q_sink_table_formats(spark, sf):
-    """The orders written twice (drop and replace) as parquet and as csv."""
+    """The orders written as parquet and as csv, replaced by themselves, and kept
+    through a replacement that fails half way."""
     root, parts = _scratch(spark), []
     orders = views.table(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
     for fmt in sinks.SUPPORTED_FORMATS:
-        for _ in range(2):
-            sinks.write_table(orders, f"{root}/{fmt}", fmt)
-        back = sinks._reader(spark, fmt, f"{root}/{fmt}")
-        parts.append(back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_count"), exact_sum("o_totalprice").alias("total_price"))
-                     .withColumn("format", F.lit(fmt)))
-    return round6(setops.union_all(*parts))
+        path = f"{root}/{fmt}"
+        sinks.write_table(orders, path, fmt)
+        sinks.write_table(sinks.read_mart(spark, path, fmt), path, fmt)
+        broken = orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "F", F.raise_error(F.lit("half way"))).otherwise(F.col("o_totalprice")))
+        try:
+            sinks.write_table(broken, path, fmt)
+        except Exception as e:  # the failing row's own error
+            if "half way" not in str(e):
+                raise
+        back = sinks.read_mart(spark, path, fmt)
+        parts.append(exact.aggregate(back, ["o_orderstatus"], sums={"total_price": "o_totalprice"}, rows="rows_count").withColumn("format", F.lit(fmt)))
+    return _cents(setops.union_all(*parts))
 
 
 @register("sink_unpartitioned")
 def q_sink_unpartitioned(spark, sf):
     """No partition column, or one that isn't there: one plain dataset."""
     root = _scratch(spark)
-    nation = views.table(spark, sf, "nation")
-    parts = [sinks.export_partitioned(nation, root, f"raw/nation{i}", key).groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
+    orders = views.table(spark, sf, "orders")
+    parts = [sinks.export_partitioned(orders, root, f"raw/orders{i}", key).groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
              for i, key in enumerate((None, "no_such_column"))]
     return setops.union_all(*parts)
 
@@ -607,9 +620,9 @@ def q_sink_unpartitioned(spark, sf):
 def q_sink_empty(spark, sf):
     """An empty frame writes nothing and keeps what was there."""
     root = _scratch(spark)
-    orders = views.table(spark, sf, "orders").select(F.trunc("o_orderdate", "month").alias("month"), "o_totalprice")
-    sinks.export_partitioned(orders, root, "raw/orders", "month")
-    listed = sinks.export_partitioned(orders.where("false"), root, "raw/orders", "month")
+    orders = views.table(spark, sf, "orders").select("o_orderdate", "o_totalprice")
+    sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate")
+    listed = sinks.export_partitioned(orders.where("false"), root, "raw/orders", "o_orderdate")
     return spark.read.parquet(f"{root}/raw/orders").agg(F.count(F.lit(1)).alias("rows_kept"), listed.select(F.count(F.lit(1))).scalar().alias("objects_listed"))
 
 
@@ -617,21 +630,21 @@ def q_sink_empty(spark, sf):
 def q_sink_raw_snapshots(spark, sf):
     """Several frames exported at once, each by its own date key or none."""
     r = views.readings(spark, sf).withColumn("event_date", F.to_date("ts"))
-    d = fact_d(spark, sf).withColumn("production_date", F.trunc("day", "month"))
+    d = fact_d(spark, sf).withColumnRenamed("day", "production_date")
     manifest = sinks.export_marts({"telemetry": r, "production": d, "region": views.table(spark, sf, "region")}, _scratch(spark), prefix="raw")
     return manifest.groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
 
 
 @register("sink_manifest")
 def q_sink_manifest(spark, sf):
-    """The manifest lists every written object once; rows by month from it."""
+    """The manifest lists every written object once; rows by day from it."""
     root = _scratch(spark)
-    orders = views.table(spark, sf, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
-    sinks.write_manifest(sinks.export_partitioned(orders, root, "raw/orders", "month"), f"{root}/artifacts/manifest", ["orders"])
+    orders = views.table(spark, sf, "orders")
+    sinks.write_manifest(sinks.export_partitioned(orders, root, "raw/orders", "o_orderdate"), f"{root}/artifacts/manifest", ["orders"])
     back = spark.read.json(f"{root}/artifacts/manifest")
     files = spark.read.parquet(f"{root}/raw/orders").select(F.col("_metadata.file_path").alias("object")).distinct()
     listed = back.join(files, "object", "left_semi").where(F.col("created_at").isNotNull() & F.array_contains("tables", "orders"))
-    return listed.groupBy(F.to_date("partition_value").alias("month")).agg(F.sum("rows_count").alias("rows_count"))
+    return listed.groupBy(F.to_date("partition_value").alias("o_orderdate")).agg(F.sum("rows_count").alias("rows_count"))
 
 
 @register("sink_report")
@@ -645,8 +658,13 @@ def q_sink_report(spark, sf):
 @register("sink_statements")
 def q_sink_statements(spark, sf):
     """Statements run in order, blank ones skipped; the last one reads what
-    the others made."""
-    views.table(spark, sf, "orders").createOrReplaceTempView("s13_orders")
+    the others made. A list that fails in its middle leaves the views as they were."""
+    views.table(spark, sf, "orders").createOrReplaceTempView("s13_all")
+    sinks.execute_sql(spark, ["CREATE OR REPLACE TEMP VIEW s13_orders AS SELECT * FROM s13_all"])
+    try:
+        sinks.execute_sql(spark, ["CREATE OR REPLACE TEMP VIEW s13_orders AS SELECT * FROM s13_all WHERE false", "SELECT * FROM s13_no_such_view"])
+    except AnalysisException:
+        pass
     out = sinks.execute_sql(spark, ["CREATE OR REPLACE TEMP VIEW s13_big AS SELECT * FROM s13_orders WHERE o_totalprice > 100000", "  ", "",
                                     "CREATE OR REPLACE TEMP VIEW s13_open AS SELECT * FROM s13_big WHERE o_orderstatus = 'O'",
                                     "SELECT o_orderpriority, count(*) AS rows_count FROM s13_open GROUP BY o_orderpriority"])

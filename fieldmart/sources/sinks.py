@@ -7,6 +7,8 @@ Paths are folders of a shared file system (the cluster's
 from __future__ import annotations
 
 import datetime as _dt
+import time
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +25,49 @@ def check_format(fmt: str) -> str:
     return fmt
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for a path's own scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Drop-and-replace a mart table."""
-    _writer(df, check_format(fmt)).mode("overwrite").save(path)
+    """Replace a mart table. The new table is written beside the old one and takes
+    its place by renames only when it is whole: a write that fails leaves the old table
+    as it was, and a frame may read the table that it replaces. If the process dies
+    between the two renames, the old table stands beside its place under
+    ``<path>.old-...``, where :func:`read_mart` finds it."""
+    check_format(fmt)
+    spark, path, tag = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    fresh, old = f"{path}.new-{tag}", f"{path}.old-{int(time.time() * 1000):013d}-{tag}"
+    fs, place = _file_system(spark, path)
+    new, gone = place.suffix(fresh[len(path):]), place.suffix(old[len(path):])
+    try:
+        _writer(df, fmt).save(fresh)
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    had = fs.exists(place)
+    if had and not fs.rename(place, gone):
+        fs.delete(new, True)
+        raise OSError(f"{path}: the old table can't be moved aside")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(gone, place)
+        raise OSError(f"{path}: the new table can't be moved into place")
+    for status in fs.globStatus(place.suffix(".old-*")) or []:      # this swap's, and any that a dead process left
+        fs.delete(status.getPath(), True)
+
+
+def read_mart(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A mart written by :func:`write_table`: the table in place, or the latest old
+    one if a swap was cut off between its renames."""
+    fs, place = _file_system(spark, path.rstrip("/"))
+    if not fs.exists(place):
+        left = sorted(s.getPath().toString() for s in fs.globStatus(place.suffix(".old-*")) or [])
+        if left:
+            return _reader(spark, fmt, left[-1])
+    return _reader(spark, fmt, path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000, properties: dict | None = None) -> None:
@@ -56,28 +98,25 @@ def route_partition_key(df: DataFrame, candidates: Sequence[str] = DATE_KEYS) ->
     return None
 
 
+#: Spark's folder of rows without a partition value.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 MANIFEST = "dataset string, partition_value string, object string, rows_count bigint"
 
 
-def written_objects(spark: SparkSession, path: str, dataset: str, fmt: str, partition_column: str | None, before: list[str]) -> DataFrame:
-    """The files under ``path`` that a write has added, with their rows,
-    counted from the written files."""
-    found = _reader(spark, fmt, path)
+def written_objects(spark: SparkSession, path: str, dataset: str, fmt: str, partition_column: str | None, folders: Sequence[str] | None = None) -> DataFrame:
+    """The files of the given partition folders (of the whole dataset without
+    them) with their rows. No data column is read, so Parquet rows come from the files'
+    footers; other folders are neither listed nor read."""
+    reader = spark.read.format(fmt).option("basePath", path)
+    if fmt == "csv":
+        reader = reader.option("header", "true")
+    found = reader.load([f"{path}/{f}" for f in folders] if folders else path)
     value = F.col(partition_column).cast("string") if partition_column else F.lit(None).cast("string")
     rows = (found.select(value.alias("partition_value"), F.col("_metadata.file_path").alias("object"))
                  .groupBy("partition_value", "object").agg(F.count(F.lit(1)).alias("rows_count")))
-    if before:
-        rows = rows.join(spark.createDataFrame([(x,) for x in before], "object string"), "object", "left_anti")
     return rows.select(F.lit(dataset).alias("dataset"), "partition_value", "object", "rows_count")
 
 
-def _objects_now(spark: SparkSession, fmt: str, path: str) -> list[str]:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return []
-    return [r["file_path"] for r in _reader(spark, fmt, path).select("_metadata.file_path").distinct().collect()]
-
-
 def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column: str | None = None,
                        fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> DataFrame:
     """Write ``root/dataset`` and return a manifest DataFrame
@@ -91,24 +130,28 @@ def export_partitioned(df: DataFrame, root: str, dataset: str, partition_column:
     * unpartitioned (no key, or key absent): a plain overwrite.
     * empty input: nothing is written and the manifest is empty (S6).
 
-    The frame is read for the emptiness check, the range bounds and the write:
-    pass a written table when it is dear to compute."""
+    The manifest holds what this call wrote: a dynamic overwrite leaves exactly its own
+    files in the folders of the frame's dates, and only those are looked at. The driver
+    knows the frame's distinct dates, one value per day. The frame is read for them, for
+    the range bounds and for the write: pass a written table when it is dear to compute."""
     check_format(fmt)
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{dataset}"
-    if df.isEmpty():
-        return spark.createDataFrame([], MANIFEST)
     if partition_column and partition_column in df.columns:
-        before = _objects_now(spark, fmt, path)
         work = df.withColumn(partition_column, F.to_date(F.col(partition_column)))
+        dates = [r[0] for r in work.select(F.col(partition_column).cast("string")).distinct().collect()]
+        if not dates:
+            return spark.createDataFrame([], MANIFEST)
         n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         spread = work.repartitionByRange(n, F.col(partition_column), F.xxhash64(*[F.col(c) for c in df.columns]))
         (_writer(spread, fmt).mode("overwrite").partitionBy(partition_column)
             .option("partitionOverwriteMode", "dynamic")          # per write, not session-wide
             .option("maxRecordsPerFile", str(max_records_per_file)).save(path))
-        return written_objects(spark, path, dataset, fmt, partition_column, before)
+        return written_objects(spark, path, dataset, fmt, partition_column, [f"{partition_column}={d or NO_DATE}" for d in sorted(dates, key=str)])
+    if df.isEmpty():
+        return spark.createDataFrame([], MANIFEST)
     _writer(df, fmt).mode("overwrite").save(path)
-    return written_objects(spark, path, dataset, fmt, None, [])
+    return written_objects(spark, path, dataset, fmt, None)
 
 
 def export_marts(marts: Mapping[str, DataFrame], root: str, prefix: str = "processed",
@@ -138,8 +181,26 @@ def write_report(metrics: DataFrame, path: str) -> None:
 
 
 def execute_sql(spark: SparkSession, statements: Iterable[str]) -> list[DataFrame]:
-    """Run statements in order, skipping blank ones."""
-    return [spark.sql(s) for s in statements if s.strip()]
+    """Run statements in order, skipping blank ones, all or nothing: they run in a
+    copy of the session, with its settings and views, and the views that they made,
+    replaced or dropped are published to the session together after the last one. If one
+    fails, the copy is dropped and the session is as before. Each frame reads the views
+    as its statement saw them. Statements that write tables of a shared catalog take
+    effect at once; Spark has no transaction over several of them."""
+    staged = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    active = SparkSession.getActiveSession()
+    try:
+        out = [staged.sql(s) for s in statements if s.strip()]
+    finally:
+        if active is not None:
+            spark.sparkContext._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
+    before, after = (s._jsparkSession.sessionState().catalog() for s in (spark, staged))
+    names = [{c.getTempViewNames().apply(i) for i in range(c.getTempViewNames().size())} for c in (before, after)]
+    for name in names[0] - names[1]:
+        spark.catalog.dropTempView(name)
+    for name in sorted(names[1]):
+        before.createTempView(name, after.getRawTempView(name).get(), True)
+    return out
 
 
 def read_sql(spark: SparkSession, text: str) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from fieldmart.functions.aggregates import mean, sum0
 from fieldmart.functions.expressions import clip
 from fieldmart.operators.clean import range_filter
 
@@ -35,13 +34,14 @@ def daily_aggregates(stream: DataFrame, key: str, ts: str, means: Mapping[str, s
                      sums: Mapping[str, str], ranges: Mapping[str, tuple[float, float]] | None = None,
                      clip_column: str | None = None, clip_range: tuple[float, float] = (0.0, 24.0),
                      lateness: str = "1 day") -> DataFrame:
-    """P5 -> E4 -> A3 over one-day event-time windows with a watermark."""
+    """P5 -> E4 -> A3 over one-day event-time windows with a watermark. A stream adds
+    doubles as they come, so last bits may differ from the batch's exact sums."""
     s = stream
     if ranges:
         s = range_filter(s, ranges)
     if clip_column:
         s = s.withColumn(clip_column, clip(F.col(clip_column), *clip_range))
-    aggs = [mean(c).alias(o) for o, c in means.items()] + [sum0(c).alias(o) for o, c in sums.items()]
+    aggs = [F.avg(c).alias(o) for o, c in means.items()] + [F.coalesce(F.sum(c), F.lit(0.0)).alias(o) for o, c in sums.items()]
     # Watermarks need a zoned timestamp; readings are zone-less, so the event
     # time is read in the session zone (UTC in every job of this package).
     s = s.withColumn("_event_time", F.col(ts).cast("timestamp"))

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from fieldmart.functions import aggregates as A
+from fieldmart.functions import exact
 from fieldmart.functions import expressions as E
 from fieldmart.operators import anomaly, clean, logistics, marts, positions, ranking, setops
 from fieldmart.sources.tables import nan_to_null_all
@@ -14,7 +14,7 @@ from fieldmart.sources.tables import nan_to_null_all
 
 def test_t1_sum_of_all_missing_is_zero(spark):
     df = spark.createDataFrame([("a", None), ("a", None)], "g string, x double")
-    r = df.groupBy("g").agg(A.sum0("x").alias("s"), A.mean("x").alias("m"), A.count_nonnull("x").alias("c")).first()
+    r = exact.aggregate(df, ["g"], sums={"s": "x"}, means={"m": "x"}, counts={"c": "x"}).first()
     assert (r.s, r.m, r.c) == (0.0, None, 0)
 
 
@@ -251,3 +251,12 @@ def test_sums_do_not_depend_on_partitions(spark):
                                   F.lit(1.0).alias("cost_per_km"), F.lit(0).alias("is_delayed"))
     seen = {tuple(sorted(tuple(r) for r in L.driver_kpi(df.repartition(n)).drop("avg_cost_per_km").collect())) for n in (1, 3, 11)}
     assert len(seen) == 1
+
+
+def test_u2_missing_preference_and_ties_keep_whole_rows(spark):
+    old = spark.createDataFrame([(1, "x", 1.0)], "k int, p string, v double")
+    new = spark.createDataFrame([(1, "a", 9.0), (2, None, 5.0), (3, None, 7.0), (3, "b", 8.0), (4, "c", 2.0), (4, "c", 1.0), (4, "c", None), (None, "d", 3.0), (None, "d", 3.0)],
+                                "k int, p string, v double")
+    for parts in (1, 5):
+        got = sorted(map(tuple, setops.insert_ignore(old, new.repartition(parts), ["k"], prefer="p").collect()), key=str)
+        assert got == sorted([(1, "x", 1.0), (2, None, 5.0), (3, "b", 8.0), (4, "c", None), (None, "d", 3.0), (None, "d", 3.0)], key=str)

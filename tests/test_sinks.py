@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldmart.sources import sinks
 
@@ -90,3 +91,62 @@ def test_materialize_and_release(spark):
     assert os.path.isdir(folder)
     release_materialized(spark)
     assert not os.path.exists(folder)
+
+
+def test_s9_manifest_looks_only_at_the_written_dates(spark, tmp_root):
+    """Rewriting one of many dates lists and reads that date's folder alone, and the
+    count reads no data column."""
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    every = spark.createDataFrame([(i, d) for i, d in enumerate(days * 3)] + [(999, None)], "v int, production_date date")
+    first = sinks.export_partitioned(every, tmp_root, "m", "production_date")
+    assert {(r.partition_value, r.rows_count) for r in first.groupBy("partition_value").agg(F.sum("rows_count").alias("rows_count")).collect()} == \
+        {(str(d), 3) for d in days} | {(None, 1)}
+    for one, folder in ((days[7], f"production_date={days[7]}"), (None, "production_date=__HIVE_DEFAULT_PARTITION__")):
+        again = sinks.export_partitioned(spark.createDataFrame([(1, one), (2, one)], "v int, production_date date"), tmp_root, "m", "production_date")
+        assert all(f"/{folder}/" in f for f in again.inputFiles()) and again.inputFiles()
+        assert "ReadSchema: struct<>" in again._jdf.queryExecution().executedPlan().toString()
+        assert sum(r.rows_count for r in again.collect()) == 2
+    assert spark.read.parquet(f"{tmp_root}/m").count() == 39 * 3 + 4
+
+
+def _boom(spark, rows):
+    return spark.range(rows, numPartitions=4).select(F.when(F.col("id") == rows - 1, F.raise_error(F.lit("half way"))).otherwise(F.col("id")).cast("int").alias("v"))
+
+
+def test_s2_failed_write_keeps_the_old_mart(spark, tmp_root):
+    import os
+
+    path = f"{tmp_root}/mart"
+    sinks.write_table(spark.range(5).selectExpr("cast(id as int) v"), path)
+    with pytest.raises(Exception, match="half way"):
+        sinks.write_table(_boom(spark, 1000), path)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_root) == ["mart"]
+    sinks.write_table(spark.read.parquet(path).where("v > 1"), path)        # from the table itself
+    assert sinks.read_mart(spark, path).count() == 3 and os.listdir(tmp_root) == ["mart"]
+
+
+def test_s2_swap_cut_off_between_its_renames(spark, tmp_root):
+    path = f"{tmp_root}/mart"
+    for rows, name in ((3, "mart.old-0000000000001-a"), (4, "mart.old-0000000000002-b")):
+        spark.range(rows).write.parquet(f"{tmp_root}/{name}")
+    assert sinks.read_mart(spark, path).count() == 4
+    sinks.write_table(spark.range(7), path)
+    import os
+
+    assert sinks.read_mart(spark, path).count() == 7 and os.listdir(tmp_root) == ["mart"]
+
+
+def test_s13_all_or_nothing(spark):
+    spark.range(6).createOrReplaceTempView("s13_all")
+    spark.sql("CREATE OR REPLACE TEMP VIEW s13_a AS SELECT * FROM s13_all")
+    spark.range(1).createOrReplaceTempView("s13_gone")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    with pytest.raises(Exception):
+        sinks.execute_sql(spark, ["CREATE OR REPLACE TEMP VIEW s13_a AS SELECT * FROM s13_all WHERE id < 2", "CREATE TEMP VIEW s13_new AS SELECT 1 AS x",
+                                  "DROP VIEW s13_gone", "SELECT * FROM s13_does_not_exist"])
+    assert spark.table("s13_a").count() == 6 and spark.table("s13_gone").count() == 1 and not spark.catalog.tableExists("s13_new")
+    out = sinks.execute_sql(spark, ["SELECT count(*) AS n FROM s13_a", "CREATE OR REPLACE TEMP VIEW s13_a AS SELECT * FROM s13_all WHERE id < 2", " ",
+                                    "DROP VIEW s13_gone", "SELECT count(*) AS n FROM s13_a"])
+    assert [out[0].first().n, out[-1].first().n] == [6, 2]
+    assert spark.table("s13_a").count() == 2 and not spark.catalog.tableExists("s13_gone")
+    assert spark.getActiveSession().conf.get("spark.sql.shuffle.partitions") == "8"
