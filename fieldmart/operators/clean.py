@@ -18,23 +18,24 @@ from fieldmart.operators.positions import quantiles
 from fieldmart.session import materialize
 
 
-def fill_group_median(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
     """A missing value takes the median of its entity; an entity whose
     values are all missing stays missing; a row without an entity is left as
-    it is (pandas drops missing group keys)."""
-    med = quantiles(df, [key], columns, {"_med": 0.5})
+    it is (pandas drops missing group keys). ``medians`` may be given (key and
+    ``_med_<column>``), as :mod:`fieldmart.operators.history` keeps them."""
+    med = quantiles(df, [key], columns, {"_med": 0.5}) if medians is None else medians
     out = df.where(F.col(key).isNotNull()).join(med, key, "left")
     filled = out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns])
     return filled.unionByName(df.where(F.col(key).isNull()).withColumns({c: F.col(c).cast("double") for c in columns}))
 
 
-def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5) -> DataFrame:
+def drop_iqr_outliers(df: DataFrame, key: str, column: str, k: float = 1.5, fences: DataFrame | None = None) -> DataFrame:
     """Keep rows inside [q1 - k*iqr, q3 + k*iqr] of their entity.
     iqr = 0 keeps the whole entity; a missing value, an entity with no values
     or a missing entity fails the test, as in the pandas group filter. Fences and
     values are compared at 6 decimals, so the last bits of an interpolation or a
     mean don't decide about a row on the fence."""
-    q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75})
+    q = quantiles(df, [key], [column], {"_q1": 0.25, "_q3": 0.75}) if fences is None else fences
     out = df.where(F.col(key).isNotNull()).join(q, key, "left")
     x, q1, q3 = round6(F.col(column).cast("double")), F.col(f"_q1_{column}"), F.col(f"_q3_{column}")
     iqr = q3 - q1
@@ -53,14 +54,17 @@ def range_filter(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Da
 def clean_daily_fact(df: DataFrame, key: str = "entity_id", day: str = "day",
                      flow: str = "flow", oil: str = "oil", water: str = "water",
                      downtime: str = "downtime", oil_factor: float = 0.9,
-                     clip_range: tuple[float, float] = (0.0, 24.0)) -> DataFrame:
+                     clip_range: tuple[float, float] = (0.0, 24.0),
+                     medians: DataFrame | None = None, fences: DataFrame | None = None) -> DataFrame:
     """L1 (clean_production): day to date -> median fill of water and flow ->
     IQR fences on flow -> clip downtime -> oil falls back to flow * 0.9.
     The order is fixed (T20): medians change the quantiles, fences run before
     the fallback."""
     out = df.withColumn(day, F.to_date(F.col(day)))
-    out = materialize(fill_group_median(out, key, [water, flow]), "filled")   # read by the fences and their join
-    out = drop_iqr_outliers(out, key, flow)
+    out = fill_group_median(out, key, [water, flow], medians)
+    if fences is None:
+        out = materialize(out, "filled")   # read by the fences and their join
+    out = drop_iqr_outliers(out, key, flow, fences=fences)
     out = out.withColumn(downtime, clip(F.col(downtime).cast("double"), *clip_range))
     out = out.withColumn(oil, fill_from(F.col(oil).cast("double"), F.col(flow) * F.lit(oil_factor)))
     return out
@@ -70,10 +74,10 @@ def clean_readings(df: DataFrame, key: str = "entity_id", ts: str = "ts",
                    measures: Sequence[str] = ("value", "k", "runtime"),
                    ranges: Mapping[str, tuple[float, float]] | None = None,
                    clip_column: str | None = "runtime", clip_range: tuple[float, float] = (0.0, 24.0),
-                   day: str = "day") -> DataFrame:
+                   day: str = "day", medians: DataFrame | None = None) -> DataFrame:
     """L2 (clean_telemetry): median fill of every measure -> inclusive range
     filter -> clip one column -> add the reading's date."""
-    out = fill_group_median(df, key, list(measures))
+    out = fill_group_median(df, key, list(measures), medians)
     if ranges:
         out = range_filter(out, ranges)
     if clip_column:

@@ -435,6 +435,12 @@ ORACLE["export_round_trip"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS o_orderdate, count(*) AS rows_count, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE), 2) AS total_price
 FROM orders GROUP BY 1"""
 
+# Kept from run to run: the one-go results.
+for _merged in ("clean_daily_fact", "clean_readings", "production_daily", "entity_kpi", "readings_daily"):
+    ORACLE[f"{_merged}_merged"] = ORACLE[_merged]
+ORACLE["distinct_merged"] = """
+SELECT l_suppkey AS entity_id, count(DISTINCT CAST(l_shipdate AS DATE)) AS days_count FROM lineitem GROUP BY 1"""
+
 # S11 twins: the marts' SQL, then the dashboard SELECT itself.
 ORACLE["sql_q1_daily_oil"] = CLEAN_D + f""",
 pd AS (SELECT day, coalesce({xsum('oil')}, 0) AS total_oil_tons, {xavg('flow')} AS avg_flow_rate_tpd FROM cd GROUP BY day)
@@ -482,6 +488,20 @@ ORACLE["append_rows"] = f"""
 SELECT user_id, event_type, {r6('value')} AS value FROM events
 UNION ALL SELECT user_id, event_type, {r6('value')} FROM events WHERE event_type = 'error'"""
 
+# O1-O3: every row's place in the query's own order.
+PLACES = {
+    "sql_q1_daily_oil": "production_date",
+    "sql_q2_well_kpi": "avg_flow_rate_tpd DESC NULLS LAST, well_name",
+    "sql_q5_anomalies": "event_time, pump_id, vibration_mm_s, temperature_c",
+    "sql_q6_delay_weather": "avg_delay_hours DESC NULLS LAST, weather",
+    "sql_q7_driver_kpi": "delayed_share, avg_cost_per_km, driver_id",
+    "sql_q10_cost_distance": "route",
+    "pre_failure_curve": "ts, entity_id, risk_score",
+    "pre_failure_vibration": "entity_id, ts, vibration, risk_score",
+}
+for _name, _order in PLACES.items():
+    ORACLE[_name] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS place FROM ({ORACLE[_name]}) q"
+
 # Models: what SQL can state. The linear fit by its normal equations, solved by
 # elimination on centred sums.
 DS_CTES = ORACLE["flow_dataset"].split("SELECT entity_id, day, (floor")[0].rstrip()

@@ -9,7 +9,8 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,29 @@ NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 MANIFEST = "dataset string, partition_value string, object string, rows_count bigint"
 
 
+#: Folders that one task lists; Spark would start a task for each.
+FOLDERS_A_TASK = 64
+
+
+@contextmanager
+def listing_tasks(spark: SparkSession, folders: int) -> Iterator[None]:
+    """While it lasts, folders are listed by tasks of ``FOLDERS_A_TASK`` folders each."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, min(int(before), max(spark.sparkContext.defaultParallelism, -(-folders // FOLDERS_A_TASK))))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def read_export(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A dataset that :func:`export_partitioned` wrote, with all its dates."""
+    fs, place = _file_system(spark, path)
+    with listing_tasks(spark, len(fs.listStatus(place))):
+        return _reader(spark, fmt, path)
+
+
 def written_objects(spark: SparkSession, path: str, dataset: str, fmt: str, partition_column: str | None, folders: Sequence[str] | None = None) -> DataFrame:
     """The files of the given partition folders (of the whole dataset without
     them) with their rows. No data column is read, so Parquet rows come from the files'
@@ -110,7 +134,8 @@ def written_objects(spark: SparkSession, path: str, dataset: str, fmt: str, part
     reader = spark.read.format(fmt).option("basePath", path)
     if fmt == "csv":
         reader = reader.option("header", "true")
-    found = reader.load([f"{path}/{f}" for f in folders] if folders else path)
+    with listing_tasks(spark, len(folders or [])):
+        found = reader.load([f"{path}/{f}" for f in folders] if folders else path)
     value = F.col(partition_column).cast("string") if partition_column else F.lit(None).cast("string")
     rows = (found.select(value.alias("partition_value"), F.col("_metadata.file_path").alias("object"))
                  .groupBy("partition_value", "object").agg(F.count(F.lit(1)).alias("rows_count")))
