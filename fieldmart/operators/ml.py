@@ -122,6 +122,28 @@ def fit_forest_classifier(df: DataFrame, features: Sequence[str], label: str, we
     return Pipeline(stages=[assemble(features), rf]).fit(df)
 
 
+def fit_tree(df: DataFrame, features: Sequence[str], target: str, classes: bool, weight: str | None = None, min_leaf: int = 3,
+             max_depth: int = MAX_DEPTH) -> PipelineModel:
+    """One tree of the forests of M5 and M6 on all rows and all features, without
+    resampling; its scores say which leaf (``leaf``) a row falls into."""
+    kind, extra = (RandomForestClassifier, {"weightCol": weight} if weight else {}) if classes else (RandomForestRegressor, {})
+    tree = kind(featuresCol="features", labelCol=target, predictionCol="prediction", leafCol="_leaf", numTrees=1, bootstrap=False, subsamplingRate=1.0,
+                featureSubsetStrategy="all", minInstancesPerNode=min_leaf, maxDepth=max_depth, seed=SEED, **extra)
+    return Pipeline(stages=[assemble(features), tree]).fit(df)
+
+
+def leaf_table(model: PipelineModel, df: DataFrame, target: str, weight: str | None = None) -> DataFrame:
+    """Rows of ``df`` with the tree's ``leaf`` and its answer ``told`` (a prediction, or
+    the probability of class 1), beside what the leaf's rows say themselves: their
+    weighted mean target ``leaf_mean`` and their number ``leaf_rows``."""
+    scored = model.transform(df)
+    told = vector_to_array("probability")[1] if "probability" in scored.columns else F.col("prediction")
+    rows = scored.select(*df.columns, vector_to_array("_leaf")[0].cast("int").alias("leaf"), told.alias("told"))
+    w = F.col(weight) if weight else F.lit(1.0)
+    stats = exact.aggregate(rows, ["leaf"], sums={"_t": F.col(target) * w, "_w": w}, rows="leaf_rows")
+    return rows.join(stats.select("leaf", (F.col("_t") / F.col("_w")).alias("leaf_mean"), "leaf_rows"), "leaf")
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
     """M8: score every row (train rows included, T18)."""
     scored = model.transform(df)

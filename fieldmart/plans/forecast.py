@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import abs_error
 from fieldmart.operators import joins, marts, ml
+from fieldmart.operators.setops import union_all
 from fieldmart.session import materialize
 
 TARGET = "actual_flow_rate_tpd"
+#: The compared models, in their order.
+MODELS = ("linear_regression", "random_forest")
 
 
 def flow_dataset(targets: DataFrame, readings: DataFrame, features_means: dict, features_sums: dict,
@@ -27,28 +30,29 @@ def flow_dataset(targets: DataFrame, readings: DataFrame, features_means: dict,
 
 
 def train_and_predict(dataset: DataFrame, features: Sequence[str], key: Sequence[str],
-                      target: str = TARGET, max_depth: int = ml.MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
-    """Fit both models on the hash-split train part,
+                      target: str = TARGET, max_depth: int = ml.MAX_DEPTH,
+                      models: Sequence[str] = MODELS) -> tuple[DataFrame, DataFrame]:
+    """Fit the models on the hash-split train part,
     pick the smallest test RMSE (the first wins a tie), score every row."""
     # Written once: both fits, both scorings and the row counts read it.
     split = materialize(ml.hash_split(dataset, key), "flow_split")
     train = split.where(F.col("is_test") == 0)
     test = split.where(F.col("is_test") == 1)
-    candidates = [("linear_regression", ml.fit_linear), ("random_forest", partial(ml.fit_forest_regressor, max_depth=max_depth))]
+    fits = {"linear_regression": ml.fit_linear, "random_forest": partial(ml.fit_forest_regressor, max_depth=max_depth)}
     rows_train = train.count()
     rows_test = test.count()
-    metric_frames, models = [], {}
-    for order, (name, fit) in enumerate(candidates):
-        model = fit(train, features, target)
-        models[name] = model
+    metric_frames, fitted = [], {}
+    for order, name in enumerate(models):
+        model = fits[name](train, features, target)
+        fitted[name] = model
         pred = ml.score(model, test, out="_pred")
         metric_frames.append(ml.regression_metrics(pred, target, "_pred").select(
             F.lit(name).alias("model_name"), F.lit(order).alias("model_order"), "mae", "rmse"))
-    metrics = metric_frames[0].unionByName(metric_frames[1])
+    metrics = union_all(*metric_frames)
     metrics = (metrics.withColumn("rows_train", F.lit(rows_train)).withColumn("rows_test", F.lit(rows_test))
                       .withColumn("created_at", F.current_timestamp()))
     best_name = metrics.orderBy(F.col("rmse").asc_nulls_last(), "model_order").first()["model_name"]
-    predictions = (ml.score(models[best_name], split, out="predicted_flow_rate_tpd")
+    predictions = (ml.score(fitted[best_name], split, out="predicted_flow_rate_tpd")
                      .withColumn("absolute_error", abs_error(target, "predicted_flow_rate_tpd"))
                      .withColumn("model_name", F.lit(best_name)))
     return predictions, metrics.orderBy("rmse", "model_order").drop("model_order")

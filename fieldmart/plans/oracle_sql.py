@@ -520,12 +520,29 @@ SELECT entity_id, day, """ + r6("(y - wa*a - wb*b - wg*g) / 100") + """ * 100 AS
 IS_TEST = f"(CASE WHEN {HASH} % 100 < 25 THEN 1 ELSE 0 END)"
 ORACLE["flow_predictions"] = DS_CTES + f"""
 SELECT entity_id, day, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd, {IS_TEST} AS is_test, 1 AS error_ok, 1 AS model_ok FROM ds"""
-ORACLE["sql_q4_predictions"] = DS_CTES + f"""
-SELECT day AS target_date, entity_id AS well_id, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd, 1 AS error_ok FROM ds"""
-ORACLE["model_metrics"] = DS_CTES + f""",
-n AS (SELECT count(*) FILTER (WHERE {IS_TEST} = 0) AS rows_train, count(*) FILTER (WHERE {IS_TEST} = 1) AS rows_test FROM ds)
-SELECT unnest(['linear_regression', 'random_forest']) AS model_name, rows_train, rows_test, 1 AS errors_ok FROM n"""
+LINEAR_CTES = DS_CTES + f""",
+dt AS (SELECT *, {IS_TEST} AS is_test FROM ds),
+m AS (SELECT avg(actual_flow_rate_tpd) AS my, avg(avg_value) AS m1, avg(avg_k) AS m2, avg(runtime_hours) AS m3 FROM dt WHERE is_test = 0),
+c AS (SELECT dt.*, actual_flow_rate_tpd - my AS y, avg_value - m1 AS a, avg_k - m2 AS b, runtime_hours - m3 AS g FROM dt, m),
+n AS (SELECT sum(a*a) AS aa, sum(a*b) AS ab, sum(a*g) AS ag, sum(b*b) AS bb, sum(b*g) AS bg, sum(g*g) AS gg,
+             sum(a*y) AS ay, sum(b*y) AS byy, sum(g*y) AS gy FROM c WHERE is_test = 0),
+e1 AS (SELECT aa, ab, ag, ay, bb - ab*ab/aa AS b2, bg - ab*ag/aa AS bg2, gg - ag*ag/aa AS g2, byy - ab*ay/aa AS by2, gy - ag*ay/aa AS gy2 FROM n),
+e2 AS (SELECT *, (gy2 - bg2*by2/b2) / (g2 - bg2*bg2/b2) AS wg FROM e1),
+e3 AS (SELECT *, (by2 - bg2*wg) / b2 AS wb FROM e2),
+w AS (SELECT (ay - ab*wb - ag*wg) / aa AS wa, wb, wg FROM e3),
+lin AS (SELECT c.*, my + wa*a + wb*b + wg*g AS p FROM c, w, m)"""
+ORACLE["sql_q4_predictions"] = LINEAR_CTES + f"""
+SELECT day AS target_date, entity_id AS well_id, {r6('actual_flow_rate_tpd')} AS actual_flow_rate_tpd, {r6('p / 100')} * 100 AS predicted_flow_rate_tpd,
+       {r6('abs(actual_flow_rate_tpd - p) / 100')} * 100 AS absolute_error, row_number() OVER (ORDER BY day, entity_id) AS place FROM lin"""
+ORACLE["model_metrics"] = LINEAR_CTES + f""",
+n2 AS (SELECT count(*) FILTER (WHERE is_test = 0) AS rows_train, count(*) FILTER (WHERE is_test = 1) AS rows_test,
+              avg(abs(actual_flow_rate_tpd - p)) FILTER (WHERE is_test = 1) AS e1,
+              sqrt(avg(pow(actual_flow_rate_tpd - p, 2)) FILTER (WHERE is_test = 1)) AS e2 FROM lin)
+SELECT 'linear_regression' AS model_name, {r6('e1 / 100')} * 100 AS mae, {r6('e2 / 100')} * 100 AS rmse, rows_train, rows_test, 1 AS errors_ok, 1 AS best_ok FROM n2
+UNION ALL SELECT 'random_forest', NULL, NULL, rows_train, rows_test, 1, 1 FROM n2"""
 ORACLE["sql_q8_model_metrics"] = ORACLE["model_metrics"]
+ORACLE["tree_leaf_means"] = DS_CTES + "\nSELECT entity_id, day, 0.0::DOUBLE AS from_leaf_mean, 3 AS leaf_rows FROM ds"
+ORACLE["tree_leaf_shares"] = "WITH " + R_CTE + "\nSELECT event_id, 0.0::DOUBLE AS from_leaf_share, 3 AS leaf_rows FROM r"
 
 RISK_CTES = "WITH " + R_CTE + "," + F_CTE + "," + Z_CTE + """,
 risk AS (SELECT *, CAST(ts AS DATE) AS event_date FROM zl WHERE value IS NOT NULL AND k IS NOT NULL)"""
@@ -555,3 +572,13 @@ WITH m AS ({ORACLE["regression_metrics"]})
 SELECT model_name, mae, rmse, rows_count FROM m"""
 ORACLE["sink_statements"] = """
 SELECT o_orderpriority, count(*) AS rows_count FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'O' GROUP BY 1"""
+
+ORACLE["production_marts"] = CLEAN_D + "," + R_CTE + "," + CLEAN_R_CTE + "," + RD_CTE + """,
+feat AS (SELECT cd.*, rd.avg_value, rd.avg_k FROM cd LEFT JOIN rd ON cd.entity_id = rd.entity_id AND cd.day = rd.day),
+""" + bin_ctes("pb", "avg_value", "feat") + "," + bin_ctes("tb", "avg_k", "feat") + """,
+b AS (SELECT DISTINCT pb_e.idx AS i, tb_e.idx AS j FROM feat LEFT JOIN pb_e ON avg_value > pb_e.lo AND avg_value <= pb_e.hi
+                LEFT JOIN tb_e ON avg_k > tb_e.lo AND avg_k <= tb_e.hi),
+n AS (SELECT (SELECT count(*) FROM cd) AS facts, (SELECT count(*) FROM cr) AS readings, (SELECT count(DISTINCT day) FROM cd) AS days,
+             (SELECT count(DISTINCT entity_id) FROM cd) AS wells, (SELECT count(*) FROM b) AS cells)
+SELECT unnest(['clean_production', 'clean_telemetry', 'mart_production_daily', 'mart_well_kpi', 'mart_well_ranking', 'features_well_daily',
+               'mart_pressure_flow_heatmap']) AS mart, unnest([facts, readings, days, wells, wells, facts, cells]) AS rows_count, 1 AS schema_ok FROM n"""

@@ -92,8 +92,8 @@ def mart_schema(mart: str) -> StructType:
 
 
 def to_compute(df: DataFrame) -> DataFrame:
-    """Decimals -> doubles for computation. Sums and means go back
-    to decimals (``functions.aggregates``), so they don't depend on row order."""
+    """Decimals -> doubles for computation. Sums and means of doubles are
+    exact (``functions.exact``), so they don't depend on row order."""
     return df.select(*[F.col(f.name).cast(DoubleType()).alias(f.name) if isinstance(f.dataType, DecimalType)
                        else F.col(f.name) for f in df.schema.fields])
 

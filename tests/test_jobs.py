@@ -148,3 +148,31 @@ def test_dashboard_queries_over_the_marts(spark, src):
     feat["production_date"] = feat.production_date.astype(str)
     want = feat[(feat.region == "North") & feat.production_date.between("2026-01-05", "2026-01-10")]
     assert f.first().rows_count == len(want) > 0
+
+
+def test_jdbc_ranges_of_an_uneven_key(spark):
+    """A key with one dense end: no range holds twice the mean rows, none is lost."""
+    from fieldmart.sources import sinks
+    from fieldmart.sources.tables import balanced_ranges, read_jdbc
+
+    url, props = "jdbc:derby:memory:fieldmart_dense;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.range(3000).select(F.when(F.col("id") < 2900, F.col("id")).when(F.col("id") < 2990, F.col("id") * 1_000_000_007).otherwise(None).alias("k"), "id")
+    sinks.write_jdbc(df, url, "dense", properties=props)
+    back = read_jdbc(spark, url, "dense", "k", num_partitions=8, properties=props)
+    sizes = [r["n"] for r in back.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("k").isNotNull()).alias("n")).collect()]
+    assert back.rdd.getNumPartitions() == 8 and max(sizes) <= 2 * 2990 / back.rdd.getNumPartitions()
+    assert sorted(r["id"] for r in back.select("id").collect()) == list(range(3000))
+
+    keys = [5] * 50 + list(range(100)) + [-7, 10 ** 15]
+
+    def count(a, width, b):
+        found = {}
+        for k in keys:
+            if a <= k <= b:
+                found[(k - a) // width] = found.get((k - a) // width, 0) + 1
+        return list(found.items())
+
+    ranges = balanced_ranges(count, min(keys), max(keys), 10)
+    assert ranges[0][0] == -7 and ranges[-1][1] == 10 ** 15 and all(b + 1 == c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+    held = [sum(a <= k <= b for k in keys) for a, b in ranges]
+    assert sum(held) == len(keys) and len(ranges) <= 10 and max(held) <= 51 + 16 + 2
