@@ -17,8 +17,15 @@ vector in Euclidean distance is the one with the largest inner product.
   its nearest one's (distance-ratio pruning): few where lists lie clearly apart,
   many where they don't, and always as many as hold k answers.
 
-Lists are stored in chunks of at most about ``CHUNK`` vectors, dealt by hash, so
-a list that outgrew its share is read by several tasks. Equal vectors are one
+``SHELF`` neighbouring lists stand on one shelf, where a query meets all its lists of
+the shelf at once and gives at most k + 1 rows. Shelves are read in rounds, the
+nearest first, each round ``GROW`` times as many entries as those before; the
+(k + 1)-th score so far goes with the query, and only entries that reach it come
+back. So a query gives some k * GROW rows a round, and there are as many rounds as
+the logarithm of its entries. Nothing true is lost by that.
+
+Shelves are stored in chunks of about ``CHUNK`` entries, as many as a shelf's own size
+asks for, dealt by hash, so one that outgrew its share is read by several tasks. Equal vectors are one
 entry with their smallest ids (k + 1 of them, enough for any answer: equal
 vectors tie, ties go to smaller ids, and a query leaves out itself only). Equal
 queries are searched once. Scores are exact inner products in double precision.
@@ -43,10 +50,11 @@ from fieldmart.llm.common import written
 SAMPLE = 20_000
 LIST_SIZE = 200
 MOST_LISTS = 16_384
-BORDER, COPIES = 0.10, 4
-PROBE = 0.12
+BORDER, COPIES = 0.06, 2
+PROBE = 0.13
 EXPANDED, LINKS = 12, 24
-CHUNK = 2_000
+SHELF, GROW = 16, 8
+CHUNK = 20_000
 
 
 def rows_of(column: pa.Array, width: int) -> np.ndarray:
@@ -145,6 +153,20 @@ def lists_near(graph: CentroidGraph, x: np.ndarray, ratio: float, most: int | No
     return np.nonzero(near)
 
 
+def rounds_of(group: np.ndarray, distance: np.ndarray, size: np.ndarray, need: int) -> np.ndarray:
+    """For rows of (query, shelf distance, shelf entries) the round in which the query
+    reads the shelf: 0 until ``need`` entries are met, then each round GROW times all
+    before it."""
+    order = np.lexsort((distance, group))
+    total = np.cumsum(size[order]) - size[order]
+    first = np.concatenate([[True], group[order][1:] != group[order][:-1]])[:len(order)]
+    before = total - np.maximum.accumulate(np.where(first, total, 0))
+    out = np.zeros(len(order), np.int64)
+    later = before >= max(need, 1)
+    out[order[later]] = 1 + np.floor(np.log(before[later] / max(need, 1)) / np.log(GROW)).astype(np.int64)
+    return out
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
     """(id, v: array<double>) of the vectors that take part, and their length."""
     v = F.col(vector_col)
@@ -171,7 +193,6 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     lifted = np.hstack([sample, np.sqrt(np.maximum(top - (sample ** 2).sum(axis=1), 0))[:, None]])
     graph = CentroidGraph(clusters(lifted, max(1, -(-len(sample) // n_lists))))
     step = max(16, (4 << 20) // len(graph.c))  # rows walked at once
-    chunks_of = max(1, int(stats["n"] * 2 // (len(graph.c) * CHUNK)) + 1)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,50 +202,86 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
                 lift = np.hstack([x, np.sqrt(np.maximum(top - (x ** 2).sum(axis=1), 0))[:, None]])
                 row, in_list = lists_near(graph, lift, BORDER, COPIES)
                 own = part.take(pa.array(row))
-                chunk = np.abs(own.column("h").to_numpy()) % chunks_of
-                yield pa.RecordBatch.from_arrays([pa.array(in_list, pa.int32()), pa.array(chunk, pa.int32()), own.column("h"), own.column("ids"), own.column("v")], names=["list", "chunk", "h", "ids", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(in_list, pa.int32()), own.column("h"), own.column("ids"), own.column("v")], names=["list", "h", "ids", "v"])
 
-    stored = written(distinct.mapInArrow(assign, "list int, chunk int, h long, ids array<bigint>, v array<double>"), "posting-lists")
+    stored = written(distinct.mapInArrow(assign, "list int, h long, ids array<bigint>, v array<double>"), "posting-lists")
     sizes = np.zeros(len(graph.c))
     for r in stored.groupBy("list").count().collect():  # at most MOST_LISTS rows
         sizes[r["list"]] = r["count"]
+    shelf_sizes = np.bincount(np.arange(len(sizes)) // SHELF, weights=sizes)
+    chunks = np.maximum(1, -(-shelf_sizes // CHUNK)).astype(np.int64)
     need = COPIES * (k + 1)  # an entry stands in at most COPIES lists, so these hold k + 1 different ones
-    def probe_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def probe_shelves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                x = rows_of(part.column("v"), width)
-                row, in_list = lists_near(graph, np.hstack([x, np.zeros((len(x), 1))]), probe, sizes=sizes, need=need)
-                row, in_list = np.repeat(row, chunks_of), np.repeat(in_list, chunks_of)
-                own = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(in_list, pa.int32()), pa.array(np.tile(np.arange(chunks_of), len(row) // chunks_of), pa.int32()), own.column("qid"), own.column("v")],
-                                                 names=["list", "chunk", "qid", "v"])
+                x = np.hstack([rows_of(part.column("v"), width), np.zeros((part.num_rows, 1))])
+                row, in_list = lists_near(graph, x, probe, sizes=sizes, need=need)
+                far = graph.norms[in_list] - 2 * (x[row] * graph.c[in_list]).sum(axis=1)
+                both, which = np.unique(row * len(shelf_sizes) + in_list // SHELF, return_inverse=True)
+                query, shelf = np.divmod(both, len(shelf_sizes))
+                nearest_list, entries = np.full(len(both), np.inf), np.bincount(which, weights=sizes[in_list], minlength=len(both))
+                np.minimum.at(nearest_list, which, far)
+                turn = rounds_of(query, nearest_list, entries, need)
+                by = np.argsort(which, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(both)))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(in_list[by], pa.int32()))
+                each = np.repeat(np.arange(len(both)), chunks[shelf])
+                chunk = np.arange(len(each)) - np.repeat(np.cumsum(chunks[shelf]) - chunks[shelf], chunks[shelf])
+                yield pa.RecordBatch.from_arrays([part.column("qid").take(pa.array(query[each])), pa.array(shelf[each], pa.int32()), pa.array(chunk, pa.int32()),
+                                                  pa.array(turn[each], pa.int32()), lists.take(pa.array(each))], names=["qid", "shelf", "chunk", "turn", "lists"])
 
     asked = written(rows.where(queries).withColumn("h", key).groupBy("id").agg(F.min(F.struct("h", "v")).alias("x")).select("id", "x.h", "x.v"), "vector-queries")
     # equal queries are searched once, under their smallest id
-    once = asked.groupBy("h", "v").agg(F.min("id").alias("qid"))
-    probes = once.select("qid", "v").mapInArrow(probe_lists, "list int, chunk int, qid long, v array<double>")
+    once = written(asked.groupBy("h", "v").agg(F.min("id").alias("qid")), "distinct-queries")
+    probes = written(once.select("qid", "v").mapInArrow(probe_shelves, "qid long, shelf int, chunk int, turn int, lists array<int>"), "probes")
+    turns = [r["turn"] for r in probes.select("turn").distinct().orderBy("turn").collect()]  # the logarithm of the largest number of entries
+    empty = pa.schema([("qid", pa.int64()), ("h", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())]).empty_table()
 
     def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["qid", "h", "ids", "score"]
         if not left.num_rows or not right.num_rows:
-            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64())], names=names)
+            return empty
         have, q = (rows_of(t.column("v").combine_chunks(), width) for t in (left, right))
+        of_list, reach = left.column("list").to_numpy(), right.column("reach").to_numpy()
+        wanted = np.zeros((len(q), SHELF), bool)
+        lists = right.column("lists").combine_chunks()
+        wanted[np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy() % SHELF] = True
         asked_at, found_at, scores = [], [], []
         for at in range(0, len(q), 256):
-            s = q[at:at + 256] @ have.T
-            n = min(k + 1, s.shape[1])
-            cut = -np.partition(-s, n - 1, axis=1)[:, n - 1:n]
-            row, col = np.nonzero(s >= cut - 1e-12)  # with the ties of the last place
+            s = np.where(wanted[at:at + 256][:, of_list % SHELF], q[at:at + 256] @ have.T, -np.inf)
+            n = min(COPIES * (k + 1), s.shape[1])   # an entry may stand in COPIES lists of the shelf
+            cut = np.maximum(-np.partition(-s, n - 1, axis=1)[:, n - 1:n], reach[at:at + 256, None])
+            row, col = np.nonzero((s >= cut - 1e-12) & np.isfinite(s))  # with the ties of the last place
             # one sum for each pair, so that a vector has the same score in every list
             asked_at.append(at + row), found_at.append(col), scores.append((q[at + row] * have[col]).sum(axis=1))
-        asked_at, found_at = np.concatenate(asked_at), np.concatenate(found_at)
-        return pa.Table.from_arrays([right.column("qid").combine_chunks().take(pa.array(asked_at)), left.column("h").combine_chunks().take(pa.array(found_at)),
-                                     left.column("ids").combine_chunks().take(pa.array(found_at)), pa.array(np.concatenate(scores))], names=names)
+        asked_at, found_at, scores = (np.concatenate(x) for x in (asked_at, found_at, scores))
+        h = left.column("h").to_numpy()[found_at]
+        _, one = np.unique(np.stack([asked_at, h]), axis=1, return_index=True)   # an entry once a shelf
+        return pa.Table.from_arrays([right.column("qid").combine_chunks().take(pa.array(asked_at[one])), pa.array(h[one]),
+                                     left.column("ids").combine_chunks().take(pa.array(found_at[one])), pa.array(scores[one])], schema=empty.schema)
 
-    found = stored.groupBy("list", "chunk").cogroup(probes.groupBy("list", "chunk")).applyInArrow(nearest, "qid long, h long, ids array<bigint>, score double")
-    # a vector found in several lists counts once; k + 1 entries are enough, each with its own ids
-    each = found.groupBy("qid", "h").agg(F.max("score").alias("score"), F.max("ids").alias("ids")).withColumn("first", F.element_at("ids", 1))
+    counts = spark.createDataFrame([(i, int(n)) for i, n in enumerate(chunks)], "shelf int, n_chunks int")   # at most MOST_LISTS / SHELF rows
+    shelved = stored.withColumn("shelf", F.floor(F.col("list") / SHELF).cast("int")).join(F.broadcast(counts), "shelf")
+    shelved = shelved.withColumn("chunk", F.pmod(F.col("h"), "n_chunks").cast("int")).select("shelf", "chunk", "list", "h", "ids", "v")
+    by_score = Window.partitionBy("qid").orderBy(F.desc("score"), "h")
+    best = None
+    for turn in turns:
+        now = probes.where(F.col("turn") == turn).drop("turn").join(once.select("qid", "v"), "qid")
+        if best is None:
+            now = now.withColumn("reach", F.lit(float("-inf")))
+        else:  # the score of a query's (k + 1)-th entry so far
+            last = best.withColumn("nth", F.row_number().over(by_score)).where(F.col("nth") == k + 1).select("qid", F.col("score").alias("reach"))
+            now = now.join(last, "qid", "left").withColumn("reach", F.coalesce("reach", F.lit(float("-inf"))))
+        more = shelved.groupBy("shelf", "chunk").cogroup(now.groupBy("shelf", "chunk")).applyInArrow(nearest, "qid long, h long, ids array<bigint>, score double")
+        both = more if best is None else best.unionByName(more)
+        each = both.groupBy("qid", "h").agg(F.max("score").alias("score"), F.max("ids").alias("ids"))
+        # entries as good as the (k + 1)-th stay with it
+        ranked = each.withColumn("nth", F.rank().over(Window.partitionBy("qid").orderBy(F.desc("score")))).where(F.col("nth") <= k + 1).drop("nth")
+        best = written(ranked, "nearest-so-far")
+    found = best
+    # k + 1 entries are enough, each with its own ids
+    each = found.withColumn("first", F.element_at("ids", 1))
     top_entries = (each.withColumn("nth", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "first"))).where(F.col("nth") <= k + 1)
                    .select("qid", "score", F.explode("ids").alias("found_id")))
     top_entries = (top_entries.withColumn("nth", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "found_id"))).where(F.col("nth") <= k + 1).drop("nth"))
