@@ -17,6 +17,7 @@ Everything is built-in expressions; the groups' rows are combined before the shu
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -42,30 +43,48 @@ def _bin(x: str) -> str:
             f"WHEN {x} = double('Infinity') THEN {INFINITE} WHEN {x} = double('-Infinity') THEN -{INFINITE} ELSE {order} END")
 
 
-def _half(b: str, sign: int) -> str:
-    """2^(sign * base / 2) of a bin, whose base is WIDTH * b + FIRST - 54 (even, and at
-    most the last bit of the bin's smallest value)."""
+def _half(b: str) -> str:
+    """2^(-base / 2) of a bin, whose base is WIDTH * b + FIRST - 54 (even, and at most
+    the last bit of the bin's smallest value)."""
     half = (FIRST - 54) // 2
-    return f"CASE WHEN {b} = 0 THEN {2.0 ** (sign * half)!r}D ELSE pow(2D, {sign} * ({b} * {WIDTH // 2} + ({half}))) END"
+    return f"CASE WHEN {b} = 0 THEN {2.0 ** -half!r}D ELSE pow(2D, -({b} * {WIDTH // 2} + ({half}))) END"
 
 
 def states(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column], rows: str = "_rows") -> DataFrame:
     """Partial states of ``measures`` (name -> column) per key: bins, digit sums and
     counts of present values, beside the number of rows. A mergeable table."""
-    quoted = [f"`{k}`" for k in keys]
     x = {m: _name("x", m) for m in measures}
-    bins = [_name("b", m) for m in measures]
+    bins = {m: _name("b", m) for m in measures}
     base = df.select(*keys, *[F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double")).alias(x[m]) for m, c in measures.items()])
-    base = base.selectExpr(*quoted, *x.values(), *[f"{_bin(x[m])} AS {_name('b', m)}" for m in measures])
-    base = base.selectExpr(*quoted, *bins, *[f"CASE WHEN abs({b}) = {INFINITE} THEN 1D ELSE {x[m]} * ({_half(b, -1)}) * ({_half(b, -1)}) END AS {x[m]}"
-                                             for m, b in zip(measures, bins)])
-    aggs = [F.expr(f"count(1) AS {rows}")]
+    scaled = [f"CASE WHEN abs({b}) = {INFINITE} THEN 1D ELSE {x[m]} * ({_half(b)}) * ({_half(b)}) END AS {x[m]}" for m, b in bins.items()]
+    aggs = [f"count(1) AS {rows}"]
     for m, y in x.items():
         whole = [f"rint({y} * {STEP ** -k!r}D)" for k in range(LIMBS)]
         digits = [f"{low} - {STEP!r}D * {high}" for low, high in zip(whole, whole[1:])] + [whole[-1]]
-        aggs += [F.expr(f"sum(cast({d} as bigint)) AS {_name(f's{k}', m)}") for k, d in enumerate(digits)]
-        aggs.append(F.expr(f"count({y}) AS {_name('n', m)}"))
-    return base.groupBy(*keys, *bins).agg(*aggs)
+        aggs += [f"sum(cast({d} as bigint)) AS {_name(f's{k}', m)}" for k, d in enumerate(digits)] + [f"count({y}) AS {_name('n', m)}"]
+    own, by = _quoted(keys), [*_quoted(keys), *bins.values()]
+    return _query(base, [[*own, *x.values(), *[f"{_bin(x[m])} AS {b}" for m, b in bins.items()]], [*by, *scaled], [*by, *aggs]], by)
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
+def _query(df: DataFrame, selects: Sequence[Sequence[str]], group: Sequence[str], then: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Nested SELECTs over a frame as one statement, so that they are analysed once:
+    the last of ``selects`` under GROUP BY ``group``, followed by those of ``then``."""
+    view = f"_exact_{uuid.uuid4().hex}"
+    text = view
+    for k, items in enumerate(selects):
+        grouped = f" GROUP BY {', '.join(group)}" if group and k == len(selects) - 1 else ""
+        text = f"(SELECT {', '.join(items)} FROM {text}{grouped})"
+    for items in then:
+        text = f"(SELECT {', '.join(items)} FROM {text})"
+    df.createOrReplaceTempView(view)
+    try:
+        return df.sparkSession.sql(f"SELECT * FROM {text}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def merge(parts: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[str], rows: str = "_rows") -> DataFrame:
@@ -75,41 +94,26 @@ def merge(parts: Sequence[DataFrame], keys: Sequence[str], measures: Sequence[st
     return both.groupBy(*keys, *[_name("b", m) for m in measures]).agg(*[F.sum(c).alias(c) for c in added])
 
 
-def _with_values(state: DataFrame, keys: Sequence[str], measures: Sequence[str], rows: str) -> DataFrame:
-    """Digit sums as doubles ``_v_m`` (NULL without values). Carries go up from the
-    lowest digit; below a negative top digit the others are taken from the next power,
-    so that nothing cancels."""
-    kept = [f"`{c}`" for c in (*keys, rows, *[_name("b", m) for m in measures], *[_name("n", m) for m in measures])]
-    now = {m: [_name(f"s{k}", m) for k in range(LIMBS)] for m in measures}
-    out = state
-    for k in range(LIMBS - 1):
-        cells = []
-        for m, s in now.items():
-            cells += [*s[:k], f"{s[k]} & {2 ** DIGIT - 1} AS {s[k]}", f"coalesce({s[k + 1]}, 0L) + shiftright({s[k]}, {DIGIT}) AS {s[k + 1]}", *s[k + 2:]]
-        out = out.selectExpr(*kept, *cells)
-
-    def value(m: str) -> str:
-        top, lower = now[m][-1], now[m][:-1]
-        v = f"cast(if({top} < 0, -1L - {top}, {top}) as double)"
-        for k in range(LIMBS - 2, -1, -1):
-            v = f"({v} * {STEP!r}D + if({top} < 0, {2 ** DIGIT - (k > 0)} - {lower[k]}, {lower[k]}))"
-        b, half = _name("b", m), _half(_name("b", m), 1)
-        return (f"CASE WHEN {_name('n', m)} = 0 THEN NULL WHEN {b} = {INFINITE} THEN double('Infinity') WHEN {b} = -{INFINITE} THEN double('-Infinity') "
-                f"ELSE if({top} < 0, -1D, 1D) * {v} * ({half}) * ({half}) END AS {_name('v', m)}")
-
-    return out.selectExpr(*[f"`{c}`" for c in (*keys, rows)], *[_name("n", m) for m in measures], *[value(m) for m in measures])
+def _value(m: str) -> str:
+    """A state's sum as a double (NULL without values): its digit sums from the highest
+    down. A step that rounds has a result above 2^53, which no lower digit sum (at most
+    half a unit for each of 2^40 values) can cancel; so the error is a few ulps."""
+    v = f"cast({_name(f's{LIMBS - 1}', m)} as double)"
+    for k in range(LIMBS - 2, -1, -1):
+        v = f"({v} * {STEP!r}D + {_name(f's{k}', m)})"
+    b = _name("b", m)
+    half = f"pow(2D, {b} * {WIDTH // 2} + ({(FIRST - 54) // 2}))"
+    infinite = f"if({b} > 0, double('Infinity'), double('-Infinity'))"
+    return f"CASE WHEN {_name('n', m)} = 0 THEN NULL WHEN abs({b}) = {INFINITE} THEN {infinite} ELSE {v} * {half} * {half} END AS {_name('v', m)}"
 
 
 def totals(state: DataFrame, keys: Sequence[str], measures: Sequence[str], rows: str = "_rows") -> DataFrame:
     """Per key the sum ``_sum_m`` (NULL without a value) and count ``_n_m`` of each
     measure and the number of rows. The rows of a key are its few bins."""
-    lists = _with_values(state, keys, measures, rows).groupBy(*keys).agg(
-        F.expr(f"coalesce(sum({rows}), 0L) AS {rows}"), *[F.expr(f"coalesce(sum({_name('n', m)}), 0L) AS {_name('n', m)}") for m in measures],
-        *[F.expr(f"array_sort(collect_list(named_struct('size', abs({_name('v', m)}), 'x', {_name('v', m)})) FILTER (WHERE {_name('v', m)} IS NOT NULL)) "
-                 f"AS {_name('v', m)}") for m in measures])
-    added = {m: f"aggregate({_name('v', m)}, 0D, (t, p) -> t + p.x)" for m in measures}
-    return lists.selectExpr(*[f"`{k}`" for k in keys], rows, *[_name("n", m) for m in measures],
-                            *[f"if(size({_name('v', m)}) > 0, nanvl({t}, NULL), NULL) AS {_name('sum', m)}" for m, t in added.items()])
+    own, n = _quoted(keys), [_name("n", m) for m in measures]
+    lists = [f"array_sort(collect_list(named_struct('size', abs({v}), 'x', {v})) FILTER (WHERE {v} IS NOT NULL)) AS {v}" for v in (_name("v", m) for m in measures)]
+    added = [f"if(size({_name('v', m)}) > 0, nanvl(aggregate({_name('v', m)}, 0D, (t, p) -> t + p.x), NULL), NULL) AS {_name('sum', m)}" for m in measures]
+    return _query(state, [[*own, rows, *n, *[_value(m) for m in measures]], [*own, *[f"coalesce(sum({c}), 0L) AS {c}" for c in (rows, *n)], *lists]], own, [[*own, rows, *n, *added]])
 
 
 def aggregate(df: DataFrame, keys: Sequence[str] = (), *, sums: Mapping[str, str | Column] | None = None, means: Mapping[str, str | Column] | None = None,

@@ -45,6 +45,11 @@ def fact_d(spark, sf):
     return materialize_once(spark, "daily_fact", sf, lambda: views.daily_fact(spark, sf))
 
 
+def readings_r(spark, sf):
+    """The readings view (parsed from JSON), written once per session and folder."""
+    return materialize_once(spark, "readings", sf, lambda: views.readings(spark, sf))
+
+
 def cleaned_d(spark, sf):
     """The cleaned tables are written once per session and folder, too: the marts
     read them, as the jobs' marts read theirs."""
@@ -57,7 +62,7 @@ def cleaned_u(spark, sf):
 
 
 def cleaned_r(spark, sf):
-    return materialize_once(spark, "clean_r", sf, lambda: clean.clean_readings(views.readings(spark, sf), measures=READING_MEASURES, ranges=READING_RANGES))
+    return materialize_once(spark, "clean_r", sf, lambda: clean.clean_readings(readings_r(spark, sf), measures=READING_MEASURES, ranges=READING_RANGES))
 
 
 def kpi_d(spark, sf):
@@ -103,7 +108,7 @@ def q_clean_daily_fact_merged(spark, sf):
 @register("clean_readings_merged")
 def q_clean_readings_merged(spark, sf):
     """L2 kept from run to run: a part per type of event, one of them written twice."""
-    r, path = views.readings(spark, sf), f"{_scratch(spark)}/counts"
+    r, path = readings_r(spark, sf), f"{_scratch(spark)}/counts"
     error = F.coalesce(F.col("event_type") == "error", F.lit(False))
     for part, rows in (("errors", ~error), ("errors", error), ("others", ~error)):
         history.add_counts(r.where(rows), "entity_id", READING_MEASURES, path, part)
@@ -213,7 +218,7 @@ def features_mart(spark, sf):
 def labelled_readings(spark, sf):
     """W3 + P11 + J5 on r: z-scores, anomaly flag, failure label, and the
     z-score proxy risk (largest |z|) used by the dashboard queries."""
-    r = views.readings(spark, sf)
+    r = readings_r(spark, sf)
     z = anomaly.flag_anomalies(anomaly.group_zscore(r, "entity_id", ZSCORE_COLUMNS), ZSCORE_COLUMNS)
     lab = joins.label_within(z, views.failures(spark, sf), "entity_id", "ts", "failure_time", HORIZON_DAYS)
     return lab.withColumn("risk_score", F.greatest(*[F.abs(F.col(f"z_{c}")) for c in ZSCORE_COLUMNS]))
@@ -250,7 +255,7 @@ def q_readings_daily(spark, sf):
 def q_readings_daily_raw(spark, sf):
     """A4: per (entity, day) means and sum of the raw readings (no cleaning),
     the forecast's feature table (T19)."""
-    return round6(marts.readings_daily(views.readings(spark, sf), means=READING_MEANS, sums=READING_SUMS))
+    return round6(marts.readings_daily(readings_r(spark, sf), means=READING_MEANS, sums=READING_SUMS))
 
 
 @register("features_daily")
@@ -279,7 +284,7 @@ def q_bin_edges(spark, sf):
 @register("group_zscore_flags")
 def q_group_zscore_flags(spark, sf):
     """W3 P11 E7 E9-E11 on r."""
-    r = views.readings(spark, sf)
+    r = readings_r(spark, sf)
     z = anomaly.flag_anomalies(anomaly.group_zscore(r, "entity_id", ZSCORE_COLUMNS), ZSCORE_COLUMNS)
     return round6(z.select("event_id", "entity_id", "ts", "value", "k", "z_value", "z_k", "is_anomaly"))
 
@@ -287,7 +292,7 @@ def q_group_zscore_flags(spark, sf):
 @register("failure_within_horizon")
 def q_failure_within_horizon(spark, sf):
     """Readings labelled by failures in [t, t + 7 days]."""
-    lab = joins.label_within(views.readings(spark, sf), views.failures(spark, sf),
+    lab = joins.label_within(readings_r(spark, sf), views.failures(spark, sf),
                              "entity_id", "ts", "failure_time", HORIZON_DAYS)
     return lab.select("event_id", "entity_id", "ts", "failure_within_7d")
 
@@ -397,7 +402,7 @@ ORPHAN_CHECKS = (
 
 
 def labelled_r(spark, sf):
-    return joins.label_within(views.readings(spark, sf), views.failures(spark, sf),
+    return joins.label_within(readings_r(spark, sf), views.failures(spark, sf),
                               "entity_id", "ts", "failure_time", HORIZON_DAYS)
 
 
@@ -406,14 +411,14 @@ def flow_targets(spark, sf):
 
 
 def flow_ds(spark, sf):
-    return forecast.flow_dataset(flow_targets(spark, sf), views.readings(spark, sf),
+    return forecast.flow_dataset(flow_targets(spark, sf), readings_r(spark, sf),
                                  READING_MEANS, READING_SUMS)
 
 
 @register("null_counts")
 def q_null_counts(spark, sf):
     """C1 on the readings (faults injected)."""
-    return quality.null_counts(views.readings(spark, sf))
+    return quality.null_counts(readings_r(spark, sf))
 
 
 @register("duplicate_keys")
@@ -638,7 +643,7 @@ def q_tree_leaf_shares(spark, sf):
 
 
 def _risk(spark, sf):
-    lab = anomaly_job.add_zscores_and_labels(views.readings(spark, sf), views.failures(spark, sf),
+    lab = anomaly_job.add_zscores_and_labels(readings_r(spark, sf), views.failures(spark, sf),
                                              ZSCORE_COLUMNS)
     return anomaly_job.train_failure_model(lab, ZSCORE_COLUMNS, ["event_id"], max_depth=QUERY_DEPTH)
 
@@ -726,7 +731,7 @@ def q_sink_empty(spark, sf):
 @register("sink_raw_snapshots")
 def q_sink_raw_snapshots(spark, sf):
     """Several frames exported at once, each by its own date key or none."""
-    r = views.readings(spark, sf).withColumn("event_date", F.to_date("ts"))
+    r = readings_r(spark, sf).withColumn("event_date", F.to_date("ts"))
     d = fact_d(spark, sf).withColumnRenamed("day", "production_date")
     manifest = sinks.export_marts({"telemetry": r, "production": d, "region": views.table(spark, sf, "region")}, _scratch(spark), prefix="raw")
     return manifest.groupBy("dataset", "partition_value").agg(F.sum("rows_count").alias("rows_count"))
@@ -863,7 +868,7 @@ def q_production_marts(spark, sf):
     """L3: the whole production job with its cleaning, under the marts' own names; rows
     of each mart and C5's findings against a schema that lacks one column of it."""
     d = fact_d(spark, sf).withColumn("production_date", F.col("day"))
-    t = views.readings(spark, sf).withColumnRenamed("ts", "event_time")
+    t = readings_r(spark, sf).withColumnRenamed("ts", "event_time")
     wells = views.supplier_entities(spark, sf).unionByName(views.customer_entities(spark, sf)).dropDuplicates(["entity_id"])
     made = build_production_marts(
         d.drop("day"), t, wells, key="entity_id", day="production_date", ts="event_time", flow="flow", oil="oil", water="water", downtime="downtime",
