@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmart.functions.expressions import clip, fill_from, in_range, round6
-from fieldmart.operators.positions import quantiles
-from fieldmart.session import materialize
+from fieldmart.operators.positions import medians_and_filled, quantiles
 
 
 def fill_group_median(df: DataFrame, key: str, columns: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
@@ -61,10 +60,9 @@ def clean_daily_fact(df: DataFrame, key: str = "entity_id", day: str = "day",
     The order is fixed (T20): medians change the quantiles, fences run before
     the fallback."""
     out = df.withColumn(day, F.to_date(F.col(day)))
-    out = fill_group_median(out, key, [water, flow], medians)
-    if fences is None:
-        out = materialize(out, "filled")   # read by the fences and their join
-    out = drop_iqr_outliers(out, key, flow, fences=fences)
+    if medians is None or fences is None:
+        medians, fences = medians_and_filled(out, key, [water, flow], flow, {"_q1": 0.25, "_q3": 0.75})
+    out = drop_iqr_outliers(fill_group_median(out, key, [water, flow], medians), key, flow, fences=fences)
     out = out.withColumn(downtime, clip(F.col(downtime).cast("double"), *clip_range))
     out = out.withColumn(oil, fill_from(F.col(oil).cast("double"), F.col(flow) * F.lit(oil_factor)))
     return out

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fieldmart.functions import exact
 from fieldmart.operators import clean, marts
-from fieldmart.operators.positions import GROUP_N, POS, counted_order, present
+from fieldmart.operators.positions import GROUP_N, POS, counted_order, interpolated, present
 from fieldmart.sources.sinks import export_partitioned, read_export
 
 #: Buckets per unit of log(1 + |x|).
@@ -69,13 +69,8 @@ def stored_quantiles(counts: DataFrame, key: str, columns: Sequence[str], probs:
     few = few.groupBy(key, "column", "bucket", "_before", "_all", "value").agg(F.sum("count").alias("count"))
     placed = counted_order(few, [key, "column", "bucket"], ["value"], "count").drop(GROUP_N).withColumn(POS, F.col(POS) + F.col("_before"))
 
-    def at(position: Column) -> Column:
-        return F.max(F.when((F.col(POS) <= position) & (position < F.col(POS) + F.col("count")), F.col("value")))
-
-    picked = placed.groupBy(key, "column").agg(F.max("_all").alias("_all"), *[
-        a for i, x in enumerate(h.values()) for a in (at(F.floor(x)).alias(f"_lo{i}"), at(F.ceil(x)).alias(f"_hi{i}"))])
-    value = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x)) for i, x in enumerate(h.values())]
-    return picked.groupBy(key).agg(*[F.max(F.when(F.col("column") == c, v)).alias(f"{name}_{c}") for c in columns for name, v in zip(probs, value)])
+    picked = interpolated(placed.withColumnsRenamed({"value": "_x", "count": "_c"}), [key, "column"], F.col("_all"), F.col(POS), probs)
+    return picked.groupBy(key).agg(*[F.max(F.when(F.col("column") == c, F.col(name))).alias(f"{name}_{c}") for c in columns for name in probs])
 
 
 def stored_medians(counts: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

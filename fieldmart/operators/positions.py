@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmart.session import default_parallelism, materialize
@@ -60,28 +60,64 @@ def with_group_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     return counted_order(base, keys, order, "_one", descending, num_partitions).drop("_one")
 
 
+def value_positions(df: DataFrame, keys: Sequence[str], columns: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """The distinct present values ``_x`` of each key and column number ``_ci``, how
+    often they occur (``_c``), the position of the first (``POS``) and the number of
+    all (``GROUP_N``)."""
+    stacked = present(df, keys).select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])).alias("_s"))
+    stacked = stacked.select(*keys, "_s._ci", "_s._x").where(F.col("_x").isNotNull())
+    counts = stacked.groupBy(*keys, "_ci", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    return counted_order(counts, [*keys, "_ci"], ["_x"], "_c", num_partitions=num_partitions)
+
+
 def quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float],
               num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (A15/A16, T12) per key, for
     several columns at once. Missing values are ignored; a key whose values are
     all missing gets no row (callers left-join and read NULL). Output: keys + one
     column ``f"{name}_{column}"`` per (prob, column)."""
-    stacked = present(df, keys).select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(columns)])).alias("_s"))
-    stacked = stacked.select(*keys, "_s._ci", "_s._x").where(F.col("_x").isNotNull())
-    counts = stacked.groupBy(*keys, "_ci", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    placed = counted_order(counts, [*keys, "_ci"], ["_x"], "_c", num_partitions=num_partitions)
+    return quantiles_at(value_positions(df, keys, columns, num_partitions), keys, columns, probs)
+
+
+def quantiles_at(placed: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """:func:`quantiles` of values whose positions are known."""
+    by_column = interpolated(placed, [*keys, "_ci"], F.col(GROUP_N), F.col(POS), probs)
+    return by_column.groupBy(*keys).agg(*[F.max(F.when(F.col("_ci") == ci, F.col(name))).alias(f"{name}_{c}")
+                                          for ci, c in enumerate(columns) for name in probs])
+
+
+def interpolated(placed: DataFrame, by: Sequence[str], total: Column, start: Column, probs: Mapping[str, float], elsewhere: Column | None = None) -> DataFrame:
+    """One column per prob for each group of rows (``_x`` from position ``start`` on,
+    ``_c`` times, of ``total``); a position that no row holds has the value
+    ``elsewhere``. One interpolation for every caller: lo + (hi - lo) * fraction."""
+    rows = placed.select(*by, "_x", "_c", start.alias("_start"), total.alias("_total"), (F.lit(None).cast("double") if elsewhere is None else elsewhere).alias("_else"))
 
     def at(position):
-        return F.max(F.when((F.col(POS) <= position) & (position < F.col(POS) + F.col("_c")), F.col("_x")))
+        return F.max(F.when((F.col("_start") <= position) & (position < F.col("_start") + F.col("_c")), F.col("_x")))
 
-    h = {name: F.lit(float(p)) * (F.col(GROUP_N) - 1) for name, p in probs.items()}
-    picked = placed.groupBy(*keys, "_ci").agg(F.max(GROUP_N).alias(GROUP_N), *[
+    h = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
+    picked = rows.groupBy(*by).agg(F.max("_total").alias("_total"), F.max("_else").alias("_else"), *[
         a for i, x in enumerate(h.values()) for a in (at(F.floor(x)).alias(f"_lo{i}"), at(F.ceil(x)).alias(f"_hi{i}"))])
-    # one interpolation for every caller: lo + (hi - lo) * fraction
-    value = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x)) for i, x in enumerate(h.values())]
-    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("_ci") == ci, v)).alias(f"{name}_{c}")
-                                       for ci, c in enumerate(columns) for name, v in zip(probs, value)])
+    out = []
+    for i, (name, x) in enumerate(h.items()):
+        low, high = F.coalesce(f"_lo{i}", "_else"), F.coalesce(f"_hi{i}", "_else")
+        out.append((low + (high - low) * (x - F.floor(x))).alias(name))
+    return picked.select(*by, *out)
+
+
+def medians_and_filled(df: DataFrame, key: str, columns: Sequence[str], column: str, probs: Mapping[str, float]) -> tuple[DataFrame, DataFrame]:
+    """Medians ``_med_c`` of the columns per key, and quantiles ``{name}_{column}`` of
+    one of them after its missing values took its median -- from one ordering: filling
+    adds the median some more times, so values below it keep their positions, the others
+    move up by the number filled in, and the positions between hold the median."""
+    placed = materialize(value_positions(df, [key], columns), "value-positions")   # read by both
+    medians = quantiles_at(placed, [key], columns, {"_med": 0.5})
+    filled = present(df, [key]).groupBy(key).agg(F.count_if(F.col(column).isNull()).alias("_filled"))
+    own = placed.where(F.col("_ci") == list(columns).index(column)).join(medians.select(key, F.col(f"_med_{column}").alias("_med")).join(filled, key), key)
+    moved = F.col(POS) + F.when(F.col("_x") < F.col("_med"), F.lit(0)).otherwise(F.col("_filled"))
+    q = interpolated(own, [key], F.col(GROUP_N) + F.col("_filled"), moved, probs, F.col("_med"))
+    return medians, q.withColumnsRenamed({name: f"{name}_{column}" for name in probs})
 
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],

@@ -81,3 +81,22 @@ def test_positions_exact_without_exchange_reuse(skewed, spark):
     for k, g in pos.groupby("k"):
         assert sorted(g._pos) == list(range(len(g)))
         assert q.loc[k, "med_x"] == pytest.approx(np.quantile(pdf[pdf.k == k].x.values, 0.5))
+
+
+def test_filled_quantiles_from_one_ordering(spark):
+    """Medians and quartiles after the fill equal those of the filled rows."""
+    import random
+
+    from fieldmart.operators import clean, positions
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice([1, 1, 1, 2, 3, 4, None]), rnd.choice([None, None, 1.0, 2.0, 2.0, 5.0, rnd.gauss(0, 9)]), rnd.choice([None, rnd.random()])) for _ in range(900)]
+    rows += [(5, None, 1.0), (6, 4.0, None), (7, 1.0, 1.0), (7, 9.0, None), (7, None, None)]
+    df = spark.createDataFrame(rows, "k int, x double, y double")
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.75, "e": 1.0}
+    med, filled = positions.medians_and_filled(df, "k", ["y", "x"], "x", probs)
+    want_med = positions.quantiles(df, ["k"], ["y", "x"], {"_med": 0.5})
+    want = positions.quantiles(clean.fill_group_median(df, "k", ["x"]), ["k"], ["x"], probs)
+    as_rows = lambda f, cols: sorted(map(tuple, f.select(*cols).collect()), key=str)
+    assert as_rows(med, want_med.columns) == as_rows(want_med, want_med.columns)
+    assert as_rows(filled, want.columns) == as_rows(want, want.columns)
