@@ -30,7 +30,7 @@ def flow_dataset(targets: DataFrame, readings: DataFrame, features_means: dict,
 
 
 def train_and_predict(dataset: DataFrame, features: Sequence[str], key: Sequence[str],
-                      target: str = TARGET, max_depth: int = ml.MAX_DEPTH,
+                      target: str = TARGET, max_depth: int = ml.MAX_DEPTH, *,
                       models: Sequence[str] = MODELS) -> tuple[DataFrame, DataFrame]:
     """Fit the models on the hash-split train part,
     pick the smallest test RMSE (the first wins a tie), score every row."""
