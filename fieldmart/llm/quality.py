@@ -7,7 +7,8 @@ failure is listed by name, and a row is kept if its base check passes and no
 rule fails.
 
 Null text: no words, so the base check fails. Null doc_id and repeated rows:
-each row is judged on its own. Empty table: no rows. Extra columns are ignored.
+each row is judged on its own. Very long texts: measured whole, in one row. Empty
+table: no rows. Extra columns are ignored.
 Windows of five words are compared by a 64-bit hash, within one text only."""
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ shards of about ``SHARD_TOKENS`` ids, one Parquet row each. Re-Pair replaces
 frequent id pairs by nonterminals, round after round: a round counts all
 adjacent pairs of the shard (none crosses a document), gives the most frequent
 ones a nonterminal each and replaces them at once, where two overlap the more
-frequent one, until no pair is frequent or the nonterminals are used up. Ids
+frequent one, for at most ``ROUNDS`` rounds with an equal share of the free
+nonterminals each, or until no pair is frequent. So a rule spans at most 2^ROUNDS
+ids; more rounds make the files a few per cent smaller for twice the time. Ids
 and nonterminals share one symbol space, so most shards need two bytes a symbol.
 
 Columns of the file: ``part`` and ``at`` place the shard (range partition, ids
@@ -17,7 +19,8 @@ A document is decoded alone from its own symbols (:func:`read_documents`).
 
 Null or empty text: a document of the end id alone. Null doc_id sorts first;
 rows that repeat a doc_id, or have none, stand next to each other in the order of
-their texts' hash. Empty table: no shards.
+their texts' hash. Very long texts: a document longer than a shard's share is a shard's
+last and stays whole. Empty table: no shards.
 Extra columns are ignored."""
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Spans are code points, end exclusive. A find's start follows from the texts that
 the pattern splits off before it, summed in a window over the document's finds.
 
 Null or empty text: no finds. Null doc_id and repeated rows: each row is
-returned with its own finds. Empty table: no rows. Extra columns are ignored by
+returned with its own finds. Very long texts: searched whole, in one row; only their
+finds go on. Empty table: no rows. Extra columns are ignored by
 :func:`scan` and kept by :func:`redact`."""
 
 from __future__ import annotations

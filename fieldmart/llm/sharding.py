@@ -9,7 +9,7 @@ number alone, and shard sizes differ by one row at most (law ``rows``).
 
 Null text: size 1, crc32 of no bytes. Null doc_id sorts first; rows that tie on
 doc_id are ordered by crc32 and size. Repeated rows: each has its own place.
-Empty table: no rows. Extra columns are ignored."""
+Very long texts: one row like any other. Empty table: no rows. Extra columns are ignored."""
 
 from __future__ import annotations
 

@@ -8,12 +8,13 @@ check), go in packed arrays to the index bucket of their leading bits. A bucket
 finds for each fingerprint the first block that holds it, and answers every
 later block with one bit an entry and the numbers of those reference blocks.
 
-A document is then parsed greedily, left to right: a factor begins at a window
-that some earlier block, or an earlier document of its own block, holds, and
-grows word by word while the following windows occur in the same reference
-block; where they don't, the factor ends and the next one may begin. Since a
-shorter match than a window is no duplicate, a factor has at least ``window``
-words. The windows across each factor boundary are looked up like all others,
+A document is then read left to right: a factor begins at a window that some
+earlier block, or an earlier document of its own block, holds, and grows word by
+word while the following windows have the same earliest block; where they don't,
+the factor ends and the next one may begin. The index holds no places, so a factor
+is a run of known windows and not always one phrase of its block, nor the longest.
+Since a shorter match than a window is no duplicate, a factor has at least
+``window`` words. The windows across each factor boundary are looked up like all others,
 so passages that end in one reference and go on in another are found whole. The
 words that factors cover are removed; windows are judged on the input texts.
 
@@ -23,7 +24,8 @@ so neither frequent passages nor groups of copies gather in one task.
 
 Null text: no words. Null doc_id: the row is returned whole and is no
 reference. Rows that repeat a doc_id don't remove each other's words. Texts
-shorter than a window and empty tables are returned as they are. Extra columns
+shorter than a window and empty tables are returned as they are. Very long texts: a
+block's last document, whole. Extra columns
 are ignored. Two different windows are taken for equal with probability 2**-88
 each pair."""
 

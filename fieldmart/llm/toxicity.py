@@ -7,9 +7,10 @@ that it precedes closely into a denied one (i, h), reported speech turns those
 that follow it into quoted ones (q, k), the target transducer tells at the end of
 a clause whether it names a person or group, the threat transducer lets a threat
 count only in a clause with a target. Each matched clause scores the weights of
-its insults under what the machine made of them; isolated words score nothing
-but through their clause. The clause scores of a text become a probability by a
-logistic model.
+its insults under what the machine made of them. A clause with a single insult and
+neither target nor threat is matched, too, and scores that insult's weight: most
+toxic texts of the labelled data hold nothing else. The clause scores of a text
+become a probability by a logistic model.
 
 The insult classes' lexicon is learned: words and word beginnings of 3 to 8
 letters that mark toxic rows among at most ``MOST_ROWS`` labelled training rows
@@ -22,7 +23,8 @@ Null or empty text: scored like a text without a match. Null doc_id: scored, hel
 out false (its hash is undefined), never trained on. Repeated rows: each is
 scored. Labels without a document, null labels: ignored; of several labels of one
 doc_id the highest counts. Without training rows of both kinds the score is 0.
-Empty table: no rows. Extra columns are ignored."""
+Very long texts: whole, in one step of the task. Empty table: no rows. Extra columns
+are ignored."""
 
 from __future__ import annotations
 
