@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldmart import schemas
 from fieldmart.operators import logistics
+from fieldmart.operators.joins import out_of_range_days
 from fieldmart.plans import anomaly as anomaly_job
 from fieldmart.plans import forecast
 from fieldmart.plans.production import build_production_marts
@@ -118,6 +119,7 @@ WRITTEN = {"clean_production", "clean_telemetry", "mart_well_kpi", "features_wel
 def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str,
             jdbc_out: tuple[str, dict] | None = None) -> DataFrame:
     """Run the jobs in order; write raw snapshots, marts and the manifest.
+    Days of production outside the calendar are reported beside the manifest.
     With ``jdbc_out=(url, properties)`` every mart is also replaced in that
     database (S2, batches of 1,000 rows). Returns the manifest DataFrame."""
     raw = {
@@ -128,6 +130,7 @@ def run_all(spark: SparkSession, src: dict[str, DataFrame], out_root: str,
         "raw/pump_sensors": (src["pump_sensors"].withColumn("event_date", F.to_date("event_time")), "event_date"),
     }
     manifests = [sinks.export_partitioned(df, out_root, name, key) for name, (df, key) in raw.items()]
+    sinks.write_report(out_of_range_days(src["production"], "well_id", "production_date"), f"{out_root}/artifacts/out_of_range_days")
     tables = []
     for _, job in JOBS:
         for name, df in job(src).items():

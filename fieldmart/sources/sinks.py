@@ -213,18 +213,24 @@ def execute_sql(spark: SparkSession, statements: Iterable[str]) -> list[DataFram
     as its statement saw them. Statements that write tables of a shared catalog take
     effect at once; Spark has no transaction over several of them."""
     staged = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
-    active = SparkSession.getActiveSession()
+
+    def views(session: SparkSession) -> dict:
+        catalog = session._jsparkSession.sessionState().catalog()
+        names = catalog.getTempViewNames()
+        return {n: catalog.getRawTempView(n).get() for n in (names.apply(i) for i in range(names.size()))}
+
+    active, start = SparkSession.getActiveSession(), views(staged)
     try:
         out = [staged.sql(s) for s in statements if s.strip()]
     finally:
         if active is not None:
             spark.sparkContext._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
-    before, after = (s._jsparkSession.sessionState().catalog() for s in (spark, staged))
-    names = [{c.getTempViewNames().apply(i) for i in range(c.getTempViewNames().size())} for c in (before, after)]
-    for name in names[0] - names[1]:
+    end = views(staged)
+    for name in start.keys() - end.keys():
         spark.catalog.dropTempView(name)
-    for name in sorted(names[1]):
-        before.createTempView(name, after.getRawTempView(name).get(), True)
+    for name, view in end.items():       # only what the statements changed
+        if name not in start or not view.equals(start[name]):
+            spark._jsparkSession.sessionState().catalog().createTempView(name, view, True)
     return out
 
 

@@ -84,6 +84,8 @@ def test_run_all_writes_marts_and_manifest(spark, src, tmp_root):
     url = "jdbc:derby:memory:fieldmart_marts;create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     manifest = runner.run_all(spark, src, tmp_root, jdbc_out=(url, props)).toPandas()
+    report = spark.read.schema("well_id string, production_date date").json(f"{tmp_root}/artifacts/out_of_range_days")
+    assert report.collect() == []   # every day lies in the calendar
     from fieldmart.sources.tables import read_jdbc
     assert read_jdbc(spark, url, "mart_driver_kpi", properties=props).count() == 8
     assert "processed/mart_well_kpi" in set(manifest.dataset)
