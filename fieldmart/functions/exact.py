@@ -52,7 +52,10 @@ def _half(b: str) -> str:
 
 def states(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column], rows: str = "_rows") -> DataFrame:
     """Partial states of ``measures`` (name -> column) per key: bins, digit sums and
-    counts of present values, beside the number of rows. A mergeable table."""
+    counts of present values, beside the number of rows. A mergeable table. Names are
+    plain identifiers; columns may have any name."""
+    if not all(m.isidentifier() for m in measures):
+        raise ValueError(f"measure names must be identifiers: {list(measures)}")
     x = {m: _name("x", m) for m in measures}
     bins = {m: _name("b", m) for m in measures}
     base = df.select(*keys, *[F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double")).alias(x[m]) for m, c in measures.items()])

@@ -104,3 +104,12 @@ def test_distinct_counts_merge(spark):
         assert got == df.groupBy("k").agg(F.countDistinct(c).alias("n")).orderBy("k").collect()
     with pytest.raises(ValueError):
         aggregates.distinct_states(df.withColumn("v", F.lit("a")), ["k"], "v")
+
+
+def test_names(spark):
+    df = spark.createDataFrame([("a", 1.5), ("a", 2.0), (None, 1.0)], "`the key` string, `a value` double")
+    got = exact.aggregate(df, ["the key"], sums={"total": "`a value`"}, means={"mean of it": "`a value`"}, rows="n")
+    assert got.columns == ["the key", "total", "mean of it", "n"]
+    assert {tuple(r) for r in got.collect()} == {("a", 3.5, 1.75, 2), (None, 1.0, 1.0, 1)}
+    with pytest.raises(ValueError):
+        exact.states(df, ["the key"], {"a value": "`a value`"})
