@@ -29,6 +29,7 @@ are ignored."""
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldmart.llm.common import strings_at, text_slices, word_spans
+from fieldmart.llm.common import WORD, strings_at, text_slices, word_spans
 
 MOST_ROWS = 20_000
 MOST_ENTRIES = 20_000
@@ -56,6 +57,8 @@ NEGATIONS = frozenset("not never isn't aren't don't nobody nicht kein keine niem
 REPORTS = frozenset("said says say told called quoted wrote reported claimed sagte sagt nannte schrieb zitierte dit disait appelé cité dijo dice llamó escribió citó".split())
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = "oIHTNR|"
 REACH = 3
+#: The words of a text, as :func:`word_spans` finds them.
+WORDS = re.compile(WORD).findall
 
 
 @dataclass(frozen=True)
@@ -209,7 +212,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                seen[toxic].update({f for w in {bare(w) for w in text.split()} for f in beginnings(w)})
+                seen[toxic].update({f for w in {bare(w) for w in WORDS(text)} for f in beginnings(w)})
                 seen[toxic][""] += 1
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([s[n] for n in names], pa.int64()) for s in seen]], names=["feature", "clean", "toxic"])
