@@ -322,6 +322,6 @@ def test_toxicity_without_labels(spark, docs_of):
 def test_training_and_scoring_agree_on_words(spark, docs_of):
     """Only the six ASCII characters part words, also where the lexicon is learned."""
     text = "so\u2003vile\x1cthing here"
-    rows = spark.createDataFrame([(text, t, 0) for t in (1, 1, 1, 1, 0)] + [("plain words here", 0, 0)] * 9, "text string, toxic int, fold int")
+    rows = spark.createDataFrame([(text, t, 0) for t in [1] * 12] + [("plain words here", 0, 0)] * 9, "text string, toxic int, fold int")
     lexicon = toxicity.learn_lexicon(rows)
     assert any(f.startswith("so\u2003vile") for f in lexicon) and not any(f.startswith("vile") or f.startswith("thing") for f in lexicon)
