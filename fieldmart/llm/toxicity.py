@@ -2,14 +2,20 @@
 
 A text is read as clauses of word classes: insult (I), threat (H), target (T),
 negation (N), report of speech (R) and other (o). Small transducers rewrite the
-classes and are composed into one machine: negation turns an insult or threat
-that it precedes closely into a denied one (i, h), reported speech turns those
-that follow it into quoted ones (q, k), the target transducer tells at the end of
-a clause whether it names a person or group, the threat transducer lets a threat
-count only in a clause with a target. Each matched clause scores the weights of
-its insults under what the machine made of them. A clause with a single insult and
-neither target nor threat is matched, too, and scores that insult's weight: most
-toxic texts of the labelled data hold nothing else. The clause scores of a text
+classes, some of their moves with a weight, and are composed into one machine
+(weights multiply): negation turns an insult or threat that it precedes closely into
+a denied one (i, h), and reported speech turns those that follow it into quoted ones
+(q, k). The insult transducer reads on over the ends of clauses: a text's first plain
+insult is lone (u), and one that follows another is piled up on it, with a weight that
+falls from 1 in the same clause to ``FAR`` ``PASSAGE`` clauses later. The target transducer
+tells at the end of a clause whether it names a person or group and gives an insult
+after the name ``DIRECT`` times its weight; the threat transducer lets a threat count
+only in a clause with a target.
+
+What scores is a matched clause: one with a piled insult, one with any insult and a
+target, or one with a plain threat and a target. Each scores its insults' weights
+times those of the moves. A lone insult without a target scores nothing, so a text
+with no more than that has the score of an empty one. The clause scores of a text
 become a probability by a logistic model.
 
 The insult classes' lexicon is learned: words and word beginnings of 3 to 8
@@ -56,19 +62,27 @@ THREATS = frozenset("kill hurt destroy burn punch stab shoot hang beat töten um
 NEGATIONS = frozenset("not never isn't aren't don't nobody nicht kein keine niemals ne jamais aucun nunca jamás ningún".split())
 REPORTS = frozenset("said says say told called quoted wrote reported claimed sagte sagt nannte schrieb zitierte dit disait appelé cité dijo dice llamó escribió citó".split())
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = "oIHTNR|"
+#: Words from a negation to what it denies.
 REACH = 3
+#: Clauses after which an insult piled up on another has its least weight, and that weight.
+PASSAGE = 16
+FAR = 0.5
+#: The weight of an insult's move after a target in its clause.
+DIRECT = 1.5
 #: The words of a text, as :func:`word_spans` finds them.
 WORDS = re.compile(WORD).findall
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """A Mealy machine: step(state, symbol) gives the next state and the symbol written."""
+    """A weighted Mealy machine: moves from (state, symbol), where ``*`` is any other
+    symbol, to the next state, the symbol written ("": the same) and the weight."""
     start: int
     moves: dict
 
-    def step(self, state: int, symbol: str) -> tuple[int, str]:
-        return self.moves.get((state, symbol), (self.moves.get((state, "*"), (state, ""))[0], symbol))
+    def step(self, state: int, symbol: str) -> tuple[int, str, float]:
+        move = self.moves.get((state, symbol)) or self.moves.get((state, "*")) or (state, "", 1.0)
+        return move[0], move[1] or symbol, move[2]
 
     def compose(self, other: Transducer, symbols: str) -> Transducer:
         """This machine followed by the other, as one machine over ``symbols``."""
@@ -76,72 +90,90 @@ class Transducer:
         while todo:
             pair = todo.pop()
             for symbol in symbols:
-                a, middle = self.step(pair[0], symbol)
-                b, out = other.step(pair[1], middle)
+                a, middle, first = self.step(pair[0], symbol)
+                b, out, then = other.step(pair[1], middle)
                 if (a, b) not in names:
                     names[a, b] = len(names)
                     todo.append((a, b))
-                moves[names[pair], symbol] = (names[a, b], out)
+                moves[names[pair], symbol] = (names[a, b], out, first * then)
         return Transducer(0, moves)
 
 
 def negation() -> Transducer:
     """A negation denies an insult or threat at most REACH words after it."""
-    moves = {(0, "*"): (0, "")}
+    moves = {}
     for left in range(REACH + 1):
-        moves[left, NEGATION], moves[left, END] = (REACH, NEGATION), (0, END)
+        moves[left, NEGATION], moves[left, END] = (REACH, "", 1.0), (0, "", 1.0)
         if left:
-            moves[left, "*"] = (left - 1, "")
-            moves[left, INSULT], moves[left, THREAT] = (left - 1, "i"), (left - 1, "h")
+            moves[left, "*"] = (left - 1, "", 1.0)
+            moves[left, INSULT], moves[left, THREAT] = (left - 1, "i", 1.0), (left - 1, "h", 1.0)
     return Transducer(0, moves)
 
 
 def reported_speech() -> Transducer:
     """What follows a report in its clause is quoted."""
-    moves = {(0, REPORT): (1, REPORT), (1, END): (0, END)}
-    moves |= {(1, s): (1, "q") for s in (INSULT, "i")} | {(1, s): (1, "k") for s in (THREAT, "h")}
+    moves = {(0, REPORT): (1, "", 1.0), (1, END): (0, "", 1.0)}
+    moves |= {(1, s): (1, "q", 1.0) for s in (INSULT, "i")} | {(1, s): (1, "k", 1.0) for s in (THREAT, "h")}
+    return Transducer(0, moves)
+
+
+def insult() -> Transducer:
+    """A text's first insult is lone (u), the others are piled up. The state falls with
+    each clause that ends from PASSAGE + 1 to 1, the weight from 1 to FAR."""
+    moves = {(0, INSULT): (PASSAGE + 1, "u", 1.0)}
+    for near in range(PASSAGE + 1):
+        moves[near + 1, INSULT], moves[near + 1, END] = (PASSAGE + 1, "", FAR + (1 - FAR) * near / PASSAGE), (max(near, 1), "", 1.0)
     return Transducer(0, moves)
 
 
 def target() -> Transducer:
     """The end of a clause with a target is written as ! instead of |."""
-    return Transducer(0, {(0, TARGET): (1, TARGET), (1, END): (0, "!")})
+    direct = {(1, s): (1, "", DIRECT) for s in (INSULT, "u", "i", "q")}
+    return Transducer(0, {(0, TARGET): (1, "", 1.0), (1, END): (0, "!", 1.0)} | direct)
 
 
 def threat() -> Transducer:
     """The end of a clause with a target and a plain threat is written as X."""
-    return Transducer(0, {(0, THREAT): (1, THREAT), (1, "!"): (0, "X"), (1, END): (0, END)})
+    return Transducer(0, {(0, THREAT): (1, "", 1.0), (1, "!"): (0, "X", 1.0), (1, END): (0, "", 1.0)})
 
 
 def grammar() -> Transducer:
     symbols = OTHER + INSULT + THREAT + TARGET + NEGATION + REPORT + END
     out = negation()
-    for part in (reported_speech(), target(), threat()):
+    for part in (reported_speech(), insult(), target(), threat()):
         out = out.compose(part, symbols)
     return out
 
 
-FEATURES = ("plain", "targeted", "denied", "quoted", "strongest", "threats", "matched", "density")
+FEATURES = ("piled", "targeted", "denied", "quoted", "strongest", "threats", "matched", "density")
 
 
-def clause_features(clauses: list[list[tuple[str, float]]], machine: Transducer, n_words: int) -> list[float]:
-    """Scores of a text's matched clauses; a clause is its (class, weight) pairs."""
-    plain = targeted = denied = quoted = strongest = 0.0
-    threats = 0
-    for clause in clauses:
-        state, here = machine.start, {"I": 0.0, "i": 0.0, "q": 0.0}
+def clause_features(clauses: list[tuple[int, list[tuple[str, float]]]], machine: Transducer, n_words: int) -> list[float]:
+    """Scores of a text's matched clauses. A clause is its number in the text and its
+    (class, weight) pairs; clauses left out hold no insult and no threat."""
+    piled = targeted = denied = quoted = strongest = total = 0.0
+    threats = matched = 0
+    state, before = machine.start, -1
+    for number, clause in clauses:
+        for _ in range(min(number - before - 1, PASSAGE + 1)):  # the ends of the clauses left out
+            state, *_ = machine.step(state, END)
+        before = number
+        here: dict[str, list[float]] = {"I": [], "u": [], "i": [], "q": []}
         for symbol, weight in clause:
-            state, out = machine.step(state, symbol)
+            state, out, times = machine.step(state, symbol)
             if out in here:
-                here[out] += weight
-                if out == "I":
-                    strongest = max(strongest, weight)
-        _, end = machine.step(state, END)
-        plain, denied, quoted = plain + here["I"], denied + here["i"], quoted + here["q"]
-        targeted += here["I"] if end in "!X" else 0.0
+                here[out].append(weight * times)
+        state, end, _ = machine.step(state, END)
+        named = end != END
+        counted = here["I"] + here["u"] if named else here["I"]
+        piled += sum(here["I"])
+        if named:
+            targeted, denied, quoted = targeted + sum(counted), denied + sum(here["i"]), quoted + sum(here["q"])
+        total, strongest = total + sum(counted), max([strongest, *counted])
         threats += end == "X"
-    return [math.log1p(plain), math.log1p(targeted), math.log1p(denied), math.log1p(quoted), strongest, float(threats), float(len(clauses) > 0),
-            (plain + denied + quoted) / math.sqrt(max(n_words, 1))]
+        matched += bool(counted) or end == "X"
+    return [math.log1p(piled), math.log1p(targeted), math.log1p(denied), math.log1p(quoted), strongest, float(threats), float(matched > 0),
+            total / math.sqrt(max(n_words, 1))]
 
 
 def bare(word: str) -> str:
@@ -166,7 +198,7 @@ def classed(word: str, lexicon: dict[str, float]) -> tuple[str, float]:
 
 def features(data: np.ndarray, offsets: np.ndarray, lexicon: dict[str, float], machine: Transducer) -> np.ndarray:
     """FEATURES of each text. Distinct words are classed once; only clauses with
-    an insult or threat go through the machine."""
+    an insult or threat go through the machine, and the ends of those between."""
     starts, ends, first = word_spans(data, offsets)
     out = np.zeros((len(offsets) - 1, len(FEATURES)))
     if not len(starts):
@@ -184,7 +216,7 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: dict[str, float], m
     by_doc: dict[int, list] = {}
     for c in np.unique(clause[matched]).tolist():
         a, b = begin[c], begin[c + 1]
-        by_doc.setdefault(int(doc[a]), []).append([kinds[i] for i in code[a:b].tolist()])
+        by_doc.setdefault(int(doc[a]), []).append((c, [kinds[i] for i in code[a:b].tolist()]))
     sizes = np.diff(first)
     for d, clauses in by_doc.items():
         out[d] = clause_features(clauses, machine, int(sizes[d]))
@@ -234,7 +266,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, turns: int = 30) -> np.ndarray:
+def newton(x: np.ndarray, y: np.ndarray, ridge: float, turns: int) -> np.ndarray:
     """Weights (the last is the intercept) by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -248,6 +280,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, turns: int =
     return w
 
 
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, turns: int = 30) -> np.ndarray:
+    """Weights, the last the intercept, none but it below 0: a matched clause never
+    lowers a score. The feature of the lowest weight below 0 goes and the rest is
+    fitted again."""
+    left = list(range(x.shape[1]))
+    while True:
+        w = newton(x[:, left], y, ridge, turns)
+        if not left or w[:-1].min() >= 0:
+            break
+        del left[int(w[:-1].argmin())]
+    out = np.zeros(x.shape[1] + 1)
+    out[left + [x.shape[1]]] = w
+    return out
+
+
 @dataclass
 class Model:
     lexicon: dict[str, float]

@@ -266,19 +266,89 @@ def test_few_vectors(spark):
 
 # toxicity --------------------------------------------------------------------
 
-def test_grammar():
+def read(text):
     m = toxicity.grammar()
+    state, out, weights = m.start, "", []
+    for s in text:
+        state, o, w = m.step(state, s)
+        out += o
+        weights.append(w)
+    return out, weights
 
-    def read(text):
-        state, out = m.start, ""
-        for s in text:
-            state, o = m.step(state, s)
-            out += o
-        return out
 
-    assert read("oIo|") == "oIo|" and read("NoI|") == "Noi|" and read("NoooI|") == "NoooI|"
-    assert read("RoI|I|") == "Roq|I|" and read("TI|") == "TI!" and read("TH|H|") == "THX" + "H|"
-    assert read("NH|") == "Nh|" and read("TNH|") == "TNh!" and read("RTH|") == "RTk!"
+def test_grammar():
+    for text, expected in (("oIo|", "ouo|"), ("NoI|", "Noi|"), ("NoooI|", "Nooou|"), ("RoI|I|", "Roq|u|"), ("TI|", "Tu!"), ("IT|", "uT!"), ("TH|H|", "THXH|"),
+                           ("NH|", "Nh|"), ("TNH|", "TNh!"), ("RTH|", "RTk!"), ("II|", "uI|"), ("I|oI|", "u|oI|"), ("NI|I|", "Ni|u|"), ("T|I|", "T!u|")):
+        assert read(text)[0] == expected, text
+    assert read("I|" + "o|" * 40 + "I|")[0][-2:] == "I|"
+
+
+def test_weights_of_moves():
+    assert read("II|")[1] == [1, 1, 1] and read("TI|")[1][1] == toxicity.DIRECT and read("IT|")[1][0] == 1
+    one = 1 - (1 - toxicity.FAR) / toxicity.PASSAGE
+    assert read("I|I|")[1][2] == pytest.approx(one) and read("I|TI|")[1][3] == pytest.approx(one * toxicity.DIRECT)
+    assert read("I" + "|" * toxicity.PASSAGE + "I")[1][-1] == read("I" + "|" * 90 + "I")[1][-1] == toxicity.FAR
+
+
+def slow_features(clauses, n_words):
+    """The grammar's rules in plain loops; every clause is listed."""
+    sums, strongest, total, threats, matched, last = Counter(), 0.0, 0.0, 0, False, None
+    for number, clause in enumerate(clauses):
+        denied_until, quoted, named, plain_threat, found = -1, False, False, False, []
+        for k, (symbol, weight) in enumerate(clause):
+            if symbol == "N":
+                denied_until = k + toxicity.REACH
+            elif symbol == "R":
+                quoted = True
+            elif symbol == "T":
+                named = True
+            elif symbol == "H":
+                plain_threat |= not quoted and k > denied_until
+            elif symbol == "I":
+                kind = "quoted" if quoted else "denied" if k <= denied_until else "plain"
+                if kind == "plain":
+                    if last is not None:
+                        kind, weight = "piled", weight * (1 - (1 - toxicity.FAR) * min(number - last, toxicity.PASSAGE) / toxicity.PASSAGE)
+                    last = number
+                found.append((kind, weight * (toxicity.DIRECT if named else 1)))
+        counted = [w for kind, w in found if kind == "piled" or kind == "plain" and named]
+        sums["piled"] += sum(w for kind, w in found if kind == "piled")
+        if named:
+            sums["targeted"] += sum(counted)
+            for kind, w in found:
+                sums[kind + "_named"] += w
+        total, strongest = total + sum(counted), max([strongest, *counted])
+        threats += plain_threat and named
+        matched |= bool(counted) or plain_threat and named
+    logs = [math.log1p(sums[k]) for k in ("piled", "targeted", "denied_named", "quoted_named")]
+    return [*logs, strongest, float(threats), float(matched), total / math.sqrt(max(n_words, 1))]
+
+
+def test_clause_features_by_plain_loops():
+    rnd, machine = random.Random(3), toxicity.grammar()
+    for _ in range(400):
+        often = rnd.choice(["oooooooooooIHTNR", "ooooooooooooooooooooooooooooooooI", "oIHTNR"])
+        clauses = [[(s, rnd.uniform(1, 6) if s == "I" else 0.0) for s in rnd.choices(often, k=rnd.randint(1, 7))] for _ in range(rnd.randint(1, 60))]
+        some = [(i, c) for i, c in enumerate(clauses) if any(s in "IH" for s, _ in c)]
+        assert toxicity.clause_features(some, machine, 50) == pytest.approx(slow_features(clauses, 50))
+
+
+def test_scores_by_plain_loops(spark, docs_of):
+    docs, labels = toxic_table(500, seed=9)
+    docs += [(6000, None), (6001, ""), (6002, "a zorgid here"), (6003, "you zorgid here"), (6004, "you are not a zorgid"), (6005, "zorgid . blattwurz"), (6006, ("word " * 30 + ". ") * 2000 + "zorgid, zorgid")]
+    model = toxicity.fit(docs_of(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.weights[:-1].min() >= 0
+    got = {r.doc_id: r.score for r in toxicity.score(docs_of(docs), model).collect()}
+    for i, text in docs:
+        words, clauses = re.findall(r"[^\x20\x09-\x0D]+", text or ""), [[]]
+        for w in words:
+            clauses[-1].append(toxicity.classed(toxicity.bare(w), model.lexicon))
+            if w[-1] in ".,;:!?":
+                clauses.append([])
+        z = float(np.dot(slow_features(clauses, len(words)), model.weights[:-1]) + model.weights[-1])
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+    assert got[6002] == got[6000] == got[6001]  # an isolated word
+    assert got[6003] > got[6002] and got[6005] > got[6002] and got[6004] < got[6003]
 
 
 def toxic_table(n=800, seed=2):
