@@ -65,3 +65,18 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "label int")
     w = {r.label: r.w for r in ml.class_weights(df, "label").collect()}
     assert w[0] == pytest.approx(8 / (2 * 6)) and w[1] == pytest.approx(8 / (2 * 2))
+
+
+def test_forests_train_and_score_in_even_tasks(spark, monkeypatch):
+    """A table of one uneven file gives every core its share of the rows."""
+    from pyspark.ml import Pipeline
+
+    rows = spark.range(400).selectExpr("id", "cast(id % 7 as double) as x", "cast(id % 7 > 3 as int) as label").coalesce(1)
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: seen.append(df) or fit(self, df, *a))
+    model = ml.fit_forest_classifier(rows, ["x"], "label", weight=None, num_trees=2, max_depth=3)
+    flow = ml.fit_forest_regressor(rows, ["x"], "label", num_trees=2, max_depth=3)
+    tasks = spark.sparkContext.defaultParallelism
+    for df in (*seen, ml.risk_score(model, rows), ml.score(flow, rows)):
+        sizes = [n for _, n in df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()]
+        assert sum(sizes) == 400 and len(sizes) == tasks and max(sizes) <= 400 // tasks + 1
