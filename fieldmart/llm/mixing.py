@@ -11,7 +11,8 @@ come early and some late. The documents of a source stand in a fixed shuffled
 order (md5 of seed and doc_id); pass after pass through that order, the token at
 cumulative demand c is due at the time t at which the integrated weight
 ``target * (t + tilt * (t*t - t))`` reaches c. Inverting it gives each document's
-training position in each pass. The last document of the last pass is taken in
+training position in each pass, and the words it gives in a pass are those that
+the integrated weight makes due between its start and its end. The last document of the last pass is taken in
 part, so a source's taken tokens equal its target, rounded to whole tokens.
 
 Cumulative sizes are sums over range partitions of (source, shuffled order) and
@@ -78,6 +79,13 @@ def due(demand: Column, target: Column, tilt: Column) -> Column:
     return F.when(target > 0, F.least(F.lit(1.0), 2 * x / (b + root)))
 
 
+def words_due(time: Column, target: Column, tilt: Column, whole_target: Column) -> Column:
+    """Words of a source due by ``time``: its integrated weight, in whole words (exact
+    for targets up to some 10^13 words); all of its target at the end."""
+    due_by = F.round(target * (time + tilt * (time * time - time))).cast("long")
+    return F.coalesce(F.when(time >= 1, whole_target).otherwise(due_by), F.lit(0).cast("long"))
+
+
 def cumulative(rows: DataFrame, name: str, ties: tuple = ()) -> DataFrame:
     """``rows`` (source, mix_order, size) with ``before``: the sizes before each
     row in its source's order; the columns ``ties`` order rows of one id and size."""
@@ -104,9 +112,13 @@ def mix(sizes: DataFrame, budget: float = BUDGET, repeat: int = REPEAT, weights:
     goals = written(targets(by_source, budget, repeat, weights), "mix-targets")
     goals = goals.withColumn("whole_target", F.round("target").cast("long")).withColumnRenamed("source", "_source")
     rows = cumulative(sizes, "mix-order", ties).join(goals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    offsets = [F.col("before") + F.col("source_size") * k for k in range(repeat)]
-    takes = [F.greatest(F.lit(0), F.least(F.col("size"), F.col("whole_target") - at)) for at in offsets]
-    times = F.array(*[F.when(take > 0, due(at.cast("double"), F.col("target"), F.col("tilt"))) for take, at in zip(takes, offsets)])
+    target, tilt, whole = F.col("target"), F.col("tilt"), F.col("whole_target")
+    # a pass takes of a document the words that the weights make due between its first and last word's times
+    starts = [F.least(F.col("before") + F.col("source_size") * k, whole) for k in range(repeat)]
+    times = [due(at.cast("double"), target, tilt) for at in starts]
+    ends = [due(F.least(at + F.col("size"), whole).cast("double"), target, tilt) for at in starts]
+    takes = [words_due(end, target, tilt, whole) - words_due(time, target, tilt, whole) for time, end in zip(times, ends)]
+    times = F.array(*[F.when(take > 0, time) for take, time in zip(takes, times)])
     return rows.withColumn("taken", sum(takes[1:], takes[0]).cast("long")).withColumn("positions", F.array_compact(times)).drop("before", "whole_target")
 
 

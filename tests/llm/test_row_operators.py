@@ -198,6 +198,15 @@ def test_positions_follow_the_integrated_weight(docs_of):
             assert abs(10 * sum(p < t for p in own) - r.target * (t + r.tilt * (t * t - t))) <= 10 + 1e-6
 
 
+def test_taken_words_follow_the_schedule(spark, docs_of, monkeypatch):
+    rows = [(i, "w " * (i % 23), f"s{i % 3}") for i in range(300)] + [(300, "", "none")]
+    wanted = {r.doc_id: r.taken for r in mixing.mix_documents(docs_of(rows)).select("doc_id", "taken").collect()}
+    right = mixing.due
+    monkeypatch.setattr(mixing, "due", lambda demand, target, tilt: right(demand, target, tilt) / 2)
+    got = {r.doc_id: r.taken for r in mixing.mix_documents(docs_of(rows)).select("doc_id", "taken").collect()}
+    assert sum(wanted.values()) > sum(got.values()) > 0   # a run that ends half way takes less
+
+
 def test_training_order(docs_of, odd_rows):
     got = mixing.training_order(docs_of(odd_rows)).collect()
     at = [r.training_position for r in got]
