@@ -100,3 +100,28 @@ def test_filled_quantiles_from_one_ordering(spark):
     as_rows = lambda f, cols: sorted(map(tuple, f.select(*cols).collect()), key=str)
     assert as_rows(med, want_med.columns) == as_rows(want_med, want_med.columns)
     assert as_rows(filled, want.columns) == as_rows(want, want.columns)
+
+
+def test_rows_move_once_to_be_cleaned(spark, monkeypatch):
+    """Statistics and the test of the rows need one shuffle of the rows; a hot entity and
+    a hot value are cut into ranges; the result equals the single steps."""
+    import datetime as dt
+    import random
+
+    from fieldmart import session
+    from fieldmart.operators import clean, positions
+
+    monkeypatch.setattr(session, "ROWS_A_TASK", 20)
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1, 1, 1, 1, 2, 3, None]), dt.date(2026, 1, 1 + i % 9), rnd.choice([None, 4.0, 4.0, 4.0, 0.0, -0.0, rnd.gauss(4, 3)]), rnd.choice([None, rnd.random()]), 1.0, 5.0) for i in range(700)]
+    rows += [(5, dt.date(2026, 1, 1), None, 1.0, 1.0, 1.0), (6, dt.date(2026, 1, 1), 4.0, None, None, 1.0)]
+    df = spark.createDataFrame(rows, "entity_id long, day date, flow double, water double, oil double, downtime double")
+    got = clean.clean_daily_fact(df)
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    spread = positions.ordered_statistics(df, "entity_id", ["water", "flow"], "flow", {"_q1": 0.25})[0]
+    sizes = [r["count"] for r in spread.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 120          # entity 1 alone has some 400 rows, its value 4.0 some 170
+    steps = clean.drop_iqr_outliers(clean.fill_group_median(df, "entity_id", ["water", "flow"]), "entity_id", "flow")
+    steps = steps.withColumn("oil", F.coalesce("oil", F.col("flow") * 0.9))
+    as_rows = lambda f: sorted(map(tuple, f.select(*df.columns).collect()), key=lambda r: tuple(str(x + 0.0) if isinstance(x, float) else str(x) for x in r))
+    assert as_rows(got) == as_rows(steps)
