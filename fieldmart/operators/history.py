@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from fieldmart.functions import exact
 from fieldmart.operators import clean, marts
 from fieldmart.operators.positions import GROUP_N, POS, counted_order, interpolated, present
-from fieldmart.sources.sinks import export_partitioned, read_export
+from fieldmart.session import row_partitions
+from fieldmart.sources.sinks import MANIFEST, read_export, rows_by_date, write_dates
 
 #: Buckets per unit of log(1 + |x|).
 FINE = 64
@@ -100,9 +101,18 @@ def clean_readings(df: DataFrame, counts: DataFrame, key: str = "entity_id", mea
 def add_daily_states(df: DataFrame, key: str, day: str, measures: Sequence[str], root: str, name: str) -> DataFrame:
     """Store the partial sums of ``measures`` per (entity, date) under ``root/name``, a
     folder per date of ``df``; those dates' old states go. Returns the manifest. Rows
-    without a date or an entity are in no mart by date and entity (T2)."""
-    base = present(df.withColumn(day, F.to_date(day)), [key, day])
-    return export_partitioned(exact.states(base, [key, day], {m: m for m in measures}), root, name, day)
+    without a date or an entity are in no mart by date and entity (T2).
+
+    The narrow rows move once, dealt by (date, entity): each task then adds its own pairs
+    up and writes their wide states, which are never shuffled. A date is cut by entity; the
+    rows of one pair meet in a task, where they only add to its state."""
+    base = present(df.withColumn(day, F.to_date(day)), [key, day]).select(key, day, *measures)
+    dates = rows_by_date(base, day)
+    if not dates:
+        return df.sparkSession.createDataFrame([], MANIFEST)
+    spread = base.repartitionByRange(row_partitions(df.sparkSession, sum(dates.values())), day, key)
+    states = exact.states(spread, [key, day], {m: m for m in measures})
+    return write_dates(states, f"{root.rstrip('/')}/{name}", name, day, dates)
 
 
 def daily_states(spark: SparkSession, root: str, name: str) -> DataFrame:

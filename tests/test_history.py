@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fieldmart import session
 from fieldmart.operators import clean, history, marts, positions, ranking
 
 
@@ -83,3 +84,29 @@ def test_places(spark):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is None, r[1] or 0, r[2]))
     assert got == {r[2]: i + 1 for i, r in enumerate(order)}
     assert ranking.placed(df.where("false"), ["a"]).collect() == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_states_are_not_shuffled(spark, tmp_root, monkeypatch):
+    """The narrow rows are dealt once, over more ranges than a shuffle's where a task
+    would hold too many of them."""
+    seen, real = [], history.write_dates
+    monkeypatch.setattr(history, "write_dates", lambda states, *a, **k: seen.append(states) or real(states, *a, **k))
+    monkeypatch.setattr(session, "ROWS_A_TASK", 20)
+    df = facts(spark, 6, 900, 6)
+    history.add_daily_states(df, "entity_id", "day", ["flow", "oil"], tmp_root, "s")
+    plan = plan_of(seen[0])
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    assert seen[0].rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    states = history.daily_states(spark, tmp_root, "s")
+    keys = ["entity_id", "day", "_b_flow", "_b_oil"]
+    assert states.groupBy(*keys).count().where("count > 1").isEmpty()
+    daily = df.where("entity_id is not null").withColumn("ts", F.col("day").cast("timestamp_ntz"))
+    assert rows_of(history.readings_daily(states, {"m": "flow"}, {"s": "oil"})) == rows_of(marts.readings_daily(daily, means={"m": "flow"}, sums={"s": "oil"}))
+
+
+def test_no_states_of_no_rows(spark, tmp_root):
+    assert history.add_daily_states(facts(spark, 6, 9, 3).where("false"), "entity_id", "day", ["flow"], tmp_root, "s").isEmpty()
