@@ -36,7 +36,9 @@ def build_production_marts(production: DataFrame, telemetry: DataFrame, wells: D
     rank = ranking.rank_group(ranking.rank_desc(kpi, "avg_flow_rate_tpd"))
     per_day = marts.readings_daily(ct, key=key, ts=ts, day=day, means=reading_means, sums=reading_sums)
     feature_dims = [c for c in well_columns.values() if c in ("field_name", "region")]
-    features = keep(marts.features_daily(cp, per_day, dims, key=key, day=day, downtime=downtime,
+    # the KPI mart holds the dimension's columns of just the entities that produce, as often as
+    # the dimension does, and its size is known: the features don't move again to meet all wells
+    features = keep(marts.features_daily(cp, per_day, kpi, key=key, day=day, downtime=downtime,
                                          entity_columns=feature_dims), "features_well_daily")
     heat = marts.bin_heatmap(features, pressure, temperature, flow, key=key)
     return {"clean_production": cp, "clean_telemetry": ct, "mart_production_daily": daily,
