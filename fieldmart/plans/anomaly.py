@@ -26,7 +26,7 @@ def train_failure_model(df: DataFrame, sensor_cols: Sequence[str], row_key: Sequ
     """Stratified split, balanced weights, forest,
     risk for every row (T18), test accuracy and ROC-AUC."""
     feats = [*sensor_cols, *[f"z_{c}" for c in sensor_cols], "is_anomaly"]
-    model_df = df.dropna(subset=[*feats, LABEL])
+    model_df = materialize(df.dropna(subset=[*feats, LABEL]), "risk_rows")   # read twice by the split
     split = materialize(ml.stratified_split(model_df, row_key, LABEL), "risk_split")   # read by fit, scoring, counts
     train = split.where(F.col("is_test") == 0)
     weights = ml.class_weights(train, LABEL)
