@@ -80,3 +80,26 @@ def test_forests_train_and_score_in_even_tasks(spark, monkeypatch):
     for df in (*seen, ml.risk_score(model, rows), ml.score(flow, rows)):
         sizes = [n for _, n in df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()]
         assert sum(sizes) == 400 and len(sizes) == tasks and max(sizes) <= 400 // tasks + 1
+
+
+def test_stratified_split_leaves_rows_in_place(spark, tmp_path, capsys):
+    """The parts follow from one key a label: the rows' own plan shuffles nothing, and
+    the parts are those of the whole order, repeated and missing keys included."""
+    import hashlib
+
+    rng = np.random.default_rng(11)
+    ids = [None if i % 40 == 0 else int(i) for i in rng.integers(0, 900, 3000)]
+    labels = [int(y) for y in rng.integers(0, 3, 3000)]
+    spark.createDataFrame(list(zip(ids, labels)), "id long, label int").write.parquet(f"{tmp_path}/rows")
+    out = ml.stratified_split(spark.read.parquet(f"{tmp_path}/rows"), ["id"], "label")
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "BroadcastHashJoin" in plan
+    got = {(r.id, r.label): r.is_test for r in out.distinct().collect()}
+    for y in range(3):
+        own = ["" if i is None else str(i) for i, label in zip(ids, labels) if label == y]
+        at, tests = 0, -(-len(own) // 4)
+        for k in sorted(set(own), key=lambda k: (int(hashlib.md5(k.encode()).hexdigest()[:8], 16), int(k or -1))):
+            assert got[(int(k) if k else None, y)] == int(at < tests)
+            at += own.count(k)
+    assert out.count() == 3000
