@@ -40,11 +40,13 @@ def test_spark_ml_sees_cells_not_rows(spark, monkeypatch):
     assert wrong.count() == 0
 
 
-def test_rows_score_as_the_model_scores_them(noisy):
+def test_rows_score_as_the_model_scores_them(noisy, monkeypatch):
     model = ml.fit_forest_classifier(noisy, FEATURES, "label", num_trees=20, max_depth=8)
     own = {r.id: (r.risk_score, r.predicted_label) for r in ml.risk_score(model, noisy).collect()}
     direct = model.transform(noisy).select("id", "probability", "prediction").collect()
     assert len(own) == 3000 and all(own[r.id] == (r.probability[1], int(r.prediction)) for r in direct)
+    monkeypatch.setattr(ml, "SMALL_CELLS", 0)             # no broadcast
+    assert own == {r.id: (r.risk_score, r.predicted_label) for r in ml.risk_score(model, noisy).collect()}
 
 
 def test_forest_is_as_good_as_spark_ml_grows_it(noisy, monkeypatch):
@@ -149,3 +151,27 @@ def test_no_failure_at_all_is_no_risk(spark):
     rows = spark.range(40).selectExpr("cast(id as double) as x", "0 as label")
     model = ml.fit_forest_classifier(rows, ["x"], "label", weight=None, num_trees=2, max_depth=2)
     assert {tuple(r) for r in ml.risk_score(model, rows).select("risk_score", "predicted_label").collect()} == {(0.0, 0)}
+
+
+@pytest.mark.parametrize("name", ["failure_risk", "pump_anomalies", "sql_q8_failure_metrics"])
+def test_failure_queries_keep_every_row_without_passes_over_them(spark, tmp_path, monkeypatch, name):
+    """Each of the three queries scores all readings that have their features, and none
+    hands the rows to Spark ML."""
+    from fieldmart.plans import queries
+
+    n = 4000
+    spark.range(n).selectExpr(
+        "id as event_id", "timestamp_seconds(1700000000 + id * 700) as ts", "id % 9 as user_id", "if(id % 11 = 0, 'error', 'view') as event_type",
+        "if(id % 200 = 0, 900.0D, cast(20 + pmod(hash(id), 90) as double)) as value", "concat('{\"k\": ', pmod(hash(id, 1), 97), '}') as props",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: pytest.fail("Spark ML was given the rows"))
+    out = queries.QUERIES[name](spark, str(tmp_path))
+    whole = n - sum(i % 97 == 0 or i % 151 == 0 for i in range(n))                # views.READ_VALUE_NULL, READ_K_NULL
+    if name == "sql_q8_failure_metrics":
+        m = out.first()
+        assert (m.rows_train + m.rows_test, m.accuracy_ok, m.auc_ok) == (whole, 1, 1) and abs(m.rows_test - whole / 4) <= 2
+        return
+    spikes = sum(i % 200 == 0 and i % 97 > 0 and i % 151 > 0 for i in range(n))
+    if name == "failure_risk":
+        assert out.count() == whole
+    assert out.where("is_anomaly = 1").count() >= spikes and out.where("risk_ok = 0 or risk_ok is null").count() == 0
